@@ -450,10 +450,11 @@ FROM (SELECT DISTINCT 'Item_' || p_type AS itemname FROM part) i""",
 }
 
 
-def with_views(body: str, *names: str, ctes: str = "") -> str:
+def with_views(body: str, *names: str, ctes: str = "", recursive: bool = False) -> str:
     """Prefix a SQL body with the CTEs of the named binding views, followed by
     the extra CTE text ``ctes`` (comma separated, may refer to the views)."""
     parts = [f"{n} AS ({SQL[n].strip()})" for n in names]
     if ctes.strip():
         parts.append(ctes.strip().strip(","))
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    head = "WITH RECURSIVE " if recursive else "WITH "
+    return head + ",\n".join(parts) + "\n" + body.strip()

@@ -58,7 +58,8 @@ def substring_lookup(targets: DataFrame, source: DataFrame, target_col: str, sou
     """
     src = source.select(F.col(source_col).alias("__find"), *[F.col(c).alias(f"__a_{c}") for c in append])
     if not contains:
-        src = src.dropDuplicates(["__find"])
+        w = Window.partitionBy("__find").orderBy(*[F.col(f"__a_{c}").asc_nulls_last() for c in append])
+        src = src.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
         j = targets.join(src, targets[target_col] == src["__find"], "left")
         return j.select(*targets.columns, *[F.col(f"__a_{c}").alias(c) for c in append])
     t = targets.withColumn("__tid", F.monotonically_increasing_id())

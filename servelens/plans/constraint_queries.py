@@ -60,6 +60,13 @@ NOT_R = f"NOT coalesce(starts_with(facilityname, '{K.RETURN_PREFIX}'), false)"
 IS_R = f"coalesce(starts_with(facilityname, '{K.RETURN_PREFIX}'), false)"
 NOTES = ", ".join(f"'{n}'" for n in K.REPAIR_NOTES)
 
+SEL_CTE = """
+sel AS (SELECT corp_code, corp_desc, min(evaluate) AS evaluate FROM accounts
+        WHERE lower(evaluate) = 'y'
+          AND corp_code IN (SELECT c.corpcode FROM demand d LEFT JOIN customers c ON d.customername = c.customername
+                            WHERE c.corpcode IS NOT NULL)
+        GROUP BY corp_code, corp_desc)"""
+
 BASE_CTES = f"""
 pc AS (SELECT facilityname, facilitynamegroupbehavior, productname, productnamegroupbehavior, periodname,
               periodnamegroupbehavior, bomname, bomnamegroupbehavior, processname, processnamegroupbehavior,
@@ -69,11 +76,7 @@ pc AS (SELECT facilityname, facilitynamegroupbehavior, productname, productnameg
               CAST(constraintvalue AS DOUBLE) AS constraintvalue
        FROM constraints),
 dq AS (SELECT customername, periodname, CAST(quantity AS DOUBLE) AS quantity FROM demand),
-sel AS (SELECT corp_code, corp_desc, min(evaluate) AS evaluate FROM accounts
-        WHERE lower(evaluate) = 'y'
-          AND corp_code IN (SELECT c.corpcode FROM demand d LEFT JOIN customers c ON d.customername = c.customername
-                            WHERE c.corpcode IS NOT NULL)
-        GROUP BY corp_code, corp_desc)"""
+""" + SEL_CTE.strip()
 
 PROJ_CTES = f"""
 p_ret AS (SELECT periodname, coalesce(sum(constraintvalue), 0) AS returns FROM pc

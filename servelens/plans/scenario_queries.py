@@ -1 +1,109 @@
-"""Registered queries."""
+"""Registered scenario-registration queries (C11-C13, C21, J12) and SQL twins."""
+
+from __future__ import annotations
+
+from servelens import constants as K
+from servelens.plans import scenarios as S
+from servelens.plans.constraint_queries import SEL_CTE, selected_from, typed_model
+from servelens.registry import register
+from servelens.sources.bindings import with_views
+
+LESS = K.LESS_SCENARIO_PREFIX
+OPT = K.OPTIMAL_SCENARIO
+SEL_VIEWS = ("demand", "customers", "accounts")
+
+
+def _sql(body: str, *views: str, ctes: str = "") -> str:
+    return with_views(body, *(SEL_VIEWS + views), ctes=SEL_CTE.strip() + ("," + ctes if ctes.strip() else ""))
+
+
+NEW_SCENARIOS = f"""
+new_s AS (SELECT DISTINCT '{LESS}' || corp_code AS scenarioname, '{K.STATUS_INCLUDE}' AS status,
+                 CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS tags,
+                 CAST(NULL AS VARCHAR) AS notes, CAST(NULL AS VARCHAR) AS technology FROM sel)"""
+
+
+@register("scenario_insert_absent", _sql("""
+SELECT * FROM scenarios_existing
+UNION ALL
+SELECT * FROM new_s n WHERE NOT EXISTS (SELECT 1 FROM scenarios_existing e WHERE e.scenarioname = n.scenarioname)""",
+                                         "scenarios_existing", ctes=NEW_SCENARIOS))
+def q_scenarios(spark, sf_dir):
+    """C11: one scenario per selected account, inserted when absent."""
+    m = typed_model(spark, sf_dir, SEL_VIEWS + ("scenarios_existing",))
+    return S.build_scenarios(m["scenarios_existing"], selected_from(m))
+
+
+NEW_ITEMS = f"""
+acc_d AS (SELECT corp_code FROM sel WHERE corp_code IN
+          (SELECT c.corpcode FROM demand d JOIN customers c ON d.customername = c.customername)),
+new_i AS (SELECT '{K.EXCLUDE_ITEM_PREFIX}' || corp_code AS itemname, '{K.EXCLUDE_ITEM_TABLE}' AS tablename,
+                 '{K.EXCLUDE_ITEM_ACTION.replace("'", "''")}' AS action, 'corpcode=''' || corp_code || '''' AS condition,
+                 '{K.STATUS_INCLUDE}' AS status, CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS tags,
+                 CAST(NULL AS VARCHAR) AS notes FROM acc_d
+          UNION
+          SELECT '{K.UPDATE_ITEM_PREFIX}' || corp_code, '{K.UPDATE_ITEM_TABLE}', '{K.UPDATE_ITEM_ACTION_PREFIX}' || corp_code,
+                 CAST(NULL AS VARCHAR), '{K.STATUS_INCLUDE}', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR),
+                 CAST(NULL AS VARCHAR) FROM acc_d)"""
+
+
+@register("item_insert_absent", _sql("""
+SELECT * FROM items_existing
+UNION ALL
+SELECT * FROM new_i n WHERE NOT EXISTS (SELECT 1 FROM items_existing e WHERE e.itemname = n.itemname)""",
+                                     "items_existing", ctes=NEW_ITEMS))
+def q_items(spark, sf_dir):
+    """Two items per account with demand, inserted when absent."""
+    m = typed_model(spark, sf_dir, SEL_VIEWS + ("items_existing",))
+    acc = S.accounts_with_demand(selected_from(m), m["demand"], m["customers"])
+    return S.build_scenario_items(m["items_existing"], acc)
+
+
+NEW_ASSIGN = f"""
+base AS (SELECT * FROM assignments_existing WHERE scenarioname = '{OPT}'),
+nb AS (SELECT count(*) AS n FROM base),
+acc_s AS (SELECT DISTINCT corp_code, '{LESS}' || corp_code AS scenarioname FROM sel),
+new_a AS (SELECT a.scenarioname, b.itemname, b.itemorder, CAST(NULL AS VARCHAR) AS notes FROM acc_s a, base b
+          UNION ALL
+          SELECT a.scenarioname, '{K.EXCLUDE_ITEM_PREFIX}' || a.corp_code, nb.n, CAST(NULL AS VARCHAR) FROM acc_s a, nb
+          UNION ALL
+          SELECT a.scenarioname, '{K.UPDATE_ITEM_PREFIX}' || a.corp_code, nb.n + 1, CAST(NULL AS VARCHAR) FROM acc_s a, nb)"""
+
+
+@register("assignment_build", _sql("""
+SELECT scenarioname, itemname, itemorder, notes FROM new_a
+UNION ALL
+SELECT scenarioname, itemname, itemorder, notes FROM assignments_existing e
+WHERE NOT EXISTS (SELECT 1 FROM new_a n WHERE n.scenarioname = e.scenarioname AND n.itemname = e.itemname)""",
+                                   "assignments_existing", ctes=NEW_ASSIGN))
+def q_assignments(spark, sf_dir):
+    """Base items plus the account's two items per new scenario, upserted."""
+    m = typed_model(spark, sf_dir, SEL_VIEWS + ("assignments_existing",))
+    return S.build_scenario_assignments(m["assignments_existing"], selected_from(m))
+
+
+@register("clean_names", with_views("""
+SELECT corp_code, regexp_replace(replace(corp_desc, '&', 'And'), '[[:punct:]]', '', 'g') AS corp_desc, evaluate,
+       base_model,
+       left(base_model, length(base_model) - 1) || ' - '
+         || regexp_replace(replace(corp_desc, '&', 'And'), '[[:punct:]]', '', 'g') || '\\' AS account_model
+FROM accounts""", "accounts"))
+def q_clean_names(spark, sf_dir):
+    """Account names cleansed and the model path derived."""
+    m = typed_model(spark, sf_dir, ("accounts",))
+    return S.clean_account_names(m["accounts"])
+
+
+@register("substring_lookup", with_views("""
+SELECT d.customername, d.productname, d.periodname, CAST(d.quantity AS DOUBLE) AS quantity, c.corpcode AS "CorpCode", c.corpname, c.loccode
+FROM demand d LEFT JOIN (SELECT customername, min(corpcode) AS corpcode, min(corpname) AS corpname,
+                                min(loccode) AS loccode FROM customers GROUP BY customername) c
+  ON d.customername = c.customername""", "demand", "customers"))
+def q_substring_lookup(spark, sf_dir):
+    """Find the customer of each demand row and append its corp fields."""
+    from pyspark.sql import functions as F
+    from servelens.operators.core import substring_lookup
+    m = typed_model(spark, sf_dir, ("demand", "customers"))
+    d = m["demand"].select("customername", "productname", "periodname", "quantity")
+    c = m["customers"].select("customername", F.col("corpcode").alias("CorpCode"), "corpname", "loccode")
+    return substring_lookup(d, c, "customername", "customername", ["CorpCode", "corpname", "loccode"])

@@ -36,6 +36,27 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return j.drop(*[k + suffix for k in keys])
 
 
+# Rows a side may have to be broadcast when its size is checked at run time.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
+    """Materialise a small side, check its size, and broadcast it only if it
+    is within ``max_rows``.
+
+    The side is written with a reliable ``checkpoint`` into the shared
+    checkpoint folder (``spark.checkpoint.dir``), so the count and the later
+    join read the same data and lineage is cut (survives executor loss).
+    Returns ``(df, broadcast_used)``; beyond the bound the caller's join is an
+    ordinary shuffle join where AQE splits skewed partitions.
+    """
+    from servelens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    m = df.checkpoint(eager=True)
+    n = m.count()
+    return (F.broadcast(m), True) if n <= max_rows else (m, False)
+
+
 def semi_join(df: DataFrame, keys_df: DataFrame, on, anti: bool = False) -> DataFrame:
     """Keep (or with ``anti`` drop) rows whose key occurs in ``keys_df``."""
     return df.join(keys_df, on, "left_anti" if anti else "left_semi")

@@ -202,7 +202,7 @@ WHERE {" AND ".join(k + " IS NOT NULL" for k in K.TRANSFER_KEYS)}
 GROUP BY {TK}""", "transfers"))
 def q_transfer_matrix(spark, sf_dir):
     """Monthly transfer files unioned and summed by the six keys (A1)."""
-    return C.transfer_matrix(B.transfers(spark, sf_dir))
+    return C.transfer_matrix(B.view(spark, sf_dir, "transfers"))
 
 
 @register("account_selection", model_sql("SELECT corp_code, corp_desc, evaluate FROM sel",
@@ -348,7 +348,7 @@ ALL_VIEWS = MODEL_VIEWS + ("flows",)
                                        ACCOUNT_CTES, ACV_CTES, CUSTOMER_SQL, REMOVED_CTES, views=ALL_VIEWS))
 def q_removed_returns(spark, sf_dir):
     """C17: returns removed per return facility and account, all periods."""
-    codes = R.less_codes(B.flows(spark, sf_dir))
+    codes = R.less_codes(B.view(spark, sf_dir, "flows"))
     return round6(R.removed_returns(account_values_from(spark, sf_dir), codes), "returns")
 
 
@@ -362,8 +362,8 @@ def current_return_from(spark, sf_dir, flows, customers, codes):
                                            views=ALL_VIEWS))
 def q_current_return_cost(spark, sf_dir):
     """Removed returns x cost per pallet, per account."""
-    flows = B.flows(spark, sf_dir)
-    customers = B.customers(spark, sf_dir)
+    flows = B.view(spark, sf_dir, "flows")
+    customers = B.view(spark, sf_dir, "customers")
     return round6(current_return_from(spark, sf_dir, flows, customers, R.less_codes(flows)), "cur_tc_returns")
 
 
@@ -405,8 +405,8 @@ FROM rep r JOIN (SELECT DISTINCT corpcode, "Customer" FROM cust) l ON r.corpcode
                                       views=tuple(dict.fromkeys(MODEL_VIEWS + KPI_VIEWS))))
 def q_account_report(spark, sf_dir):
     """C20: per-account issues, returns, R:I, six costs, inefficiency and CPIs."""
-    flows = B.flows(spark, sf_dir)
-    customers = B.customers(spark, sf_dir)
+    flows = B.view(spark, sf_dir, "flows")
+    customers = B.view(spark, sf_dir, "customers")
     codes = R.less_codes(flows)
     kpis = kpis_from(spark, sf_dir)
     issue = R.current_issue_cost(flows, customers, codes)

@@ -22,7 +22,7 @@ from servelens.functions.scalar import (
     is_period_label, least_strict, not_equal_keep_null, not_starts, period_label, period_no_from_word,
     rint, safe_div, split_part, starts, sum0,
 )
-from servelens.operators.core import carry_forward, expand_back, null_safe_join, top_with_ties
+from servelens.operators.core import carry_forward, checked_broadcast, expand_back, null_safe_join, top_with_ties
 
 KEYS = list(K.CONSTRAINT_KEYS)
 
@@ -202,13 +202,16 @@ def adjusted_returns(constraints: DataFrame, acct_demand: DataFrame, shares: Dat
     ``tot`` is the facility-period total.  Only periods in which the account
     has demand get a row (inner join); the rest keep the original value.
 
-    The join to the account demand is on the period; that side has one row
-    per (account, period), so AQE broadcasts it when small and otherwise
-    splits the skewed period partitions (few distinct periods).
+    The join to the account demand is on the period, which has few distinct
+    values, so a shuffle join would put a whole period in one task.  The
+    demand side has one row per (account, period); it is materialised, its
+    size checked and then broadcast, so the constraint rows are never
+    shuffled for this join (beyond the bound AQE splits skewed periods).
     """
     from pyspark.sql import Window
     r = constraints.where(starts("facilityname", K.RETURN_PREFIX))
-    j = r.join(acct_demand, "periodname", "inner")
+    small, _ = checked_broadcast(acct_demand)
+    j = r.join(small, "periodname", "inner")
     j = j.withColumn("loc_code", split_part("facilityname", "_", 2))
     sh = shares.select("corp_code", F.col("return_loc_code").alias("loc_code"), F.col("share"))
     j = j.join(sh, ["corp_code", "loc_code"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
@@ -232,7 +235,8 @@ def adjusted_depot_repairs(constraints: DataFrame, adjusted: DataFrame) -> DataF
          .agg(sum0("constraintvalue").alias("cv_sum"), sum0("adjusted_constraintvalue").alias("adj_sum")))
     wip = (g.where(F.col("productname") == K.PRODUCT_WIP)
            .select("corp_code", "periodname", F.floor(F.col("cv_sum") - F.col("adj_sum")).cast("double").alias("wip")))
-    j = depot.join(wip, "periodname", "inner")
+    small, _ = checked_broadcast(wip)
+    j = depot.join(small, "periodname", "inner")
     return (j.withColumn("adjusted_constraintvalue", F.col("constraintvalue") - F.col("wip"))
             .withColumn("productname", F.lit(None).cast("string")).drop("wip"))
 

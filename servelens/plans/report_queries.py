@@ -136,7 +136,7 @@ WHERE scenarioname = '{OPT}' AND contains(originname, '{K.RETURN_PREFIX}')
 GROUP BY originname""", "flows"))
 def q_return_unit_cost(spark, sf_dir):
     """Cost per returned pallet per return origin."""
-    return R.return_unit_cost(B.flows(spark, sf_dir))
+    return R.return_unit_cost(B.view(spark, sf_dir, "flows"))
 
 
 __all__ = ["kpis_from", "kpi_sql", "KPI_SQL_CTES", "DELTAS_SQL_CTES", "CUSTOMER_SQL", "F"]

@@ -6,9 +6,10 @@ Plan shape, chosen for very large flow tables:
   originname)`` computes every conditional partial sum (map-side combine, so
   only partial aggregates are shuffled, never raw flows).  The manufacturer
   flag for painting cost is joined to that small aggregate, not to the flows.
-* Each other fact table is one filtered ``groupBy(scenarioname)``.
-* The per-scenario results (one row per scenario) are aligned with full outer
-  joins on ``scenarioname``; derived measures are column arithmetic.
+* The other fact tables join the flow partials in one union and a single
+  ``groupBy(scenarioname)``: one shuffle of partial aggregates for all
+  sixteen measures, no joins to align them; derived measures are column
+  arithmetic.
 * Current-network costs pre-aggregate flows per destination / origin before
   joining the customer dimension.
 """
@@ -63,46 +64,61 @@ def _final(name: str, n_col: str | None = None, s_col: str | None = None):
 
 def flow_measures(flows: DataFrame, facilities: DataFrame, horizon: int = K.HORIZON_PERIODS,
                   manufacturing_type: str = K.MANUFACTURING_TYPE) -> DataFrame:
-    """Issues, returns, transport costs and painting cost per scenario."""
+    """Partial sums of issues, returns, transport costs and painting cost per
+    (scenario, origin) with the manufacturer flag applied (A9-A13, A15).
+
+    The flag is joined to the aggregate, never to the raw flows.  Output
+    columns ``n_<measure>`` / ``s_<measure>`` are partials for :func:`_final`.
+    """
     partial = _flow_partials(flows, horizon)
     mfrs = (facilities.where(F.col("depottype") == manufacturing_type)
             .select(F.col("facilityname").alias("originname")).distinct()
             .withColumn("is_mfr", F.lit(True)))
     flagged = partial.join(mfrs, "originname", "left")
     paint = ~F.coalesce(F.col("is_mfr"), F.lit(False))      # ~isin keeps NULL origins (F13)
-    return flagged.groupBy("scenarioname").agg(
-        _final("issues"), _final("returns"), _final("tc_issues"), _final("tc_returns"), _final("tc_transfers"),
-        F.when(F.sum(F.when(paint, F.col("n_painting"))) > 0,
-               F.coalesce(F.sum(F.when(paint, F.col("s_painting"))), F.lit(0.0))).alias("depot_painting"),
-    )
+    keep = [f"{p}_{m}" for m in ("issues", "returns", "tc_issues", "tc_returns", "tc_transfers") for p in ("n", "s")]
+    return flagged.select("scenarioname", *keep,
+                          F.when(paint, F.col("n_painting")).alias("n_depot_painting"),
+                          F.when(paint, F.col("s_painting")).alias("s_depot_painting"))
 
 
-def _filtered_sum(df: DataFrame, cond, value, name: str) -> DataFrame:
-    return df.where(cond & F.col("scenarioname").isNotNull()).groupBy("scenarioname").agg(sum0(value).alias(name))
+def _fact_rows(df: DataFrame, cond, value, name: str) -> DataFrame:
+    """Rows of one fact table as partials of one measure: ``n`` counts rows
+    that pass the filter, ``s`` carries their value."""
+    return df.where(cond & F.col("scenarioname").isNotNull()).select(
+        "scenarioname", F.lit(1).cast("bigint").alias(f"n_{name}"), value.cast("double").alias(f"s_{name}"))
 
 
 def scenario_kpis(flows: DataFrame, facility_summary: DataFrame, warehousing_summary: DataFrame,
                   inventory_summary: DataFrame, production_summary: DataFrame, facilities: DataFrame,
                   horizon: int = K.HORIZON_PERIODS, repair_bom: str = K.REPAIR_BOM,
                   manufacturing_type: str = K.MANUFACTURING_TYPE) -> DataFrame:
-    """16 measures per scenario (C14); column order as the exported table."""
-    fm = flow_measures(flows, facilities, horizon, manufacturing_type)
-    fixed = _filtered_sum(facility_summary, period_no("periodname") <= horizon, F.col("operatingcost"), "depot_fixed")
-    handling = _filtered_sum(warehousing_summary, period_no("periodname") <= horizon,
-                             F.col("inboundhandlingcost") + F.col("outboundhandlingcost"), "depot_handling")
-    inventory = _filtered_sum(inventory_summary, period_no("periodname") <= horizon,
-                              F.col("totalinventorycost"), "depot_inventory")
-    repair = _filtered_sum(production_summary,
-                           (F.col("bomname") == repair_bom) & (period_no("startingperiodname") <= horizon),
-                           F.col("productioncost"), "depot_repair")
-    aligned = reduce(lambda a, b: a.join(b, "scenarioname", "full"), [fm, fixed, handling, inventory, repair])
+    """16 measures per scenario (C14); column order as the exported table.
+
+    All five fact tables meet in one union and one ``groupBy(scenarioname)``:
+    each table is scanned once, aggregated map-side, and only per-scenario
+    partials are shuffled.  A measure whose filter keeps no row of a scenario
+    is NULL (as index alignment gives NaN); a scenario no filter keeps is absent.
+    """
+    h = horizon
+    parts = [
+        flow_measures(flows, facilities, h, manufacturing_type),
+        _fact_rows(facility_summary, period_no("periodname") <= h, F.col("operatingcost"), "depot_fixed"),
+        _fact_rows(warehousing_summary, period_no("periodname") <= h,
+                   F.col("inboundhandlingcost") + F.col("outboundhandlingcost"), "depot_handling"),
+        _fact_rows(inventory_summary, period_no("periodname") <= h, F.col("totalinventorycost"), "depot_inventory"),
+        _fact_rows(production_summary, (F.col("bomname") == repair_bom) & (period_no("startingperiodname") <= h),
+                   F.col("productioncost"), "depot_repair"),
+    ]
+    u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    aligned = u.groupBy("scenarioname").agg(*[_final(m) for m in BASE_MEASURES])
     c = F.col
     tc_total = c("tc_issues") + c("tc_returns") + c("tc_transfers")
     variable = c("depot_painting") + c("depot_handling") + c("depot_repair")
     var_cpi = safe_div(variable, c("issues"))
     fix_cpi = safe_div(c("depot_fixed"), c("issues"))
     total_cpi = safe_div(tc_total, c("issues")) + (var_cpi + fix_cpi)
-    out = aligned.where(F.coalesce(*[c(m) for m in BASE_MEASURES]).isNotNull()).select(
+    return aligned.where(F.coalesce(*[c(m) for m in BASE_MEASURES]).isNotNull()).select(
         "scenarioname", "issues", "returns",
         safe_div(c("returns"), c("issues")).alias("network_r_i"),
         "tc_issues", "tc_returns", "tc_transfers", tc_total.alias("tc_total"),
@@ -110,7 +126,6 @@ def scenario_kpis(flows: DataFrame, facility_summary: DataFrame, warehousing_sum
         (c("depot_fixed") + c("depot_painting") + c("depot_handling") + c("depot_repair")).alias("depot_total"),
         var_cpi.alias("variable_depot_cpi"), fix_cpi.alias("fixed_depot_cpi"), total_cpi.alias("total_cpi"),
     )
-    return out
 
 
 # ---------------------------------------------------------------------------

@@ -20,20 +20,50 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-                   suffix: str = "__r") -> DataFrame:
+                   suffix: str = "__r", hashed: bool | None = None) -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL.
 
-    ``<=>`` conditions are planned as ordinary join keys (hash / sort-merge),
-    not as a nested loop.  Right-side key columns are dropped; other right
-    columns that clash with left names are dropped too (the left value wins,
-    as with an ``_DROP`` suffix).
+    With few keys the ``<=>`` conditions are the join keys.  With many keys
+    (``hashed``, default for more than four) both sides get one 64-bit hash
+    of all keys and the join shuffles / sorts on that single column; the
+    NULL-safe equality of every key stays as a residual condition, so a hash
+    collision can never produce a wrong match.  Right-side key columns are
+    dropped; other right columns that clash with left names are dropped too
+    (the left value wins, as with an ``_DROP`` suffix).
     """
+    keys = list(keys)
+    hashed = len(keys) > 4 if hashed is None else hashed
     r = right.select(*[F.col(c).alias(c + suffix) if c in keys else F.col(c) for c in right.columns])
     clash = [c for c in right.columns if c not in keys and c in left.columns]
     r = r.drop(*clash)
-    cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[k + suffix]) for k in keys])
-    j = left.join(r, cond, how)
-    return j.drop(*[k + suffix for k in keys])
+    if not hashed:
+        cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[k + suffix]) for k in keys])
+        return left.join(r, cond, how).drop(*[k + suffix for k in keys])
+    lh = left.withColumn("__h", F.xxhash64(*[F.col(k) for k in keys]))
+    rh = r.withColumn("__h" + suffix, F.xxhash64(*[F.col(k + suffix) for k in keys]))
+    # written so that the optimizer does not turn them into extra join keys
+    same = [(lh[k] == rh[k + suffix]) | (lh[k].isNull() & rh[k + suffix].isNull()) for k in keys]
+    cond = reduce(lambda a, b: a & b, [lh["__h"] == rh["__h" + suffix]] + same)
+    return lh.join(rh, cond, how).drop("__h", "__h" + suffix, *[k + suffix for k in keys])
+
+
+def materialize(df: DataFrame, name: str = "t") -> DataFrame:
+    """Write ``df`` as a parquet table in the shared checkpoint folder
+    (``spark.checkpoint.dir``) and continue from the written table.
+
+    Used where the modelled process persists a table anyway (per-account
+    constraint values) or where a costly intermediate is read twice.  The
+    plan is computed once (a reliable RDD checkpoint would compute it twice
+    and store Java-serialised rows); lineage is cut, so a lost executor
+    recomputes nothing before this point, and later plans stay small.
+    """
+    import uuid
+    from servelens.session import ensure_checkpoint_dir
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{root}/servelens-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 # Rows a side may have to be broadcast when its size is checked at run time.
@@ -44,15 +74,12 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tupl
     """Materialise a small side, check its size, and broadcast it only if it
     is within ``max_rows``.
 
-    The side is written with a reliable ``checkpoint`` into the shared
-    checkpoint folder (``spark.checkpoint.dir``), so the count and the later
-    join read the same data and lineage is cut (survives executor loss).
+    The side is written once to the shared checkpoint folder, so the row
+    count (from parquet metadata) and the later join read the same data.
     Returns ``(df, broadcast_used)``; beyond the bound the caller's join is an
     ordinary shuffle join where AQE splits skewed partitions.
     """
-    from servelens.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    m = df.checkpoint(eager=True)
+    m = materialize(df, "small")
     n = m.count()
     return (F.broadcast(m), True) if n <= max_rows else (m, False)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from servelens import constants as K
+from servelens.operators.core import materialize
 from servelens.plans import constraints as C
 from servelens.plans import reporting as R
 from servelens.plans.report_queries import CUSTOMER_SQL, DELTAS_SQL_CTES, KPI_SQL_CTES, KPI_VIEWS, kpis_from
@@ -408,7 +409,7 @@ def q_account_report(spark, sf_dir):
     flows = B.view(spark, sf_dir, "flows")
     customers = B.view(spark, sf_dir, "customers")
     codes = R.less_codes(flows)
-    kpis = kpis_from(spark, sf_dir)
+    kpis = materialize(kpis_from(spark, sf_dir))      # one row per scenario, read twice
     issue = R.current_issue_cost(flows, customers, codes)
     ret = current_return_from(spark, sf_dir, flows, customers, codes)
     rep = R.account_report(kpis, issue, ret, customers, codes)

@@ -22,7 +22,9 @@ from servelens.functions.scalar import (
     is_period_label, least_strict, not_equal_keep_null, not_starts, period_label, period_no_from_word,
     rint, safe_div, split_part, starts, sum0,
 )
-from servelens.operators.core import carry_forward, checked_broadcast, expand_back, null_safe_join, top_with_ties
+from servelens.operators.core import (
+    carry_forward, checked_broadcast, expand_back, materialize, null_safe_join, top_with_ties,
+)
 
 KEYS = list(K.CONSTRAINT_KEYS)
 
@@ -273,14 +275,20 @@ def account_constraints(constraints: DataFrame, shared: DataFrame, per_account:
 def build_account_constraints(constraints: DataFrame, demand: DataFrame, customers: DataFrame,
                               inventory_policies: DataFrame, periods: DataFrame, transfers: DataFrame,
                               selected: DataFrame, special_depot: str = K.SPECIAL_DEPOT,
-                              loss_rate: float = K.LOSS_RATE, two_digit_labels: bool = False) -> DataFrame:
+                              loss_rate: float = K.LOSS_RATE, two_digit_labels: bool = False,
+                              persist: bool = True) -> DataFrame:
     """Constraints + selected accounts -> per-account values (C3-C10 composed)."""
     pc = normalise_constraints(constraints)
     proj = inventory_projection(pc, demand, inventory_policies, periods)
     mfg = manufacturing_uplift(pc, uplift_rows(proj, two_digit_labels), special_depot)
     shared = unchanged_repairs(pc).unionByName(mfg)
-    adj = adjusted_returns(pc, account_demand(demand, customers, selected),
-                           account_return_share(transfers, selected), loss_rate)
+    # the adjusted returns feed both the per-account rows and the depot WIP:
+    # written once, read twice
+    adj = materialize(adjusted_returns(pc, account_demand(demand, customers, selected),
+                                       account_return_share(transfers, selected), loss_rate))
     depot = adjusted_depot_repairs(pc, adj)
     per_account = adj.select(depot.columns).unionByName(depot)
-    return account_constraints(pc, shared, per_account)
+    out = account_constraints(pc, shared, per_account)
+    # the per-account values are the table the process persists for the
+    # solver and the reports: materialise it
+    return materialize(out) if persist else out

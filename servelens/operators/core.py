@@ -128,6 +128,18 @@ def first_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
 
 
+def top1_by(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]], cols: Sequence[str]) -> DataFrame:
+    """First row per key as an aggregate (D1, N4 for large groups).
+
+    ``order`` is a list of ``(column, ascending)``; descending columns must be
+    numeric.  ``min(struct(...))`` is computed map-side like any aggregate, so a
+    key that holds a large share of all rows never has to be sorted in one
+    task (a ``row_number`` window would)."""
+    parts = [(F.col(c) if asc else -F.col(c)).alias(f"__o{i}") for i, (c, asc) in enumerate(order)]
+    best = F.min(F.struct(*parts, *[F.col(c).alias(c) for c in cols])).alias("__best")
+    return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in cols])
+
+
 def union_ordered(*dfs: DataFrame, priority_col: str = "__priority") -> DataFrame:
     """Union by name with missing columns NULL (U1, U3), tagging each input
     with its position so later ``first_by`` can prefer input #1."""

@@ -61,9 +61,11 @@ def select_accounts(accounts: DataFrame, demand: DataFrame, customers: DataFrame
     acc = (accounts.where(f)
            .groupBy(F.col("corp_code").cast("string").alias("corp_code"), "corp_desc")
            .agg(F.min("evaluate").alias("evaluate")))
-    with_corp = (demand.select("customername")
-                 .join(customers.select("customername", F.col("corpcode").cast("string").alias("corp_code")),
-                       "customername", "left")
+    # distinct customers with demand first: the demand rows are reduced
+    # map-side before anything is shuffled
+    buyers = demand.select("customername").distinct()
+    with_corp = (customers.select("customername", F.col("corpcode").cast("string").alias("corp_code"))
+                 .join(buyers, "customername", "left_semi")
                  .select("corp_code").where(F.col("corp_code").isNotNull()).distinct())
     return acc.join(with_corp, "corp_code", "left_semi")
 
@@ -188,11 +190,19 @@ def account_return_share(transfers: DataFrame, selected: DataFrame) -> DataFrame
 
 
 def account_demand(demand: DataFrame, customers: DataFrame, selected: DataFrame) -> DataFrame:
-    """Issues per account and period (C7, A6); customers fan out (Q18)."""
-    d = demand.join(customers.select("customername", F.col("corpcode").cast("string").alias("corp_code")),
-                    "customername", "left")
+    """Issues per account and period (C7, A6); customers fan out (Q18).
+
+    Demand is summed per (customer, period) before the join (the sum
+    distributes over the customer fan-out), and only customers of the selected
+    accounts take part, so the large demand table is never shuffled row by row.
+    """
+    per_cust = (demand.where(F.col("periodname").isNotNull())
+                .groupBy("customername", "periodname").agg(F.sum("quantity").alias("quantity"),
+                                                           F.count(F.lit(1)).alias("n")))
     acc = selected.select("corp_code").distinct()
-    return (d.join(acc, "corp_code", "inner").where(F.col("periodname").isNotNull())
+    cust = (customers.select("customername", F.col("corpcode").cast("string").alias("corp_code"))
+            .join(acc, "corp_code", "left_semi"))
+    return (per_cust.join(cust, "customername", "inner")
             .groupBy("corp_code", "periodname").agg(sum0("quantity").alias("quantity")))
 
 

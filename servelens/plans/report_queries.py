@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from servelens import constants as K
+from servelens.operators.core import materialize
 from servelens.plans import reporting as R
 from servelens.registry import register
 from servelens.sources import bindings as B
@@ -104,7 +105,7 @@ SELECT scenarioname, {MEASURE_LIST} FROM kpis
 UNION ALL SELECT scenarioname, {MEASURE_LIST} FROM deltas""", ctes=DELTAS_SQL_CTES))
 def q_scenario_deltas(spark, sf_dir):
     """Scenario rows plus 'Removing <code> - Baseline/Optimal' delta rows."""
-    return R.scenario_deltas(kpis_from(spark, sf_dir))
+    return R.scenario_deltas(materialize(kpis_from(spark, sf_dir)))   # one row per scenario, read twice
 
 
 CUSTOMER_SQL = f"""

@@ -84,6 +84,33 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tupl
     return (F.broadcast(m), True) if n <= max_rows else (m, False)
 
 
+def expansion_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_col: str, buckets: int = 64,
+                   how: str = "inner") -> DataFrame:
+    """Join where every ``big`` row meets many ``small`` rows on a key with few
+    distinct values (e.g. a period), without a hot partition per key.
+
+    ``small`` rows are spread over ``buckets`` by a hash of ``spread_col``; each
+    ``big`` row is copied once per bucket.  The join runs on (key, bucket), so a
+    key's work is split over ``buckets`` tasks and the result is the same as
+    the plain join (each pair meets in exactly one bucket).
+    """
+    b = F.lit(buckets)
+    s = small.withColumn("__bucket", F.pmod(F.xxhash64(F.col(spread_col)), b).cast("int"))
+    g = big.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
+    return g.join(s, list(on) + ["__bucket"], how).drop("__bucket")
+
+
+def period_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_col: str,
+                max_rows: int | None = None) -> DataFrame:
+    """Inner join of a large table with a small per-(account, period) table on
+    a low-cardinality key: broadcast when the small side's checked size allows,
+    otherwise a bucketed expansion join."""
+    side, used = checked_broadcast(small, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+    if used:
+        return big.join(side, list(on), "inner")
+    return expansion_join(big, side, on, spread_col)
+
+
 def semi_join(df: DataFrame, keys_df: DataFrame, on, anti: bool = False) -> DataFrame:
     """Keep (or with ``anti`` drop) rows whose key occurs in ``keys_df``."""
     return df.join(keys_df, on, "left_anti" if anti else "left_semi")
@@ -106,8 +133,8 @@ def substring_lookup(targets: DataFrame, source: DataFrame, target_col: str, sou
     """
     src = source.select(F.col(source_col).alias("__find"), *[F.col(c).alias(f"__a_{c}") for c in append])
     if not contains:
-        w = Window.partitionBy("__find").orderBy(*[F.col(f"__a_{c}").asc_nulls_last() for c in append])
-        src = src.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn")
+        # one source row per value, as an aggregate (a hot value is combined map-side)
+        src = top1_by(src, ["__find"], [(f"__a_{c}", True) for c in append], [f"__a_{c}" for c in append])
         j = targets.join(src, targets[target_col] == src["__find"], "left")
         return j.select(*targets.columns, *[F.col(f"__a_{c}").alias(c) for c in append])
     t = targets.withColumn("__tid", F.monotonically_increasing_id())

@@ -23,7 +23,7 @@ from servelens.functions.scalar import (
     rint, safe_div, split_part, starts, sum0,
 )
 from servelens.operators.core import (
-    carry_forward, checked_broadcast, expand_back, materialize, null_safe_join, top_with_ties,
+    carry_forward, expand_back, materialize, null_safe_join, period_join, top_with_ties,
 )
 
 KEYS = list(K.CONSTRAINT_KEYS)
@@ -207,7 +207,8 @@ def account_demand(demand: DataFrame, customers: DataFrame, selected: DataFrame)
 
 
 def adjusted_returns(constraints: DataFrame, acct_demand: DataFrame, shares: DataFrame,
-                     loss_rate: float = K.LOSS_RATE, scale: int = K.ROUND_SCALE) -> DataFrame:
+                     loss_rate: float = K.LOSS_RATE, scale: int = K.ROUND_SCALE,
+                     broadcast_max_rows: int | None = None) -> DataFrame:
     """Return constraints after removing each account's returns.
 
     ``adj = bround(cv - min(cv / tot * (qty * share * loss), cv), 6)`` where
@@ -218,12 +219,12 @@ def adjusted_returns(constraints: DataFrame, acct_demand: DataFrame, shares: Dat
     values, so a shuffle join would put a whole period in one task.  The
     demand side has one row per (account, period); it is materialised, its
     size checked and then broadcast, so the constraint rows are never
-    shuffled for this join (beyond the bound AQE splits skewed periods).
+    shuffled for this join; beyond the bound a bucketed expansion join spreads
+    each period over many tasks (``operators.core.period_join``).
     """
     from pyspark.sql import Window
     r = constraints.where(starts("facilityname", K.RETURN_PREFIX))
-    small, _ = checked_broadcast(acct_demand)
-    j = r.join(small, "periodname", "inner")
+    j = period_join(r, acct_demand, ["periodname"], "corp_code", max_rows=broadcast_max_rows)
     j = j.withColumn("loc_code", split_part("facilityname", "_", 2))
     sh = shares.select("corp_code", F.col("return_loc_code").alias("loc_code"), F.col("share"))
     j = j.join(sh, ["corp_code", "loc_code"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
@@ -235,7 +236,8 @@ def adjusted_returns(constraints: DataFrame, acct_demand: DataFrame, shares: Dat
     return j.withColumn("adjusted_constraintvalue", adj).drop("loc_code", "share", "facility_total")
 
 
-def adjusted_depot_repairs(constraints: DataFrame, adjusted: DataFrame) -> DataFrame:
+def adjusted_depot_repairs(constraints: DataFrame, adjusted: DataFrame,
+                           broadcast_max_rows: int | None = None) -> DataFrame:
     """Group repair minimum less the WIP no longer returned.
 
     ``wip = floor(sum(cv) - sum(adj))`` per account and period for WIP rows;
@@ -247,8 +249,7 @@ def adjusted_depot_repairs(constraints: DataFrame, adjusted: DataFrame) -> DataF
          .agg(sum0("constraintvalue").alias("cv_sum"), sum0("adjusted_constraintvalue").alias("adj_sum")))
     wip = (g.where(F.col("productname") == K.PRODUCT_WIP)
            .select("corp_code", "periodname", F.floor(F.col("cv_sum") - F.col("adj_sum")).cast("double").alias("wip")))
-    small, _ = checked_broadcast(wip)
-    j = depot.join(small, "periodname", "inner")
+    j = period_join(depot, wip, ["periodname"], "corp_code", max_rows=broadcast_max_rows)
     return (j.withColumn("adjusted_constraintvalue", F.col("constraintvalue") - F.col("wip"))
             .withColumn("productname", F.lit(None).cast("string")).drop("wip"))
 

@@ -130,3 +130,16 @@ def test_kpis_align_missing_measures_as_null(spark):
     assert set(k) == {"A", "B"}
     assert k["A"].issues is None and k["A"].tc_transfers == 3.0 and k["A"].depot_painting is None
     assert k["B"].depot_fixed == 7.0 and k["B"].tc_total is None and k["B"].network_r_i is None
+
+
+def test_bucketed_period_join_equals_broadcast_path(spark):
+    m = build(spark)
+    sel = C.select_accounts(m["accounts"], m["demand"], m["customers"])
+    pc = C.normalise_constraints(m["constraints"])
+    ad = C.account_demand(m["demand"], m["customers"], sel)
+    sh = C.account_return_share(m["transfers"], sel)
+    a = C.adjusted_returns(pc, ad, sh)
+    b = C.adjusted_returns(pc, ad, sh, broadcast_max_rows=0)      # forces the bucketed path
+    assert sorted(a.collect()) == sorted(b.collect())
+    assert sorted(C.adjusted_depot_repairs(pc, a).collect()) == \
+        sorted(C.adjusted_depot_repairs(pc, b, broadcast_max_rows=0).collect())

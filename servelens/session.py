@@ -49,14 +49,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # remote session: the conf value is all there is
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
     if current:
         return current
     if conf_dir:
-        sc.setCheckpointDir(conf_dir)
+        if sc is not None:
+            sc.setCheckpointDir(conf_dir)
         return conf_dir
     local = tempfile.mkdtemp(prefix="servelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
-    sc.setCheckpointDir(local)
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:
+        pass
+    if sc is not None:
+        sc.setCheckpointDir(local)
     return local

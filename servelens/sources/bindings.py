@@ -327,9 +327,13 @@ VIEWS = {
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+    except Exception:  # no JVM gateway (e.g. a remote session): local paths only
+        import os
+        return os.path.exists(path)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

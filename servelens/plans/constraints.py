@@ -290,6 +290,9 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
                               persist: bool = True) -> DataFrame:
     """Constraints + selected accounts -> per-account values (C3-C10 composed)."""
     pc = normalise_constraints(constraints)
+    # the selected accounts (size of the account list) feed three branches;
+    # written once so the demand table is not rescanned for each
+    selected = materialize(selected.select("corp_code").distinct(), "accounts")
     proj = inventory_projection(pc, demand, inventory_policies, periods)
     mfg = manufacturing_uplift(pc, uplift_rows(proj, two_digit_labels), special_depot)
     shared = unchanged_repairs(pc).unionByName(mfg)

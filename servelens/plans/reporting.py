@@ -34,11 +34,15 @@ BASE_MEASURES = ("issues", "returns", "tc_issues", "tc_returns", "tc_transfers",
 # ---------------------------------------------------------------------------
 
 def _flow_partials(flows: DataFrame, horizon: int) -> DataFrame:
-    """One pass over the flows: partial sums per (scenario, origin)."""
-    ok = period_no("departingperiodname") <= horizon
-    issue = ok & has("destinationname", K.ISSUE_PREFIX)
-    ret = ok & has("originname", K.RETURN_PREFIX)
-    transfer = ok & not_has("destinationname", K.ISSUE_PREFIX) & not_has("originname", K.RETURN_PREFIX)
+    """One pass over the flows: partial sums per (scenario, origin).
+
+    Every flow measure uses the same period cutoff, so it is one filter in
+    front of the aggregate (partition pruning when flows are stored per period).
+    """
+    ok = F.lit(True)
+    issue = has("destinationname", K.ISSUE_PREFIX)
+    ret = has("originname", K.RETURN_PREFIX)
+    transfer = not_has("destinationname", K.ISSUE_PREFIX) & not_has("originname", K.RETURN_PREFIX)
     q = F.col("flowquantity")
     ship, src, tr = F.col("shipmentcost"), F.col("sourcingcost"), F.col("transportationcost")
     parts = {
@@ -53,7 +57,8 @@ def _flow_partials(flows: DataFrame, horizon: int) -> DataFrame:
     for name, (cond, val) in parts.items():
         aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"n_{name}"))
         aggs.append(F.sum(F.when(cond, val)).alias(f"s_{name}"))
-    return flows.where(F.col("scenarioname").isNotNull()).groupBy("scenarioname", "originname").agg(*aggs)
+    return (flows.where(F.col("scenarioname").isNotNull() & (period_no("departingperiodname") <= horizon))
+            .groupBy("scenarioname", "originname").agg(*aggs))
 
 
 def _final(name: str, n_col: str | None = None, s_col: str | None = None):

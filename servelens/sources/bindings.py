@@ -351,6 +351,16 @@ def model(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     return {n: view(spark, sf_dir, n) for n in names}
 
 
+# fact tables stored with one folder per period (the reports cut at 12 periods)
+PERIOD_PARTITIONED = {
+    "flows": "departingperiodname",
+    "facility_summary": "periodname",
+    "warehousing_summary": "periodname",
+    "inventory_summary": "periodname",
+    "production_summary": "startingperiodname",
+}
+
+
 def materialize_model(spark: SparkSession, sf_dir: str, out_dir: str, min_partitions: int = 1,
                       parallel_jobs: int = 4) -> None:
     """Derive every model table once and write it to ``out_dir`` (parquet).
@@ -364,6 +374,13 @@ def materialize_model(spark: SparkSession, sf_dir: str, out_dir: str, min_partit
     def write(item):
         n, fn = item
         df = fn(spark, sf_dir)
+        part = PERIOD_PARTITIONED.get(n)
+        if part:
+            # one folder per period: the 12-period cutoff of the reports then
+            # prunes whole folders before any file is opened
+            df.repartition(min_partitions, part).write.mode("overwrite").partitionBy(part) \
+                .parquet(f"{out_dir}/{n}.parquet")
+            return
         if df.rdd.getNumPartitions() < min_partitions:
             df = df.repartition(min_partitions)
         df.write.mode("overwrite").parquet(f"{out_dir}/{n}.parquet")

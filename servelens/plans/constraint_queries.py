@@ -420,5 +420,3 @@ def q_account_report(spark, sf_dir):
     rep = R.account_report(kpis, issue, ret, customers, codes)
     return round6(rep, *[n for _, n in K.ACCOUNT_MEASURES])
 
-
-__all__ = ["F"]

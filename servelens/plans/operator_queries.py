@@ -4,7 +4,6 @@ with SQL twins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from servelens import constants as K
@@ -213,5 +212,3 @@ def q_scalar_functions(spark, sf_dir):
         F.when(F.col("notes").isin(*K.REPAIR_NOTES), F.lit(K.STATUS_INCLUDE)).otherwise(F.col("status"))
         .alias("status_rule"))
 
-
-__all__ = ["Window"]

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from servelens import constants as K
 from servelens.operators.core import materialize
 from servelens.plans import reporting as R
@@ -139,5 +137,3 @@ def q_return_unit_cost(spark, sf_dir):
     """Cost per returned pallet per return origin."""
     return R.return_unit_cost(B.view(spark, sf_dir, "flows"))
 
-
-__all__ = ["kpis_from", "kpi_sql", "KPI_SQL_CTES", "DELTAS_SQL_CTES", "CUSTOMER_SQL", "F"]

@@ -128,12 +128,14 @@ def worst_gap(projection: DataFrame) -> DataFrame:
     return top_with_ties(projection, "gap_6days")
 
 
-def uplift_rows(projection: DataFrame, two_digit_labels: bool = False) -> DataFrame:
+def uplift_rows(projection: DataFrame, two_digit_labels: bool = False, floor_zero: bool = False) -> DataFrame:
     """Spread the worst gap over the periods before it.
 
     Every worst row is repeated by the count of the *first* worst row, and the
     counter runs on across ties (Q10).  Labels use ``'Period 0%d'`` (Q8)
-    unless ``two_digit_labels``.  Output: ``periodname``, ``needed_mfg``.
+    unless ``two_digit_labels``.  A negative need (no shortage) lowers
+    manufacture as in the model (Q9) unless ``floor_zero``.
+    Output: ``periodname``, ``needed_mfg``.
     """
     w = worst_gap(projection).select("period_no", "gap_6days")
     from pyspark.sql import Window
@@ -143,6 +145,8 @@ def uplift_rows(projection: DataFrame, two_digit_labels: bool = False) -> DataFr
     w = w.withColumn("n", F.col("first_k") - 1)
     w = w.withColumn("needed_mfg", F.when(F.col("period_no") - 1 != 0,
                                           F.col("gap_6days") / (F.col("period_no") - 1)))
+    if floor_zero:
+        w = w.withColumn("needed_mfg", F.greatest(F.col("needed_mfg"), F.lit(0.0)))
     e = expand_back(w, F.col("n"))
     counter = F.col("tie") * F.col("n") + F.col("j")
     return e.select(period_label(F.col("period_no") - counter, two_digit_labels).alias("periodname"), "needed_mfg")
@@ -287,14 +291,14 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
                               inventory_policies: DataFrame, periods: DataFrame, transfers: DataFrame,
                               selected: DataFrame, special_depot: str = K.SPECIAL_DEPOT,
                               loss_rate: float = K.LOSS_RATE, two_digit_labels: bool = False,
-                              persist: bool = True) -> DataFrame:
+                              floor_zero: bool = False, persist: bool = True) -> DataFrame:
     """Constraints + selected accounts -> per-account values (C3-C10 composed)."""
     pc = normalise_constraints(constraints)
     # the selected accounts (size of the account list) feed three branches;
     # written once so the demand table is not rescanned for each
     selected = materialize(selected.select("corp_code").distinct(), "accounts")
     proj = inventory_projection(pc, demand, inventory_policies, periods)
-    mfg = manufacturing_uplift(pc, uplift_rows(proj, two_digit_labels), special_depot)
+    mfg = manufacturing_uplift(pc, uplift_rows(proj, two_digit_labels, floor_zero), special_depot)
     shared = unchanged_repairs(pc).unionByName(mfg)
     # the adjusted returns feed both the per-account rows and the depot WIP:
     # written once, read twice

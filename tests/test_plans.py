@@ -143,3 +143,19 @@ def test_bucketed_period_join_equals_broadcast_path(spark):
     assert sorted(a.collect()) == sorted(b.collect())
     assert sorted(C.adjusted_depot_repairs(pc, a).collect()) == \
         sorted(C.adjusted_depot_repairs(pc, b, broadcast_max_rows=0).collect())
+
+
+def test_negative_need_kept_or_floored(spark):
+    proj = spark.createDataFrame([(3, -4.0), (2, -9.0)], "period_no int, gap_6days double")
+    assert sorted(r.needed_mfg for r in C.uplift_rows(proj).collect()) == [-2.0, -2.0]
+    assert sorted(r.needed_mfg for r in C.uplift_rows(proj, floor_zero=True).collect()) == [0.0, 0.0]
+
+
+def test_item_orders_after_max_option(spark):
+    m = build(spark)
+    sel = C.select_accounts(m["accounts"], m["demand"], m["customers"]).where(F.col("corp_code") == "81384")
+    ex_a = spark.createDataFrame([(K.OPTIMAL_SCENARIO, "Item_A", 1, None), (K.OPTIMAL_SCENARIO, "Item_B", 2, None)],
+                                 "scenarioname string, itemname string, itemorder long, notes string")
+    a = S.build_scenario_assignments(ex_a, sel, start_after_max=True)
+    mine = {(r.itemname, r.itemorder) for r in a.where(F.col("scenarioname").endswith("81384")).collect()}
+    assert ("Exclude_Customer_81384", 3) in mine and ("Update_production_constraints_81384", 4) in mine

@@ -159,3 +159,26 @@ def test_item_orders_after_max_option(spark):
     a = S.build_scenario_assignments(ex_a, sel, start_after_max=True)
     mine = {(r.itemname, r.itemorder) for r in a.where(F.col("scenarioname").endswith("81384")).collect()}
     assert ("Exclude_Customer_81384", 3) in mine and ("Update_production_constraints_81384", 4) in mine
+
+
+def test_sparse_values_give_same_reports_as_dense_wide_table(spark):
+    from servelens.operators.core import unpivot_prefixed
+    m, sel, acv = values(spark)
+    codes = spark.createDataFrame([("81384",), ("81399",)], "corp_code string")
+    wide = to_wide(acv, ["81384", "81399"])
+    ids = [c for c in wide.columns if not c.startswith("account_")]
+    dense = unpivot_prefixed(wide, ids, "account_")
+    # dense: every (facility, account) pair; sparse: own pairs plus one shared row per facility
+    d = {(r.facilityname, r.corp_code): r.returns for r in R.removed_returns(dense, codes).collect()}
+    sparse = R.removed_returns(acv, codes).collect()
+    shared = {r.facilityname: r.returns for r in sparse if r.corp_code is None}
+    own = {(r.facilityname, r.corp_code): r.returns for r in sparse if r.corp_code is not None}
+    for (fac, code), v in d.items():
+        assert abs(v - own.get((fac, code), shared.get(fac, 0.0))) < 1e-9
+    unit = spark.createDataFrame([("R_US_101", 1.0, 2.0, 2.0), ("R_US_102", 1.0, 3.0, 3.0)],
+                                 "originname string, flowquantity double, total_transportation_cost double, "
+                                 "return_cost_per_pallet double")
+    cust = m["customers"]
+    a = {r.corpcode: r.cur_tc_returns for r in R.current_return_cost(R.removed_returns(dense, codes), unit, cust, codes).collect()}
+    b = {r.corpcode: r.cur_tc_returns for r in R.current_return_cost(R.removed_returns(acv, codes), unit, cust, codes).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-9 for k in a)

@@ -41,7 +41,7 @@ def selected_from(m):
     return C.select_accounts(m["accounts"], m["demand"], m["customers"])
 
 
-def account_values_from(spark, sf_dir, stored: bool = True):
+def account_values_from(spark, sf_dir, stored: bool = True, persist: bool = True):
     """Per-account constraint values.  The process writes them once (for the
     solver) and the reports read the written table: when ``sf_dir`` holds it
     (``account_values.parquet``) it is read, otherwise computed."""
@@ -49,7 +49,8 @@ def account_values_from(spark, sf_dir, stored: bool = True):
         return spark.read.parquet(f"{sf_dir}/account_values.parquet")
     m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)
     return C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"],
-                                       m["periods"], m["transfers"], selected_from(m), special_depot=DEPOT)
+                                       m["periods"], m["transfers"], selected_from(m), special_depot=DEPOT,
+                                       persist=persist)
 
 
 def round6(df, *cols):
@@ -312,7 +313,7 @@ ACV_COLS = f"{KEY_LIST}, constraintvalue, corp_code, account_value"
 @register("account_constraints", model_sql(f"SELECT {ACV_COLS} FROM acv", PROJ_CTES, UPLIFT_CTES, ACCOUNT_CTES, ACV_CTES))
 def q_account_constraints(spark, sf_dir):
     """Per-account constraint values, NULL-safe 17-key join with fallback."""
-    return account_values_from(spark, sf_dir, stored=False).select(*KEYS, "constraintvalue", "corp_code", "account_value")
+    return account_values_from(spark, sf_dir, stored=False, persist=False).select(*KEYS, "constraintvalue", "corp_code", "account_value")
 
 
 # --- reporting steps that need the per-account constraints ------------------

@@ -264,7 +264,8 @@ def unpivot_prefixed(df: DataFrame, ids: Sequence[str], prefix: str, key: str =
     """Unpivot the columns named ``<prefix><code>`` to rows."""
     cols = [c for c in df.columns if c.startswith(prefix)]
     if not cols:
-        return df.select(*ids, F.lit(None).cast("string").alias(key), F.lit(None).cast("double").alias(value)).limit(0)
+        return df.select(*ids, F.lit(None).cast("string").alias(key),
+                         F.lit(None).cast("double").alias(value)).where(F.lit(False))
     long = df.select(*ids, *[F.col(c).cast("double").alias(c[len(prefix):]) for c in cols])
     return long.unpivot(list(ids), [c[len(prefix):] for c in cols], key, value)
 

@@ -212,3 +212,42 @@ def q_scalar_functions(spark, sf_dir):
         F.when(F.col("notes").isin(*K.REPAIR_NOTES), F.lit(K.STATUS_INCLUDE)).otherwise(F.col("status"))
         .alias("status_rule"))
 
+
+
+@register("append_scalar", with_views(f"""
+SELECT '{K.LESS_SCENARIO_PREFIX}' || s.corp_code AS scenarioname, s.corp_code, coalesce(b.n, 0) AS n_base_items
+FROM (SELECT DISTINCT corp_code FROM sel) s
+LEFT JOIN (SELECT count(*) AS n FROM assignments_existing WHERE scenarioname = '{K.OPTIMAL_SCENARIO}') b ON true""",
+                                 "demand", "customers", "accounts", "assignments_existing", ctes=SEL_CTE))
+def q_append_scalar(spark, sf_dir):
+    """The base scenario's item count attached to every new scenario,
+    through an equi-join on the base scenario name (no cross product)."""
+    m = typed_model(spark, sf_dir, ("demand", "customers", "accounts", "assignments_existing"))
+    acc = (selected_from(m).select("corp_code").distinct()
+           .withColumn("scenarioname", F.concat(F.lit(K.LESS_SCENARIO_PREFIX), F.col("corp_code")))
+           .withColumn("base_scenario", F.lit(K.OPTIMAL_SCENARIO)))
+    n = (m["assignments_existing"].where(F.col("scenarioname") == K.OPTIMAL_SCENARIO)
+         .groupBy(F.col("scenarioname").alias("base_scenario")).agg(F.count(F.lit(1)).alias("n_base_items")))
+    return (acc.join(n, "base_scenario", "left")
+            .select("scenarioname", "corp_code", F.coalesce("n_base_items", F.lit(0)).cast("bigint").alias("n_base_items")))
+
+
+@register("upsert_last_wins", with_views(f"""
+SELECT scenarioname, itemname, itemorder, notes FROM (
+  SELECT *, row_number() OVER (PARTITION BY scenarioname, itemname ORDER BY src DESC, itemorder DESC) AS rn FROM (
+    SELECT scenarioname, itemname, itemorder, notes, 0 AS src FROM assignments_existing
+    UNION ALL
+    SELECT scenarioname, itemname, itemorder + 1, notes, 1 FROM assignments_existing
+    WHERE scenarioname = '{K.OPTIMAL_SCENARIO}' AND itemorder % 2 = 0
+    UNION ALL
+    SELECT '{K.LESS_SCENARIO_PREFIX}00001', itemname, itemorder, notes, 1 FROM assignments_existing
+    WHERE scenarioname = '{K.OPTIMAL_SCENARIO}') u) x
+WHERE rn = 1""", "assignments_existing"))
+def q_upsert_last_wins(spark, sf_dir):
+    """K3-K5: re-issued rows replace the stored row with the same key, new keys are inserted."""
+    ex = B.view(spark, sf_dir, "assignments_existing")
+    opt = ex.where(F.col("scenarioname") == K.OPTIMAL_SCENARIO)
+    shifted = opt.where(F.col("itemorder") % 2 == 0).withColumn("itemorder", F.col("itemorder") + 1)
+    copied = opt.withColumn("scenarioname", F.lit(K.LESS_SCENARIO_PREFIX + "00001"))
+    return O.upsert_last_wins(ex, shifted.unionByName(copied), ["scenarioname", "itemname"],
+                              [F.col("itemorder").desc()]).select("scenarioname", "itemname", "itemorder", "notes")

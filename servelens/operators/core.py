@@ -84,6 +84,16 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tupl
     return (F.broadcast(m), True) if n <= max_rows else (m, False)
 
 
+def broadcast_max_rows(spark) -> int:
+    """Row bound for checked broadcasts: session setting
+    ``servelens.broadcast.maxRows`` or :data:`BROADCAST_MAX_ROWS`."""
+    try:
+        v = spark.conf.get("servelens.broadcast.maxRows", None)
+    except Exception:
+        v = None
+    return int(v) if v else BROADCAST_MAX_ROWS
+
+
 def expansion_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_col: str, buckets: int = 64,
                    how: str = "inner") -> DataFrame:
     """Join where every ``big`` row meets many ``small`` rows on a key with few
@@ -105,7 +115,7 @@ def period_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_col:
     """Inner join of a large table with a small per-(account, period) table on
     a low-cardinality key: broadcast when the small side's checked size allows,
     otherwise a bucketed expansion join."""
-    side, used = checked_broadcast(small, BROADCAST_MAX_ROWS if max_rows is None else max_rows)
+    side, used = checked_broadcast(small, broadcast_max_rows(small.sparkSession) if max_rows is None else max_rows)
     if used:
         return big.join(side, list(on), "inner")
     return expansion_join(big, side, on, spread_col)

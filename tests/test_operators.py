@@ -111,3 +111,12 @@ def test_first_by_and_union_ordered(spark):
     u = O.union_ordered(a, b)
     assert set(u.columns) == {"k", "v", "extra", "__priority"}
     assert O.first_by(u, ["k"], [F.col("__priority")]).collect()[0].v == "first"
+
+
+def test_broadcast_bound_from_session(spark):
+    spark.conf.set("servelens.broadcast.maxRows", "3")
+    try:
+        assert O.broadcast_max_rows(spark) == 3
+    finally:
+        spark.conf.unset("servelens.broadcast.maxRows")
+    assert O.broadcast_max_rows(spark) == O.BROADCAST_MAX_ROWS

@@ -20,31 +20,29 @@ from pyspark.sql import functions as F
 # ---------------------------------------------------------------------------
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left",
-                   suffix: str = "__r", hashed: bool | None = None) -> DataFrame:
+                   suffix: str = "__r", packed: bool | None = None) -> DataFrame:
     """Equi-join on ``keys`` where NULL matches NULL.
 
     With few keys the ``<=>`` conditions are the join keys.  With many keys
-    (``hashed``, default for more than four) both sides get one 64-bit hash
-    of all keys and the join shuffles / sorts on that single column; the
-    NULL-safe equality of every key stays as a residual condition, so a hash
-    collision can never produce a wrong match.  Right-side key columns are
+    (``packed``, default for more than four) both sides pack the keys into one
+    struct and join on struct equality, which compares field by field with
+    NULL equal to NULL: the shuffle partitions and sorts on a single key
+    instead of two expressions per column.  Right-side key columns are
     dropped; other right columns that clash with left names are dropped too
     (the left value wins, as with an ``_DROP`` suffix).
     """
     keys = list(keys)
-    hashed = len(keys) > 4 if hashed is None else hashed
+    packed = len(keys) > 4 if packed is None else packed
     r = right.select(*[F.col(c).alias(c + suffix) if c in keys else F.col(c) for c in right.columns])
     clash = [c for c in right.columns if c not in keys and c in left.columns]
     r = r.drop(*clash)
-    if not hashed:
+    if not packed:
         cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[k + suffix]) for k in keys])
         return left.join(r, cond, how).drop(*[k + suffix for k in keys])
-    lh = left.withColumn("__h", F.xxhash64(*[F.col(k) for k in keys]))
-    rh = r.withColumn("__h" + suffix, F.xxhash64(*[F.col(k + suffix) for k in keys]))
-    # written so that the optimizer does not turn them into extra join keys
-    same = [(lh[k] == rh[k + suffix]) | (lh[k].isNull() & rh[k + suffix].isNull()) for k in keys]
-    cond = reduce(lambda a, b: a & b, [lh["__h"] == rh["__h" + suffix]] + same)
-    return lh.join(rh, cond, how).drop("__h", "__h" + suffix, *[k + suffix for k in keys])
+    lk = left.withColumn("__k", F.struct(*[F.col(k) for k in keys]))
+    rk = r.withColumn("__k" + suffix, F.struct(*[F.col(k + suffix).alias(k) for k in keys]))
+    j = lk.join(rk, lk["__k"] == rk["__k" + suffix], how)
+    return j.drop("__k", "__k" + suffix, *[k + suffix for k in keys])
 
 
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:

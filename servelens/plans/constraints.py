@@ -97,17 +97,29 @@ def inventory_projection(constraints: DataFrame, demand: DataFrame, inventory_po
     gap to ``cover_days`` days of issues (C4).  Periods beyond ``horizon``
     are dropped; the annual row is removed (F10)."""
     p = F.col("periodname").isNotNull()
-    ret = (constraints.where(starts("facilityname", K.RETURN_PREFIX) & p)
-           .groupBy("periodname").agg(sum0("constraintvalue").alias("returns")))
-    mfg = (constraints.where(not_starts("facilityname", K.RETURN_PREFIX) & (F.col("productname") == K.PRODUCT_NEW) & p)
-           .groupBy("periodname").agg(sum0("constraintvalue").alias("mfg")))
-    qty = demand.where(p).groupBy("periodname").agg(sum0("quantity").alias("quantity"))
-    init = inventory_policies.agg(sum0("initialinventory").alias("initialinventory")) \
-        .withColumn("periodname", F.lit(first_period))
-    t = (qty.join(ret, "periodname", "left")
-         .join(init, "periodname", "left")
-         .join(mfg, "periodname", "full")
-         .join(periods.select("periodname", "workingdays"), "periodname", "left"))
+    d = F.lit(None).cast("double")
+    is_ret = starts("facilityname", K.RETURN_PREFIX)
+    is_new = not_starts("facilityname", K.RETURN_PREFIX) & (F.col("productname") == K.PRODUCT_NEW)
+    # every source adds partials per period to one union, aggregated once:
+    # no join chain (qty LEFT returns LEFT opening FULL manufacture) is needed
+    parts = [
+        demand.where(p).select("periodname", F.col("quantity").alias("q"), F.lit(1).alias("has_q")),
+        constraints.where(p & (is_ret | is_new)).select(
+            "periodname", F.when(is_ret, F.col("constraintvalue")).alias("r"),
+            F.when(is_new, F.col("constraintvalue")).alias("m"), F.when(is_new, F.lit(1)).alias("has_m")),
+        inventory_policies.select(F.lit(first_period).alias("periodname"), F.col("initialinventory").alias("i")),
+    ]
+    u = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
+    g = u.groupBy("periodname").agg(
+        F.max("has_q").alias("has_q"), F.max("has_m").alias("has_m"),
+        sum0("q").alias("quantity"), sum0("r").alias("returns"), sum0("m").alias("mfg"), sum0("i").alias("init"))
+    # returns and the opening balance only reach periods with demand (left joins from demand)
+    g = g.where(F.col("has_q").isNotNull() | F.col("has_m").isNotNull()).select(
+        "periodname", "quantity",
+        F.when(F.col("has_q").isNotNull(), F.col("returns")).otherwise(d).alias("returns"),
+        F.when(F.col("has_q").isNotNull(), F.col("init")).otherwise(d).alias("initialinventory"),
+        "mfg")
+    t = g.join(periods.select("periodname", "workingdays"), "periodname", "left")
     z = F.lit(0.0)
     t = t.select("periodname",
                  F.coalesce("quantity", z).alias("quantity"), F.coalesce("returns", z).alias("returns"),

@@ -299,26 +299,67 @@ def account_constraints(constraints: DataFrame, shared: DataFrame, per_account:
     return sh.unionByName(own)
 
 
+def _final_key(df: DataFrame, null_product: bool):
+    """Key of an adjusted row: the 17 columns with the original status (and,
+    for the depot group, no product name), packed in one struct."""
+    cols = []
+    for k in KEYS:
+        if k == "status":
+            cols.append(F.col(K.ORIGINAL_STATUS_COLUMN).alias(k))
+        elif k == "productname" and null_product:
+            cols.append(F.lit(None).cast("string").alias(k))
+        else:
+            cols.append(F.col(k).alias(k))
+    return F.struct(*cols)
+
+
 def build_account_constraints(constraints: DataFrame, demand: DataFrame, customers: DataFrame,
                               inventory_policies: DataFrame, periods: DataFrame, transfers: DataFrame,
                               selected: DataFrame, special_depot: str = K.SPECIAL_DEPOT,
                               loss_rate: float = K.LOSS_RATE, two_digit_labels: bool = False,
                               floor_zero: bool = False, persist: bool = True) -> DataFrame:
-    """Constraints + selected accounts -> per-account values (C3-C10 composed)."""
+    """Constraints + selected accounts -> per-account values (C3-C10 composed).
+
+    Same result as :func:`account_constraints` over the adjusted rows, planned
+    for size: every constraint row gets a stable ``row_id`` (written once), the
+    per-account expansion (constraint rows x accounts) carries five columns
+    instead of twenty, and the 17-key match between adjusted rows and
+    constraint rows is resolved once at the size of the constraint table.  The
+    key columns join the per-account rows only at the end.
+    """
     pc = normalise_constraints(constraints)
+    pc = materialize(pc.withColumn("row_id", F.monotonically_increasing_id()), "constraints")
     # the selected accounts (size of the account list) feed three branches;
     # written once so the demand table is not rescanned for each
     selected = materialize(selected.select("corp_code").distinct(), "accounts")
     proj = inventory_projection(pc, demand, inventory_policies, periods)
     mfg = manufacturing_uplift(pc, uplift_rows(proj, two_digit_labels, floor_zero), special_depot)
-    shared = unchanged_repairs(pc).unionByName(mfg)
+    shared = unchanged_repairs(pc).unionByName(mfg).drop("row_id")
+    slim = pc.select("row_id", "facilityname", "productname", "periodname", "constraintvalue")
     # the adjusted returns feed both the per-account rows and the depot WIP:
     # written once, read twice
-    adj = materialize(adjusted_returns(pc, account_demand(demand, customers, selected),
-                                       account_return_share(transfers, selected), loss_rate))
-    depot = adjusted_depot_repairs(pc, adj)
-    per_account = adj.select(depot.columns).unionByName(depot)
-    out = account_constraints(pc, shared, per_account)
+    adj = materialize(adjusted_returns(slim, account_demand(demand, customers, selected),
+                                       account_return_share(transfers, selected), loss_rate), "adjusted")
+    depot = adjusted_depot_repairs(slim, adj)
+    own_slim = (adj.select("row_id", "corp_code", "adjusted_constraintvalue", F.lit(False).alias("null_product"))
+                .unionByName(depot.select("row_id", "corp_code", "adjusted_constraintvalue",
+                                          F.lit(True).alias("null_product"))))
+    # which constraint rows each adjusted row matches (NULL = NULL on all 17 keys)
+    target = pc.select(F.col("row_id").alias("o_id"), F.struct(*[F.col(k) for k in KEYS]).alias("__k"))
+    src_r = pc.where(starts("facilityname", K.RETURN_PREFIX)).select(
+        F.col("row_id"), F.lit(False).alias("null_product"), _final_key(pc, False).alias("__k"))
+    src_d = pc.where(not_starts("facilityname", K.RETURN_PREFIX) & (F.col("facilityname") == K.DEPOT_GROUP)).select(
+        F.col("row_id"), F.lit(True).alias("null_product"), _final_key(pc, True).alias("__k"))
+    match = src_r.unionByName(src_d).join(target, "__k", "inner").select("row_id", "null_product", "o_id")
+    own = own_slim.join(match, ["row_id", "null_product"], "inner")
+    base = pc.select(F.col("row_id").alias("o_id"), *KEYS, "constraintvalue")
+    own = own.join(base, "o_id", "inner").select(
+        *KEYS, "constraintvalue", "corp_code",
+        F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
+    sh = null_safe_join(base.drop("o_id"), _final_side(shared, False), KEYS, "left")
+    sh = sh.select(*KEYS, "constraintvalue", F.lit(None).cast("string").alias("corp_code"),
+                   F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
+    out = sh.unionByName(own)
     # the per-account values are the table the process persists for the
     # solver and the reports: materialise it
-    return materialize(out) if persist else out
+    return materialize(out, "account_values") if persist else out

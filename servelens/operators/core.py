@@ -137,7 +137,8 @@ def substring_lookup(targets: DataFrame, source: DataFrame, target_col: str, sou
     The default is an equi-join (the values are whole names).  With
     ``contains=True`` a substring match is used and the longest matching
     source value wins, ties broken by the appended values (deterministic);
-    that path is a theta join and should only be used with a small source.
+    that path is a theta join against a broadcast source whose size is
+    checked (``servelens.broadcast.maxRows``); a larger source raises.
     """
     src = source.select(F.col(source_col).alias("__find"), *[F.col(c).alias(f"__a_{c}") for c in append])
     if not contains:
@@ -145,8 +146,14 @@ def substring_lookup(targets: DataFrame, source: DataFrame, target_col: str, sou
         src = top1_by(src, ["__find"], [(f"__a_{c}", True) for c in append], [f"__a_{c}" for c in append])
         j = targets.join(src, targets[target_col] == src["__find"], "left")
         return j.select(*targets.columns, *[F.col(f"__a_{c}").alias(c) for c in append])
+    # a substring match has no equi-key, so the source must be broadcast; its
+    # size is checked first and there is no shuffle fallback (it would be a
+    # cartesian product): beyond the bound use the equality path
+    small, used = checked_broadcast(src, broadcast_max_rows(src.sparkSession))
+    if not used:
+        raise ValueError("substring lookup: source too large to broadcast; use the equality lookup")
     t = targets.withColumn("__tid", F.monotonically_increasing_id())
-    j = t.join(F.broadcast(src), F.col(target_col).contains(F.col("__find")), "left")
+    j = t.join(small, F.col(target_col).contains(F.col("__find")), "left")
     w = Window.partitionBy("__tid").orderBy(F.length("__find").desc_nulls_last(),
                                             *[F.col(f"__a_{c}").asc_nulls_last() for c in append])
     j = j.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1)

@@ -45,8 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder; create a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared file system folder and
-    is used as is.  Only local runs / tests (where it is unset) get a scratch
-    folder.
+    is used as is (it must be set there: a cluster run without it raises).
+    Only local runs / tests, where it is unset, get a scratch folder.
     """
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -60,6 +60,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if sc is not None:
             sc.setCheckpointDir(conf_dir)
         return conf_dir
+    master = ""
+    try:
+        master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
+    except Exception:
+        pass
+    if master and not master.startswith("local"):
+        # a machine-local folder is not visible to other executors
+        raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="servelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     try:
         spark.conf.set("spark.checkpoint.dir", local)

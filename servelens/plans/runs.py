@@ -41,17 +41,11 @@ REPORT_TABLE_MAP = {
 def write_transfer_matrix(spark: SparkSession, monthly_folder: str, out_path: str, fmt: str = "csv",
                           expected: int | None = K.EXPECTED_MONTHLY_FILES) -> DataFrame:
     """Step 1: union the monthly files (exactly ``expected`` of them), sum by the six keys, write."""
-    tm = C.transfer_matrix(T.read_monthly_files(spark, monthly_folder, fmt, expected,
-                                                schema=_transfer_schema() if fmt == "csv" else None))
+    tm = C.transfer_matrix(T.read_monthly_files(spark, monthly_folder, fmt, expected))
     W.write_snapshot(tm, out_path)
     return spark.read.parquet(out_path)
 
 
-def _transfer_schema():
-    from servelens.streaming.transfers import TRANSFER_FILE_SCHEMA
-    return TRANSFER_FILE_SCHEMA
-
-
 def update_constraints(spark: SparkSession, model_root: str, accounts: DataFrame, transfers: DataFrame,
                        out_path: str, fmt: str = "parquet", special_depot: str = K.SPECIAL_DEPOT,
                        as_text: bool = True, **kw) -> DataFrame:

@@ -14,6 +14,13 @@ from pyspark.sql import functions as F
 
 from servelens import constants as K
 
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+
+# the monthly transfer files: six text keys and the volume
+TRANSFER_FILE_SCHEMA = StructType(
+    [StructField(h, StringType()) for h in list(K.TRANSFER_HEADERS)[:-1]]
+    + [StructField("Return Volume", DoubleType())])
+
 INPUT_TABLES = ("customers", "periods", "customerdemand", "inventorypolicies", "productionconstraints")
 REPORT_TABLES = ("optimizationshipmentsummary", "optimizationfacilitysummary", "optimizationflowsummary",
                  "optimizationwarehousingsummary", "optimizationinventorysummary",
@@ -48,7 +55,7 @@ def load_jdbc(spark: SparkSession, url: str, names: Iterable[str], properties: d
 
 
 def read_monthly_files(spark: SparkSession, folder: str, fmt: str = "csv", expected: int | None = K.EXPECTED_MONTHLY_FILES,
-                       header_map: dict | None = None, schema=None) -> DataFrame:
+                       header_map: dict | None = None, schema=TRANSFER_FILE_SCHEMA) -> DataFrame:
     """Folder scan: read every file of ``folder`` and union them by name.
 
     ``expected`` is the input guard (S2): the number of files must equal it.
@@ -62,8 +69,11 @@ def read_monthly_files(spark: SparkSession, folder: str, fmt: str = "csv", expec
     reader = spark.read.format(fmt)
     if fmt == "csv":
         reader = reader.option("header", "true")
-    if schema is not None:
+    if schema is not None and fmt == "csv":
         reader = reader.schema(schema)
+        if fmt == "csv":
+            # check each file's header against the schema instead of mapping by position
+            reader = reader.option("enforceSchema", "false")
     df = reader.load(folder)
     return rename_headers(df, header_map or K.TRANSFER_HEADERS)
 

@@ -11,21 +11,16 @@ the given folder, which on a cluster must be on shared storage.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from servelens import constants as K
 from servelens.plans.constraints import transfer_matrix
-from servelens.sources.tables import rename_headers
-
-TRANSFER_FILE_SCHEMA = StructType(
-    [StructField(h, StringType()) for h in list(K.TRANSFER_HEADERS)[:-1]]
-    + [StructField("Return Volume", DoubleType())])
+from servelens.sources.tables import TRANSFER_FILE_SCHEMA, rename_headers
 
 
 def transfer_stream(spark: SparkSession, folder: str, fmt: str = "csv", schema=TRANSFER_FILE_SCHEMA) -> DataFrame:
     reader = spark.readStream.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", "true")
+        reader = reader.option("header", "true").option("enforceSchema", "false")
     return rename_headers(reader.format(fmt).load(folder), K.TRANSFER_HEADERS)
 
 

@@ -71,3 +71,51 @@ def test_deltas_need_both_reference_rows(spark):
     kp = kp.select("scenarioname", "issues", *cols)
     d = {r.scenarioname: r.issues for r in R.scenario_delta_rows(kp).collect()}
     assert d == {"Removing 00001 - Optimal": -3.0}       # no baseline row: no baseline delta
+
+
+def _pc(spark, rows):
+    from servelens.sources import tables as T
+    keys = [k for k in K.CONSTRAINT_KEYS if k != K.ORIGINAL_STATUS_COLUMN]
+    data = []
+    for fac, prod, per, cv, notes in rows:
+        d = {k: None for k in keys}
+        d.update(facilityname=fac, productname=prod, periodname=per, notes=notes, status="Include")
+        data.append(tuple(d[k] for k in keys) + (cv,))
+    df = spark.createDataFrame(data, ", ".join(f"{k} string" for k in keys) + ", constraintvalue string")
+    return C.normalise_constraints(T.typed_constraints(df))
+
+
+def test_zero_facility_total_falls_back_to_original(spark):
+    pc = _pc(spark, [("R_US_7", "WIP", "Period 01", "0", K.RETURNS_NOTE)])
+    ad = spark.createDataFrame([("00001", "Period 01", 100.0)], "corp_code string, periodname string, quantity double")
+    sh = spark.createDataFrame([("00001", "7", 5.0, 1.0)],
+                               "corp_code string, return_loc_code string, return_volume double, share double")
+    r = C.adjusted_returns(pc, ad, sh).collect()[0]
+    assert r.adjusted_constraintvalue is None          # 0 / 0: no adjusted value ...
+    shared = C.unchanged_repairs(pc).where(F.lit(False))
+    acv = C.account_constraints(pc, shared.unionByName(shared), C.adjusted_returns(pc, ad, sh))
+    assert [x.account_value for x in acv.where(F.col("corp_code").isNotNull()).collect()] == [0.0]   # ... so the original
+
+
+def test_null_facility_is_kept_in_the_shared_part(spark):
+    pc = _pc(spark, [(None, "RFU", "Period 01", "7", "Repair_Capacity"), ("R_US_7", "WIP", "Period 01", "3", K.RETURNS_NOTE)])
+    shared = C.unchanged_repairs(pc).collect()
+    assert [(r.facilityname, r.adjusted_constraintvalue) for r in shared] == [(None, 7.0)]
+
+
+def test_empty_account_list_gives_shared_rows_only(spark):
+    from mini_model import build
+    m = build(spark)
+    none = spark.createDataFrame([], "corp_code string")
+    acv = C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"],
+                                      m["periods"], m["transfers"], none, persist=False)
+    assert acv.where(F.col("corp_code").isNotNull()).count() == 0
+    assert acv.count() == m["constraints"].count()
+
+
+def test_worst_gap_in_period_twelve_gives_three_digit_labels(spark):
+    proj = spark.createDataFrame([(12, 22.0), (3, 1.0)], "period_no int, gap_6days double")
+    labels = sorted(r.periodname for r in C.uplift_rows(proj).collect())
+    assert labels == sorted(["Period 0" + str(12 - j) for j in range(1, 12)])
+    assert "Period 010" in labels and "Period 011" in labels
+    assert {r.needed_mfg for r in C.uplift_rows(proj).collect()} == {2.0}

@@ -155,12 +155,19 @@ SELECT c.corpcode, count(*) AS n_demand, count(c.customername) AS n_matched,
 FROM demand d LEFT JOIN customers c ON d.customername = c.customername
 GROUP BY c.corpcode""", "demand", "customers"))
 def q_basic_joins(spark, sf_dir):
-    """Demand left-joined to customers, per corp code (unmatched rows form the NULL group)."""
+    """Demand left-joined to customers, per corp code (unmatched rows form the NULL group).
+
+    Demand is summed per customer before the join (counts and sums carry
+    through the customer fan-out), so a hot customer is combined map-side."""
     m = typed_model(spark, sf_dir, ("demand", "customers"))
-    c = m["customers"].select("customername", "corpcode", F.col("customername").alias("matched"))
-    j = m["demand"].join(c, "customername", "left")
-    return j.groupBy("corpcode").agg(F.count(F.lit(1)).alias("n_demand"), F.count("matched").alias("n_matched"),
-                                     X.sum0("quantity").alias("quantity"))
+    per_cust = m["demand"].groupBy("customername").agg(F.count(F.lit(1)).alias("n"),
+                                                       F.sum("quantity").alias("q"))
+    c = m["customers"].select("customername", "corpcode", F.lit(True).alias("matched"))
+    j = per_cust.join(c, "customername", "left")
+    return j.groupBy("corpcode").agg(
+        F.sum("n").alias("n_demand"),
+        F.coalesce(F.sum(F.when(F.col("matched"), F.col("n"))), F.lit(0)).cast("bigint").alias("n_matched"),
+        X.sum0("q").alias("quantity"))
 
 
 @register("null_filters", with_views(f"""

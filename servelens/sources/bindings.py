@@ -351,6 +351,10 @@ def model(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
     return {n: view(spark, sf_dir, n) for n in names}
 
 
+# dimension-sized views: written as they come (no spreading over files)
+SMALL_VIEWS = {"periods", "accounts", "facilities", "inventory_policies", "scenarios_existing",
+               "items_existing", "assignments_existing"}
+
 # fact tables stored with one folder per period (the reports cut at 12 periods)
 PERIOD_PARTITIONED = {
     "flows": "departingperiodname",
@@ -381,7 +385,7 @@ def materialize_model(spark: SparkSession, sf_dir: str, out_dir: str, min_partit
             df.repartition(min_partitions, part).write.mode("overwrite").partitionBy(part) \
                 .parquet(f"{out_dir}/{n}.parquet")
             return
-        if df.rdd.getNumPartitions() < min_partitions:
+        if n not in SMALL_VIEWS and df.rdd.getNumPartitions() < min_partitions:
             df = df.repartition(min_partitions)
         df.write.mode("overwrite").parquet(f"{out_dir}/{n}.parquet")
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_", "starts", "not_starts", "has", "not_has", "not_equal_keep_null",
     "safe_div", "period_no", "period_no_from_word", "period_label", "is_period_label",
-    "rint", "sum0", "cond_sum", "least_strict", "clean_text", "drop_last_char",
+    "rint", "round_half_even", "sum0", "cond_sum", "least_strict", "clean_text", "drop_last_char",
     "split_part", "right", "null_of",
 ]
 
@@ -99,6 +99,18 @@ def rint(c) -> Column:
     return F.rint(col_(c))
 
 
+def round_half_even(c, scale: int) -> Column:
+    """Round to ``scale`` decimals like Python's ``round(x, scale)``.
+
+    Works on the binary value: ``rint(x * 10^scale) / 10^scale``.  Spark's
+    ``bround`` rounds the shortest decimal text of the double instead, which
+    differs when that text ends exactly in 5 (``129.0603125`` is stored as
+    ``129.06031250000000909...`` and rounds up in Python, down in ``bround``).
+    """
+    m = float(10 ** scale)
+    return F.rint(col_(c) * F.lit(m)) / F.lit(m)
+
+
 def sum0(c) -> Column:
     """pandas-like sum: NULLs skipped, an all-NULL / empty group gives 0."""
     return F.coalesce(F.sum(col_(c)), F.lit(0.0))

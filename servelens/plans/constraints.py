@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from servelens import constants as K
 from servelens.functions.scalar import (
     is_period_label, least_strict, not_equal_keep_null, not_starts, period_label, period_no_from_word,
-    rint, safe_div, split_part, starts, sum0,
+    rint, round_half_even, safe_div, split_part, starts, sum0,
 )
 from servelens.operators.core import (
     carry_forward, expand_back, materialize, null_safe_join, period_join, top_with_ties,
@@ -227,7 +227,7 @@ def adjusted_returns(constraints: DataFrame, acct_demand: DataFrame, shares: Dat
                      broadcast_max_rows: int | None = None) -> DataFrame:
     """Return constraints after removing each account's returns.
 
-    ``adj = bround(cv - min(cv / tot * (qty * share * loss), cv), 6)`` where
+    ``adj = round(cv - min(cv / tot * (qty * share * loss), cv), 6)`` (half-even on the binary value) where
     ``tot`` is the facility-period total.  Only periods in which the account
     has demand get a row (inner join); the rest keep the original value.
 
@@ -248,7 +248,7 @@ def adjusted_returns(constraints: DataFrame, acct_demand: DataFrame, shares: Dat
     j = j.withColumn("facility_total", tot)
     cv = F.col("constraintvalue")
     removed = safe_div(cv, F.col("facility_total")) * (F.col("quantity") * F.col("share") * F.lit(loss_rate))
-    adj = F.bround(cv - least_strict(removed, cv), scale)
+    adj = round_half_even(cv - least_strict(removed, cv), scale)
     return j.withColumn("adjusted_constraintvalue", adj).drop("loc_code", "share", "facility_total")
 
 

@@ -213,7 +213,7 @@ def q_scalar_functions(spark, sf_dir):
         F.lower("status").alias("status_lower"),
         F.coalesce(F.col("productname"), F.lit("none")).alias("product"),
         X.rint(cv / 7).alias("rint_7"),
-        F.bround(cv / 7, 6).alias("bround_7"),
+        X.round_half_even(cv / 7, 6).alias("bround_7"),
         F.floor(cv / 7).cast("double").alias("floor_7"),
         (-cv).alias("negated"),
         F.when(F.col("notes").isin(*K.REPAIR_NOTES), F.lit(K.STATUS_INCLUDE)).otherwise(F.col("status"))

@@ -63,3 +63,11 @@ def test_clean_text_and_drop_last(spark):
 def test_split_part_out_of_range_is_null(spark):
     rows = [("R_N1_22",), ("R_X",)]
     assert one(spark, X.split_part("f", "_", 2), rows, "f string") == ["22", None]
+
+
+def test_round_half_even_follows_python_round_on_binary_value(spark):
+    x = 217.0 - 87.93968749999999          # 129.0603125 as text, slightly above it in binary
+    got = one(spark, X.round_half_even("x", 6), [(x,), (2.5,), (0.125,)], "x double")
+    assert got[0] == round(x, 6) == 129.060313
+    assert one(spark, X.round_half_even("x", 0), [(2.5,)], "x double") == [2.0]
+    assert one(spark, X.round_half_even("x", 2), [(0.125,)], "x double") == [round(0.125, 2)]

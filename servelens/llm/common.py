@@ -44,11 +44,17 @@ def slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
-def text_slices(batch, column: str, limit: int = 1 << 20) -> Iterator[tuple[int, int, list]]:
-    """``(first row, end row, texts)`` of an Arrow batch in bounded pieces; NULL texts come as ''."""
+def column_slices(batch, column: str, limit: int = 12 << 20) -> Iterator[tuple[int, object]]:
+    """``(first row, Arrow array)`` of a text column of an Arrow batch in bounded pieces."""
     import pyarrow.compute as pc
 
     texts = batch.column(batch.schema.get_field_index(column))
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
-    for a, b in slices(sizes, limit):
-        yield a, b, [t or ("" if texts.type == "string" else t or b"") for t in texts.slice(a, b - a).to_pylist()]
+    for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), limit):
+        yield a, texts.slice(a, b - a)
+
+
+def text_slices(batch, column: str, limit: int = 1 << 20) -> Iterator[tuple[int, int, list]]:
+    """``(first row, end row, texts)`` of an Arrow batch in bounded pieces; NULL texts come empty."""
+    for a, texts in column_slices(batch, column, limit):
+        none = "" if texts.type == "string" else b""
+        yield a, a + len(texts), [none if t is None else t for t in texts.to_pylist()]

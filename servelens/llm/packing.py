@@ -1,8 +1,8 @@
 """Cost-balanced packing of documents into fixed-length token sequences.
 
 A document's ids are cut into pieces of ``seq_len``; a full piece is a sequence of its own.
-The remainders are dealt to buckets of about ``bucket_chars`` characters by a hash of the
-row, so no bucket depends on a key of the data.  Within a bucket the number of sequences is
+The remainders are dealt to buckets of about ``bucket_rows`` documents by a hash of the row,
+so no bucket depends on a key of the data or holds more than ``bucket_rows * seq_len`` ids.  Within a bucket the number of sequences is
 the least that holds all ids.  Pieces go, longest first, to the sequence of lowest estimated
 attention cost (``linear * n + quadratic * n * n`` per piece) that still has room; a piece
 that fits nowhere is cut at the largest gap.  A bucket pads less than one sequence.
@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from servelens.llm.common import text_slices
-from servelens.llm.encoding import SPACE_DROPPED, chunk_encoder
+from servelens.llm.common import column_slices
+from servelens.llm.encoding import chunk_encoder
 
 PIECES = T.StructType([
     T.StructField("bucket", T.LongType()), T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
@@ -56,15 +56,14 @@ def assign(lengths: list[int], seq_len: int, linear: float, quadratic: float) ->
 
 
 def pack(docs: DataFrame, tokenizer_path: str, *, end_id: int, seq_len: int = 2048, linear: float = 1.0,
-         quadratic: float = 1 / 2048, bucket_chars: int = 4_000_000, with_ids: bool = False) -> DataFrame:
+         quadratic: float = 1 / 2048, bucket_rows: int = 2000, with_ids: bool = False) -> DataFrame:
     """Pieces of all documents with their place (``doc_id``, ``text`` are read; other columns are not).
 
     ``with_ids`` also returns each piece's ids (little-endian unsigned 32-bit), which the
-    training reader concatenates by ``sequence_id`` and ``offset``.  Buckets follow the total
-    size of the texts, so a task's share of rows does not grow with the corpus.
+    training reader concatenates by ``sequence_id`` and ``offset``.  Buckets follow the number
+    of rows, so a task's share does not grow with the corpus.
     """
-    total = docs.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
-    n_buckets = max(1, -(-total // bucket_chars))
+    n_buckets = max(1, -(-docs.count() // bucket_rows))
     rows = docs.select(F.pmod(F.xxhash64("doc_id", F.monotonically_increasing_id()), F.lit(n_buckets)).alias("bucket"),
                        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
 
@@ -72,11 +71,11 @@ def pack(docs: DataFrame, tokenizer_path: str, *, end_id: int, seq_len: int = 20
         import numpy as np
         import pyarrow as pa
 
-        encoder = chunk_encoder(tokenizer_path, SPACE_DROPPED, end_id)
+        encoder = chunk_encoder(tokenizer_path, False, end_id)
         schema = pa.schema([(f.name, pa.binary() if f.name == "ids" else pa.int64()) for f in PIECES])
         for batch in batches:
             buckets, doc_ids = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for a, _, texts in text_slices(batch, "text"):
+            for a, texts in column_slices(batch, "text"):
                 ids, counts = encoder.encode(texts)
                 ids = ids.astype("<u4")
                 stops = np.cumsum(counts)

@@ -18,6 +18,12 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.simhash import as_hex, near_duplicates
+    found = near_duplicates(documents(spark, sf_dir), shingle=4, max_distance=4, seed=42)
+    return found.select("doc_id", as_hex(found["fingerprint"]).alias("fingerprint"), "component_id")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from servelens.llm.packing import pack
     return pack(documents(spark, sf_dir), vocabulary(WORD_BPE), end_id=1, seq_len=2048)
@@ -34,7 +40,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op8_packing, op9_pii, op10_token_counts)}
+    return {f.__name__: f for f in (op7_simhash, op8_packing, op9_pii, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

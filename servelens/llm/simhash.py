@@ -83,11 +83,16 @@ def near_components(prints: DataFrame, max_distance: int) -> DataFrame:
     """``(node, component)`` over the distinct values of ``prints(fingerprint)``; values that are
     linked to none, or are their component's smallest, are left out."""
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_distance
-    keyed = prints.select("fingerprint", F.explode(signature_keys(F.col("fingerprint"), max_distance)).alias("key"))
-    shared = keyed.groupBy("key").agg(F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most")).filter("least != most")
-    met = written(keyed.join(shared.select("key", "least"), "key"), "simhash-met")
-    links = met.filter((F.col("fingerprint") != F.col("least")) & near(F.col("fingerprint"), F.col("least")))
-    first = connected_components(links.select(F.col("fingerprint").alias("a"), F.col("least").alias("b")))
+    # 64 keys come of each row, so the few bytes of the rows are dealt out before
+    n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = prints.repartition(n, "fingerprint").select("fingerprint", F.explode(signature_keys(F.col("fingerprint"), max_distance)).alias("key"))
+    groups = keyed.groupBy("key").agg(F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most"), F.count(F.lit(1)).alias("n"))
+    groups = written(groups.filter((F.col("n") > 2) | ((F.col("n") == 2) & near(F.col("least"), F.col("most")))), "simhash-groups")
+    # two fingerprints that meet alone under a key are compared in place; larger groups are joined back
+    met = written(keyed.join(groups.filter("n > 2").select("key", "least"), "key"), "simhash-met")
+    links = met.filter((F.col("fingerprint") != F.col("least")) & near(F.col("fingerprint"), F.col("least"))).select("fingerprint", "least")
+    links = links.union(groups.filter("n = 2").select("most", "least"))
+    first = connected_components(links.toDF("a", "b"))
 
     known = met.join(first.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "key", "fingerprint", F.coalesce("component", "fingerprint").alias("component"))

@@ -18,6 +18,16 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.quality import classify
+    return classify(documents(spark, sf_dir), train_rows=8000, size=2048, threshold=0.5)
+
+
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.html_text import extract
+    return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from servelens.llm.simhash import as_hex, near_duplicates
     found = near_duplicates(documents(spark, sf_dir), shingle=4, max_distance=4, seed=42)
@@ -40,7 +50,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_simhash, op8_packing, op9_pii, op10_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op4_html, op7_simhash, op8_packing, op9_pii, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -85,11 +85,15 @@ def near_components(prints: DataFrame, max_distance: int) -> DataFrame:
     near = lambda x, y: F.bit_count(x.bitwiseXOR(y)) <= max_distance
     # 64 keys come of each row, so the few bytes of the rows are dealt out before
     n = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keyed = prints.repartition(n, "fingerprint").select("fingerprint", F.explode(signature_keys(F.col("fingerprint"), max_distance)).alias("key"))
+    keyed = prints.repartition(n).select("fingerprint", F.explode(signature_keys(F.col("fingerprint"), max_distance)).alias("key"))
     groups = keyed.groupBy("key").agg(F.min("fingerprint").alias("least"), F.max("fingerprint").alias("most"), F.count(F.lit(1)).alias("n"))
     groups = written(groups.filter((F.col("n") > 2) | ((F.col("n") == 2) & near(F.col("least"), F.col("most")))), "simhash-groups")
-    # two fingerprints that meet alone under a key are compared in place; larger groups are joined back
-    met = written(keyed.join(groups.filter("n > 2").select("key", "least"), "key"), "simhash-met")
+    # two fingerprints that meet alone under a key are compared in place; of larger groups the
+    # members between the least and the greatest are joined back (by merging at every size)
+    large = groups.filter("n > 2").select(F.col("key").alias("k"), "least", "most").hint("merge")
+    between = keyed.join(large, (F.col("key") == F.col("k")) & (F.col("fingerprint") != F.col("least")) & (F.col("fingerprint") != F.col("most")))
+    met = between.select("key", "fingerprint", "least").union(large.select("k", "least", "least")).union(large.select("k", "most", "least"))
+    met = written(met, "simhash-met")
     links = met.filter((F.col("fingerprint") != F.col("least")) & near(F.col("fingerprint"), F.col("least"))).select("fingerprint", "least")
     links = links.union(groups.filter("n = 2").select("most", "least"))
     first = connected_components(links.toDF("a", "b"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from servelens.session import ensure_checkpoint_dir
 
@@ -32,6 +33,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fenced(df: DataFrame) -> DataFrame:
+    """The same rows behind a generator: a later filter on a computed column is not rewritten into the
+    expressions below, which would evaluate arrays again inside lambdas."""
+    return df.select(F.explode(F.array(F.struct(*df.columns))).alias("r")).select("r.*")
+
+
+def occurrences(text: Column, characters: str) -> Column:
+    """How often any of the (one-byte) characters occurs."""
+    n = F.octet_length(text)
+    return sum((n - F.octet_length(F.replace(text, F.lit(c), F.lit(""))) for c in characters[1:]),
+               n - F.octet_length(F.replace(text, F.lit(characters[0]), F.lit(""))))
+
+
 def slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
     """Row ranges of a batch whose summed lengths stay near ``limit`` (a longer row stands alone)."""
     start, total = 0, 0

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from servelens.llm.common import WORD, written
+from servelens.llm.common import SPACE, WORD, occurrences, written
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_copies: int) -> DataFrame:
@@ -113,9 +113,15 @@ def with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
     return rows.join(plan, F.col("source").eqNullSafe(F.col("servelens_source")), "left").drop("servelens_source")
 
 
+def word_count(text: Column) -> Column:
+    """Words of a text: its runs of white space as one space each, trimmed, and the spaces counted."""
+    t = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), SPACE, " "))
+    return F.when(t == "", 0).otherwise(occurrences(t, " ") + 1).cast("long")
+
+
 def _base(docs: DataFrame, weight: str | None, seed: int) -> DataFrame:
     return docs.select(
-        F.col("doc_id"), F.col("source").cast("string").alias("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.col("doc_id"), F.col("source").cast("string").alias("source"), word_count(F.col("text")).alias("size"),
         _draw(F.col("doc_id"), F.col("text"), seed).alias("u"),
         (F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else F.lit(1.0)).alias("weight"))
 

@@ -23,6 +23,23 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(documents(spark, sf_dir), train_rows=8000, size=2048, threshold=0.5)
 
 
+def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.syncmers import edited_fingerprints
+    return edited_fingerprints(documents(spark, sf_dir), k=5, s=2, sketch=64)
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.mixing import mix
+    return mix(documents(spark, sf_dir), weights=(5, 2, 1), max_copies=3)
+
+
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.rules import fit, judge
+    docs = documents(spark, sf_dir)
+    rules = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), train_rows=10_000)
+    return judge(docs, rules).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     from servelens.llm.html_text import extract
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
@@ -50,7 +67,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op4_html, op7_simhash, op8_packing, op9_pii, op10_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_mixing, op4_html, op5_rules, op7_simhash, op8_packing, op9_pii, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -69,9 +69,9 @@ def test_hot_source_and_null_source(spark):
 
 def test_inclusion_follows_the_fraction(spark):
     df = helpers.frame(spark, [f"a b c d {i}" for i in range(400)], ["a" if i % 4 else "b" for i in range(400)])
-    n = sum(sum(r.copies for r in mixing.mix(df, seed=s).collect() if r.source == "a" and r.doc_id % 8 == 1) for s in range(6))
+    n = sum(sum(r.copies for r in mixing.mix(df, seed=s).collect() if r.source == "a" and r.doc_id % 8 == 1) for s in range(3))
     r = mixing.mix(df).filter("source = 'a'").first()
-    assert abs(n / 6 / 50 - r.target / r.source_size) < 0.15
+    assert abs(n / 3 / 50 - r.target / r.source_size) < 0.2
 
 
 def test_weight_column_makes_unequal_odds(spark):

@@ -8,7 +8,10 @@ from servelens.llm import stages
 from servelens.llm.common import documents, written
 
 STAGES = [
-    ("pii", stages.redact_personal_data),
+    ("quality", stages.keep_good_quality),
+    ("near duplicates", stages.drop_near_duplicates),
+    ("personal data", stages.redact_personal_data),
+    ("mixing", stages.mix_sources),
     ("packing", stages.pack_sequences),
 ]
 
@@ -21,5 +24,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The packed pieces of what the stages keep of all documents."""
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -45,6 +45,11 @@ def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op6_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.range_coder import write_and_read
+    return write_and_read(documents(spark, sf_dir), vocabulary(BYTE_BPE), end_id=0)
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from servelens.llm.simhash import as_hex, near_duplicates
     found = near_duplicates(documents(spark, sf_dir), shingle=4, max_distance=4, seed=42)
@@ -67,7 +72,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_mixing, op4_html, op5_rules, op7_simhash, op8_packing, op9_pii, op10_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_mixing, op4_html, op5_rules, op6_id_files, op7_simhash, op8_packing, op9_pii, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -45,6 +45,7 @@ def _class_of(ids: np.ndarray) -> np.ndarray:
 #: class: first id and free bits
 _FIRST = np.array([0, *[8 << k for k in range(_CLASSES - 1)]], np.int64)
 _FREE = np.array([3, *[3 + k for k in range(_CLASSES - 1)]], np.uint64)
+_CLASS_16 = _class_of(np.arange(1 << 16))
 
 
 class _Models:
@@ -52,8 +53,9 @@ class _Models:
 
     def __init__(self, lanes: int, classes: int):
         self.lane = np.arange(lanes, dtype=np.int64)
-        self.order1 = np.zeros(lanes << _SLOTS, np.int64)  # id << 2 | confidence
-        self.order2 = np.zeros(lanes << _SLOTS, np.int64)
+        kind = np.int32 if classes <= 26 else np.int64
+        self.order1 = np.zeros(lanes << _SLOTS, kind)  # id << 2 | confidence
+        self.order2 = np.zeros(lanes << _SLOTS, kind)
         self.by2 = np.full(lanes * 8, 1 << 14, np.int32)
         self.by1 = np.full(lanes * 16, 1 << 14, np.int32)
         self.rest = np.full(lanes * 4, 1 << 13, np.int32)
@@ -70,19 +72,24 @@ class _Models:
         last = self.last[:m]
         self.at1 = base + ((last * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - _SLOTS))
         self.at2 = base + (((last * 0x85EBCA6B ^ self.last2[:m] * 0xC2B2AE35) & 0xFFFFFFFF) >> (32 - _SLOTS))
-        self.e1, self.e2 = self.order1[self.at1], self.order2[self.at2]
+        self.e1, self.e2 = self.order1.take(self.at1), self.order2.take(self.at2)
         self.c1, self.c2 = self.e1 & 3, self.e2 & 3
         self.id1, self.id2 = self.e1 >> 2, self.e2 >> 2
         self.same = self.id1 == self.id2
         self.k2 = (self.lane[:m] << 3) + (self.c2 << 1) + self.same
         self.k1 = (self.lane[:m] << 4) + (self.c2 << 2) + self.c1
         self.k0 = (self.lane[:m] << 2) + self.c1
-        self.p2, self.p1, self.p0 = self.by2[self.k2], self.by1[self.k1], self.rest[self.k0]
+        self.p2, self.p1, self.p0 = self.by2.take(self.k2), self.by1.take(self.k1), self.rest.take(self.k0)
         f2 = np.clip((self.p2 + self.p1) >> 1, 64, 65536 - 256)
         f1 = ((65536 - f2) * np.clip(self.p0, 64, 65536 - 256).astype(np.int64)) >> 16
         f1[self.same] = 0
         return f2.astype(np.int64), f1
 
+    def bounds(self, m: int, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.lane[:m] * self.cdf.shape[1] + classes
+        flat = self.cdf.reshape(-1)
+        return flat.take(at).astype(np.int64), flat.take(at + 1).astype(np.int64)
+
     def update(self, m: int, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray, classes: np.ndarray) -> None:
         right1 = self.id1 == ids
         self.order2[self.at2] = np.where(hit2, self.e2 + (self.c2 < 3), np.where(self.c2 > 0, self.e2 - 1, ids << 2))
@@ -93,9 +100,7 @@ class _Models:
         open_ = ~hit2 & ~self.same
         self.rest[self.k0] = np.where(open_, self.p0 + (((hit1.astype(np.int32) << 16) - self.p0) >> 5), self.p0)
         cdf = self.cdf[:m]
-        step = (self.goal[classes] - cdf) >> _RATE
-        step[hit2 | hit1] = 0
-        cdf += step
+        cdf += (self.goal[classes] - cdf) >> _RATE
         self.last2[:m] = self.last[:m]
         self.last[:m] = ids
 
@@ -137,6 +142,8 @@ def encode_blocks(ids: np.ndarray, classes: int = _CLASSES) -> list[bytes]:
             low[at], span[at] = a, s
             at = at[((a ^ (a + s)) < _TOP) | (s < _BOTTOM)]
 
+    # 2 ** 48 >> 31 >> free bits: up to 16 free bits fit into one step
+    wide = classes > 14
     steps = BLOCK if lanes > 1 else tail
     for t in range(steps):
         m = lanes if t < tail else lanes - 1
@@ -145,18 +152,17 @@ def encode_blocks(ids: np.ndarray, classes: int = _CLASSES) -> list[bytes]:
         hit2 = model.id2 == x
         hit1 = (model.id1 == x) & ~hit2
         miss = ~(hit2 | hit1)
-        row = np.arange(m)
-        below, above = model.cdf[row, c].astype(np.int64), model.cdf[row, c + 1].astype(np.int64)
+        below, above = model.bounds(m, c)
         f0 = 65536 - f2 - f1
         start = np.where(hit2, 0, np.where(hit1, f2 << _CDF_BITS, ((f2 + f1) << _CDF_BITS) + f0 * below)).astype(_U)
         size = np.where(hit2, f2 << _CDF_BITS, np.where(hit1, f1 << _CDF_BITS, f0 * (above - below))).astype(_U)
         r = span[:m] >> _U(31)
         low[:m] += r * start
         span[:m] = r * size
-        shift(m)
-        free = np.where(miss, free_grid[t, :m], _U(0))
-        r = span[:m] >> free
-        low[:m] += r * np.where(miss, place_grid[t, :m], _U(0))
+        if wide:
+            shift(m)
+        r = span[:m] >> (free_grid[t, :m] * miss)
+        low[:m] += r * (place_grid[t, :m] * miss)
         span[:m] = r
         shift(m)
         model.update(m, x, hit2, hit1, c)
@@ -201,6 +207,7 @@ def decode_blocks(blocks: list[bytes], classes: int = _CLASSES) -> np.ndarray:
             low[at], span[at] = a, s
             at = at[((a ^ (a + s)) < _TOP) | (s < _BOTTOM)]
 
+    wide = classes > 14
     for t in range(BLOCK if lanes > 1 else tail):
         m = lanes if t < tail else lanes - 1
         f2, f1 = model.predict(m)
@@ -212,22 +219,21 @@ def decode_blocks(blocks: list[bytes], classes: int = _CLASSES) -> np.ndarray:
         f0 = 65536 - f2 - f1
         inner = np.where(miss, (value - ((f2 + f1) << _CDF_BITS)) // f0, 0)
         c = (model.cdf[:m, 1:] <= inner[:, None]).sum(axis=1)
-        row = np.arange(m)
-        below, above = model.cdf[row, c].astype(np.int64), model.cdf[row, c + 1].astype(np.int64)
+        below, above = model.bounds(m, c)
         start = np.where(hit2, 0, np.where(hit1, f2 << _CDF_BITS, ((f2 + f1) << _CDF_BITS) + f0 * below)).astype(_U)
         size = np.where(hit2, f2 << _CDF_BITS, np.where(hit1, f1 << _CDF_BITS, f0 * (above - below))).astype(_U)
         low[:m] += r * start
         span[:m] = r * size
-        shift(m)
-        free = np.where(miss, _FREE[c], _U(0))
-        r = span[:m] >> free
-        place = np.where(miss, (code[:m] - low[:m]) // r, _U(0))
+        if wide:
+            shift(m)
+        r = span[:m] >> (_FREE[c] * miss)
+        place = (code[:m] - low[:m]) // r * miss
         low[:m] += r * place
         span[:m] = r
         shift(m)
         x = np.where(hit2, model.id2, np.where(hit1, model.id1, _FIRST[c] + place.astype(np.int64)))
         grid[t, :m] = x
-        model.update(m, x, hit2, hit1, c)
+        model.update(m, x, hit2, hit1, _class_of(x) if wide else _CLASS_16.take(x))
     ids = np.ascontiguousarray(grid.T).reshape(-1)[:(lanes - 1) * BLOCK + tail].astype(np.uint32)
     for i, h in enumerate(heads):
         if zlib.crc32(ids[i * BLOCK:(i + 1) * BLOCK].astype("<u4").tobytes()) != h[3]:

@@ -175,7 +175,7 @@ def encode_blocks(ids: np.ndarray, classes: int = _CLASSES) -> list[bytes]:
 
 
 def decode_blocks(blocks: list[bytes], classes: int = _CLASSES) -> np.ndarray:
-    """All ids of a run's blocks; a block that fails its checksum raises."""
+    """All ids of a run's blocks; a block that fails its checksum raises (its values are kept in range until then)."""
     if not blocks:
         return np.zeros(0, np.uint32)
     heads = [_HEAD.unpack_from(b) for b in blocks]
@@ -218,7 +218,7 @@ def decode_blocks(blocks: list[bytes], classes: int = _CLASSES) -> np.ndarray:
         miss = ~(hit2 | hit1)
         f0 = 65536 - f2 - f1
         inner = np.where(miss, (value - ((f2 + f1) << _CDF_BITS)) // f0, 0)
-        c = (model.cdf[:m, 1:] <= inner[:, None]).sum(axis=1)
+        c = np.minimum((model.cdf[:m, 1:] <= inner[:, None]).sum(axis=1), classes - 1)
         below, above = model.bounds(m, c)
         start = np.where(hit2, 0, np.where(hit1, f2 << _CDF_BITS, ((f2 + f1) << _CDF_BITS) + f0 * below)).astype(_U)
         size = np.where(hit2, f2 << _CDF_BITS, np.where(hit1, f1 << _CDF_BITS, f0 * (above - below))).astype(_U)
@@ -233,7 +233,7 @@ def decode_blocks(blocks: list[bytes], classes: int = _CLASSES) -> np.ndarray:
         shift(m)
         x = np.where(hit2, model.id2, np.where(hit1, model.id1, _FIRST[c] + place.astype(np.int64)))
         grid[t, :m] = x
-        model.update(m, x, hit2, hit1, _class_of(x) if wide else _CLASS_16.take(x))
+        model.update(m, x, hit2, hit1, np.minimum(_class_of(x), classes - 1) if wide else np.minimum(_CLASS_16.take(x, mode="clip"), classes - 1))
     ids = np.ascontiguousarray(grid.T).reshape(-1)[:(lanes - 1) * BLOCK + tail].astype(np.uint32)
     for i, h in enumerate(heads):
         if zlib.crc32(ids[i * BLOCK:(i + 1) * BLOCK].astype("<u4").tobytes()) != h[3]:

@@ -63,34 +63,31 @@ def fingerprints(docs: DataFrame, k: int = 5, s: int = 2, sketch: int = 64) -> D
     return df.select("doc_id", "anchors", as_text(sketch_of(F.col("anchors"), sketch)).alias("fingerprint"))
 
 
-def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
-    """``doc_id`` and the columns of each row, and ``next``: the struct of the columns of the row that follows
-    by ascending ``doc_id`` (NULL last, ties by text; after the last row the first).
-
-    Rows are dealt to ranges of ``doc_id`` by quantiles; each range also gets the first row of the next
-    range (the last gets the first of all), so the row after is found within a range."""
+def with_followers(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` dealt to ranges (``bucket``) of ``doc_id`` by quantiles.  Each range also gets the first
+    row of the next range (``part`` 1), the last one the first row of all (``part`` 2), so the row that
+    follows a row by ascending ``doc_id`` (NULL last, ties by text) is found within a range."""
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bounds = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("b")).first()["b"] or []
     bounds = sorted(set(bounds))
     edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
     bucket = lambda c: F.when(c.isNull(), F.lit(len(bounds))).otherwise(F.size(F.filter(edges, lambda b: b <= c)))
-    rows = docs.select("doc_id", *columns)
+    rows = docs.select("doc_id", "text")
     own = rows.withColumn("bucket", bucket(F.col("doc_id"))).withColumn("part", F.lit(0))
     follow = rows.filter(F.col("doc_id").isin(bounds)) if bounds else rows.filter("false")
-    follow = follow.groupBy("doc_id").agg(F.min(F.struct(*columns)).alias("x")).select("doc_id", "x.*")
+    follow = follow.groupBy("doc_id").agg(F.min("text").alias("text"))
     follow = follow.withColumn("bucket", bucket(F.col("doc_id")) - 1).withColumn("part", F.lit(1))
-    first = rows.orderBy(F.col("doc_id").asc_nulls_last(), *columns).limit(1).withColumn("bucket", F.lit(len(bounds))).withColumn("part", F.lit(2))
-    order = Window.partitionBy("bucket").orderBy("part", F.col("doc_id").asc_nulls_last(), *columns)
-    everything = own.unionByName(follow).unionByName(first)
-    return everything.withColumn("next", F.lead(F.struct(*columns)).over(order)).filter("part = 0").drop("bucket", "part")
+    first = rows.orderBy(F.col("doc_id").asc_nulls_last(), "text").limit(1).withColumn("bucket", F.lit(len(bounds))).withColumn("part", F.lit(2))
+    return own.unionByName(follow).unionByName(first)
 
 
 def edited_fingerprints(docs: DataFrame, k: int = 5, s: int = 2, sketch: int = 64) -> DataFrame:
     """Each text's fingerprint, that of its edited text (the last half of its code points replaced by as many
     of the next document's first), and the likenesses to the edited text and to the next document."""
-    df = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    df = with_anchors(df, "text", "anchors", k, s).select("doc_id", "text", sketch_of(F.col("anchors"), sketch).alias("own"))
-    df = with_next(df, ["text", "own"])
+    df = with_followers(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")))
+    df = with_anchors(df, "text", "anchors", k, s).withColumn("own", sketch_of(F.col("anchors"), sketch)).drop("anchors")
+    order = Window.partitionBy("bucket").orderBy("part", F.col("doc_id").asc_nulls_last(), "text")
+    df = df.withColumn("next", F.lead(F.struct("text", "own")).over(order)).filter("part = 0")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr(F.col("next.text"), F.lit(1), half))

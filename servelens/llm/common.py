@@ -58,7 +58,7 @@ def slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
-def column_slices(batch, column: str, limit: int = 6 << 20) -> Iterator[tuple[int, object]]:
+def column_slices(batch, column: str, limit: int = 2 << 20) -> Iterator[tuple[int, object]]:
     """``(first row, Arrow array)`` of a text column of an Arrow batch in bounded pieces."""
     import pyarrow.compute as pc
 

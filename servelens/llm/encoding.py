@@ -41,7 +41,7 @@ class ChunkEncoder:
     the cache starts anew (results never depend on it).
     """
 
-    def __init__(self, path: str, space_leads: bool, end_id: int, max_chunks: int = 500_000, max_chars: int = 1 << 24):
+    def __init__(self, path: str, space_leads: bool, end_id: int, max_chunks: int = 150_000, max_chars: int = 1 << 23):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -127,7 +127,7 @@ def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 2
     return model
 
 
-@lru_cache(maxsize=200_000)
+@lru_cache(maxsize=20_000)
 def _slot(name: bytes, size: int) -> int:
     return zlib.crc32(name) % size
 

@@ -25,7 +25,7 @@ from servelens.llm.common import column_slices, shared_path, written
 from servelens.llm.encoding import chunk_encoder
 
 BLOCK = 4096
-SEGMENT = 2048 * BLOCK
+SEGMENT = 1024 * BLOCK
 _HEAD = struct.Struct("<4sBII")  # name, version, ids, crc32 of the ids as little-endian unsigned 32-bit
 _NAME, _VERSION = b"CMRC", 1
 _SLOTS = 11  # bits of a context table

@@ -1,4 +1,4 @@
-"""servelens: cost-to-serve and what-if scenario analytics on Spark.
+"""servelens: account-cost and what-if scenario analytics on Spark.
 
 Everything is expressed with Spark DataFrame operators so that the same code
 runs on a laptop (``local[*]``) and on a cluster.  Sub-packages:

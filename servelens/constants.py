@@ -1,6 +1,6 @@
 """Fixed values.
 
-These values must equal the ones of the cost-to-serve model the library
+These values must equal the ones of the scenario model the library
 reproduces, otherwise results differ.  They are listed here, plainly and in
 one place; every operator takes them as keyword arguments with these
 defaults, so a different model only passes other values.

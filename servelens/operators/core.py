@@ -174,10 +174,11 @@ def top1_by(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]
     """First row per key as an aggregate (D1, N4 for large groups).
 
     ``order`` is a list of ``(column, ascending)``; descending columns must be
-    numeric.  ``min(struct(...))`` is computed map-side like any aggregate, so a
+    numeric; NULLs come last either way.  ``min(struct(...))`` is computed map-side like any aggregate, so a
     key that holds a large share of all rows never has to be sorted in one
     task (a ``row_number`` window would)."""
-    parts = [(F.col(c) if asc else -F.col(c)).alias(f"__o{i}") for i, (c, asc) in enumerate(order)]
+    parts = [p for i, (c, asc) in enumerate(order)
+             for p in (F.col(c).isNull().alias(f"__n{i}"), (F.col(c) if asc else -F.col(c)).alias(f"__o{i}"))]
     best = F.min(F.struct(*parts, *[F.col(c).alias(c) for c in cols])).alias("__best")
     return df.groupBy(*keys).agg(best).select(*keys, *[F.col(f"__best.{c}").alias(c) for c in cols])
 

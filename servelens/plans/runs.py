@@ -1,4 +1,4 @@
-"""End-to-end runs: the four steps of the cost-to-serve process.
+"""End-to-end runs: the four steps of the scenario process.
 
 1. ``write_transfer_matrix``   monthly transfer files -> aggregated matrix
 2. ``update_constraints``      model + account list + matrix -> constraints with

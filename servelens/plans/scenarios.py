@@ -92,7 +92,7 @@ def new_assignments(accounts: DataFrame, existing: DataFrame, base_scenario: str
     base = existing.where(F.col("scenarioname") == base_scenario)
     base_items = base.select(F.col("scenarioname").alias("base_scenario"), "itemname", "itemorder")
     n = base.groupBy(F.col("scenarioname").alias("base_scenario")).agg(
-        (F.max("itemorder") if start_after_max else F.count(F.lit(1))).cast("bigint").alias("n"))
+        (F.max(F.col("itemorder").cast("bigint")) if start_after_max else F.count(F.lit(1))).cast("bigint").alias("n"))
     copied = acc.join(base_items, "base_scenario", "inner").select("scenarioname", "itemname", "itemorder")
     with_n = acc.join(n, "base_scenario", "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint"))
     if start_after_max:
@@ -107,7 +107,10 @@ def new_assignments(accounts: DataFrame, existing: DataFrame, base_scenario: str
 def build_scenario_assignments(existing: DataFrame, accounts: DataFrame, base_scenario: str = K.OPTIMAL_SCENARIO,
                                prefix: str = K.LESS_SCENARIO_PREFIX, start_after_max: bool = False) -> DataFrame:
     """Assignment table after registration (C13, K3): per (scenario, item) the
-    regenerated row wins (it is written last, Q25); rows of other scenarios stay."""
+    regenerated row wins (it is written last, Q25) unless a row of the same order is
+    registered already, which stays with its notes; rows of other scenarios stay."""
     ex = existing.select(*ASSIGNMENT_COLS)
     new = new_assignments(accounts, ex, base_scenario, prefix, start_after_max).select(*ASSIGNMENT_COLS)
+    same = ex.select("scenarioname", "itemname", F.col("itemorder").cast("bigint").alias("itemorder"))
+    new = new.join(same.distinct(), ["scenarioname", "itemname", "itemorder"], "left_anti").select(*ASSIGNMENT_COLS)
     return upsert_last_wins(ex, new, ["scenarioname", "itemname"], [F.col("itemorder").desc()])

@@ -1,8 +1,8 @@
 """Writers (K1-K7).
 
-Every writer produces a complete, new directory: a table is never
-overwritten in the folder it is being read from, so a failed job leaves the
-previous snapshot intact and a rerun is idempotent.
+Every writer produces a complete directory and must not be given the folder it
+reads from.  An existing folder of that name is replaced (deleted first), so give
+each run its own path where the previous snapshot must survive a failed job.
 """
 
 from __future__ import annotations

@@ -1,6 +1,6 @@
 """Binding views: the model's input tables derived from the TPC-H-like test data.
 
-The cost-to-serve model reads tables of an optimisation model (flows, facility
+The scenario model reads tables of an optimisation model (flows, facility
 and other summaries, customers, demand, production constraints, ...).  The
 test data has none of them, so each is *derived* here from the given tables,
 once as a Spark DataFrame and once as DuckDB SQL text with the same

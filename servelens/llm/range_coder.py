@@ -81,7 +81,8 @@ class _Models:
         self.k0 = (self.lane[:m] << 2) + self.c1
         self.p2, self.p1, self.p0 = self.by2.take(self.k2), self.by1.take(self.k1), self.rest.take(self.k0)
         f2 = np.clip((self.p2 + self.p1) >> 1, 64, 65536 - 256)
-        f1 = ((65536 - f2) * np.clip(self.p0, 64, 65536 - 256).astype(np.int64)) >> 16
+        # at least 1, as order 1 may be right however unlikely it looks; at most all but 1
+        f1 = np.maximum(((65536 - f2) * np.clip(self.p0, 64, 65536 - 256).astype(np.int64)) >> 16, 1)
         f1[self.same] = 0
         return f2.astype(np.int64), f1
 

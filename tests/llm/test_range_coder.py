@@ -28,6 +28,25 @@ def test_round_trips():
     assert sum(map(len, rc.encode_blocks(np.array(skewed, np.uint32), 14))) < 0.6 * 2 * len(skewed)
 
 
+def test_every_outcome_has_a_share():
+    """However sure the models are, no outcome's interval is empty."""
+    for p2 in (0, 65535):
+        for p0 in (0, 65535):
+            m = rc._Models(2, 14)
+            m.by2[:], m.by1[:], m.rest[:] = p2, p2, p0
+            m.order1[:] = 5 << 2 | 3
+            m.order2[:] = 6 << 2 | 3
+            f2, f1 = m.predict(2)
+            assert (f2 >= 1).all() and (f1 >= 1).all() and (65536 - f2 - f1 >= 1).all()
+
+
+def test_runs_with_breaks_round_trip():
+    rng = np.random.default_rng(9)
+    parts = [np.full(rng.integers(1, 400), rng.integers(0, 4)) if rng.random() < 0.6 else rng.integers(0, 3, rng.integers(1, 60)) for _ in range(400)]
+    ids = np.concatenate(parts).astype(np.uint32)
+    assert rc.decode_blocks(rc.encode_blocks(ids, 14), 14).tolist() == ids.tolist()
+
+
 def test_broken_block_raises():
     blocks = rc.encode_blocks(np.arange(3000, dtype=np.uint32), 14)
     bad = bytearray(blocks[0])

@@ -59,12 +59,18 @@ def slices(lengths, limit: int) -> Iterator[tuple[int, int]]:
 
 
 def column_slices(batch, column: str, limit: int = 2 << 20) -> Iterator[tuple[int, object]]:
-    """``(first row, Arrow array)`` of a text column of an Arrow batch in bounded pieces."""
+    """``(first row, Arrow array)`` of a text column of an Arrow batch in bounded pieces.
+
+    After the last piece the memory that Arrow's pool keeps for reuse goes back to the system: else a
+    Python worker stays as large as its largest batch made it, through all later stages.
+    """
+    import pyarrow as pa
     import pyarrow.compute as pc
 
     texts = batch.column(batch.schema.get_field_index(column))
     for a, b in slices(pc.fill_null(pc.binary_length(texts), 0).to_pylist(), limit):
         yield a, texts.slice(a, b - a)
+    pa.default_memory_pool().release_unused()
 
 
 def text_slices(batch, column: str, limit: int = 1 << 20) -> Iterator[tuple[int, int, list]]:

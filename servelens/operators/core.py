@@ -136,27 +136,27 @@ def substring_lookup(targets: DataFrame, source: DataFrame, target_col: str, sou
 
     The default is an equi-join (the values are whole names).  With
     ``contains=True`` a substring match is used and the longest matching
-    source value wins, ties broken by the appended values (deterministic);
-    that path is a theta join against a broadcast source whose size is
-    checked (``servelens.broadcast.maxRows``); a larger source raises.
+    source value wins, ties broken by the appended values (deterministic, NULLs
+    last).  That path is an equi-join too: each distinct target is expanded
+    into its substrings of the lengths that source values have, at most
+    ``length x (number of distinct lengths)`` rows, and the best match is an
+    aggregate.  Neither side is broadcast or bounded in size.
     """
     src = source.select(F.col(source_col).alias("__find"), *[F.col(c).alias(f"__a_{c}") for c in append])
-    if not contains:
-        # one source row per value, as an aggregate (a hot value is combined map-side)
-        src = top1_by(src, ["__find"], [(f"__a_{c}", True) for c in append], [f"__a_{c}" for c in append])
-        j = targets.join(src, targets[target_col] == src["__find"], "left")
-        return j.select(*targets.columns, *[F.col(f"__a_{c}").alias(c) for c in append])
-    # a substring match has no equi-key, so the source must be broadcast; its
-    # size is checked first and there is no shuffle fallback (it would be a
-    # cartesian product): beyond the bound use the equality path
-    small, used = checked_broadcast(src, broadcast_max_rows(src.sparkSession))
-    if not used:
-        raise ValueError("substring lookup: source too large to broadcast; use the equality lookup")
-    t = targets.withColumn("__tid", F.monotonically_increasing_id())
-    j = t.join(small, F.col(target_col).contains(F.col("__find")), "left")
-    w = Window.partitionBy("__tid").orderBy(F.length("__find").desc_nulls_last(),
-                                            *[F.col(f"__a_{c}").asc_nulls_last() for c in append])
-    j = j.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1)
+    appended = [f"__a_{c}" for c in append]
+    # one source row per value, as an aggregate (a hot value is combined map-side)
+    src = top1_by(src, ["__find"], [(c, True) for c in appended], appended)
+    if contains:
+        lengths = src.agg(F.collect_set(F.length("__find"))).scalar()
+        names = targets.select(F.col(target_col).alias("__name")).where(F.col("__name").isNotNull()).distinct()
+        sized = names.withColumn("__lengths", lengths).select("__name", F.explode("__lengths").alias("__len"))
+        starts = F.sequence(F.lit(1), F.length("__name") - F.col("__len") + 1)
+        parts = (sized.where(F.col("__len") <= F.length("__name"))
+                 .select("__name", "__len", F.explode(F.array_distinct(F.transform(
+                     starts, lambda i: F.substring("__name", i, F.col("__len"))))).alias("__find")))
+        src = top1_by(parts.join(src, "__find"), ["__name"], [("__len", False), *[(c, True) for c in appended]],
+                      appended).withColumnRenamed("__name", "__find")
+    j = targets.join(src, targets[target_col] == src["__find"], "left")
     return j.select(*targets.columns, *[F.col(f"__a_{c}").alias(c) for c in append])
 
 

@@ -414,8 +414,8 @@ def q_account_report(spark, sf_dir):
     """C20: per-account issues, returns, R:I, six costs, inefficiency and CPIs."""
     flows = B.view(spark, sf_dir, "flows")
     customers = B.view(spark, sf_dir, "customers")
-    codes = R.less_codes(flows)
-    kpis = materialize(kpis_from(spark, sf_dir))      # one row per scenario, read twice
+    kpis = materialize(kpis_from(spark, sf_dir))      # one row per scenario, read three times
+    codes = R.less_codes(kpis)
     issue = R.current_issue_cost(flows, customers, codes)
     ret = current_return_from(spark, sf_dir, flows, customers, codes)
     rep = R.account_report(kpis, issue, ret, customers, codes)

@@ -213,8 +213,7 @@ def account_demand(demand: DataFrame, customers: DataFrame, selected: DataFrame)
     accounts take part, so the large demand table is never shuffled row by row.
     """
     per_cust = (demand.where(F.col("periodname").isNotNull())
-                .groupBy("customername", "periodname").agg(F.sum("quantity").alias("quantity"),
-                                                           F.count(F.lit(1)).alias("n")))
+                .groupBy("customername", "periodname").agg(F.sum("quantity").alias("quantity")))
     acc = selected.select("corp_code").distinct()
     cust = (customers.select("customername", F.col("corpcode").cast("string").alias("corp_code"))
             .join(acc, "corp_code", "left_semi"))
@@ -238,14 +237,14 @@ def adjusted_returns(constraints: DataFrame, acct_demand: DataFrame, shares: Dat
     shuffled for this join; beyond the bound a bucketed expansion join spreads
     each period over many tasks (``operators.core.period_join``).
     """
-    from pyspark.sql import Window
     r = constraints.where(starts("facilityname", K.RETURN_PREFIX))
+    # the total does not depend on the account: summed once, before the rows are expanded
+    tot = r.groupBy("facilityname", "periodname").agg(F.sum("constraintvalue").alias("facility_total"))
+    r = r.join(tot, ["facilityname", "periodname"])
     j = period_join(r, acct_demand, ["periodname"], "corp_code", max_rows=broadcast_max_rows)
     j = j.withColumn("loc_code", split_part("facilityname", "_", 2))
     sh = shares.select("corp_code", F.col("return_loc_code").alias("loc_code"), F.col("share"))
     j = j.join(sh, ["corp_code", "loc_code"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
-    tot = F.sum("constraintvalue").over(Window.partitionBy("corp_code", "facilityname", "periodname"))
-    j = j.withColumn("facility_total", tot)
     cv = F.col("constraintvalue")
     removed = safe_div(cv, F.col("facility_total")) * (F.col("quantity") * F.col("share") * F.lit(loss_rate))
     adj = round_half_even(cv - least_strict(removed, cv), scale)

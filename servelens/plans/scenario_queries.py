@@ -107,3 +107,22 @@ def q_substring_lookup(spark, sf_dir):
     d = m["demand"].select("customername", "productname", "periodname", "quantity")
     c = m["customers"].select("customername", F.col("corpcode").alias("CorpCode"), "corpname", "loccode")
     return substring_lookup(d, c, "customername", "customername", ["CorpCode", "corpname", "loccode"])
+
+
+@register("substring_contains", with_views("""
+SELECT d.customername || ' dock' AS label, d.productname, d.periodname, CAST(d.quantity AS DOUBLE) AS quantity,
+       b.corpcode AS "CorpCode", b.corpname, b.loccode
+FROM demand d LEFT JOIN best b ON b.label = d.customername || ' dock' AND b.rn = 1""", "demand", "customers", ctes="""
+labels AS (SELECT DISTINCT customername || ' dock' AS label FROM demand),
+best AS (SELECT l.label, c.corpcode, c.corpname, c.loccode,
+                row_number() OVER (PARTITION BY l.label ORDER BY length(c.customername) DESC, c.corpcode NULLS LAST,
+                                   c.corpname NULLS LAST, c.loccode NULLS LAST) AS rn
+         FROM labels l JOIN customers c ON contains(l.label, c.customername))"""))
+def q_substring_contains(spark, sf_dir):
+    """J12 (find any): customer named anywhere in a label; of names that contain one another the longest."""
+    from pyspark.sql import functions as F
+    from servelens.operators.core import substring_lookup
+    m = typed_model(spark, sf_dir, ("demand", "customers"))
+    d = m["demand"].select(F.concat("customername", F.lit(" dock")).alias("label"), "productname", "periodname", "quantity")
+    c = m["customers"].select("customername", F.col("corpcode").alias("CorpCode"), "corpname", "loccode")
+    return substring_lookup(d, c, "label", "customername", ["CorpCode", "corpname", "loccode"], contains=True)

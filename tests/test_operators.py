@@ -97,6 +97,26 @@ def test_substring_lookup_equality_and_contains(spark):
     assert cont == {"I_X_12": "B", "I_X_1": "A", "Z": None}
 
 
+def test_substring_lookup_has_no_size_bound_and_defined_edges(spark):
+    t = spark.createDataFrame([("to I_12 dock",), ("to I_12 dock",), ("none",), ("",), (None,)], "name string")
+    s = spark.createDataFrame([("I_1", "A"), ("I_12", None), ("I_12", "C"), ("to I", "B"), (None, "N")], "name string, code string")
+    spark.conf.set("servelens.broadcast.maxRows", "0")
+    try:
+        found = O.substring_lookup(t, s, "name", "name", ["code"], contains=True)
+        rows = sorted(((r.name, r.code) for r in found.collect()), key=str)
+    finally:
+        spark.conf.unset("servelens.broadcast.maxRows")
+    # "I_12" and "to I" are equally long: the smallest appended value wins
+    assert rows == sorted([("to I_12 dock", "B"), ("to I_12 dock", "B"), ("none", None), ("", None), (None, None)], key=str)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Cross" not in plan and "Cartesian" not in found._jdf.queryExecution().executedPlan().toString()
+    none = O.substring_lookup(t, s.where("false"), "name", "name", ["code"], contains=True)
+    assert [r.code for r in none.collect()] == [None] * 5
+    empty_name = spark.createDataFrame([("", "E")], "name string, code string")
+    anywhere = O.substring_lookup(t, empty_name, "name", "name", ["code"], contains=True)
+    assert sorted((r.name is None, r.code) for r in anywhere.collect() if r.name is not None) == [(False, "E")] * 4
+
+
 def test_checked_broadcast(spark):
     df = spark.range(10)
     small, used = O.checked_broadcast(df, max_rows=100)

@@ -316,7 +316,7 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
                               inventory_policies: DataFrame, periods: DataFrame, transfers: DataFrame,
                               selected: DataFrame, special_depot: str = K.SPECIAL_DEPOT,
                               loss_rate: float = K.LOSS_RATE, two_digit_labels: bool = False,
-                              floor_zero: bool = False, persist: bool = True) -> DataFrame:
+                              floor_zero: bool = False, persist: bool = True, row_ids: bool = False) -> DataFrame:
     """Constraints + selected accounts -> per-account values (C3-C10 composed).
 
     Same result as :func:`account_constraints` over the adjusted rows, planned
@@ -325,6 +325,10 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
     instead of twenty, and the 17-key match between adjusted rows and
     constraint rows is resolved once at the size of the constraint table.  The
     key columns join the per-account rows only at the end.
+
+    ``row_ids`` also returns ``row_id`` (the constraint row) and ``match_id`` (the
+    row whose adjusted value it took, NULL for shared values), by which the wide
+    table keeps every value of rows with equal keys.
     """
     pc = normalise_constraints(constraints)
     pc = materialize(pc.withColumn("row_id", F.monotonically_increasing_id()), "constraints")
@@ -352,11 +356,12 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
     match = src_r.unionByName(src_d).join(target, "__k", "inner").select("row_id", "null_product", "o_id")
     own = own_slim.join(match, ["row_id", "null_product"], "inner")
     base = pc.select(F.col("row_id").alias("o_id"), *KEYS, "constraintvalue")
-    own = own.join(base, "o_id", "inner").select(
-        *KEYS, "constraintvalue", "corp_code",
+    ids = [F.col("o_id").alias("row_id"), "match_id"] if row_ids else []
+    own = own.withColumnRenamed("row_id", "match_id").join(base, "o_id", "inner").select(
+        *ids, *KEYS, "constraintvalue", "corp_code",
         F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
-    sh = null_safe_join(base.drop("o_id"), _final_side(shared, False), KEYS, "left")
-    sh = sh.select(*KEYS, "constraintvalue", F.lit(None).cast("string").alias("corp_code"),
+    sh = null_safe_join(base, _final_side(shared, False), KEYS, "left").withColumn("match_id", F.lit(None).cast("bigint"))
+    sh = sh.select(*ids, *KEYS, "constraintvalue", F.lit(None).cast("string").alias("corp_code"),
                    F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
     out = sh.unionByName(own)
     # the per-account values are the table the process persists for the

@@ -62,7 +62,7 @@ def update_constraints(spark: SparkSession, model_root: str, accounts: DataFrame
     selected = materialize(C.select_accounts(accounts, demand, customers), "selected")
     values = C.build_account_constraints(constraints, demand, customers,
                                          T.typed_inventory(m["inventorypolicies"]), m["periods"], transfers,
-                                         selected, special_depot=special_depot, **kw)
+                                         selected, special_depot=special_depot, row_ids=True, **kw)
     # the account list is small: its codes name the new columns
     codes = sorted(r.corp_code for r in selected.select("corp_code").distinct().collect())
     W.write_wide_constraints(values, codes, out_path, as_text=as_text)

@@ -10,7 +10,7 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from servelens import constants as K
@@ -34,14 +34,27 @@ def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACC
     ``codes`` is the list of account codes (the account list, small), so the
     pivot needs no extra pass.  Accounts without their own value for a row
     get the shared value of that row.
+
+    Constraint rows with equal keys match each other's adjusted values, and every
+    match is a row of its own (the fan-out of the modelled join).  ``row_id`` and
+    ``match_id`` (``build_account_constraints(..., row_ids=True)``) tell these rows
+    apart; without them rows are told apart by ``constraintvalue`` and the order of
+    the account's values, so that rows equal in both fan out once more.
     """
     keys = list(keys)
-    shared = account_values.where(F.col("corp_code").isNull()) \
-        .select(*keys, "constraintvalue", F.col("account_value").alias("__shared"))
-    own = account_values.where(F.col("corp_code").isNotNull())
-    wide = own.groupBy(*keys).pivot("corp_code", list(codes)).agg(F.first("account_value"))
-    wide = wide.select(*keys, *[F.col(f"`{c}`").alias(f"__own_{c}") for c in codes])
-    j = null_safe_join(shared, wide, keys, "left")
+    is_own = F.col("corp_code").isNotNull()
+    if {"row_id", "match_id"} <= set(account_values.columns):
+        on, own = ["row_id"], account_values.where(is_own)
+    else:
+        on = keys + ["constraintvalue"]
+        w = Window.partitionBy(*on, "corp_code").orderBy("account_value")
+        own = account_values.where(is_own).withColumn("match_id", F.row_number().over(w))
+    shared = account_values.where(~is_own).select(
+        *dict.fromkeys([*on, *keys, "constraintvalue"]), F.col("account_value").alias("__shared"))
+    # one value per (row, match, account): any aggregate gives it
+    wide = own.groupBy(*on, "match_id").pivot("corp_code", list(codes)).agg(F.max("account_value"))
+    wide = wide.select(*on, *[F.col(f"`{c}`").alias(f"__own_{c}") for c in codes])
+    j = null_safe_join(shared, wide, on, "left")
     cols = [F.coalesce(F.col(f"__own_{c}"), F.col("__shared")).alias(prefix + c) for c in codes]
     if as_text:
         cols = [c.cast("string") for c in cols]

@@ -76,6 +76,22 @@ def test_wide_snapshot_and_upsert_round_trip(spark, tmp_path):
     assert sorted(spark.read.parquet(str(tmp_path / "snap")).collect()) == [("s", "b"), ("t", "c")]
 
 
+def test_wide_pivot_keeps_every_value_of_rows_with_equal_keys(spark):
+    keys = list(K.CONSTRAINT_KEYS)
+    rows = [(0, None, 10.0, None, 10.0), (1, None, 30.0, None, 30.0)]
+    rows += [(row, match, cv, "001", value) for row, cv in ((0, 10.0), (1, 30.0)) for match, value in ((0, 4.0), (1, 24.0))]
+    df = spark.createDataFrame(rows, "row_id long, match_id long, constraintvalue double, corp_code string, account_value double")
+    df = df.select("*", *[F.lit("F0" if k == "facilityname" else None).cast("string").alias(k) for k in keys])
+    expected = [(10.0, 4.0, 10.0), (10.0, 24.0, 10.0), (30.0, 4.0, 30.0), (30.0, 24.0, 30.0)]
+    for given in (df, df.drop("row_id", "match_id")):
+        wide = W.to_wide(given, ["001", "002"])
+        assert wide.columns == [*keys, "constraintvalue", "account_001", "account_002"]
+        assert sorted((r.constraintvalue, r.account_001, r.account_002) for r in wide.collect()) == expected
+    # rows equal in keys and value stay apart by their id
+    same = df.withColumn("constraintvalue", F.lit(10.0))
+    assert W.to_wide(same, ["001", "002"]).count() == 4
+
+
 def test_dated_report_uses_labels(spark, tmp_path):
     df = spark.createDataFrame([("S1", 1.0, 2.0)], "scenarioname string, issues double, returns double")
     path = W.write_dated_report(df, str(tmp_path), "scenario_data", run_date="2024-01-31")

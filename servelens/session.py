@@ -65,8 +65,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
     except Exception:
         pass
-    if master and not master.startswith("local"):
-        # a machine-local folder is not visible to other executors
+    if master != "local" and not master.startswith("local["):
+        # a machine-local folder is not visible to other executors; an unknown master may have some
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
     local = tempfile.mkdtemp(prefix="servelens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     try:

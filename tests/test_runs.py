@@ -83,3 +83,25 @@ def test_four_steps(spark, tmp_path):
     # optimal has 90 issues in the horizon, 'Less 81384' has 80: the account issues 10
     assert float(got["81384"]["Account Issues"]) == 10.0
     assert got["81384"]["Customer"] == "81384 - Alpha"
+
+
+def test_only_local_masters_get_a_scratch_checkpoint_folder():
+    import pytest
+    from servelens.session import ensure_checkpoint_dir
+
+    class Context:
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        def __init__(self, master):
+            self.sparkContext, self.master = Context(), master
+            self.sparkContext.master = master
+            self.conf = self
+
+        def get(self, key, default=None):
+            return self.master if key == "spark.master" else default
+
+    for master in ("", "yarn", "spark://host:7077", "local-cluster[2,1,512]"):
+        with pytest.raises(ValueError):
+            ensure_checkpoint_dir(Session(master))

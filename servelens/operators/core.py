@@ -64,61 +64,6 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Rows a side may have to be broadcast when its size is checked at run time.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, bool]:
-    """Materialise a small side, check its size, and broadcast it only if it
-    is within ``max_rows``.
-
-    The side is written once to the shared checkpoint folder, so the row
-    count (from parquet metadata) and the later join read the same data.
-    Returns ``(df, broadcast_used)``; beyond the bound the caller's join is an
-    ordinary shuffle join where AQE splits skewed partitions.
-    """
-    m = materialize(df, "small")
-    n = m.count()
-    return (F.broadcast(m), True) if n <= max_rows else (m, False)
-
-
-def broadcast_max_rows(spark) -> int:
-    """Row bound for checked broadcasts: session setting
-    ``servelens.broadcast.maxRows`` or :data:`BROADCAST_MAX_ROWS`."""
-    try:
-        v = spark.conf.get("servelens.broadcast.maxRows", None)
-    except Exception:
-        v = None
-    return int(v) if v else BROADCAST_MAX_ROWS
-
-
-def expansion_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_col: str, buckets: int = 64,
-                   how: str = "inner") -> DataFrame:
-    """Join where every ``big`` row meets many ``small`` rows on a key with few
-    distinct values (e.g. a period), without a hot partition per key.
-
-    ``small`` rows are spread over ``buckets`` by a hash of ``spread_col``; each
-    ``big`` row is copied once per bucket.  The join runs on (key, bucket), so a
-    key's work is split over ``buckets`` tasks and the result is the same as
-    the plain join (each pair meets in exactly one bucket).
-    """
-    b = F.lit(buckets)
-    s = small.withColumn("__bucket", F.pmod(F.xxhash64(F.col(spread_col)), b).cast("int"))
-    g = big.withColumn("__bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return g.join(s, list(on) + ["__bucket"], how).drop("__bucket")
-
-
-def period_join(big: DataFrame, small: DataFrame, on: Sequence[str], spread_col: str,
-                max_rows: int | None = None) -> DataFrame:
-    """Inner join of a large table with a small per-(account, period) table on
-    a low-cardinality key: broadcast when the small side's checked size allows,
-    otherwise a bucketed expansion join."""
-    side, used = checked_broadcast(small, broadcast_max_rows(small.sparkSession) if max_rows is None else max_rows)
-    if used:
-        return big.join(side, list(on), "inner")
-    return expansion_join(big, side, on, spread_col)
-
-
 def semi_join(df: DataFrame, keys_df: DataFrame, on, anti: bool = False) -> DataFrame:
     """Keep (or with ``anti`` drop) rows whose key occurs in ``keys_df``."""
     return df.join(keys_df, on, "left_anti" if anti else "left_semi")

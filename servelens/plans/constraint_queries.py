@@ -154,19 +154,21 @@ r5 AS (SELECT r2.*, coalesce(s.share, 0) AS share, r4.tot,
               r2.constraintvalue / nullif(r4.tot, 0) * (r2.quantity * coalesce(s.share, 0) * CAST({K.LOSS_RATE} AS DOUBLE)) AS removed
        FROM r2 LEFT JOIN shares s ON s.corp_code = r2.corp_code AND s.return_loc_code = r2.loc
        JOIN r4 ON r4.corp_code = r2.corp_code AND r4.facilityname = r2.facilityname AND r4.periodname = r2.periodname),
-adj AS (SELECT * EXCLUDE (removed, loc, share, tot),
+adj_all AS (SELECT * EXCLUDE (removed, loc, share, tot),
                round_even(constraintvalue - CASE WHEN removed IS NULL THEN NULL
                                                  WHEN constraintvalue < removed THEN constraintvalue
                                                  ELSE removed END, {K.ROUND_SCALE}) AS adjusted_constraintvalue
         FROM r5),
+adj AS (SELECT * FROM adj_all WHERE adjusted_constraintvalue IS DISTINCT FROM constraintvalue),
 g AS (SELECT corp_code, productname, periodname, coalesce(sum(constraintvalue), 0) AS cv_sum,
              coalesce(sum(adjusted_constraintvalue), 0) AS adj_sum
-      FROM adj WHERE productname IS NOT NULL AND periodname IS NOT NULL GROUP BY corp_code, productname, periodname),
+      FROM adj_all WHERE productname IS NOT NULL AND periodname IS NOT NULL GROUP BY corp_code, productname, periodname),
 wip AS (SELECT corp_code, periodname, CAST(floor(cv_sum - adj_sum) AS DOUBLE) AS wip FROM g WHERE productname = '{K.PRODUCT_WIP}'),
-dep AS (SELECT pc.* REPLACE (CAST(NULL AS VARCHAR) AS productname), w.corp_code,
+dep_all AS (SELECT pc.* REPLACE (CAST(NULL AS VARCHAR) AS productname), w.corp_code, w.wip,
                pc.constraintvalue - w.wip AS adjusted_constraintvalue
         FROM pc JOIN wip w ON pc.periodname = w.periodname
-        WHERE {NOT_R.replace('facilityname', 'pc.facilityname')} AND pc.facilityname = '{K.DEPOT_GROUP}')"""
+        WHERE {NOT_R.replace('facilityname', 'pc.facilityname')} AND pc.facilityname = '{K.DEPOT_GROUP}'),
+dep AS (SELECT * FROM dep_all WHERE wip <> 0)"""
 
 
 def _final_cols(alias: str) -> str:
@@ -179,15 +181,19 @@ ACV_CTES = f"""
 shared AS (SELECT {_final_cols('u')}, u.adjusted_constraintvalue FROM
            (SELECT * FROM unchanged UNION ALL SELECT * FROM mfg_adj) u),
 per_acct AS (SELECT a.corp_code, {_final_cols('a')}, a.adjusted_constraintvalue FROM
-             (SELECT {KEY_LIST}, corp_code, adjusted_constraintvalue FROM adj
-              UNION ALL SELECT {KEY_LIST}, corp_code, adjusted_constraintvalue FROM dep) a),
+             (SELECT {KEY_LIST}, corp_code, adjusted_constraintvalue FROM adj_all
+              UNION ALL SELECT {KEY_LIST}, corp_code, adjusted_constraintvalue FROM dep_all) a),
+pc_no AS (SELECT row_number() OVER () AS row_no, * FROM pc),
+own AS (SELECT {", ".join("b." + k for k in KEYS)}, b.constraintvalue, s.corp_code,
+               coalesce(s.adjusted_constraintvalue, b.constraintvalue) AS account_value,
+               count(*) OVER (PARTITION BY b.row_no, s.corp_code) AS n_match
+        FROM pc_no b JOIN per_acct s ON {_JOIN_ON}),
 acv AS (SELECT {", ".join("b." + k for k in KEYS)}, b.constraintvalue, CAST(NULL AS VARCHAR) AS corp_code,
                coalesce(s.adjusted_constraintvalue, b.constraintvalue) AS account_value
         FROM pc b LEFT JOIN shared s ON {_JOIN_ON}
         UNION ALL
-        SELECT {", ".join("b." + k for k in KEYS)}, b.constraintvalue, s.corp_code,
-               coalesce(s.adjusted_constraintvalue, b.constraintvalue) AS account_value
-        FROM pc b JOIN per_acct s ON {_JOIN_ON})"""
+        SELECT {KEY_LIST}, constraintvalue, corp_code, account_value FROM own
+        WHERE n_match > 1 OR account_value IS DISTINCT FROM constraintvalue)"""
 
 MODEL_VIEWS = ("constraints", "demand", "customers", "inventory_policies", "periods", "transfers", "accounts")
 

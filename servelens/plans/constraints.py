@@ -9,7 +9,8 @@ Output form.  The model stores one column ``account_<code>`` per account.  We
 keep the *sparse long form*: one row per constraint with ``corp_code`` NULL
 holding the value every account shares, plus one row per (constraint,
 account) where that account has its own value.  ``sinks.writers.write_wide``
-turns it into the wide table.  No rows x accounts product is ever formed.
+turns it into the wide table.  A return constraint meets the accounts that send
+returns to its location in that period, so rows x accounts is not formed.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from servelens.functions.scalar import (
     rint, round_half_even, safe_div, split_part, starts, sum0,
 )
 from servelens.operators.core import (
-    carry_forward, expand_back, materialize, null_safe_join, period_join, top_with_ties,
+    carry_forward, expand_back, materialize, null_safe_join, top_with_ties,
 )
 
 KEYS = list(K.CONSTRAINT_KEYS)
@@ -223,48 +224,62 @@ def account_demand(demand: DataFrame, customers: DataFrame, selected: DataFrame)
 
 def adjusted_returns(constraints: DataFrame, acct_demand: DataFrame, shares: DataFrame,
                      loss_rate: float = K.LOSS_RATE, scale: int = K.ROUND_SCALE,
-                     broadcast_max_rows: int | None = None) -> DataFrame:
-    """Return constraints after removing each account's returns.
+                     always: str | None = None) -> DataFrame:
+    """Return constraints after removing each account's returns, where that changes the value.
 
     ``adj = round(cv - min(cv / tot * (qty * share * loss), cv), 6)`` (half-even on the binary value) where
     ``tot`` is the facility-period total.  Only periods in which the account
-    has demand get a row (inner join); the rest keep the original value.
-
-    The join to the account demand is on the period, which has few distinct
-    values, so a shuffle join would put a whole period in one task.  The
-    demand side has one row per (account, period); it is materialised, its
-    size checked and then broadcast, so the constraint rows are never
-    shuffled for this join; beyond the bound a bucketed expansion join spreads
-    each period over many tasks (``operators.core.period_join``).
+    has demand count; all other pairs keep the original value and have no row.
+
+    The accounts' demand and shares meet first, by account; the constraint rows then join
+    them on (location, period), so a row meets only the accounts that send returns there.
+    Without a share the formula still changes some rows, whatever the account (a value of more
+    than ``scale`` decimals, a negative one, a zero total): only these join every account with
+    demand in the period.  ``always`` names a boolean column of ``constraints``: rows
+    that every account with demand gets even if unchanged.
     """
-    r = constraints.where(starts("facilityname", K.RETURN_PREFIX))
-    # the total does not depend on the account: summed once, before the rows are expanded
-    tot = r.groupBy("facilityname", "periodname").agg(F.sum("constraintvalue").alias("facility_total"))
-    r = r.join(tot, ["facilityname", "periodname"])
-    j = period_join(r, acct_demand, ["periodname"], "corp_code", max_rows=broadcast_max_rows)
-    j = j.withColumn("loc_code", split_part("facilityname", "_", 2))
-    sh = shares.select("corp_code", F.col("return_loc_code").alias("loc_code"), F.col("share"))
-    j = j.join(sh, ["corp_code", "loc_code"], "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
     cv = F.col("constraintvalue")
-    removed = safe_div(cv, F.col("facility_total")) * (F.col("quantity") * F.col("share") * F.lit(loss_rate))
-    adj = round_half_even(cv - least_strict(removed, cv), scale)
-    return j.withColumn("adjusted_constraintvalue", adj).drop("loc_code", "share", "facility_total")
+    keep = F.coalesce(F.col(always), F.lit(False)) if always else F.lit(False)
 
+    def adjusted(taken):
+        removed = safe_div(cv, F.col("facility_total")) * taken
+        return round_half_even(cv - least_strict(removed, cv), scale)
 
-def adjusted_depot_repairs(constraints: DataFrame, adjusted: DataFrame,
-                           broadcast_max_rows: int | None = None) -> DataFrame:
-    """Group repair minimum less the WIP no longer returned.
+    r = constraints.where(starts("facilityname", K.RETURN_PREFIX))
+    # the total does not depend on the account: summed once, before the rows meet accounts
+    tot = r.groupBy("facilityname", "periodname").agg(F.sum("constraintvalue").alias("facility_total"))
+    r = r.join(tot, ["facilityname", "periodname"]).withColumn("loc_code", split_part("facilityname", "_", 2))
+    sh = shares.select("corp_code", F.col("return_loc_code").alias("loc_code"), F.coalesce("share", F.lit(0.0)).alias("share"))
+    senders = r.join(acct_demand.join(sh, "corp_code"), ["loc_code", "periodname"])
+    odd = r.where(keep | ~adjusted(F.lit(0.0)).eqNullSafe(cv))
+    others = (odd.join(acct_demand, "periodname").join(sh, ["corp_code", "loc_code"], "left_anti")
+              .withColumn("share", F.lit(0.0)))
+    j = senders.unionByName(others)
+    j = j.withColumn("adjusted_constraintvalue", adjusted(F.col("quantity") * F.col("share") * F.lit(loss_rate)))
+    return (j.where(keep | ~F.col("adjusted_constraintvalue").eqNullSafe(cv))
+            .drop("loc_code", "share", "facility_total"))
+
+
+def adjusted_depot_repairs(constraints: DataFrame, adjusted: DataFrame, acct_demand: DataFrame | None = None,
+                           always: str | None = None) -> DataFrame:
+    """Group repair minimum less the WIP no longer returned, where any is.
 
     ``wip = floor(sum(cv) - sum(adj))`` per account and period for WIP rows;
-    the ``Depot`` rows get ``cv - wip`` and a NULL product name.
+    the ``Depot`` rows get ``cv - wip`` and a NULL product name.  Rows that ``always``
+    marks go to every account of ``acct_demand`` with demand in a period with WIP
+    constraints, also where ``wip`` is 0.
     """
+    is_wip = (F.col("productname") == K.PRODUCT_WIP) & F.col("periodname").isNotNull()
     depot = constraints.where(not_starts("facilityname", K.RETURN_PREFIX) & (F.col("facilityname") == K.DEPOT_GROUP))
-    g = (adjusted.where(F.col("productname").isNotNull() & F.col("periodname").isNotNull())
-         .groupBy("corp_code", "productname", "periodname")
-         .agg(sum0("constraintvalue").alias("cv_sum"), sum0("adjusted_constraintvalue").alias("adj_sum")))
-    wip = (g.where(F.col("productname") == K.PRODUCT_WIP)
-           .select("corp_code", "periodname", F.floor(F.col("cv_sum") - F.col("adj_sum")).cast("double").alias("wip")))
-    j = period_join(depot, wip, ["periodname"], "corp_code", max_rows=broadcast_max_rows)
+    wip = (adjusted.where(is_wip).groupBy("corp_code", "periodname")
+           .agg(F.floor(sum0("constraintvalue") - sum0("adjusted_constraintvalue")).cast("double").alias("wip")))
+    if always:
+        periods = constraints.where(starts("facilityname", K.RETURN_PREFIX) & is_wip).select("periodname").distinct()
+        pairs = acct_demand.select("corp_code", "periodname").join(periods, "periodname", "left_semi")
+        wip = pairs.join(wip, ["corp_code", "periodname"], "left").fillna(0.0, ["wip"])
+        j = depot.join(wip, "periodname").where(F.coalesce(F.col(always), F.lit(False)) | (F.col("wip") != 0))
+    else:
+        j = depot.join(wip.where(F.col("wip") != 0), "periodname")
     return (j.withColumn("adjusted_constraintvalue", F.col("constraintvalue") - F.col("wip"))
             .withColumn("productname", F.lit(None).cast("string")).drop("wip"))
 
@@ -273,29 +288,9 @@ def adjusted_depot_repairs(constraints: DataFrame, adjusted: DataFrame,
 # C10 assembly
 # ---------------------------------------------------------------------------
 
-def _final_side(df: DataFrame, with_corp: bool) -> DataFrame:
-    cols = (["corp_code"] if with_corp else []) + KEYS + ["adjusted_constraintvalue"]
+def _final_side(df: DataFrame) -> DataFrame:
     # the final rows carry the original status (the model resets it before the join)
-    return df.withColumn("status", F.col(K.ORIGINAL_STATUS_COLUMN)).select(*cols)
-
-
-def account_constraints(constraints: DataFrame, shared: DataFrame, per_account: DataFrame) -> DataFrame:
-    """Assemble the per-account values (C10, J5, X17) in sparse long form.
-
-    ``shared`` holds adjusted rows that are the same for every account,
-    ``per_account`` adjusted rows with ``corp_code``.  Each side is joined back
-    to the constraints on the 17 key columns with NULL = NULL; a missing or
-    NULL adjusted value falls back to ``constraintvalue``.  Duplicate keys fan
-    out as in the model (Q6).
-    """
-    base = constraints.select(*KEYS, "constraintvalue")
-    sh = null_safe_join(base, _final_side(shared, False), KEYS, "left")
-    sh = sh.select(*KEYS, "constraintvalue", F.lit(None).cast("string").alias("corp_code"),
-                   F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
-    own = null_safe_join(base, _final_side(per_account, True), KEYS, "inner")
-    own = own.select(*KEYS, "constraintvalue", "corp_code",
-                     F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
-    return sh.unionByName(own)
+    return df.withColumn("status", F.col(K.ORIGINAL_STATUS_COLUMN)).select(*KEYS, "adjusted_constraintvalue")
 
 
 def _final_key(df: DataFrame, null_product: bool):
@@ -319,12 +314,16 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
                               floor_zero: bool = False, persist: bool = True, row_ids: bool = False) -> DataFrame:
     """Constraints + selected accounts -> per-account values (C3-C10 composed).
 
-    Same result as :func:`account_constraints` over the adjusted rows, planned
-    for size: every constraint row gets a stable ``row_id`` (written once), the
-    per-account expansion (constraint rows x accounts) carries five columns
-    instead of twenty, and the 17-key match between adjusted rows and
-    constraint rows is resolved once at the size of the constraint table.  The
-    key columns join the per-account rows only at the end.
+    The adjusted rows are matched to the constraints on the 17 key columns with
+    NULL = NULL; a missing or NULL adjusted value falls back to ``constraintvalue``
+    and duplicate keys fan out as in the model (J5, X17, Q6).  Rows with ``corp_code``
+    NULL hold the value every account shares; an account has rows of its own where its
+    value differs or where a constraint row has several matches.
+
+    Planned for size: every constraint row gets a stable ``row_id`` (written once), the
+    per-account rows carry five columns instead of twenty, and the 17-key match between
+    adjusted rows and constraint rows is resolved once at the size of the constraint
+    table.  The key columns join the per-account rows only at the end.
 
     ``row_ids`` also returns ``row_id`` (the constraint row) and ``match_id`` (the
     row whose adjusted value it took, NULL for shared values), by which the wide
@@ -339,14 +338,6 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
     mfg = manufacturing_uplift(pc, uplift_rows(proj, two_digit_labels, floor_zero), special_depot)
     shared = unchanged_repairs(pc).unionByName(mfg).drop("row_id")
     slim = pc.select("row_id", "facilityname", "productname", "periodname", "constraintvalue")
-    # the adjusted returns feed both the per-account rows and the depot WIP:
-    # written once, read twice
-    adj = materialize(adjusted_returns(slim, account_demand(demand, customers, selected),
-                                       account_return_share(transfers, selected), loss_rate), "adjusted")
-    depot = adjusted_depot_repairs(slim, adj)
-    own_slim = (adj.select("row_id", "corp_code", "adjusted_constraintvalue", F.lit(False).alias("null_product"))
-                .unionByName(depot.select("row_id", "corp_code", "adjusted_constraintvalue",
-                                          F.lit(True).alias("null_product"))))
     # which constraint rows each adjusted row matches (NULL = NULL on all 17 keys)
     target = pc.select(F.col("row_id").alias("o_id"), F.struct(*[F.col(k) for k in KEYS]).alias("__k"))
     src_r = pc.where(starts("facilityname", K.RETURN_PREFIX)).select(
@@ -354,13 +345,28 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
     src_d = pc.where(not_starts("facilityname", K.RETURN_PREFIX) & (F.col("facilityname") == K.DEPOT_GROUP)).select(
         F.col("row_id"), F.lit(True).alias("null_product"), _final_key(pc, True).alias("__k"))
     match = src_r.unionByName(src_d).join(target, "__k", "inner").select("row_id", "null_product", "o_id")
+    match = match.join(match.groupBy("o_id").agg(F.count(F.lit(1)).alias("n_match")), "o_id")
+    match = materialize(match, "matches")
+    # a row that matches others, or shares its match, counts for an account even if its own value stays
+    fans = match.where((F.col("n_match") > 1) | (F.col("o_id") != F.col("row_id"))).select("row_id").distinct()
+    slim = slim.join(fans.withColumn("fans_out", F.lit(True)), "row_id", "left")
+    # the demand per account is read three times and the adjusted returns twice
+    # (per-account rows and depot WIP): each written once
+    ad = materialize(account_demand(demand, customers, selected), "account_demand")
+    adj = materialize(adjusted_returns(slim, ad, account_return_share(transfers, selected), loss_rate,
+                                       always="fans_out"), "adjusted")
+    depot = adjusted_depot_repairs(slim, adj, ad, always="fans_out")
+    own_slim = (adj.select("row_id", "corp_code", "adjusted_constraintvalue", F.lit(False).alias("null_product"))
+                .unionByName(depot.select("row_id", "corp_code", "adjusted_constraintvalue",
+                                          F.lit(True).alias("null_product"))))
     own = own_slim.join(match, ["row_id", "null_product"], "inner")
     base = pc.select(F.col("row_id").alias("o_id"), *KEYS, "constraintvalue")
     ids = [F.col("o_id").alias("row_id"), "match_id"] if row_ids else []
-    own = own.withColumnRenamed("row_id", "match_id").join(base, "o_id", "inner").select(
-        *ids, *KEYS, "constraintvalue", "corp_code",
-        F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
-    sh = null_safe_join(base, _final_side(shared, False), KEYS, "left").withColumn("match_id", F.lit(None).cast("bigint"))
+    own = own.withColumnRenamed("row_id", "match_id").join(base, "o_id", "inner")
+    own = own.withColumn("account_value", F.coalesce("adjusted_constraintvalue", "constraintvalue"))
+    own = own.where((F.col("n_match") > 1) | ~F.col("account_value").eqNullSafe(F.col("constraintvalue")))
+    own = own.select(*ids, *KEYS, "constraintvalue", "corp_code", "account_value")
+    sh = null_safe_join(base, _final_side(shared), KEYS, "left").withColumn("match_id", F.lit(None).cast("bigint"))
     sh = sh.select(*ids, *KEYS, "constraintvalue", F.lit(None).cast("string").alias("corp_code"),
                    F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
     out = sh.unionByName(own)

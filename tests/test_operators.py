@@ -117,26 +117,9 @@ def test_substring_lookup_has_no_size_bound_and_defined_edges(spark):
     assert sorted((r.name is None, r.code) for r in anywhere.collect() if r.name is not None) == [(False, "E")] * 4
 
 
-def test_checked_broadcast(spark):
-    df = spark.range(10)
-    small, used = O.checked_broadcast(df, max_rows=100)
-    assert used and small.count() == 10
-    big, used = O.checked_broadcast(df, max_rows=5)
-    assert not used and big.count() == 10
-
-
 def test_first_by_and_union_ordered(spark):
     a = spark.createDataFrame([("k", "first")], "k string, v string")
     b = spark.createDataFrame([("k", "second", 1)], "k string, v string, extra int")
     u = O.union_ordered(a, b)
     assert set(u.columns) == {"k", "v", "extra", "__priority"}
     assert O.first_by(u, ["k"], [F.col("__priority")]).collect()[0].v == "first"
-
-
-def test_broadcast_bound_from_session(spark):
-    spark.conf.set("servelens.broadcast.maxRows", "3")
-    try:
-        assert O.broadcast_max_rows(spark) == 3
-    finally:
-        spark.conf.unset("servelens.broadcast.maxRows")
-    assert O.broadcast_max_rows(spark) == O.BROADCAST_MAX_ROWS

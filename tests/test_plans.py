@@ -38,8 +38,8 @@ def test_returns_are_reduced_for_the_account(spark):
     # 81384 issues 300 in Period 01, 75 % of its returns go to loc 101; the WIP row holds 100 of 150 there
     expected = round(100 - min(100 / 150 * (300 * 0.75 * K.LOSS_RATE), 100), 6)
     assert own[("R_US_101", "WIP", "81384")] == expected
-    # loc 103 gets nothing from 81384: unchanged
-    assert own[("R_US_103", "WIP", "81384")] == 40.0
+    # loc 103 gets nothing from 81384: no value of its own
+    assert ("R_US_103", "WIP", "81384") not in own
 
 
 def test_status_quirk_keeps_original_value(spark):
@@ -132,17 +132,48 @@ def test_kpis_align_missing_measures_as_null(spark):
     assert k["B"].depot_fixed == 7.0 and k["B"].tc_total is None and k["B"].network_r_i is None
 
 
-def test_bucketed_period_join_equals_broadcast_path(spark):
+def _dense(rows, demand, share, loss=K.LOSS_RATE):
+    """(row, account) -> adjusted value for every account with demand in the row's period."""
+    total, out = {}, {}
+    for fac, _, per, cv in rows:
+        total[fac, per] = total.get((fac, per), 0.0) + cv
+    for i, (fac, _, per, cv) in enumerate(rows):
+        for (code, p), qty in demand.items():
+            if p != per:
+                continue
+            t, sh = total[fac, per], share.get((code, fac.split("_")[2]), 0.0)
+            out[i, code] = None if t == 0 else round(cv - min(cv / t * (qty * sh * loss), cv), 6)
+    return out
+
+
+def test_adjusted_returns_are_the_changed_pairs_of_all_accounts(spark):
+    rows = [("R_US_1", "WIP", "Period 01", 100.0), ("R_US_1", "RFU", "Period 01", 50.0), ("R_US_2", "WIP", "Period 01", 40.0),
+            ("R_US_2", "WIP", "Period 02", 0.12345678), ("R_US_3", "WIP", "Period 02", -4.0), ("R_US_4", "WIP", "Period 01", 3.0),
+            ("R_US_4", "RFU", "Period 01", -3.0), ("R_US_5", "WIP", "Period 09", 7.0)]
+    demand = {("a", "Period 01"): 30.0, ("a", "Period 02"): 500.0, ("b", "Period 01"): 9.0, ("c", "Period 02"): 1.0}
+    share = {("a", "1"): 0.75, ("a", "2"): 0.25, ("b", "2"): 1.0, ("c", "5"): 1.0}
+    pc = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "row_id long, facilityname string, productname string, periodname string, constraintvalue double")
+    ad = spark.createDataFrame([(c, p, q) for (c, p), q in demand.items()], "corp_code string, periodname string, quantity double")
+    sh = spark.createDataFrame([(c, x, s) for (c, x), s in share.items()], "corp_code string, return_loc_code string, share double")
+    dense = _dense(rows, demand, share)
+    got = {(r.row_id, r.corp_code): r.adjusted_constraintvalue for r in C.adjusted_returns(pc, ad, sh).collect()}
+    assert got == {k: v for k, v in dense.items() if v != rows[k[0]][3]}
+    # marked rows go to every account with demand in the period
+    marked = pc.withColumn("all", F.col("row_id") == 0)
+    more = {(r.row_id, r.corp_code): r.adjusted_constraintvalue for r in C.adjusted_returns(marked, ad, sh, always="all").collect()}
+    assert more == {k: v for k, v in dense.items() if k[0] == 0 or v != rows[k[0]][3]}
+
+
+def test_rows_of_equal_keys_fan_out_for_every_account(spark):
     m = build(spark)
+    twice = m["constraints"].where("facilityname = 'R_US_101' AND productname = 'WIP'").withColumn("constraintvalue", F.lit(7.0))
     sel = C.select_accounts(m["accounts"], m["demand"], m["customers"])
-    pc = C.normalise_constraints(m["constraints"])
-    ad = C.account_demand(m["demand"], m["customers"], sel)
-    sh = C.account_return_share(m["transfers"], sel)
-    a = C.adjusted_returns(pc, ad, sh)
-    b = C.adjusted_returns(pc, ad, sh, broadcast_max_rows=0)      # forces the bucketed path
-    assert sorted(a.collect()) == sorted(b.collect())
-    assert sorted(C.adjusted_depot_repairs(pc, a).collect()) == \
-        sorted(C.adjusted_depot_repairs(pc, b, broadcast_max_rows=0).collect())
+    acv = C.build_account_constraints(m["constraints"].unionByName(twice), m["demand"], m["customers"],
+                                      m["inventory_policies"], m["periods"], m["transfers"], sel)
+    own = acv.where("facilityname = 'R_US_101' AND productname = 'WIP' AND corp_code = '81399'").collect()
+    # this account sends nothing to the location, and still each row takes both rows' values
+    assert sorted((r.constraintvalue, r.account_value) for r in own) == [(7.0, 7.0), (7.0, 100.0), (100.0, 7.0), (100.0, 100.0)]
 
 
 def test_negative_need_kept_or_floored(spark):

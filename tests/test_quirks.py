@@ -92,9 +92,15 @@ def test_zero_facility_total_falls_back_to_original(spark):
                                "corp_code string, return_loc_code string, return_volume double, share double")
     r = C.adjusted_returns(pc, ad, sh).collect()[0]
     assert r.adjusted_constraintvalue is None          # 0 / 0: no adjusted value ...
-    shared = C.unchanged_repairs(pc).where(F.lit(False))
-    acv = C.account_constraints(pc, shared.unionByName(shared), C.adjusted_returns(pc, ad, sh))
-    assert [x.account_value for x in acv.where(F.col("corp_code").isNotNull()).collect()] == [0.0]   # ... so the original
+    from mini_model import build
+    m = build(spark)
+    sel = C.select_accounts(m["accounts"], m["demand"], m["customers"])
+    zero = m["constraints"].where("facilityname LIKE 'R_%'").withColumn("constraintvalue", F.lit(0.0))
+    rest = m["constraints"].where("facilityname NOT LIKE 'R_%'")
+    acv = C.build_account_constraints(zero.unionByName(rest), m["demand"], m["customers"], m["inventory_policies"],
+                                      m["periods"], m["transfers"], sel)
+    returns = acv.where(F.col("facilityname").startswith("R_")).collect()
+    assert [(x.corp_code, x.account_value) for x in returns] == [(None, 0.0)] * 4   # ... so the original for all accounts
 
 
 def test_null_facility_is_kept_in_the_shared_part(spark):

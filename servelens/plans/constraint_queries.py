@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from servelens import constants as K
-from servelens.operators.core import materialize
+from servelens.operators.core import materialize, unpivot_prefixed
 from servelens.plans import constraints as C
 from servelens.plans import reporting as R
 from servelens.plans.report_queries import CUSTOMER_SQL, DELTAS_SQL_CTES, KPI_SQL_CTES, KPI_VIEWS, kpis_from
 from servelens.registry import register
+from servelens.sinks.writers import to_wide
 from servelens.sources import bindings as B
 from servelens.sources import tables as T
 from servelens.sources.bindings import with_views
@@ -322,6 +323,29 @@ def q_account_constraints(spark, sf_dir):
     return account_values_from(spark, sf_dir, stored=False, persist=False).select(*KEYS, "constraintvalue", "corp_code", "account_value")
 
 
+@register("account_unpivot", model_sql(f"""
+SELECT {", ".join("b." + k for k in KEYS)}, b.constraintvalue, k.corp_code,
+       coalesce(o.adjusted_constraintvalue, s.adjusted_constraintvalue, b.constraintvalue) AS account_value
+FROM pc b CROSS JOIN (SELECT DISTINCT corp_code FROM sel) k
+LEFT JOIN shared s ON {_JOIN_ON}
+LEFT JOIN per_acct o ON o.corp_code = k.corp_code AND {_JOIN_ON.replace(" s.", " o.")}""",
+                                       PROJ_CTES, UPLIFT_CTES, ACCOUNT_CTES, ACV_CTES))
+def q_account_unpivot(spark, sf_dir):
+    """The wide table (one column per account), unpivoted again to a row per constraint and account."""
+    values, codes = wide_inputs(spark, sf_dir)
+    wide = to_wide(values, codes)
+    return unpivot_prefixed(wide, [*KEYS, "constraintvalue"], K.ACCOUNT_COLUMN_PREFIX)
+
+
+def wide_inputs(spark, sf_dir):
+    """Per-account values with row ids and the account codes, which name the columns (as many as the account list)."""
+    m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)
+    selected = materialize(selected_from(m), "selected")
+    values = C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"], m["periods"],
+                                         m["transfers"], selected, special_depot=DEPOT, row_ids=True)
+    return values, sorted(r.corp_code for r in selected.select("corp_code").distinct().collect())
+
+
 # --- reporting steps that need the per-account constraints ------------------
 
 REMOVED_CTES = f"""

@@ -258,3 +258,28 @@ def q_upsert_last_wins(spark, sf_dir):
     copied = opt.withColumn("scenarioname", F.lit(K.LESS_SCENARIO_PREFIX + "00001"))
     return O.upsert_last_wins(ex, shifted.unionByName(copied), ["scenarioname", "itemname"],
                               [F.col("itemorder").desc()]).select("scenarioname", "itemname", "itemorder", "notes")
+
+
+@register("projection_ops", with_views("""
+SELECT scenarioname AS scenario, originname, destinationname, CAST(right(departingperiodname, 2) AS INTEGER) AS period_no,
+       CAST(flowquantity AS DOUBLE) AS quantity, 'flow' AS kind
+FROM flows""", "flows"))
+def q_projection_ops(spark, sf_dir):
+    """Rename, drop, cast, computed and literal columns of every flow."""
+    f = B.view(spark, sf_dir, "flows").withColumnRenamed("scenarioname", "scenario")
+    f = f.withColumn("period_no", X.period_no("departingperiodname")).withColumn("quantity", F.col("flowquantity").cast("double"))
+    return f.withColumn("kind", F.lit("flow")).select("scenario", "originname", "destinationname", "period_no", "quantity", "kind")
+
+
+@register("union_missing", with_views("""
+SELECT scenarioname, periodname, CAST(operatingcost AS DOUBLE) AS operatingcost, CAST(NULL AS DOUBLE) AS totalinventorycost
+FROM facility_summary
+UNION ALL
+SELECT scenarioname, periodname, CAST(NULL AS DOUBLE), CAST(totalinventorycost AS DOUBLE) FROM inventory_summary""",
+                                      "facility_summary", "inventory_summary"))
+def q_union_missing(spark, sf_dir):
+    """Two tables by column name; a column that one lacks is NULL in its rows."""
+    m = B.model(spark, sf_dir, ("facility_summary", "inventory_summary"))
+    a = m["facility_summary"].select("scenarioname", "periodname", F.col("operatingcost").cast("double").alias("operatingcost"))
+    b = m["inventory_summary"].select(F.col("totalinventorycost").cast("double").alias("totalinventorycost"), "periodname", "scenarioname")
+    return a.unionByName(b, allowMissingColumns=True)

@@ -139,8 +139,8 @@ def keep_one_per_group(docs: DataFrame, shingle: int = 4, max_distance: int = 4,
     # rows of a component without any id share a NULL component_id: their fingerprint keeps them apart
     winner = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fingerprint")).alias("own")).agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_hash")).alias("w"))
-    winner = written(winner.select(F.col("w.doc_id").alias("w_id"), F.col("w.text_hash").alias("w_hash")).distinct(), "simhash-winners")
+    winner = written(winner.select(F.col("w.doc_id").alias("servelens_id"), F.col("w.text_hash").alias("servelens_hash")).distinct(), "simhash-winners")
     key = "servelens_text_hash"
     hashed = docs.withColumn(key, F.xxhash64("text"))
-    kept = hashed.join(winner, F.col("doc_id").cast("long").eqNullSafe(F.col("w_id")) & (F.col(key) == F.col("w_hash")), "left_semi")
+    kept = hashed.join(winner, F.col("doc_id").cast("long").eqNullSafe(F.col("servelens_id")) & (F.col(key) == F.col("servelens_hash")), "left_semi")
     return kept.dropDuplicates(["doc_id", key]).drop(key)

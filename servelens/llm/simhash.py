@@ -123,7 +123,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, se
     components = near_components(distinct.select("fingerprint"), max_distance)
     named = distinct.join(components.withColumnRenamed("node", "fingerprint"), "fingerprint", "left").select(
         "fingerprint", "first_id", F.coalesce("component", "fingerprint").alias("component"))
-    ids = named.groupBy("component").agg(F.min("first_id").alias("component_id"))
+    # written, so that the join below has a shuffle of its own and a component of many fingerprints can be split
+    ids = written(named.groupBy("component").agg(F.min("first_id").alias("component_id")), "simhash-ids")
     return found.join(named.join(ids, "component").select("fingerprint", "component_id"), "fingerprint").select(
         "doc_id", "text_hash", "fingerprint", "component_id")
 

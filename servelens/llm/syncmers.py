@@ -68,8 +68,8 @@ def with_followers(docs: DataFrame) -> DataFrame:
     row of the next range (``part`` 1), the last one the first row of all (``part`` 2), so the row that
     follows a row by ascending ``doc_id`` (NULL last, ties by text) is found within a range."""
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    bounds = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("b")).first()["b"] or []
-    bounds = sorted(set(bounds))
+    found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("b"), F.min("doc_id").alias("least")).first()
+    bounds = sorted(set(found["b"] or []))
     edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
     bucket = lambda c: F.when(c.isNull(), F.lit(len(bounds))).otherwise(F.size(F.filter(edges, lambda b: b <= c)))
     rows = docs.select("doc_id", "text")
@@ -77,7 +77,9 @@ def with_followers(docs: DataFrame) -> DataFrame:
     follow = rows.filter(F.col("doc_id").isin(bounds)) if bounds else rows.filter("false")
     follow = follow.groupBy("doc_id").agg(F.min("text").alias("text"))
     follow = follow.withColumn("bucket", bucket(F.col("doc_id")) - 1).withColumn("part", F.lit(1))
-    first = rows.orderBy(F.col("doc_id").asc_nulls_last(), "text").limit(1).withColumn("bucket", F.lit(len(bounds))).withColumn("part", F.lit(2))
+    # the least id (NULL if there is no other) and its least text: neither sorts nor moves the rows
+    first = rows.filter(F.col("doc_id").eqNullSafe(F.lit(found["least"]))).groupBy("doc_id").agg(F.min("text").alias("text"))
+    first = first.withColumn("bucket", F.lit(len(bounds))).withColumn("part", F.lit(2))
     return own.unionByName(follow).unionByName(first)
 
 
@@ -87,11 +89,11 @@ def edited_fingerprints(docs: DataFrame, k: int = 5, s: int = 2, sketch: int = 6
     df = with_followers(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")))
     df = with_anchors(df, "text", "anchors", k, s).withColumn("own", sketch_of(F.col("anchors"), sketch)).drop("anchors")
     order = Window.partitionBy("bucket").orderBy("part", F.col("doc_id").asc_nulls_last(), "text")
-    df = df.withColumn("next", F.lead(F.struct("text", "own")).over(order)).filter("part = 0")
+    df = df.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order)).filter("part = 0")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr(F.col("next.text"), F.lit(1), half))
-    df = df.select("doc_id", n.cast("long").alias("n_chars"), "own", F.col("next.own").alias("next_own"), edited.alias("edited"))
+    edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half))
+    df = df.select("doc_id", n.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"))
     df = with_anchors(df, "edited", "anchors", k, s).withColumn("edited_own", sketch_of(F.col("anchors"), sketch)).drop("anchors")
     return fenced(df.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"),
                      as_text(F.col("edited_own")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("edited_own"), sketch).alias("near_edited"),

@@ -5,7 +5,11 @@ keeps the best score and the number of pieces on that path; no pieces are materi
 follow the tokenizer: for an end position candidates are tried by ascending start, a later one
 wins only with a strictly better score, and the unknown piece of one character (tried only where
 no single-character piece matches) comes last.  With byte fallback an unknown character counts
-one token per UTF-8 byte.
+one token per UTF-8 byte.  Control, unknown and byte pieces ('<s>', '<unk>', '<0x0A>') are names and
+never match text that is written like them.
+
+The named file may be a BPE file, as the one of the registered query is: its pieces and scores are then
+read as a unigram vocabulary, and the counts are those of that reading, not of the file's own merges.
 
 Texts are cut where no piece of the vocabulary can cross (before a run of the space mark, and on
 both sides of a character that occurs in no piece), so each distinct chunk is scored once and its
@@ -35,20 +39,32 @@ def load_pieces(model_path: str) -> tuple[tuple[str, float], ...]:
     return tuple((model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size()))
 
 
+@lru_cache(maxsize=2)
+def load_names(model_path: str) -> frozenset[str]:
+    """Pieces of a sentencepiece file that stand for no text: control, unknown, unused and byte pieces."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    return frozenset(model.id_to_piece(i) for i in range(model.get_piece_size())
+                     if model.is_control(i) or model.is_unknown(i) or model.is_unused(i) or model.is_byte(i))
+
+
 class Counter:
-    """Counts the pieces of a text; ``unknown_penalty`` lies below the lowest score, as the tokenizer has it."""
+    """Counts the pieces of a text; ``unknown_penalty`` lies below the lowest score, as the tokenizer has it.
+    ``names``: pieces that match no text."""
 
     def __init__(self, pieces: tuple[tuple[str, float], ...], byte_fallback: bool = True, unknown_penalty: float = 10.0,
-                 max_chunks: int = 400_000, max_chars: int = 1 << 24):
+                 max_chunks: int = 400_000, max_chars: int = 1 << 24, names: frozenset[str] = frozenset()):
         import ahocorasick
 
+        self.unknown = min(s for _, s in pieces) - unknown_penalty
+        self.byte_fallback = byte_fallback and all(any(p == f"<0x{b:02X}>" for p, _ in pieces) for b in range(256))
+        pieces = tuple((p, s) for p, s in pieces if p not in names)
         self.automaton = ahocorasick.Automaton()
         for piece, score in pieces:
             self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.single = {p for p, _ in pieces if len(p) == 1}
-        self.unknown = min(s for _, s in pieces) - unknown_penalty
-        self.byte_fallback = byte_fallback and all(any(p == f"<0x{b:02X}>" for p, _ in pieces) for b in range(256))
         known = {c for p, _ in pieces for c in p}
         # no cut before a mark if some piece holds one after another character; neighbouring
         # unknown characters make one piece without byte fallback and must then stay together
@@ -103,7 +119,7 @@ class Counter:
 
 @lru_cache(maxsize=2)
 def counter(model_path: str) -> Counter:
-    return Counter(load_pieces(model_path))
+    return Counter(load_pieces(model_path), names=load_names(model_path))
 
 
 def marked(text: str) -> str:

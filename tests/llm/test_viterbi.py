@@ -44,3 +44,20 @@ def test_query_on_fixture_and_edges(spark):
         assert sorted(((r.doc_id is None, r.doc_id or 0), r.n_tokens) for r in got) == expect
         assert texts
     assert viterbi.count_tokens(helpers.empty(spark), PATH).count() == 0
+
+
+def test_control_and_byte_pieces_match_no_text():
+    made = viterbi.counter(PATH)
+    names = viterbi.load_names(PATH)
+    assert {"<s>", "</s>", "<unk>", "<0x00>", "<0x0A>", "<0xFF>"} <= names and len(names) == 259
+    # a reference in which those pieces are spelt so that no text meets them
+    hidden = Tokenizer(models.Unigram([("\U000F0000" + p if p in names and not p.startswith("<0x") else p, s) for p, s in viterbi.load_pieces(PATH)], 0, True))
+    hidden.normalizer = FULL.normalizer
+    seen = 0
+    for text in ("<s>", "x<s>y</s>", "a<unk>b two", "(</s>)"):
+        n, before = made.count(viterbi.marked(text)), len(FULL.encode(text, add_special_tokens=False).ids)
+        assert n == len(hidden.encode(text, add_special_tokens=False).ids) >= before
+        seen += n > before
+    assert seen >= 3
+    for name in ("<0x0A>", "<0x00>", "<0xFF>"):
+        assert made.count("a" + name + "b") > made.count("ab") + 2

@@ -6,7 +6,9 @@ score, spread over the page in block order and smoothed.  Blocks above the thres
 element that holds the main text: from the root, the walk goes down into the container with most of
 their text and stops at an ``article`` or ``main``.  All blocks in that element are kept, except
 those of elements that name themselves as something else (menus, headers, footers, sidebars, adverts,
-notices, forms, comments) and paths of mostly link text below the threshold.
+notices, forms, comments) and paths of mostly link text below the threshold.  A name counts for nothing
+on an element that holds the page's ``main`` or largest ``article``, or most of its text: such an element
+is a wrapper ('content has-sidebar').
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by an
 empty line in page order.  Broken markup (open tags, a cut-off page) is read as far as it goes.  NULL
@@ -56,31 +58,66 @@ class Block:
 
 
 class _Page:
-    """Elements as parallel lists (parent, tag, path) and the blocks outside named asides."""
+    """Elements as parallel lists (parent, tag, path) and the blocks outside asides."""
 
     def __init__(self, html: str):
         self.parent, self.tag, self.path = [-1], [""], [0]
         self.paths: dict[tuple[int, str], int] = {}
         self.blocks: list[Block] = []
-        self.stack = [(0, "", False)]  # element, tag, aside
-        self.parts: list[str] = []
-        self.link = 0
+        self.stack = [(0, "", 0)]  # element, tag, aside: 0 none, -1 by its tag, else the innermost element named as one
+        self.parts: list[tuple[str, int, int]] = []  # text, aside, characters inside links
+        self.raw: list[tuple[int, list]] = []
+        self.named: list[tuple[int, bool]] = [(0, False)]  # enclosing named aside, whether it has no other name
+        self.heads: list[tuple[int, int]] = []  # article and main elements, with the named aside around them
         self._read(html)
+        self._settle()
 
     def _flush(self) -> None:
         if self.parts:
-            text = " ".join("".join(self.parts).split())
-            if text:
-                node = next(n for n, tag, _ in reversed(self.stack) if tag in BLOCK or n == 0)
-                self.blocks.append(Block(text, node, self.path[node], min(self.link, len(text))))
-        self.parts, self.link = [], 0
+            self.raw.append((next(n for n, tag, _ in reversed(self.stack) if tag in BLOCK or n == 0), self.parts))
+            self.parts = []
 
     def _text(self, raw: str) -> None:
-        if raw and not self.stack[-1][2]:
+        aside = self.stack[-1][2]
+        if raw and aside >= 0:
             text = unescape(raw) if "&" in raw else raw
-            self.parts.append(text)
-            if self.in_link:
-                self.link += len(text.strip())
+            self.parts.append((text, aside, len(text.strip()) if self.in_link else 0))
+
+    def _dropped(self, most: float = 0.5, most_pure: float = 0.8) -> list[bool]:
+        """Which named asides go.  One that holds the page's main or largest article, or most of the text, is a
+        wrapper named after a part of it; ``most_pure``: for one without any other name."""
+        own, held = [0] * len(self.named), [0] * len(self.parent)
+        for node, parts in self.raw:
+            for text, aside, link in parts:
+                n = len(text.strip()) - link
+                own[aside] += n
+                held[node] += n
+        for k in range(len(own) - 1, 0, -1):
+            own[self.named[k][0]] += own[k]
+        for node in range(len(held) - 1, 0, -1):
+            held[self.parent[node]] += held[node]
+        around = {0: ()}
+        for k in range(1, len(own)):
+            around[k] = (k,) if not self.named[k][0] else around[self.named[k][0]] + (k,)
+        heads = []
+        for node, aside in self.heads:
+            pure = any(self.named[k][1] for k in around[aside])
+            if held[node] and (self.tag[node] == "main" or held[node] >= (most if pure else 0.1) * held[0]):
+                heads.append((not pure, self.tag[node] == "main", held[node], aside))
+        wrappers = set(around[max(heads)[3]]) if heads else set()
+        dropped = [False] * len(own)
+        for k in range(1, len(own)):
+            up, pure = self.named[k]
+            dropped[k] = dropped[up] or not (k in wrappers or own[k] > (most_pure if pure else most) * own[0])
+        return dropped
+
+    def _settle(self) -> None:
+        dropped = self._dropped() if len(self.named) > 1 else [False]
+        for node, parts in self.raw:
+            kept = [p for p in parts if not dropped[p[1]]]
+            text = " ".join("".join(p[0] for p in kept).split())
+            if text:
+                self.blocks.append(Block(text, node, self.path[node], min(sum(p[2] for p in kept), len(text))))
 
     def _pop_to(self, depth: int) -> None:
         while len(self.stack) > depth:
@@ -105,15 +142,18 @@ class _Page:
             if tag in _CLOSES:
                 self._close(*_CLOSES[tag])
         elif tag == "br":
-            self.parts.append(" ")
+            self.parts.append((" ", max(self.stack[-1][2], 0), 0))
         if tag in VOID:
             return
         aside = self.stack[-1][2]
-        if not aside:
-            aside = tag in ASIDE_TAGS
-            if not aside and attributes and tag not in ("html", "body", "article", "main"):
+        if aside >= 0:
+            if tag in ASIDE_TAGS:
+                aside = -1
+            elif attributes and tag not in ("html", "body", "article", "main"):
                 words = {w for m in _ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower())}
-                aside = bool(words & ASIDE_WORDS) or bool(words & HEADER_WORDS) and not self.open.get("article")
+                if words & ASIDE_WORDS or words & HEADER_WORDS and not self.open.get("article"):
+                    self.named.append((aside, words - {""} <= ASIDE_WORDS | HEADER_WORDS))
+                    aside = len(self.named) - 1
         node = self.stack[-1][0]
         if tag in BLOCK:
             node = len(self.parent)
@@ -121,6 +161,8 @@ class _Page:
             self.parent.append(self.stack[-1][0])
             self.tag.append(tag)
             self.path.append(self.paths.setdefault(key, len(self.paths) + 1))
+            if aside >= 0 and tag in ("article", "main"):
+                self.heads.append((node, aside))
         self.stack.append((node, tag, aside))
         self.open[tag] = self.open.get(tag, 0) + 1
         self.in_link += tag == "a"

@@ -57,3 +57,14 @@ def test_edges(spark):
     got = sorted(((r.page_id or 0), r.text, r.n_chars) for r in extract(df.withColumn("text", F.lit(1))).collect())
     assert got == [(0, "", 0), (1, "", 0), (2, "a, b.", 5), (2, "a, b.", 5)]
     assert extract(df.filter("page_id = 9")).count() == 0
+
+
+def test_wrappers_named_after_an_aside_keep_the_text():
+    side = "<div class='sidebar'><p>Side text, unrelated, and dull.</p></div>"
+    talk = "<div class='comments'><article class='comment'><p>Nice one, thanks.</p></article></div>"
+    for name in ("class='content has-sidebar'", "class='content-sidebar-wrap'", "class='post with-comments'", "id=mainWithSidebar", "class='no-ads page'"):
+        for shell in ("<article>{}</article>", "<main>{}</main>", "{}", "<div class='entry no-comments'>{}</div>"):
+            for tag in ("div", "section", "page-root"):
+                assert main_text(f"<html><body><{tag} {name}>{shell.format(ARTICLE)}{side}{talk}</{tag}></body></html>") == TEXT, (name, shell, tag)
+    assert main_text(f"<body><article>{ARTICLE}<p>More <span class='share-box'>12 shares</span> here.</p></article>") == TEXT + "\n\nMore here."
+    assert main_text(f"<body><article><div class='entry with-comments'>{ARTICLE}</div></article>{talk}") == TEXT

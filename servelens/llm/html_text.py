@@ -2,11 +2,15 @@
 
 A page is read into text blocks, each with its path of block elements from the root.  Per path,
 text length, punctuation, link text and block count are summed; the ratios are fused into one
-score, spread over the page in block order and smoothed.  Blocks above the threshold vote for the
-element that holds the main text: from the root, the walk goes down into the container with most of
-their text and stops at an ``article`` or ``main``.  All blocks in that element are kept, except
-those of elements that name themselves as something else (menus, headers, footers, sidebars, adverts,
-notices, forms, comments) and paths of mostly link text below the threshold.  A name counts for nothing
+score, spread over the page in block order and smoothed.  Blocks above the threshold are main text,
+wherever they stand; an ``article`` or ``main`` with most of their text stands for the page.
+
+Below the threshold a block is kept if its path is not mostly link text and it belongs to the main text:
+all blocks of such an ``article`` or ``main``; else the blocks that share the container of a kept one,
+headings from the title (the last ``h1`` before the text, or the last heading) to the end of the text, and
+what stands directly in the containers around the text between these.  Other blocks go, and those of
+elements that name themselves as something else (menus, headers, footers, sidebars, adverts, notices,
+forms, comments).  A name counts for nothing
 on an element that holds the page's ``main`` or largest ``article``, or most of its text: such an element
 is a wrapper ('content has-sidebar').
 
@@ -36,6 +40,8 @@ RAW = frozenset("script style".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead title tr ul".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TABLE = frozenset("table tbody tr td".split())
 CONTAINERS = frozenset("html body div section article main center table tbody tr td".split())
 #: elements, and words of class, id or role, that are not main text
 ASIDE_TAGS = frozenset("head nav header footer aside form script style noscript template iframe svg button select textarea menu dialog object canvas audio video label".split())
@@ -209,7 +215,7 @@ def path_scores(blocks: list[Block]) -> dict[int, tuple[float, float]]:
 
 def main_blocks(page: _Page, radius: int = 1, cut: float = 0.25, share: float = 0.6) -> list[Block]:
     """Blocks of the main text; ``cut``: threshold as a part of the mean of the smoothed scores
-    weighted by length; ``share``: part of the voting text that a container needs to be entered."""
+    weighted by length; ``share``: part of the text above the threshold that makes an article stand for the page."""
     blocks = page.blocks
     if not blocks:
         return []
@@ -227,21 +233,36 @@ def main_blocks(page: _Page, radius: int = 1, cut: float = 0.25, share: float =
     for b, f, z in zip(blocks, fused, size):
         if f >= threshold:
             weight[b.node] += z
-    children: dict[int, list[int]] = {}
     for node in range(len(page.parent) - 1, 0, -1):
         weight[page.parent[node]] += weight[node]
-        children.setdefault(page.parent[node], []).append(node)
-    at = 0
-    while page.tag[at] not in ("article", "main"):
-        best = max((c for c in children.get(at, ()) if page.tag[c] in CONTAINERS), key=weight.__getitem__, default=None)
-        if best is None or weight[best] < share * weight[0] or not weight[best]:
-            break
-        at = best
-    inside = [False] * len(page.parent)
-    inside[at] = True
-    for node in range(at + 1, len(page.parent)):
-        inside[node] = inside[page.parent[node]]
-    return [b for b, f in zip(blocks, fused) if inside[b.node] and (f >= threshold or scores[b.path][1] < 0.5)]
+    plain = [scores[b.path][1] < 0.5 for b in blocks]
+    at = next((n for n, tag in enumerate(page.tag) if tag in ("article", "main") and weight[n] and weight[n] >= share * weight[0]), None)
+    if at is not None:
+        inside = [False] * len(page.parent)
+        inside[at] = True
+        for node in range(at + 1, len(page.parent)):
+            inside[node] = inside[page.parent[node]]
+        return [b for b, f, p in zip(blocks, fused, plain) if inside[b.node] and (f >= threshold or p)]
+
+    # a table without a vote belongs to what is around it
+    container = [0] * len(page.parent)
+    for node in range(1, len(page.parent)):
+        own_one = page.tag[node] in CONTAINERS and (page.tag[node] not in TABLE or weight[node])
+        container[node] = node if own_one else container[page.parent[node]]
+    voting = [f >= threshold for f in fused]
+    if not any(voting):
+        return []
+    first, last = voting.index(True), n - 1 - voting[::-1].index(True)
+    heads = {i for i in range(last) if page.tag[blocks[i].node] in HEADINGS and plain[i]}
+    titles = [i for i in heads if i <= first]
+    start = max((i for i in titles if page.tag[blocks[i].node] == "h1"), default=max(titles, default=first))
+    chosen = {container[b.node] for b, v in zip(blocks, voting) if v} | {container[blocks[i].node] for i in heads if i >= start}
+    around = {container[blocks[i].node] for i in range(n) if voting[i]}
+    for node in list(around):
+        while node and (up := container[page.parent[node]]) not in around:
+            around.add(node := up)
+    return [b for i, b in enumerate(blocks) if voting[i] or plain[i] and (
+        container[b.node] in chosen or start <= i <= last and (i in heads or container[b.node] in around))]
 
 
 def main_text(html: str) -> str:

@@ -68,3 +68,26 @@ def test_wrappers_named_after_an_aside_keep_the_text():
                 assert main_text(f"<html><body><{tag} {name}>{shell.format(ARTICLE)}{side}{talk}</{tag}></body></html>") == TEXT, (name, shell, tag)
     assert main_text(f"<body><article>{ARTICLE}<p>More <span class='share-box'>12 shares</span> here.</p></article>") == TEXT + "\n\nMore here."
     assert main_text(f"<body><article><div class='entry with-comments'>{ARTICLE}</div></article>{talk}") == TEXT
+
+
+LONG = "<p>A sentence of the text, long enough to count; it goes on, with commas, and ends here.</p>"
+SENTENCE = "A sentence of the text, long enough to count; it goes on, with commas, and ends here."
+
+
+def test_title_intro_and_sections_beside_the_body_stay():
+    outer = "<html><body><div><a href=x>Home</a> <a href=y>About</a></div>{}<div>Powered by us</div></body></html>"
+    rest = "\n\n".join([SENTENCE] * 6)
+    assert main_text(outer.format(f"<div class=post><h1>Title</h1><p>intro</p><div class=body>{LONG * 6}</div></div>")) == "Title\n\nintro\n\n" + rest
+    assert main_text(outer.format(f"<div class=post><div class=title><h1>Title</h1></div><div class=body>{LONG * 6}</div></div>")) == "Title\n\n" + rest
+    for left, right in ((13, 7), (10, 10), (18, 2)):  # sections of 65 and 35 %, and others
+        got = main_text(outer.format(f"<div class=post><section>{LONG * left}</section><section><h2>More</h2>{LONG * right}</section></div>"))
+        assert got == "\n\n".join([SENTENCE] * left + ["More"] + [SENTENCE] * right)
+    assert main_text(outer.format(f"<div class=a><div>{LONG * 13}</div></div><div class=b><div><ul><li>{SENTENCE}<li>short</ul>{LONG * 6}</div></div>")) \
+        == "\n\n".join([SENTENCE] * 14 + ["short"] + [SENTENCE] * 6)
+
+
+def test_boilerplate_without_links_and_names_goes():
+    page = f"<body><div class=post><h1>Title</h1><div>123 views</div>{LONG * 4}<div><span>Posted in misc</span></div>{LONG * 4}<div>All rights kept</div></div>"
+    assert main_text(page) == "\n\n".join(["Title"] + [SENTENCE] * 8)
+    table = "<table><tr><td>1<td>2<tr><td>3<td>4</table>"
+    assert main_text(f"<body><div>{LONG * 4}{table}{LONG * 2}</div><div>Tel. 12</div>") == "\n\n".join([SENTENCE] * 4 + list("1234") + [SENTENCE] * 2)

@@ -7,14 +7,17 @@ weight among the others (a water level over the sources).
 Within a source every document is wanted ``target / source words`` times (times its ``weight`` over the
 source's word-weighted mean, where a weight column is named).  The whole part of that is allocated as
 certain copies.  For the fraction ``p`` left the documents are ranked by Pareto odds
-``(u / (1 - u)) / (p / (1 - p))``, with ``u`` drawn by a hash of the row, and taken in that order
-while their words fit what the source still needs; then up to ``closing`` more documents close the gap: the
-largest that fits the rest, again and again, at last the one whose size comes nearest to it.
+``(u / (1 - u)) / (p / (1 - p))``, with ``u`` drawn by a hash of the row, and gone through in that order: each
+is taken if its words fit what the source still needs, else left out, until none fits.  At last the one
+left out whose size comes nearest to the rest is taken, if that brings the source nearer to its target.
 
 Each source's ranking is cut by a histogram of the odds, then exactly within the one bin that holds the
-cut, so no task sorts a source.  The decision on a row depends on its own draw and its source's cut
-only.  Reruns agree.  NULL and blank texts have size 0 and are never sampled.  Rows repeated with equal
-id and text share a draw and are taken together.
+cut, so no task sorts a source.  After the document that does not fit, the same is done with those
+further down that fit the rest, in rounds over all sources at once.  With each round's rest at least
+every document as large as the one left out drops away, so the rounds grow like a logarithm of
+the documents.  The decision on a row depends on its own draw, its size and its source's cuts.  Reruns
+agree.  NULL and blank texts have size 0 and are never sampled.  Rows repeated with equal id and text
+share a draw and are taken together.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from servelens.llm.common import SPACE, WORD, occurrences, written
+from servelens.llm.common import SPACE, occurrences, written
 
 
 def source_targets(sizes: DataFrame, weights: tuple[float, ...], max_copies: int) -> DataFrame:
@@ -56,9 +59,10 @@ def _order(u: Column, p: Column) -> Column:
     return F.when(p > 0, u * (1 - p) / (u * (1 - p) + p * (1 - u))).otherwise(1.0)
 
 
-def sampling_plan(base: DataFrame, weights: tuple[float, ...], max_copies: int, bins: int, closing: int = 6) -> DataFrame:
-    """Per source: ``source_size, target, mean_weight``, and the cut of its ranking (``cross``: bin of the cut, ``last``: greatest order
-    taken in it, ``close``: orders of the closing documents).  ``base``: ``source, size, u, weight``."""
+def sampling_plan(base: DataFrame, weights: tuple[float, ...], max_copies: int, bins: int) -> tuple[DataFrame, DataFrame]:
+    """Per source: ``source_size, target, mean_weight``, the cuts of its ranking (``rounds``: orders between which all rows of at most a
+    size are taken) and ``close``, the order of the closing unit.  Besides, ``source, order`` of the units that fit by the size
+    of a row but not with all their rows.  ``base``: ``source, size, u, weight``."""
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("weight")).alias("weighted"))
     targets = source_targets(sizes.select("source", "source_size"), weights, max_copies)
     targets = targets.join(sizes.select(F.col("source").alias("s"), "weighted"), F.col("source").eqNullSafe(F.col("s"))).select(
@@ -69,42 +73,75 @@ def sampling_plan(base: DataFrame, weights: tuple[float, ...], max_copies: int,
     rows = rows.withColumn("wanted", _wanted(max_copies)).withColumn("whole", F.floor("wanted"))
     rows = rows.withColumn("order", _order(F.col("u"), F.col("wanted") - F.col("whole")))
     # rows of one draw are one unit; the certain copies are summed with them
-    units = rows.groupBy("source", "order").agg(F.sum("size").alias("size"), F.sum(F.col("size") * F.col("whole")).alias("certain"))
-    units = written(units.withColumn("bin", F.least(F.floor(F.col("order") * bins), F.lit(bins - 1)).cast("int")), "mixing-units")
-
-    open_ = F.when(F.col("order") < 1, F.col("size")).otherwise(0)
-    histogram = units.groupBy("source", "bin").agg(F.sum(open_).alias("size"), F.sum("certain").alias("certain"))
+    units = written(rows.groupBy("source", "order").agg(
+        F.sum("size").alias("size"), F.max("size").alias("row_size"), F.sum(F.col("size") * F.col("whole")).alias("certain")), "mixing-units")
+
+    certain = units.groupBy("source").agg(F.sum("certain").alias("certain"))
+    state = written(with_plan(targets, certain).select(
+        "source", (F.col("target") - F.col("certain") + 0.5).alias("gap"), F.lit(-1.0).alias("start"),
+        F.array().cast("array<struct<after: double, before: double, most: double>>").alias("rounds")), "mixing-cuts")
+    rest = units.filter((F.col("order") < 1) & (F.col("size") > 0)).select("source", "order", "size", "row_size")
+    rest, skipped = _still_fitting(rest, state)
+    while not rest.isEmpty():
+        state = _cut(rest, state, bins)
+        rest, more = _still_fitting(rest, state)
+        skipped = skipped.unionByName(more)
+
+    # the unit nearest to the rest, even if it goes beyond
+    skipped = written(skipped, "mixing-skipped")
+    left = with_plan(_mark_skipped(units, skipped), state).filter(
+        (F.col("order") < 1) & (F.col("size") > 0) & ~(~F.col("skipped") & _in_rounds(F.col("order"), F.col("row_size"))))
+    off = F.abs(F.col("size") - (F.col("gap") - 0.5))
+    close = left.filter(off < F.col("gap") - 0.5).groupBy("source").agg(F.min(F.struct(off.alias("off"), "order")).getField("order").alias("close"))
+    return written(with_plan(with_plan(targets, state.select("source", "rounds")), close), "mixing-plan"), skipped
+
+
+def _still_fitting(rest: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Units down the ranking that fit their source's gap, and those of which only a single row would."""
+    on = with_plan(rest, state.select("source", "gap", "start")).filter((F.col("order") > F.col("start")) & (F.col("row_size") <= F.col("gap")))
+    return (written(on.filter("size <= gap").select(*rest.columns), "mixing-rest"),
+            on.filter("size > gap").select("source", "order"))
+
+
+def _cut(rest: DataFrame, state: DataFrame, bins: int) -> DataFrame:
+    """One round: units are taken by ascending order up to the first beyond the gap, after which the next round starts."""
     by_source = Window.partitionBy("source")
-    histogram = with_plan(histogram, targets).withColumn("need", F.col("target") - F.sum("certain").over(by_source) + 0.5)
+    gaps = state.select("source", "gap", "start")
+    # bins between the start and 1, so that each round has them all
+    own = F.least(F.floor((F.col("order") - F.greatest("start", F.lit(0.0))) / (1 - F.greatest("start", F.lit(0.0))) * bins), F.lit(bins - 1)).cast("int")
+    rows = with_plan(rest, gaps).withColumn("bin", own)
+    histogram = with_plan(rows.groupBy("source", "bin").agg(F.sum("size").alias("size")), gaps)
     histogram = histogram.withColumn("upto", F.sum("size").over(by_source.orderBy("bin")))
-    cuts = histogram.groupBy("source").agg(
-        F.max("need").alias("need"), F.coalesce(F.max(F.when(F.col("upto") <= F.col("need"), F.col("upto"))), F.lit(0)).alias("before"),
-        F.min(F.when(F.col("upto") > F.col("need"), F.col("bin"))).alias("cross"))
-    cuts = written(cuts, "mixing-cuts")
-
-    inside = with_plan(units, cuts).filter((F.col("bin") == F.col("cross")) & (F.col("order") < 1))
-    inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(by_source.orderBy("order")))
-    last = inside.filter("upto <= need").groupBy("source").agg(F.max("order").alias("last"), F.max("upto").alias("got"))
-    plan = written(with_plan(cuts, last).select(
-        "source", "last", "cross", (F.col("need") - 0.5 - F.coalesce("got", "before")).alias("gap"),
-        F.array().cast("array<double>").alias("close")), "mixing-exact")
-    for k in range(closing):
-        # the largest that still fits; at last the one nearest to the rest, even if it goes beyond
-        fits = F.col("size") <= F.col("gap") if k < closing - 1 else F.abs(F.col("size") - F.col("gap")) < F.col("gap")
-        rest = with_plan(units, plan).filter((F.col("order") < 1) & ~taken(F.col("order"), bins) & ~F.array_contains("close", F.col("order"))
-                                             & (F.col("size") > 0) & fits)
-        nearest = rest.groupBy("source").agg(F.min(F.struct(F.abs(F.col("size") - F.col("gap")), "order", "size")).alias("n"))
-        plan = written(with_plan(plan, nearest).select(
-            "source", "last", "cross", (F.col("gap") - F.coalesce("n.size", F.lit(0))).alias("gap"),
-            F.when(F.col("n").isNull(), F.col("close")).otherwise(F.array_append("close", F.col("n.order"))).alias("close")), "mixing-exact")
-    return written(with_plan(targets, plan.drop("gap")), "mixing-plan")
-
-
-def taken(order: Column, bins: int) -> Column:
-    """Whether the ranking's cut takes this order value: an earlier bin, or in the crossing bin up to the last unit."""
-    own = F.least(F.floor(order * bins), F.lit(bins - 1)).cast("int")
-    return F.when(F.col("cross").isNull(), F.lit(True)).when(own < F.col("cross"), True).otherwise(
-        (own == F.col("cross")) & F.coalesce(order <= F.col("last"), F.lit(False)))
+    cuts = written(histogram.groupBy("source").agg(
+        F.coalesce(F.max(F.when(F.col("upto") <= F.col("gap"), F.col("upto"))), F.lit(0)).alias("got_before"),
+        F.min(F.when(F.col("upto") > F.col("gap"), F.col("bin"))).alias("cross")), "mixing-histogram")
+    inside = with_plan(rows, cuts).filter(F.col("bin") == F.col("cross"))
+    inside = inside.withColumn("upto", F.col("got_before") + F.sum("size").over(by_source.orderBy("order")))
+    exact = inside.groupBy("source").agg(F.max(F.when(F.col("upto") <= F.col("gap"), F.col("upto"))).alias("got"),
+                                         F.min(F.when(F.col("upto") > F.col("gap"), F.col("order"))).alias("first_out"))
+    found = with_plan(with_plan(state, cuts), exact)
+    end = F.coalesce("first_out", F.lit(1.0))
+    return written(found.select(
+        "source", (F.col("gap") - F.coalesce("got", "got_before", F.lit(0))).alias("gap"),
+        F.when(F.col("got_before").isNull(), F.col("start")).otherwise(end).alias("start"),
+        F.when(F.col("got_before").isNull(), F.col("rounds")).otherwise(
+            F.array_append("rounds", F.struct(F.col("start").alias("after"), end.alias("before"), F.col("gap").alias("most")))).alias("rounds")), "mixing-cuts")
+
+
+def _in_rounds(order: Column, row_size: Column) -> Column:
+    return F.coalesce(F.exists("rounds", lambda r: (order > r["after"]) & (order < r["before"]) & (row_size <= r["most"])), F.lit(False))
+
+
+def _mark_skipped(rows: DataFrame, skipped: DataFrame) -> DataFrame:
+    """Adds ``skipped`` to rows with ``source`` and ``order``.  Only repeated rows can be skipped: mostly there are none, else they are joined."""
+    if skipped.isEmpty():
+        return rows.withColumn("skipped", F.lit(False))
+    # certain rows have no draw to join by: a value of their own, beyond all orders, spreads them
+    key = F.when(F.col("order") < 1, F.col("order")).otherwise(2 + F.rand(0))
+    marks = skipped.select(F.col("source").alias("servelens_source"), F.col("order").alias("servelens_order"), F.lit(True).alias("servelens_mark"))
+    joined = rows.withColumn("servelens_key", key).join(
+        marks, (F.col("servelens_key") == F.col("servelens_order")) & F.col("source").eqNullSafe(F.col("servelens_source")), "left")
+    return joined.withColumn("skipped", F.col("servelens_mark").isNotNull()).drop(*marks.columns, "servelens_key")
 
 
 def with_plan(rows: DataFrame, plan: DataFrame) -> DataFrame:
@@ -126,20 +163,21 @@ def _base(docs: DataFrame, weight: str | None, seed: int) -> DataFrame:
         (F.greatest(F.coalesce(F.col(weight).cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else F.lit(1.0)).alias("weight"))
 
 
-def _copies(max_copies: int, bins: int) -> Column:
-    """Copies of a row that carries its source's plan, ``u`` and ``weight``."""
-    relative = F.when(F.col("mean_weight") > 0, F.col("weight") / F.col("mean_weight")).otherwise(1.0)
-    wanted = F.least(F.lit(float(max_copies)), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0) * relative)
-    order = _order(F.col("u"), wanted - F.floor(wanted))
-    sampled = (order < 1) & (taken(order, bins) | F.coalesce(F.array_contains("close", order), F.lit(False)))
-    return F.when(F.col("size") > 0, F.floor(wanted) + sampled.cast("long")).otherwise(0)
+def with_copies(rows: DataFrame, plan: DataFrame, skipped: DataFrame, max_copies: int) -> DataFrame:
+    """Adds ``copies`` and the plan to rows with ``source``, ``size``, ``u`` and ``weight``."""
+    rows = with_plan(rows, plan)
+    rows = rows.withColumn("relative", F.when(F.col("mean_weight") > 0, F.col("weight") / F.col("mean_weight")).otherwise(1.0))
+    rows = rows.withColumn("wanted", _wanted(max_copies))
+    rows = _mark_skipped(rows.withColumn("order", _order(F.col("u"), F.col("wanted") - F.floor("wanted"))), skipped)
+    sampled = (F.col("order") < 1) & (~F.col("skipped") & _in_rounds(F.col("order"), F.col("size")) | F.coalesce(F.col("order") == F.col("close"), F.lit(False)))
+    return rows.withColumn("copies", F.when(F.col("size") > 0, F.floor("wanted") + sampled.cast("long")).otherwise(0))
 
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_copies: int = 3, weight: str | None = None, seed: int = 17, bins: int = 4096) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` (words with repeats) of every row."""
     base = written(_base(docs, weight, seed), "mixing-base")
-    plan = sampling_plan(base, weights, max_copies, bins)
-    return with_plan(base, plan).withColumn("copies", _copies(max_copies, bins)).select(
+    plan, skipped = sampling_plan(base, weights, max_copies, bins)
+    return with_copies(base, plan, skipped, max_copies).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
@@ -147,11 +185,11 @@ def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max
                     bins: int = 4096) -> DataFrame:
     """The documents themselves, each as many times as the mix takes it, with all their columns.
     Documents without a word are in no mix."""
-    plan = sampling_plan(written(_base(docs, weight, seed).drop("doc_id"), "mixing-base"), weights, max_copies, bins)
+    plan, skipped = sampling_plan(written(_base(docs, weight, seed).drop("doc_id"), "mixing-base"), weights, max_copies, bins)
     own = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
-    keyed = docs.select(own, F.struct("doc_id").alias("id")).select(
+    keyed = docs.select(own).select(
         "row", F.col("row.source").cast("string").alias("source"), _draw(F.col("row.doc_id"), F.col("row.text"), seed).alias("u"),
-        F.rlike("row.text", F.lit(WORD)).cast("long").alias("size"),
+        word_count(F.col("row.text")).alias("size"),
         (F.greatest(F.coalesce(F.col(f"row.{weight}").cast("double"), F.lit(0.0)), F.lit(0.0)) if weight else F.lit(1.0)).alias("weight"))
-    copies = with_plan(keyed, plan).select("row", _copies(max_copies, bins).cast("int").alias("copies")).filter("copies > 0")
+    copies = with_copies(keyed, plan, skipped, max_copies).select("row", F.col("copies").cast("int").alias("copies")).filter("copies > 0")
     return copies.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

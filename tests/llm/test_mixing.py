@@ -87,3 +87,58 @@ def test_edges(spark):
     assert mixing.mix(helpers.empty(spark)).count() == 0 and mixing.mixed_documents(helpers.empty(spark)).count() == 0
     blank = mixing.mix(helpers.frame(spark, [None, "", " "])).collect()
     assert [(r.size, r.taken, r.target) for r in blank] == [(0, 0, 0.0)] * 3
+
+
+def plain_taken(rows, target, copies_wanted):
+    """Sizes taken of one source by the plain rule: down the ranking, each unit that fits, at last the nearest.
+    ``rows``: (order, size); equal orders are one unit."""
+    units = defaultdict(int)
+    for order, size in rows:
+        units[order] += size
+    gap, left, total = target - int(copies_wanted) * sum(units.values()), [], int(copies_wanted) * sum(units.values())
+    for order in sorted(units):
+        if units[order] <= gap + 0.5:
+            gap, total = gap - units[order], total + units[order]
+        else:
+            left.append(units[order])
+    nearest = min(left, key=lambda n: abs(n - gap), default=None)
+    return total + (nearest if nearest is not None and abs(nearest - gap) < gap else 0)
+
+
+def orders(df, source, wanted, seed=17):
+    own = df.filter(F.col("source") == source).select(mixing._draw(F.col("doc_id"), F.col("text"), seed).alias("u"), mixing.word_count(F.col("text")).alias("size"))
+    p = F.lit(wanted - int(wanted))
+    return [(r.o, r.size) for r in own.select(mixing._order(F.col("u"), p).alias("o"), "size").collect() if r.size]
+
+
+def test_a_very_long_document_leaves_the_target_reached(spark):
+    """Source 'b' has one text of 20,000 words among 500 of 100; its target is below its words."""
+    texts = ["w " * 99 + f"x{i}" for i in range(500)] + ["w " * 20_000] + ["w " * 99 + f"y{i}" for i in range(700)]
+    df = helpers.frame(spark, texts, ["b"] * 501 + ["a"] * 700)
+    for seed in (4, 7):  # draws that put the long one where it does not fit
+        got = mixing.mix(df, seed=seed).filter("source = 'b'").collect()
+        target, taken = got[0].target, sum(r.taken for r in got)
+        assert abs(taken - target) <= 51, (seed, taken, target)
+        wanted = target / got[0].source_size
+        assert taken == plain_taken(orders(df, "b", wanted, seed), target, wanted)
+
+
+def test_rounds_equal_the_plain_rule_on_mixed_sizes_and_repeated_rows(spark):
+    texts = [f"x{i} " + "w " * int(1.6 ** (i % 19)) for i in range(300)]
+    ids = list(range(300))
+    for again in range(0, 300, 7):  # rows repeated one to five times
+        texts += [texts[again]] * (1 + again % 5)
+        ids += [again] * (1 + again % 5)
+    df = helpers.frame(spark, texts, ["a" if i % 3 else "b" for i in ids], ids)
+    for seed in (17, 5):
+        got = mixing.mix(df, seed=seed).collect()
+        for source in "ab":
+            own = [r for r in got if r.source == source]
+            wanted = own[0].target / own[0].source_size
+            assert sum(r.taken for r in own) == plain_taken(orders(df, source, wanted, seed), own[0].target, wanted)
+        copies = defaultdict(set)
+        for r in got:
+            copies[r.doc_id].add(r.copies)
+        assert all(len(c) == 1 for c in copies.values())
+        docs = mixing.mixed_documents(df, seed=seed).collect()
+        assert sum(size_of(r.text) for r in docs) == sum(r.taken for r in got)

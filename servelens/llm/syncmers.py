@@ -3,13 +3,17 @@
 A text is the sequence of its words' hashes.  Of each run of ``k`` words the inner runs of ``s`` words are
 hashed; the run is an anchor (a closed syncmer) if the least inner hash stands at its first or last place.
 Whether a run is an anchor depends on the run alone, so shared passages share their anchors wherever
-they stand, and anchors keep their word position for matching by position (``anchors``).
+they stand, and anchors keep their word position.
 
-The fingerprint is the bottom sketch of the anchors: the ``sketch`` smallest distinct anchor hashes (32
-bits), all anchors of the whole text competing.  The likeness of two fingerprints estimates the share of
-common anchors: the part of the smallest values of the union that both hold.  Texts of fewer than ``k``
-words have one anchor, their whole sequence; texts without words have an empty fingerprint, like only
-to another empty one.  NULL counts as the empty text.
+The likeness of two texts is computed from all their anchors.  Each anchor hash that both texts hold pairs
+its first positions in the two; a pair counts if the pair before or after it in the text has the same
+offset, so that a match by chance of a few words far from any other does not.  (Where a text has one
+distinct anchor only, its pair counts alone.)  The likeness is the part of the distinct anchors of both that
+counts; two texts without words have 1.
+
+The fingerprint grows with the text: it holds the distinct anchor hashes (32 bits) below a fixed threshold,
+a 32nd of the range, and at least the ``sketch`` smallest.  Texts of fewer than ``k`` words have one
+anchor, their whole sequence; texts without words have an empty fingerprint.  NULL counts as the empty text.
 """
 
 from __future__ import annotations
@@ -41,15 +45,51 @@ def with_anchors(df: DataFrame, text: str, out: str, k: int = 5, s: int = 2) ->
     return df.withColumn(out, F.when(n >= k, found).when(n > 0, whole).otherwise(F.slice(whole, 1, 0))).drop(words, inner)
 
 
-def sketch_of(anchors: Column, size: int) -> Column:
-    return F.slice(F.array_sort(F.array_distinct(anchors["hash"])), 1, size)
+#: anchor hashes below it are in every fingerprint
+THRESHOLD = 1 << 27
+
+
+def sketch_of(hashes: Column, size: int) -> Column:
+    """Of sorted distinct hashes: those below the threshold, at least ``size``."""
+    below = F.size(F.filter(hashes, lambda h: h < THRESHOLD))
+    return F.when(F.size(hashes) <= size, hashes).otherwise(F.slice(hashes, 1, F.greatest(F.lit(size), below)))
+
+
+def packed(anchors: Column) -> Column:
+    """Hash and position of each anchor in one number."""
+    return F.transform(anchors, lambda a: F.shiftleft(a["hash"], 31) + a["position"])
 
 
-def likeness(a: Column, b: Column, size: int) -> Column:
-    """Of two sketches, from 0 to 1."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, size)
-    both = F.size(F.array_intersect(F.array_intersect(union, a), b))
-    return F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).otherwise(both / F.greatest(F.size(union), F.lit(1)))
+def hashes_of(anchors: Column) -> Column:
+    return F.transform(anchors, lambda v: F.shiftright(v, 31))
+
+
+def distinct_hashes(anchors: Column) -> Column:
+    return F.sort_array(F.array_distinct(hashes_of(anchors)))
+
+
+def with_likeness(df: DataFrame, a: str, b: str, a_hashes: str, out: str) -> DataFrame:
+    """Adds ``out``, from 0 to 1: the likeness of the packed anchors ``a`` (with their hashes) and ``b``.
+    Arrays that lambdas look into are columns of their own."""
+    b_hashes, merged, pairs = f"{out}_hashes", f"{out}_merged", f"{out}_pairs"
+    place, low = (1 << 30) - 1, (1 << 31) - 1
+    none = F.array().cast("array<bigint>")
+    df = fenced(df.withColumn(b_hashes, hashes_of(F.col(b))))
+    # by hash, first the positions in a from the last, then those in b from the first: the pair meets in the middle
+    both = F.sort_array(F.concat(F.transform(a, lambda v: v + place - 2 * v.bitwiseAND(F.lit(place))), F.transform(b, lambda v: v + (place + 1))))
+    df = fenced(df.withColumn(merged, F.when(F.arrays_overlap(a_hashes, b_hashes), both).otherwise(none)))
+    at = lambda i: F.get(F.col(merged), i)
+    meet = F.filter(F.sequence(F.lit(0), F.size(merged) - 2), lambda i: (F.shiftright(at(i), 31) == F.shiftright(at(i + 1), 31))
+                    & (F.shiftright(at(i), 30) != F.shiftright(at(i + 1), 30)))
+    found = F.transform(meet, lambda i: F.shiftleft(place - at(i).bitwiseAND(F.lit(place)), 31) + at(i + 1).bitwiseAND(F.lit(place)))
+    df = fenced(df.withColumn(pairs, F.when(F.size(merged) > 0, F.sort_array(found)).otherwise(none)))
+    offset = lambda i: F.get(F.col(pairs), i).bitwiseAND(F.lit(low)) - F.shiftright(F.get(F.col(pairs), i), 31)
+    same = lambda x, y: F.coalesce(x == y, F.lit(False))
+    kept = F.size(F.filter(F.sequence(F.lit(0), F.size(pairs) - 1), lambda i: same(offset(i), offset(i - 1)) | same(offset(i), offset(i + 1))))
+    single = (F.array_min(a_hashes) == F.array_max(a_hashes)) | (F.array_min(b_hashes) == F.array_max(b_hashes))
+    count = F.when(F.size(pairs) == 0, 0).when(single, F.size(pairs)).otherwise(kept)
+    value = F.when((F.size(a) == 0) & (F.size(b) == 0), 1.0).when(F.size(pairs) == 0, 0.0).otherwise(count / F.size(F.array_union(a_hashes, b_hashes)))
+    return df.withColumn(out, value).drop(b_hashes, merged, pairs)
 
 
 def as_text(sketch: Column) -> Column:
@@ -60,7 +100,7 @@ def as_text(sketch: Column) -> Column:
 def fingerprints(docs: DataFrame, k: int = 5, s: int = 2, sketch: int = 64) -> DataFrame:
     """``doc_id``, anchors and the fingerprint of every row."""
     df = with_anchors(docs.select("doc_id", F.col("text").alias("t")), "t", "anchors", k, s)
-    return df.select("doc_id", "anchors", as_text(sketch_of(F.col("anchors"), sketch)).alias("fingerprint"))
+    return df.select("doc_id", "anchors", as_text(sketch_of(distinct_hashes(packed(F.col("anchors"))), sketch)).alias("fingerprint"))
 
 
 def with_followers(docs: DataFrame) -> DataFrame:
@@ -85,16 +125,20 @@ def with_followers(docs: DataFrame) -> DataFrame:
 
 def edited_fingerprints(docs: DataFrame, k: int = 5, s: int = 2, sketch: int = 64) -> DataFrame:
     """Each text's fingerprint, that of its edited text (the last half of its code points replaced by as many
-    of the next document's first), and the likenesses to the edited text and to the next document."""
+    of the next document's first), and the likenesses by all anchors to the edited text and to the next document."""
     df = with_followers(docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text")))
-    df = with_anchors(df, "text", "anchors", k, s).withColumn("own", sketch_of(F.col("anchors"), sketch)).drop("anchors")
+    # dealt before the anchors are made, so that only texts are moved
+    df = df.repartition(F.col("bucket"))
+    df = with_anchors(df, "text", "anchors", k, s).withColumn("own", packed(F.col("anchors"))).drop("anchors")
     order = Window.partitionBy("bucket").orderBy("part", F.col("doc_id").asc_nulls_last(), "text")
     df = df.withColumn("next_text", F.lead("text").over(order)).withColumn("next_own", F.lead("own").over(order)).filter("part = 0")
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substr("text", F.lit(1), n - half), F.substr("next_text", F.lit(1), half))
-    df = df.select("doc_id", n.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"))
-    df = with_anchors(df, "edited", "anchors", k, s).withColumn("edited_own", sketch_of(F.col("anchors"), sketch)).drop("anchors")
-    return fenced(df.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(F.col("own")).alias("fingerprint"),
-                     as_text(F.col("edited_own")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("edited_own"), sketch).alias("near_edited"),
-                     likeness(F.col("own"), F.col("next_own"), sketch).alias("near_next")))
+    df = df.select("doc_id", n.cast("long").alias("n_chars"), "own", "next_own", edited.alias("edited"), distinct_hashes(F.col("own")).alias("hashes"))
+    df = with_likeness(fenced(df), "own", "next_own", "hashes", "near_next").drop("next_own")
+    df = with_anchors(df, "edited", "anchors", k, s).withColumn("edited_own", packed(F.col("anchors"))).drop("anchors")
+    df = with_likeness(df, "own", "edited_own", "hashes", "near_edited").drop("own")
+    df = fenced(df.withColumn("edited_hashes", distinct_hashes(F.col("edited_own"))).drop("edited_own"))
+    return fenced(df.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), as_text(sketch_of(F.col("hashes"), sketch)).alias("fingerprint"),
+                            as_text(sketch_of(F.col("edited_hashes"), sketch)).alias("edited_fingerprint"), "near_edited", "near_next"))

@@ -78,3 +78,38 @@ def test_likeness_of_copies_and_shifted_passages(spark):
     words = [f"w{i}" for i in range(200)]
     got = {r.doc_id: r for r in syncmers.edited_fingerprints(helpers.frame(spark, [" ".join(words), " ".join(words), "x y z " + " ".join(words), "other " * 3])).collect()}
     assert got[0].near_next == 1.0 and got[1].near_next > 0.9 and got[2].near_next == 0.0
+
+
+def plain_likeness(a, b):
+    """``a``, ``b``: lists of (position, hash)."""
+    first = [{}, {}]
+    for side, anchors in enumerate((a, b)):
+        for position, h in anchors:
+            first[side][h] = min(position, first[side].get(h, position))
+    if not a and not b:
+        return 1.0
+    pairs = sorted((first[0][h], first[1][h]) for h in first[0].keys() & first[1].keys())
+    off = [None] + [y - x for x, y in pairs] + [None]
+    count = len(pairs) if 1 in (len(first[0]), len(first[1])) else sum(off[i] in (off[i - 1], off[i + 1]) for i in range(1, len(off) - 1))
+    return count / len(first[0].keys() | first[1].keys())
+
+
+def test_likeness_uses_all_anchors_by_position(spark):
+    docs = [r.text for r in helpers.fixture_docs(spark).limit(60).collect()] + [r.text or "" for r in helpers.edge(spark).collect()]
+    docs += ["a b c d e f g h " * 9, "a b c d e f g h " * 7 + "z", "a b c d e q r s a b c d e"]
+    df = helpers.frame(spark, docs)
+    anchors = {r.doc_id: [(a.position, a.hash) for a in r.anchors] for r in syncmers.fingerprints(df).collect()}
+    for r in syncmers.edited_fingerprints(df).collect():
+        expect = plain_likeness(anchors[r.doc_id], anchors[(r.doc_id + 1) % len(docs)])
+        assert abs(r.near_next - expect) < 1e-12, r.doc_id
+
+
+def test_a_passage_counts_in_long_texts_and_fingerprints_grow(spark):
+    own = lambda name, n: [f"{name}{i}" for i in range(n)]
+    shared, long = own("s", 60), own("l", 20_000)
+    texts = [own("a", 10_000) + shared + own("b", 10_000), own("c", 3_000) + shared + own("d", 17_000),  # share a passage
+             long, long[:9_000] + own("r", 60) + long[9_060:], own("e", 400)]
+    got = {r.doc_id: r for r in syncmers.edited_fingerprints(helpers.frame(spark, [" ".join(t) for t in texts])).collect()}
+    assert 0.0005 < got[0].near_next < 0.003  # about 28 of 20,000
+    assert 0.98 < got[2].near_next < 1.0
+    assert len(got[2].fingerprint) > 8 * 200 and len(got[4].fingerprint) == 8 * 64

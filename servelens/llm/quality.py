@@ -3,11 +3,12 @@
 1. Every whole document gets the votes of overlapping heuristic labellers (good, bad, none).
 2. The vote patterns are counted over all documents (at most 3 ** labellers of them) and
    expectation maximisation estimates each labeller's accuracy and the share of good documents.
-3. A logistic scorer on hashed features (word shapes and statistics) is fitted to the posterior
+3. A logistic scorer on hashed features (words, word shapes and statistics) is fitted to the posterior
    labels of a bounded sample of about ``train_rows`` documents, drawn by a hash of the row.
 4. Every whole document is scored; it is kept if the score reaches ``threshold``.
 
-No given label is used.  NULL texts count as empty; an empty text has only the vote of the length
+The labellers know form, not content: a document that is bad by its content only (toxic, say) has the
+votes of a good one, so the words cannot learn it either.  No given label is used.  NULL texts count as empty; an empty text has only the vote of the length
 labeller.  Repeated rows are scored alike.  An empty table gives an empty result.
 """
 
@@ -127,13 +128,18 @@ def fit_label_model(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 2
     return model
 
 
+#: start of the checksum of words, apart from shapes of the same characters
+_WORD = zlib.crc32(b"word:")
+
+
 @lru_cache(maxsize=20_000)
 def _slot(name: bytes, size: int) -> int:
     return zlib.crc32(name) % size
 
 
 def features_of(text: bytes, stats: Stats, size: int) -> dict[int, float]:
-    """Hashed features: root of each word shape's share (runs of a character class as one), and steps of the statistics."""
+    """Hashed features: roots of the shares of each word (lower case) and word shape (runs of a character class as one), and steps
+    of the statistics."""
     from collections import Counter
 
     import numpy as np
@@ -147,6 +153,10 @@ def features_of(text: bytes, stats: Stats, size: int) -> dict[int, float]:
     for word, n in counts.items():
         slot = _slot(word, size)
         found[slot] = found.get(slot, 0.0) + (n / total) ** 0.5
+    words = Counter(text.lower().split())
+    for word, n in words.items():
+        slot = zlib.crc32(word, _WORD) % size
+        found[slot] = found.get(slot, 0.0) + (n / max(1, stats.words)) ** 0.5
     steps = {"words": min(8, stats.words.bit_length())} | {
         name: min(10, int(20 * getattr(stats, name))) for name in ("symbols", "capitals", "shouts", "repeats", "function", "stops", "dup_lines")} | {
         "variety": min(10, int(stats.distinct * stats.words ** 0.5))}

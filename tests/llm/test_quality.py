@@ -45,3 +45,12 @@ def test_edges(spark):
     kept = quality.keep_good(df)
     assert kept.columns == df.columns
     assert quality.classify(helpers.empty(spark)).count() == 0 and quality.keep_good(helpers.empty(spark)).count() == 0
+
+
+def test_scorer_sees_words_beside_shapes():
+    texts = [b"the cat sat on a mat", b"the dog sat on a mat"]  # equal shapes and statistics
+    a, b = (quality.features_of(x, quality.stats_of(x), 2048) for x in texts)
+    assert a != b
+    w = quality.fit_scorer([a, b] * 20, [1.0, 0.0] * 20, 2048, rounds=400)
+    model = quality.QualityModel(quality.LabelModel(0.5, (), ()), tuple(w.tolist()))
+    assert model.score(texts[0]) > 0.5 > model.score(texts[1])

@@ -71,9 +71,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), vocabulary(PIECES))
 
 
+def op11_orchard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.orchard import code_digest
+    return code_digest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), parts=8, entries=16, rounds=6)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.filter_audit import audit
+    return audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from servelens.llm.suffix_dedup import without_repeats
+    return without_repeats(documents(spark, sf_dir), min_bytes=400)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_mixing, op4_html, op5_rules, op6_id_files, op7_simhash, op8_packing, op9_pii, op10_token_counts)}
+    return {f.__name__: f for f in (op1_quality, op2_fingerprints, op3_mixing, op4_html, op5_rules, op6_id_files, op7_simhash, op8_packing, op9_pii,
+                                    op10_token_counts, op11_orchard, op12_filter_audit, op13_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from servelens.llm.filter_audit import AUDIT_SQL
+    from servelens.llm.orchard import CODES_SQL
+    return {"op11_orchard": CODES_SQL, "op12_filter_audit": AUDIT_SQL}

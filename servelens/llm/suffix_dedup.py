@@ -322,7 +322,8 @@ def repeated_spans(rows: DataFrame, min_bytes: int, gram: int, shard_bytes: int)
     """``(doc_id, td, spans)`` for the texts of ``(doc_id, td, data)`` that hold repeated windows."""
     found = written(anchors(rows, min_bytes, gram), "suffix-anchors")
     size = F.col("n") + F.lit(min_bytes - 1)
-    often = found.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
+    # written, so that the join's sides are shuffles or a broadcast of known size and a hot anchor's rows can be split
+    often = written(found.groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h"), "suffix-often")
     found = written(found.join(often, "h", "left_semi"), "suffix-repeated")
     distinct = written(found.groupBy("h", "f").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc_id", "td", "start", "n")).alias("x"))
                        .select("h", "f", "copies", "x.*"), "suffix-fragments")

@@ -69,11 +69,6 @@ def semi_join(df: DataFrame, keys_df: DataFrame, on, anti: bool = False) -> Data
     return df.join(keys_df, on, "left_anti" if anti else "left_semi")
 
 
-def align(dfs: Sequence[DataFrame], key: str) -> DataFrame:
-    """n-way outer alignment of keyed vectors (J14): chain of full outer joins."""
-    return reduce(lambda a, b: a.join(b, key, "full"), dfs)
-
-
 def substring_lookup(targets: DataFrame, source: DataFrame, target_col: str, source_col: str,
                      append: Sequence[str], contains: bool = False) -> DataFrame:
     """Find-any lookup (J12): append ``append`` columns of the ``source`` row
@@ -135,32 +130,141 @@ def union_ordered(*dfs: DataFrame, priority_col: str = "__priority") -> DataFram
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
 
 
-def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Existing rows plus the new rows whose key is not yet present."""
-    missing = new.join(existing.select(*keys).distinct(), list(keys), "left_anti")
-    return existing.unionByName(missing, allowMissingColumns=True)
+def _same_key(keys: Sequence[str]) -> Column:
+    """Equality of the keys with those named ``__of_<key>``; NULL equals NULL."""
+    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in keys])
+
+
+def split_by_keys(df: DataFrame, keys_df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows of ``df`` whose key occurs in ``keys_df`` and the others; NULL equals NULL."""
+    wanted = keys_df.select(*[F.col(k).alias(f"__of_{k}") for k in keys]).distinct()
+    return df.join(wanted, _same_key(keys), "left_semi"), df.join(wanted, _same_key(keys), "left_anti")
+
+
+def first_wins(existing: DataFrame, new: DataFrame, keys: Sequence[str],
+               order: Sequence[tuple[str, bool]] = ()) -> DataFrame:
+    """One row per key of ``new``: a stored row if there is one, else a new row.
 
+    Only flagged rows, those whose key is registered anew, take part.  Several
+    stored rows of a flagged key collapse to the first in ``order`` (pairs of
+    column and ascending, then least values), in one aggregate over both inputs.
+    """
+    flagged, _ = split_by_keys(existing, new, keys)
+    rows = union_ordered(flagged, new)
+    cols = [c for c in rows.columns if c not in (*keys, "__priority")]
+    return top1_by(rows, keys, [("__priority", True), *order], cols).select(*[c for c in rows.columns if c != "__priority"])
+
+
+def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str],
+                     order: Sequence[tuple[str, bool]] = ()) -> DataFrame:
+    """Existing rows plus the new rows whose key is not yet present.
+
+    Stored rows that share a key of ``new`` are reduced to the first
+    (:func:`first_wins`); stored rows of other keys stay as they are.
+    """
+    _, others = split_by_keys(existing, new, keys)
+    return others.unionByName(first_wins(existing, new, keys, order), allowMissingColumns=True)
 
-def upsert_last_wins(existing: DataFrame, updates: DataFrame, keys: Sequence[str],
-                     order: Sequence[Column] | None = None) -> DataFrame:
-    """Update-else-insert on ``keys`` (K3-K5): an update replaces the existing
-    row with the same key; among several updates of one key the last in
-    ``order`` wins (default: input order of ``updates`` is not defined in
-    Spark, so pass an explicit order column)."""
-    ex = existing.withColumn("__src", F.lit(0))
-    up = updates.withColumn("__src", F.lit(1))
-    u = ex.unionByName(up, allowMissingColumns=True)
-    order = list(order or [])
-    w = Window.partitionBy(*keys).orderBy(F.col("__src").desc(), *[o for o in order])
-    return u.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") == 1).drop("__rn", "__src")
+
+def merge_rows(inputs: Sequence[DataFrame], keys: Sequence[str], latest: Sequence[str] = ()) -> DataFrame:
+    """One row per key: for each column the value last written among the inputs that carry it.
+
+    ``inputs`` are in the order of writing; of rows of one key in one input the
+    one with the greatest ``latest`` (then the greatest values) is the last.  A
+    column that an input lacks is not touched by it, a NULL that it carries is
+    written.  Columns carried by the same inputs are decided together, by one
+    ``max_by`` in one aggregate, so rows of a frequent key are combined before
+    the shuffle.
+    """
+    columns = list(dict.fromkeys(c for df in inputs for c in df.columns if c not in keys))
+    carriers: dict[tuple[int, ...], list[str]] = {}
+    for c in columns:
+        carriers.setdefault(tuple(i for i, df in enumerate(inputs) if c in df.columns), []).append(c)
+    tagged = []
+    for i, df in enumerate(inputs):
+        groups = []
+        for g, (which, cols) in enumerate(carriers.items()):
+            if i not in which:
+                continue
+            value = F.struct(*[F.col(c) for c in cols])
+            rank = [F.col(c).alias(f"r{n}") if c in df.columns else F.lit(None).alias(f"r{n}") for n, c in enumerate(latest)]
+            groups += [value.alias(f"__v{g}"), F.struct(F.lit(i).alias("i"), *rank, value.alias("v")).alias(f"__s{g}")]
+        tagged.append(df.select(*keys, *groups))
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), tagged)
+    last = rows.groupBy(*keys).agg(*[F.max_by(f"__v{g}", f"__s{g}").alias(f"__v{g}") for g in range(len(carriers))])
+    place = {c: g for g, cols in enumerate(carriers.values()) for c in cols}
+    return last.select(*keys, *[F.col(f"__v{place[c]}.{c}").alias(c) for c in columns])
+
+
+def upsert_last_wins(existing: DataFrame, updates: DataFrame | Sequence[DataFrame], keys: Sequence[str],
+                     latest: Sequence[str] = ()) -> DataFrame:
+    """Update-else-insert on ``keys`` (K3-K5).
+
+    ``updates`` is one input or several in the order of writing.  A stored row
+    with an update's key keeps the columns that the updates do not carry and
+    gets the others from the last update (see :func:`merge_rows`); a key that is
+    not stored is inserted.  Stored rows of other keys are passed on untouched,
+    without a shuffle where the updates are small.  NULL equals NULL in keys.
+    """
+    updates = [updates] if isinstance(updates, DataFrame) else list(updates)
+    touched = reduce(lambda a, b: a.union(b), [u.select(*keys) for u in updates])
+    stored, others = split_by_keys(existing, touched, keys)
+    merged = merge_rows([stored, *updates], keys, latest)
+    out = [*existing.columns, *[c for c in merged.columns if c not in existing.columns]]
+    return others.unionByName(merged, allowMissingColumns=True).select(*out)
+
+
+def append_guarded(target: DataFrame, source: DataFrame, on: Sequence[str], limit: int, mode: str = "error",
+                   how: str = "inner") -> DataFrame:
+    """Every target row with each source row of its key, at most ``limit`` source rows a key.
+
+    The rows are counted per key inside the plan and no action runs on the
+    driver.  ``error``: the query fails when a key that a target row meets has
+    more rows.  ``warn``: all rows pass, with a flag column ``over_limit``.
+    """
+    if mode not in ("error", "warn"):
+        raise ValueError(f"mode must be 'error' or 'warn', not {mode!r}")
+    counts = source.groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
+    counted = target.join(counts, list(on), "left")
+    over = F.coalesce(F.col("__n") > F.lit(limit), F.lit(False))
+    if mode == "error":
+        message = F.concat(F.lit("append: "), F.col("__n").cast("string"), F.lit(f" rows for one key, at most {limit} are allowed"))
+        counted = counted.where(F.when(over, F.raise_error(message).cast("boolean")).otherwise(F.lit(True)))
+    else:
+        counted = counted.withColumn("over_limit", over)
+    return counted.drop("__n").join(source, list(on), how)
 
 
 def number_rows(df: DataFrame, order: Sequence[Column], partition: Sequence[str] = (), name: str = "RecordID",
                 start: int = 1) -> DataFrame:
-    """Row numbering from ``start`` (N2, N6).  Without a partition the window
-    runs in one task: use only on inputs bounded by construction."""
-    w = Window.partitionBy(*partition).orderBy(*order) if partition else Window.orderBy(*order)
-    return df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
+    """Row numbering from ``start``.
+
+    With ``partition`` a window per partition.  Without, the whole table is
+    numbered in its order without passing through one task: rows are range
+    partitioned and sorted, numbered within their partition and written; the
+    partitions' counts (one row each) give the number before each partition.
+    Rows equal in ``order`` are numbered in any order.
+    """
+    if partition:
+        w = Window.partitionBy(*partition).orderBy(*order)
+        return df.withColumn(name, (F.row_number().over(w) + F.lit(start - 1)).cast("bigint"))
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the id holds the partition above 33 bits and the row's place in it below
+    tagged = materialize(ranged.withColumn("__id", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftrightunsigned("__id", 33)
+    tagged = tagged.withColumn("__part", part)
+    counts = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    so_far = lambda done: F.coalesce(F.try_element_at(done, F.lit(-1))["after"], F.lit(0).cast("bigint"))
+    running = F.aggregate(
+        "all", F.array().cast("array<struct<__part: bigint, before: bigint, after: bigint>>"),
+        lambda done, x: F.concat(done, F.array(F.struct(
+            x["__part"].alias("__part"), so_far(done).alias("before"), (so_far(done) + x["n"]).alias("after")))))
+    before = (counts.agg(F.array_sort(F.collect_list(F.struct("__part", "n"))).alias("all"))
+              .select(F.explode(running).alias("x")).select("x.__part", "x.before"))
+    # one row per partition of the numbered table
+    place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = tagged.join(F.broadcast(before), "__part")
+    return numbered.select(*df.columns, (F.col("before") + place + F.lit(start)).cast("bigint").alias(name))
 
 
 # ---------------------------------------------------------------------------
@@ -186,9 +290,12 @@ def carry_forward(df: DataFrame, order: str, anchor_value: str, net: str, partit
     window pass, not a loop.  A row before the first anchor has no balance
     and raises, as the sequential definition does.
     ``partition`` names the model / scenario column; the periods of one
-    model are a handful of rows.
+    model are a handful of rows.  Without it the input is one model.
     """
-    base = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
+    if not partition:
+        one = carry_forward(df.withColumn("__model", F.lit("")), order, anchor_value, net, ["__model"], name)
+        return one.drop("__model")
+    base = Window.partitionBy(*partition)
     w_run = base.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     is_anchor = F.coalesce(F.col(anchor_value) > 0, F.lit(False))
     out = df.withColumn("__seg", F.sum(is_anchor.cast("int")).over(w_run))
@@ -204,9 +311,11 @@ def carry_forward(df: DataFrame, order: str, anchor_value: str, net: str, partit
 
 def top_with_ties(df: DataFrame, value: str, partition: Sequence[str] = ()) -> DataFrame:
     """Rows whose ``value`` equals the maximum of their partition (T1, F18);
-    NULL values never qualify."""
-    w = Window.partitionBy(*partition) if partition else Window.partitionBy(F.lit(0))
-    return df.withColumn("__max", F.max(value).over(w)).where(F.col(value) == F.col("__max")).drop("__max")
+    NULL values never qualify.  The maximum is an aggregate joined back."""
+    if not partition:
+        return df.where(F.col(value) == df.agg(F.max(value)).scalar())
+    top = df.groupBy(*[F.col(c).alias(f"__of_{c}") for c in partition]).agg(F.max(value).alias("__max"))
+    return df.join(top, _same_key(partition) & (F.col(value) == F.col("__max")), "left_semi")
 
 
 def expand_back(df: DataFrame, count: Column, name: str = "j") -> DataFrame:

@@ -257,7 +257,7 @@ def q_upsert_last_wins(spark, sf_dir):
     shifted = opt.where(F.col("itemorder") % 2 == 0).withColumn("itemorder", F.col("itemorder") + 1)
     copied = opt.withColumn("scenarioname", F.lit(K.LESS_SCENARIO_PREFIX + "00001"))
     return O.upsert_last_wins(ex, shifted.unionByName(copied), ["scenarioname", "itemname"],
-                              [F.col("itemorder").desc()]).select("scenarioname", "itemname", "itemorder", "notes")
+                              ["itemorder"]).select("scenarioname", "itemname", "itemorder", "notes")
 
 
 @register("projection_ops", with_views("""

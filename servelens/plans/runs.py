@@ -7,9 +7,10 @@
    (the external solver then runs the scenarios)
 4. ``write_reports``           solver results -> dated scenario and account reports
 
-Every step reads tables by name from a model folder (``{root}/{table}``,
-parquet by default; ``load_jdbc`` gives the same dict from a database) and
-writes new snapshot folders.
+Every step reads tables by name from a model folder (``{root}/{table}``, a
+versioned table or plain files, parquet by default; ``load_jdbc`` gives the same
+dict from a database).  Steps 1 to 3 publish versions of their tables
+(:mod:`servelens.sinks.snapshots`), step 4 writes dated folders.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from servelens.operators.core import materialize, unpivot_prefixed
 from servelens.plans import constraints as C
 from servelens.plans import reporting as R
 from servelens.plans import scenarios as S
+from servelens.sinks import snapshots
 from servelens.sinks import writers as W
 from servelens.sources import tables as T
 
@@ -42,15 +44,15 @@ def write_transfer_matrix(spark: SparkSession, monthly_folder: str, out_path: st
                           expected: int | None = K.EXPECTED_MONTHLY_FILES) -> DataFrame:
     """Step 1: union the monthly files (exactly ``expected`` of them), sum by the six keys, write."""
     tm = C.transfer_matrix(T.read_monthly_files(spark, monthly_folder, fmt, expected))
-    W.write_snapshot(tm, out_path)
-    return spark.read.parquet(out_path)
+    snapshots.publish(tm, out_path)
+    return snapshots.read(spark, out_path)
 
 
 def update_constraints(spark: SparkSession, model_root: str, accounts: DataFrame, transfers: DataFrame,
                        out_path: str, fmt: str = "parquet", special_depot: str = K.SPECIAL_DEPOT,
                        as_text: bool = True, **kw) -> DataFrame:
-    """Step 2: per-account constraint values for every selected account, written
-    as a new snapshot of the constraint table with ``account_<code>`` columns.
+    """Step 2: per-account constraint values for every selected account, published
+    as a new version of the constraint table with ``account_<code>`` columns.
 
     ``accounts`` is the account list (columns ``corp_code``, ``corp_desc``,
     ``evaluate``), ``transfers`` the aggregated matrix of step 1.
@@ -65,26 +67,42 @@ def update_constraints(spark: SparkSession, model_root: str, accounts: DataFrame
                                          selected, special_depot=special_depot, row_ids=True, **kw)
     # the account list is small: its codes name the new columns
     codes = sorted(r.corp_code for r in selected.select("corp_code").distinct().collect())
-    W.write_wide_constraints(values, codes, out_path, as_text=as_text)
-    return spark.read.parquet(out_path)
+    W.publish_wide_constraints(values, codes, out_path, as_text)
+    return snapshots.read(spark, out_path)
+
+
+#: name and key of the registration tables
+REGISTERED = {"scenarios": ["scenarioname"], "scenarioitems": ["itemname"], "scenarioitemassignments": ["scenarioname", "itemname"]}
 
 
 def register_scenarios(spark: SparkSession, model_root: str, accounts: DataFrame, out_root: str,
-                       fmt: str = "parquet", **kw) -> dict[str, DataFrame]:
+                       fmt: str = "parquet", n_parts: int = 16, **kw) -> dict[str, DataFrame]:
     """Step 3: scenario, item and assignment tables after registering every
-    selected account, each written as a new snapshot under ``out_root``."""
+    selected account, as versioned tables under ``out_root``.
+
+    The first run publishes the model's tables there, in hash partitions of
+    their keys; every run then writes the accounts' rows, which touches only the
+    partitions of their keys.  Columns beyond those of the process are kept.
+    """
     m = T.load_tables(spark, model_root, T.BUNDLE_TABLES, fmt)
+    stored = {}
+    for name, keys in REGISTERED.items():
+        root = f"{out_root}/{name}"
+        if not snapshots.exists(spark, root):
+            snapshots.publish(m[name], root, keys, n_parts)
+        stored[name] = snapshots.read(spark, root)
     demand, customers = T.typed_demand(m["customerdemand"]), T.typed_customers(m["customers"])
     selected = materialize(C.select_accounts(accounts, demand, customers), "selected")
     with_demand = S.accounts_with_demand(selected, demand, customers)
-    out = {
-        "scenarios": S.build_scenarios(m["scenarios"], selected),
-        "scenarioitems": S.build_scenario_items(m["scenarioitems"], with_demand),
-        "scenarioitemassignments": S.build_scenario_assignments(m["scenarioitemassignments"], selected, **kw),
+    changes = {
+        "scenarios": S.scenario_changes(stored["scenarios"], selected),
+        "scenarioitems": S.item_changes(stored["scenarioitems"], with_demand),
+        "scenarioitemassignments": S.assignment_changes(stored["scenarioitemassignments"], selected, **kw),
     }
-    for name, df in out.items():
-        W.write_snapshot(df, f"{out_root}/{name}")
-    return {name: spark.read.parquet(f"{out_root}/{name}") for name in out}
+    for name, rows in changes.items():
+        latest = ["itemorder"] if "itemorder" in rows.columns else []
+        snapshots.upsert(materialize(rows, f"{name}-changes"), f"{out_root}/{name}", latest)
+    return {name: snapshots.read(spark, f"{out_root}/{name}") for name in changes}
 
 
 def write_reports(spark: SparkSession, model_root: str, out_dir: str, run_date: str | None = None,

@@ -24,10 +24,13 @@ new_s AS (SELECT DISTINCT '{LESS}' || corp_code AS scenarioname, '{K.STATUS_INCL
 
 
 @register("scenario_insert_absent", _sql("""
-SELECT * FROM scenarios_existing
+SELECT * FROM scenarios_existing e WHERE NOT EXISTS (SELECT 1 FROM new_s n WHERE e.scenarioname = n.scenarioname)
 UNION ALL
-SELECT * FROM new_s n WHERE NOT EXISTS (SELECT 1 FROM scenarios_existing e WHERE e.scenarioname = n.scenarioname)""",
-                                         "scenarios_existing", ctes=NEW_SCENARIOS))
+SELECT scenarioname, status, description, tags, notes, technology FROM (
+  SELECT *, row_number() OVER (PARTITION BY scenarioname ORDER BY src, notes NULLS FIRST) AS rn FROM (
+    SELECT e.*, 0 AS src FROM scenarios_existing e WHERE e.scenarioname IN (SELECT scenarioname FROM new_s)
+    UNION ALL SELECT n.*, 1 FROM new_s n) u) f
+WHERE rn = 1""", "scenarios_existing", ctes=NEW_SCENARIOS))
 def q_scenarios(spark, sf_dir):
     """C11: one scenario per selected account, inserted when absent."""
     m = typed_model(spark, sf_dir, SEL_VIEWS + ("scenarios_existing",))
@@ -48,10 +51,13 @@ new_i AS (SELECT '{K.EXCLUDE_ITEM_PREFIX}' || corp_code AS itemname, '{K.EXCLUDE
 
 
 @register("item_insert_absent", _sql("""
-SELECT * FROM items_existing
+SELECT * FROM items_existing e WHERE NOT EXISTS (SELECT 1 FROM new_i n WHERE e.itemname = n.itemname)
 UNION ALL
-SELECT * FROM new_i n WHERE NOT EXISTS (SELECT 1 FROM items_existing e WHERE e.itemname = n.itemname)""",
-                                     "items_existing", ctes=NEW_ITEMS))
+SELECT itemname, tablename, action, condition, status, description, tags, notes FROM (
+  SELECT *, row_number() OVER (PARTITION BY itemname ORDER BY src, notes NULLS FIRST) AS rn FROM (
+    SELECT e.*, 0 AS src FROM items_existing e WHERE e.itemname IN (SELECT itemname FROM new_i)
+    UNION ALL SELECT n.*, 1 FROM new_i n) u) f
+WHERE rn = 1""", "items_existing", ctes=NEW_ITEMS))
 def q_items(spark, sf_dir):
     """Two items per account with demand, inserted when absent."""
     m = typed_model(spark, sf_dir, SEL_VIEWS + ("items_existing",))
@@ -71,7 +77,11 @@ new_a AS (SELECT a.scenarioname, b.itemname, b.itemorder, CAST(NULL AS VARCHAR)
 
 
 @register("assignment_build", _sql("""
-SELECT scenarioname, itemname, itemorder, notes FROM new_a
+SELECT scenarioname, itemname, itemorder, notes FROM (
+  -- the account's rows: one that is stored with the same order stays with its notes
+  SELECT n.scenarioname, n.itemname, n.itemorder, e.notes
+  FROM new_a n LEFT JOIN assignments_existing e
+    ON e.scenarioname = n.scenarioname AND e.itemname = n.itemname AND e.itemorder = n.itemorder) w
 UNION ALL
 SELECT scenarioname, itemname, itemorder, notes FROM assignments_existing e
 WHERE NOT EXISTS (SELECT 1 FROM new_a n WHERE n.scenarioname = e.scenarioname AND n.itemname = e.itemname)""",

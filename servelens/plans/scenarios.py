@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from servelens import constants as K
 from servelens.functions.scalar import clean_text, drop_last_char
-from servelens.operators.core import insert_if_absent, substring_lookup, upsert_last_wins
+from servelens.operators.core import append_guarded, first_wins, insert_if_absent, substring_lookup, upsert_last_wins
 
 SCENARIO_COLS = ("scenarioname", "status", "description", "tags", "notes", "technology")
 ITEM_COLS = ("itemname", "tablename", "action", "condition", "status", "description", "tags", "notes")
@@ -50,6 +50,11 @@ def new_scenarios(selected: DataFrame, prefix: str = K.LESS_SCENARIO_PREFIX) ->
         _null().alias("notes"), _null().alias("technology")).distinct()
 
 
+def scenario_changes(existing: DataFrame, selected: DataFrame, prefix: str = K.LESS_SCENARIO_PREFIX) -> DataFrame:
+    """Rows to write for the accounts (D4): the first stored row of each new name, else the new row."""
+    return first_wins(existing.select(*SCENARIO_COLS), new_scenarios(selected, prefix), ["scenarioname"])
+
+
 def build_scenarios(existing: DataFrame, selected: DataFrame, prefix: str = K.LESS_SCENARIO_PREFIX) -> DataFrame:
     """Scenario table after registration (C11, J8, K5): existing rows kept,
     missing account scenarios inserted."""
@@ -73,6 +78,11 @@ def new_items(accounts: DataFrame) -> DataFrame:
     return exclude.unionByName(update).distinct()
 
 
+def item_changes(existing: DataFrame, accounts: DataFrame) -> DataFrame:
+    """Rows to write for the accounts (D4): the first stored row of each new item, else the new row."""
+    return first_wins(existing.select(*ITEM_COLS), new_items(accounts.select("corp_code").distinct()), ["itemname"])
+
+
 def build_scenario_items(existing: DataFrame, accounts: DataFrame) -> DataFrame:
     """Item table after registration."""
     return insert_if_absent(existing.select(*ITEM_COLS), new_items(accounts.select("corp_code").distinct()),
@@ -80,12 +90,14 @@ def build_scenario_items(existing: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def new_assignments(accounts: DataFrame, existing: DataFrame, base_scenario: str = K.OPTIMAL_SCENARIO,
-                    prefix: str = K.LESS_SCENARIO_PREFIX, start_after_max: bool = False) -> DataFrame:
+                    prefix: str = K.LESS_SCENARIO_PREFIX, start_after_max: bool = False,
+                    max_items: int | None = None, mode: str = "error") -> DataFrame:
     """Assignments of each new scenario: the base scenario's items, then the
     account's two items at orders ``n`` and ``n + 1`` where ``n`` is the count
     of base items (Q19; ``start_after_max`` uses ``max(itemorder) + 1``).
 
-    The base items are attached with an equi-join on the base scenario name.
+    The base items are attached with an equi-join on the base scenario name;
+    ``max_items`` guards their number (J11, see ``append_guarded``).
     """
     acc = accounts.select(F.concat(F.lit(prefix), F.col("corp_code")).alias("scenarioname"), "corp_code") \
         .distinct().withColumn("base_scenario", F.lit(base_scenario))
@@ -93,7 +105,11 @@ def new_assignments(accounts: DataFrame, existing: DataFrame, base_scenario: str
     base_items = base.select(F.col("scenarioname").alias("base_scenario"), "itemname", "itemorder")
     n = base.groupBy(F.col("scenarioname").alias("base_scenario")).agg(
         (F.max(F.col("itemorder").cast("bigint")) if start_after_max else F.count(F.lit(1))).cast("bigint").alias("n"))
-    copied = acc.join(base_items, "base_scenario", "inner").select("scenarioname", "itemname", "itemorder")
+    if max_items is None:
+        copied = acc.join(base_items, "base_scenario", "inner")
+    else:
+        copied = append_guarded(acc, base_items, ["base_scenario"], max_items, mode)
+    copied = copied.select("scenarioname", "itemname", "itemorder")
     with_n = acc.join(n, "base_scenario", "left").withColumn("n", F.coalesce(F.col("n"), F.lit(0)).cast("bigint"))
     if start_after_max:
         with_n = with_n.withColumn("n", F.col("n") + 1)
@@ -104,13 +120,19 @@ def new_assignments(accounts: DataFrame, existing: DataFrame, base_scenario: str
     return copied.unionByName(own).withColumn("notes", _null())
 
 
+def assignment_changes(existing: DataFrame, accounts: DataFrame, base_scenario: str = K.OPTIMAL_SCENARIO,
+                       prefix: str = K.LESS_SCENARIO_PREFIX, start_after_max: bool = False, **guard) -> DataFrame:
+    """Rows to write for the accounts (D4): per (scenario, item, order) the stored row, with its notes,
+    if there is one, else the regenerated row."""
+    ex = existing.select(*ASSIGNMENT_COLS).withColumn("itemorder", F.col("itemorder").cast("bigint"))
+    new = new_assignments(accounts, ex, base_scenario, prefix, start_after_max, **guard).select(*ASSIGNMENT_COLS)
+    return first_wins(ex, new, ["scenarioname", "itemname", "itemorder"])
+
+
 def build_scenario_assignments(existing: DataFrame, accounts: DataFrame, base_scenario: str = K.OPTIMAL_SCENARIO,
-                               prefix: str = K.LESS_SCENARIO_PREFIX, start_after_max: bool = False) -> DataFrame:
+                               prefix: str = K.LESS_SCENARIO_PREFIX, start_after_max: bool = False, **guard) -> DataFrame:
     """Assignment table after registration (C13, K3): per (scenario, item) the
-    regenerated row wins (it is written last, Q25) unless a row of the same order is
-    registered already, which stays with its notes; rows of other scenarios stay."""
-    ex = existing.select(*ASSIGNMENT_COLS)
-    new = new_assignments(accounts, ex, base_scenario, prefix, start_after_max).select(*ASSIGNMENT_COLS)
-    same = ex.select("scenarioname", "itemname", F.col("itemorder").cast("bigint").alias("itemorder"))
-    new = new.join(same.distinct(), ["scenarioname", "itemname", "itemorder"], "left_anti").select(*ASSIGNMENT_COLS)
-    return upsert_last_wins(ex, new, ["scenarioname", "itemname"], [F.col("itemorder").desc()])
+    row of :func:`assignment_changes` wins (it is written last, Q25); other rows stay."""
+    ex = existing.select(*ASSIGNMENT_COLS).withColumn("itemorder", F.col("itemorder").cast("bigint"))
+    changes = assignment_changes(existing, accounts, base_scenario, prefix, start_after_max, **guard)
+    return upsert_last_wins(ex, changes, ["scenarioname", "itemname"], ["itemorder"])

@@ -1,13 +1,14 @@
 """Writers (K1-K7).
 
-Every writer produces a complete directory and must not be given the folder it
-reads from.  An existing folder of that name is replaced (deleted first), so give
-each run its own path where the previous snapshot must survive a failed job.
+Plain folders (reports, exports) are written beside their place and moved there
+when the job has ended, so a failed job leaves the earlier folder as it was.
+Tables that are read again are versioned (:mod:`servelens.sinks.snapshots`).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -15,16 +16,33 @@ from pyspark.sql import functions as F
 
 from servelens import constants as K
 from servelens.operators.core import null_safe_join, upsert_last_wins
+from servelens.sinks.snapshots import publish
 
 
 def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet", partition_by: Sequence[str] = ()) -> None:
-    """Write a table as a new snapshot (K1)."""
-    w = df.write.mode("overwrite").format(fmt)
+    """Write a table as a plain folder (K1, K6, K7), replacing an earlier one.
+
+    The job writes to a hidden folder beside ``path``; only when it has ended is
+    the earlier folder moved aside (hidden, kept) and the new one moved in.
+    ``df`` may read ``path``.
+    """
+    parent, _, name = path.rstrip("/").rpartition("/")
+    ident = uuid.uuid4().hex
+    staged = f"{parent}/.{name}-{ident}"
+    w = df.write.mode("errorifexists").format(fmt)
     if fmt == "csv":
         w = w.option("header", "true")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.save(path)
+    w.save(staged)
+    spark = df.sparkSession
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = to_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(to_path(path)) and not fs.rename(to_path(path), to_path(f"{parent}/.{name}-before-{ident}")):
+        raise OSError(f"cannot move {path} aside; the new rows are in {staged}")
+    if not fs.rename(to_path(staged), to_path(path)):
+        raise OSError(f"cannot move {staged} to {path}")
+    spark.catalog.refreshByPath(path)
 
 
 def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACCOUNT_COLUMN_PREFIX,
@@ -63,17 +81,24 @@ def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACC
 
 def write_wide_constraints(account_values: DataFrame, codes: Sequence[str], path: str, fmt: str = "parquet",
                            as_text: bool = True) -> None:
-    """Replace the constraint table with the account columns added (K2).
+    """The constraint table with the account columns added, as a plain folder (K2).
 
-    The model altered the live table in place; here a complete new snapshot is
-    written (text values as the model stores them when ``as_text``)."""
+    The model altered the live table in place; :func:`publish_wide_constraints`
+    adds a version to a versioned table instead (text values as the model stores
+    them when ``as_text``)."""
     write_snapshot(to_wide(account_values, codes, as_text=as_text), path, fmt)
 
 
+def publish_wide_constraints(account_values: DataFrame, codes: Sequence[str], root: str, as_text: bool = True) -> int:
+    """The same as a new version of the table in ``root``; earlier versions keep their account columns (K2)."""
+    return publish(to_wide(account_values, codes, as_text=as_text), root)
+
+
 def upsert_snapshot(existing: DataFrame, updates: DataFrame, keys: Sequence[str], path: str,
-                    order=None, fmt: str = "parquet") -> None:
-    """Update-else-insert on ``keys`` written as a new snapshot (K3-K5)."""
-    write_snapshot(upsert_last_wins(existing, updates, keys, order), path, fmt)
+                    latest: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """Update-else-insert on ``keys`` written as a plain folder (K3-K5);
+    :func:`servelens.sinks.snapshots.upsert` rewrites only what is touched."""
+    write_snapshot(upsert_last_wins(existing, updates, keys, latest), path, fmt)
 
 
 def labelled(df: DataFrame, measures=K.SCENARIO_MEASURES, label_col: str = "scenarioname",

@@ -41,6 +41,8 @@ MANUFACTURER_EVERY = 10           # suppliers with key % 10 = 0 manufacture
 SPECIAL_DEPOT_TESTDATA = "D_1"    # depot that absorbs extra manufacturing here
 SHIPMENT_RATE = 2.0               # shipment cost per pallet
 LESS_CODES = {"3-MEDIUM": "00001", "4-NOT SPECIFIED": "00003", "5-LOW": "00004"}
+REGISTERED_CODE = "00003"         # account whose rows are registered already, with notes
+REGISTERED_SCENARIO = K.LESS_SCENARIO_PREFIX + REGISTERED_CODE
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
@@ -281,33 +283,51 @@ def production_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scenarios_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scenarios already registered: every scenario name that has flows."""
+    """Scenarios already registered: every scenario name that has flows, and those of the
+    registered account a second time, with notes."""
     o = read_table(spark, sf_dir, "orders")
     null = F.lit(None).cast("string")
-    return o.select(_scenario(F.col("o_orderpriority")).alias("scenarioname")).distinct().select(
+    named = o.select(_scenario(F.col("o_orderpriority")).alias("scenarioname")).distinct()
+    twice = named.where(F.col("scenarioname") == REGISTERED_SCENARIO).withColumn("notes", F.lit("second row"))
+    return named.withColumn("notes", F.when(F.col("scenarioname") == REGISTERED_SCENARIO, F.lit("first row"))).unionByName(twice).select(
         "scenarioname", F.lit(K.STATUS_INCLUDE).alias("status"), null.alias("description"),
-        null.alias("tags"), null.alias("notes"), null.alias("technology"))
+        null.alias("tags"), "notes", null.alias("technology"))
 
 
 def items_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scenario items already registered: one per part type (the baseline items)."""
+    """Scenario items already registered: one per part type (the baseline items), and the
+    registered account's exclusion, stored twice with notes."""
     p = read_table(spark, sf_dir, "part")
     null = F.lit(None).cast("string")
-    return p.select(F.concat(F.lit("Item_"), F.col("p_type")).alias("itemname")).distinct().select(
+    own = _registered(spark, sf_dir).select(
+        F.lit(K.EXCLUDE_ITEM_PREFIX + REGISTERED_CODE).alias("itemname"), F.lit(K.EXCLUDE_ITEM_TABLE).alias("tablename"),
+        F.lit("checked").alias("action"), null.alias("condition"), F.lit(K.STATUS_EXCLUDE).alias("status"), null.alias("description"),
+        null.alias("tags"), F.explode(F.array(F.lit("first row"), F.lit("second row"))).alias("notes"))
+    return own.unionByName(p.select(F.concat(F.lit("Item_"), F.col("p_type")).alias("itemname")).distinct().select(
         "itemname", F.lit("Facilities").alias("tablename"), F.lit("Status='Include'").alias("action"),
         null.alias("condition"), F.lit(K.STATUS_INCLUDE).alias("status"), null.alias("description"),
-        null.alias("tags"), null.alias("notes"))
+        null.alias("tags"), null.alias("notes")))
+
+
+def _registered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row when the customers hold the registered account."""
+    return read_table(spark, sf_dir, "customer").where(_corp_code(F.col("c_custkey")) == REGISTERED_CODE).select(
+        _corp_code(F.col("c_custkey")).alias("code")).distinct()
 
 
 def assignments_existing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Item assignments already registered: the optimal scenario uses every
-    part-type item, ordered by type name (orders 1..n)."""
+    part-type item, ordered by type name (orders 1..n); the registered account's
+    scenario holds them with notes and, where the order is even, one place later."""
     p = read_table(spark, sf_dir, "part")
     t = p.groupBy("p_type").agg(F.count(F.lit(1)).alias("n"))
     w = t.select(F.concat(F.lit("Item_"), F.col("p_type")).alias("itemname"))
-    return w.select(F.lit(K.OPTIMAL_SCENARIO).alias("scenarioname"), "itemname",
-                    F.dense_rank().over(_w_itemname()).cast("bigint").alias("itemorder"),
-                    F.lit(None).cast("string").alias("notes"))
+    base = w.select("itemname", F.dense_rank().over(_w_itemname()).cast("bigint").alias("itemorder"))
+    optimal = base.select(F.lit(K.OPTIMAL_SCENARIO).alias("scenarioname"), "itemname", "itemorder", F.lit(None).cast("string").alias("notes"))
+    order = F.col("itemorder")
+    own = base.select(F.lit(REGISTERED_SCENARIO).alias("scenarioname"), "itemname",
+                      F.when(order % 2 == 0, order + 1).otherwise(order).alias("itemorder"), F.lit("kept by hand").alias("notes"))
+    return optimal.unionByName(own)
 
 
 def _w_itemname():
@@ -499,17 +519,30 @@ SELECT {_scenario_sql('o_orderpriority')} AS scenarioname, {_period_sql('l_shipd
 FROM {_LO} JOIN part ON l_partkey = p_partkey""",
     "scenarios_existing": f"""
 SELECT scenarioname, '{K.STATUS_INCLUDE}' AS status, CAST(NULL AS VARCHAR) AS description,
-       CAST(NULL AS VARCHAR) AS tags, CAST(NULL AS VARCHAR) AS notes, CAST(NULL AS VARCHAR) AS technology
-FROM (SELECT DISTINCT {_scenario_sql('o_orderpriority')} AS scenarioname FROM orders) s""",
+       CAST(NULL AS VARCHAR) AS tags, CASE WHEN scenarioname = '{REGISTERED_SCENARIO}' THEN 'first row' END AS notes,
+       CAST(NULL AS VARCHAR) AS technology
+FROM (SELECT DISTINCT {_scenario_sql('o_orderpriority')} AS scenarioname FROM orders) s
+UNION ALL
+SELECT DISTINCT '{REGISTERED_SCENARIO}', '{K.STATUS_INCLUDE}', CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'second row', CAST(NULL AS VARCHAR)
+FROM orders WHERE {_scenario_sql('o_orderpriority')} = '{REGISTERED_SCENARIO}'""",
     "items_existing": f"""
 SELECT itemname, 'Facilities' AS tablename, 'Status=''Include''' AS action, CAST(NULL AS VARCHAR) AS condition,
        '{K.STATUS_INCLUDE}' AS status, CAST(NULL AS VARCHAR) AS description, CAST(NULL AS VARCHAR) AS tags,
        CAST(NULL AS VARCHAR) AS notes
-FROM (SELECT DISTINCT 'Item_' || p_type AS itemname FROM part) i""",
+FROM (SELECT DISTINCT 'Item_' || p_type AS itemname FROM part) i
+UNION ALL
+SELECT '{K.EXCLUDE_ITEM_PREFIX}{REGISTERED_CODE}', '{K.EXCLUDE_ITEM_TABLE}', 'checked', CAST(NULL AS VARCHAR), '{K.STATUS_EXCLUDE}',
+       CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), n.notes
+FROM (SELECT DISTINCT {_corp_code_sql('c_custkey')} AS code FROM customer) c, (VALUES ('first row'), ('second row')) n(notes)
+WHERE c.code = '{REGISTERED_CODE}'""",
     "assignments_existing": f"""
 SELECT '{K.OPTIMAL_SCENARIO}' AS scenarioname, itemname,
        CAST(dense_rank() OVER (ORDER BY itemname) AS BIGINT) AS itemorder, CAST(NULL AS VARCHAR) AS notes
-FROM (SELECT DISTINCT 'Item_' || p_type AS itemname FROM part) i""",
+FROM (SELECT DISTINCT 'Item_' || p_type AS itemname FROM part) i
+UNION ALL
+SELECT '{REGISTERED_SCENARIO}', itemname, o + CASE WHEN o % 2 = 0 THEN 1 ELSE 0 END, 'kept by hand'
+FROM (SELECT itemname, CAST(dense_rank() OVER (ORDER BY itemname) AS BIGINT) AS o
+      FROM (SELECT DISTINCT 'Item_' || p_type AS itemname FROM part) i) b""",
 }
 
 

@@ -8,11 +8,13 @@ turns NaN into NULL, so later operators follow SQL null rules.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servelens import constants as K
+from servelens.sinks import snapshots
 
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
@@ -37,11 +39,15 @@ def load_tables(spark: SparkSession, root: str, names: Iterable[str], fmt: str =
                 options: dict | None = None) -> dict[str, DataFrame]:
     """Whole-table scan of an allow-list of tables.
 
-    Each table is a folder ``{root}/{name}`` in ``fmt``.  A missing table raises
-    (the model code fails on a missing name too).  ``id`` is dropped.
+    Each table is a folder ``{root}/{name}`` in ``fmt``, or a versioned table of
+    that name, whose latest version is read.  A missing table raises (the model
+    code fails on a missing name too).  ``id`` is dropped.
     """
     out = {}
     for n in names:
+        if snapshots.exists(spark, f"{root}/{n}"):
+            out[n] = drop_id(snapshots.read(spark, f"{root}/{n}"))
+            continue
         reader = spark.read.format(fmt)
         for k, v in (options or {}).items():
             reader = reader.option(k, v)
@@ -56,34 +62,79 @@ def load_jdbc(spark: SparkSession, url: str, names: Iterable[str], properties: d
 
 def read_monthly_files(spark: SparkSession, folder: str, fmt: str = "csv", expected: int | None = K.EXPECTED_MONTHLY_FILES,
                        header_map: dict | None = None, schema=TRANSFER_FILE_SCHEMA) -> DataFrame:
-    """Folder scan: read every file of ``folder`` and union them by name.
+    """Folder scan: read every file of ``folder`` (and folders below) and unite them by column name.
 
     ``expected`` is the input guard (S2): the number of files must equal it.
-    The check lists the folder through the Hadoop file system (metadata only,
-    no data is read) so it works on any shared file system.
+    The files are listed through the Hadoop file system, so any shared file
+    system will do.
+
+    CSV files are grouped by their header line and each group has a reader of
+    its own.  A column that a file lacks is NULL in its rows, columns may stand in
+    any order, columns beyond ``schema`` are kept as text.  A header that names a
+    column twice raises.  Parquet schemas are merged by name, JSON is by name.
     """
-    if expected is not None:
-        n = count_files(spark, folder)
-        if n != expected:
-            raise ValueError(f"There are not exactly {expected} files in the folder: {folder} (found {n}).")
-    reader = spark.read.format(fmt)
-    if fmt == "csv":
-        reader = reader.option("header", "true")
-    if schema is not None and fmt == "csv":
-        reader = reader.schema(schema)
-        if fmt == "csv":
-            # check each file's header against the schema instead of mapping by position
-            reader = reader.option("enforceSchema", "false")
-    df = reader.load(folder)
+    files = list_files(spark, folder)
+    if expected is not None and len(files) != expected:
+        raise ValueError(f"{folder} must hold {expected} monthly files, one a month; found {len(files)}")
+    if fmt != "csv":
+        reader = spark.read.format(fmt)
+        df = (reader.option("mergeSchema", "true") if fmt == "parquet" else reader).load(files if files else folder)
+        return rename_headers(df, header_map or K.TRANSFER_HEADERS)
+    typed = {f.name: f.dataType for f in schema} if schema is not None else {}
+    groups: dict[str, list[str]] = {}
+    for path in files:
+        line = first_line(spark, path)
+        if line is not None:  # a file without any line has no rows
+            groups.setdefault(line, []).append(path)
+    parts = []
+    for line, paths in groups.items():
+        names = spark.read.option("header", "false").csv(spark.sparkContext.parallelize([line], 1)).first()
+        names = ["" if n is None else n.strip() for n in names]
+        if len(set(names)) < len(names):
+            raise ValueError(f"{paths[0]} names a column twice: {line}")
+        own = StructType([StructField(n, typed.get(n, StringType())) for n in names])
+        parts.append(spark.read.option("header", "true").schema(own).csv(paths))
+    if not parts:
+        return rename_headers(spark.createDataFrame([], schema), header_map or K.TRANSFER_HEADERS)
+    df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    for name, kind in typed.items():
+        if name not in df.columns:
+            df = df.withColumn(name, F.lit(None).cast(kind))
     return rename_headers(df, header_map or K.TRANSFER_HEADERS)
 
 
-def count_files(spark: SparkSession, folder: str) -> int:
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Paths of all files below ``folder``, hidden files and folders left out, sorted."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(folder)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, folders = [], [root]
+    while folders:
+        for status in fs.listStatus(folders.pop()):
+            path = status.getPath()
+            if path.getName().startswith(("_", ".")):
+                continue
+            if status.isDirectory():
+                folders.append(path)
+            else:
+                found.append(path.toString())
+    return sorted(found)
+
+
+def first_line(spark: SparkSession, path: str) -> str | None:
+    """First line of a text file (None: it is empty); only its first block is read."""
     jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return sum(1 for st in fs.listStatus(path)
-               if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    stream = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(p)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(spark.sparkContext._jsc.hadoopConfiguration()).getCodec(p)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        line = reader.readLine()
+    finally:
+        reader.close()
+    return None if line is None else line.lstrip("\ufeff")
 
 
 def read_account_list(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from servelens import constants as K
 from servelens.plans.constraints import transfer_matrix
+from servelens.sinks.writers import write_snapshot
 from servelens.sources.tables import TRANSFER_FILE_SCHEMA, rename_headers
 
 
@@ -34,7 +35,7 @@ def run_transfer_matrix(spark: SparkSession, folder: str, out_path: str, checkpo
     agg = transfer_matrix(transfer_stream(spark, folder, fmt))
 
     def replace_snapshot(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(out_path)
+        write_snapshot(batch, out_path)
 
     w = agg.writeStream.outputMode("complete").foreachBatch(replace_snapshot).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")

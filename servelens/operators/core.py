@@ -311,11 +311,12 @@ def carry_forward(df: DataFrame, order: str, anchor_value: str, net: str, partit
 
 def top_with_ties(df: DataFrame, value: str, partition: Sequence[str] = ()) -> DataFrame:
     """Rows whose ``value`` equals the maximum of their partition (T1, F18);
-    NULL values never qualify.  The maximum is an aggregate joined back."""
+    NULL values never qualify.  Without ``partition`` the maximum of the whole
+    table is a scalar subquery, so no task holds all rows."""
     if not partition:
         return df.where(F.col(value) == df.agg(F.max(value)).scalar())
-    top = df.groupBy(*[F.col(c).alias(f"__of_{c}") for c in partition]).agg(F.max(value).alias("__max"))
-    return df.join(top, _same_key(partition) & (F.col(value) == F.col("__max")), "left_semi")
+    w = Window.partitionBy(*partition)
+    return df.withColumn("__max", F.max(value).over(w)).where(F.col(value) == F.col("__max")).drop("__max")
 
 
 def expand_back(df: DataFrame, count: Column, name: str = "j") -> DataFrame:

@@ -91,68 +91,101 @@ def normalise_constraints(constraints: DataFrame, notes=K.REPAIR_NOTES) -> DataF
 # C4 inventory projection, C5 manufacturing uplift (account independent)
 # ---------------------------------------------------------------------------
 
+def _one_model(*dfs: DataFrame) -> list[DataFrame]:
+    return [df.withColumn("__model", F.lit("")) for df in dfs]
+
+
+def _parameter(df: DataFrame, model: str, parameters: DataFrame | None, **defaults) -> DataFrame:
+    """Adds each parameter as a column: the model's value from the table, else the default."""
+    given = [] if parameters is None else [c for c in defaults if c in parameters.columns]
+    if given:
+        own = parameters.select(model, *[F.col(c).alias(f"__own_{c}") for c in given])
+        df = df.join(own, model, "left")
+    for c, default in defaults.items():
+        df = df.withColumn(c, F.coalesce(F.col(f"__own_{c}"), F.lit(default)) if c in given else F.lit(default))
+    return df.drop(*[f"__own_{c}" for c in given])
+
+
 def inventory_projection(constraints: DataFrame, demand: DataFrame, inventory_policies: DataFrame,
                          periods: DataFrame, horizon: int = K.HORIZON_PERIODS, cover_days: int = K.COVER_DAYS,
-                         first_period: str = K.FIRST_PERIOD) -> DataFrame:
+                         first_period: str = K.FIRST_PERIOD, model: str | None = None,
+                         parameters: DataFrame | None = None) -> DataFrame:
     """Per period: issues, returns, manufacture, begin / end inventory and the
     gap to ``cover_days`` days of issues (C4).  Periods beyond ``horizon``
-    are dropped; the annual row is removed (F10)."""
+    are dropped; the annual row is removed (F10).
+
+    ``model`` names the column that tells models apart in all four inputs; any
+    number of models is projected in one pass.  ``parameters`` may then hold a row
+    per model with columns ``horizon``, ``cover_days``, ``first_period`` (a column
+    or value that is missing: the argument).  Without ``model`` the inputs are one model.
+    """
+    if model is None:
+        inputs = _one_model(constraints, demand, inventory_policies, periods)
+        return inventory_projection(*inputs, horizon, cover_days, first_period, "__model").drop("__model")
     p = F.col("periodname").isNotNull()
     d = F.lit(None).cast("double")
+    key = [model, "periodname"]
     is_ret = starts("facilityname", K.RETURN_PREFIX)
     is_new = not_starts("facilityname", K.RETURN_PREFIX) & (F.col("productname") == K.PRODUCT_NEW)
     # every source adds partials per period to one union, aggregated once:
     # no join chain (qty LEFT returns LEFT opening FULL manufacture) is needed
     parts = [
-        demand.where(p).select("periodname", F.col("quantity").alias("q"), F.lit(1).alias("has_q")),
+        demand.where(p).select(*key, F.col("quantity").alias("q"), F.lit(1).alias("has_q")),
         constraints.where(p & (is_ret | is_new)).select(
-            "periodname", F.when(is_ret, F.col("constraintvalue")).alias("r"),
+            *key, F.when(is_ret, F.col("constraintvalue")).alias("r"),
             F.when(is_new, F.col("constraintvalue")).alias("m"), F.when(is_new, F.lit(1)).alias("has_m")),
-        inventory_policies.select(F.lit(first_period).alias("periodname"), F.col("initialinventory").alias("i")),
+        _parameter(inventory_policies, model, parameters, first_period=first_period).select(
+            model, F.col("first_period").alias("periodname"), F.col("initialinventory").alias("i")),
     ]
     u = parts[0].unionByName(parts[1], allowMissingColumns=True).unionByName(parts[2], allowMissingColumns=True)
-    g = u.groupBy("periodname").agg(
+    g = u.groupBy(*key).agg(
         F.max("has_q").alias("has_q"), F.max("has_m").alias("has_m"),
         sum0("q").alias("quantity"), sum0("r").alias("returns"), sum0("m").alias("mfg"), sum0("i").alias("init"))
     # returns and the opening balance only reach periods with demand (left joins from demand)
     g = g.where(F.col("has_q").isNotNull() | F.col("has_m").isNotNull()).select(
-        "periodname", "quantity",
+        *key, "quantity",
         F.when(F.col("has_q").isNotNull(), F.col("returns")).otherwise(d).alias("returns"),
         F.when(F.col("has_q").isNotNull(), F.col("init")).otherwise(d).alias("initialinventory"),
         "mfg")
-    t = g.join(periods.select("periodname", "workingdays"), "periodname", "left")
+    t = g.join(periods.select(*key, "workingdays"), key, "left")
     z = F.lit(0.0)
-    t = t.select("periodname",
+    t = t.select(*key,
                  F.coalesce("quantity", z).alias("quantity"), F.coalesce("returns", z).alias("returns"),
                  F.coalesce("initialinventory", z).alias("initialinventory"), F.coalesce("mfg", z).alias("mfg"),
                  F.coalesce("workingdays", F.lit(0)).cast("int").alias("workingdays"))
     t = t.where(is_period_label("periodname"))
     t = t.withColumn("net", F.col("returns") + F.col("mfg") - F.col("quantity"))
-    t = carry_forward(t, "periodname", "initialinventory", "net", name="begin_inventory")
+    t = carry_forward(t, "periodname", "initialinventory", "net", [model], name="begin_inventory")
     t = t.withColumn("end_inventory", F.col("begin_inventory") + F.col("returns") + F.col("mfg") - F.col("quantity"))
-    gap = rint(F.col("quantity") / F.col("workingdays") * F.lit(cover_days) - F.col("begin_inventory"))
+    t = _parameter(t, model, parameters, horizon=horizon, cover_days=cover_days)
+    gap = rint(F.col("quantity") / F.col("workingdays") * F.col("cover_days") - F.col("begin_inventory"))
     t = t.withColumn("gap_6days", F.when(F.col("workingdays") != 0, gap))
     t = t.withColumn("period_no", period_no_from_word("periodname"))
-    return t.where(F.col("period_no") <= horizon).drop("net")
+    return t.where(F.col("period_no") <= F.col("horizon")).drop("net", "horizon", "cover_days")
 
 
-def worst_gap(projection: DataFrame) -> DataFrame:
-    """Periods whose gap equals the maximum gap, ties kept."""
-    return top_with_ties(projection, "gap_6days")
+def worst_gap(projection: DataFrame, model: str | None = None) -> DataFrame:
+    """Periods whose gap equals the maximum gap (of their model), ties kept."""
+    if model is None:  # the periods of one model
+        return worst_gap(*_one_model(projection), "__model").drop("__model")
+    return top_with_ties(projection, "gap_6days", [model])
 
 
-def uplift_rows(projection: DataFrame, two_digit_labels: bool = False, floor_zero: bool = False) -> DataFrame:
+def uplift_rows(projection: DataFrame, two_digit_labels: bool = False, floor_zero: bool = False,
+                model: str | None = None) -> DataFrame:
     """Spread the worst gap over the periods before it.
 
     Every worst row is repeated by the count of the *first* worst row, and the
-    counter runs on across ties (Q10).  Labels use ``'Period 0%d'`` (Q8)
+    counter runs on across ties (Q10), per model.  Labels use ``'Period 0%d'`` (Q8)
     unless ``two_digit_labels``.  A negative need (no shortage) lowers
     manufacture as in the model (Q9) unless ``floor_zero``.
-    Output: ``periodname``, ``needed_mfg``.
+    Output: (``model``,) ``periodname``, ``needed_mfg``.
     """
-    w = worst_gap(projection).select("period_no", "gap_6days")
+    if model is None:
+        return uplift_rows(*_one_model(projection), two_digit_labels, floor_zero, "__model").drop("__model")
+    w = worst_gap(projection, model).select(model, "period_no", "gap_6days")
     from pyspark.sql import Window
-    order = Window.partitionBy(F.lit(0)).orderBy("period_no")
+    order = Window.partitionBy(model).orderBy("period_no")
     w = (w.withColumn("tie", F.row_number().over(order) - 1)
          .withColumn("first_k", F.first("period_no").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
     w = w.withColumn("n", F.col("first_k") - 1)
@@ -162,26 +195,30 @@ def uplift_rows(projection: DataFrame, two_digit_labels: bool = False, floor_zer
         w = w.withColumn("needed_mfg", F.greatest(F.col("needed_mfg"), F.lit(0.0)))
     e = expand_back(w, F.col("n"))
     counter = F.col("tie") * F.col("n") + F.col("j")
-    return e.select(period_label(F.col("period_no") - counter, two_digit_labels).alias("periodname"), "needed_mfg")
+    return e.select(model, period_label(F.col("period_no") - counter, two_digit_labels).alias("periodname"), "needed_mfg")
 
 
-def manufacturing_uplift(constraints: DataFrame, uplift: DataFrame, special_depot: str = K.SPECIAL_DEPOT) -> DataFrame:
+def manufacturing_uplift(constraints: DataFrame, uplift: DataFrame, special_depot: str = K.SPECIAL_DEPOT,
+                         model: str | None = None, parameters: DataFrame | None = None) -> DataFrame:
     """New-manufacture rows with ``adjusted_constraintvalue`` (C5): the special
     depot gets its value plus the uplift of the period; other manufacture rows
-    get NULL (they keep their value at the fallback)."""
+    get NULL (they keep their value at the fallback).  With ``model`` the depot
+    may differ by model (column ``special_depot`` of ``parameters``)."""
+    if model is None:
+        return manufacturing_uplift(*_one_model(constraints, uplift), special_depot, "__model").drop("__model")
+    columns = [*constraints.columns, "adjusted_constraintvalue"]
     new = constraints.where(not_starts("facilityname", K.RETURN_PREFIX) & (F.col("productname") == K.PRODUCT_NEW))
-    special = new.where(F.col("facilityname") == special_depot)
-    adj = (special.join(uplift, "periodname", "left")
-           .withColumn("adjusted_constraintvalue",
-                       F.col("constraintvalue") + F.coalesce(F.col("needed_mfg"), F.lit(0.0)))
-           .drop("needed_mfg"))
-    others = new.where(not_equal_keep_null("facilityname", special_depot)) \
+    new = _parameter(new, model, parameters, special_depot=special_depot)
+    special = new.where(F.col("facilityname") == F.col("special_depot"))
+    adj = special.join(uplift, [model, "periodname"], "left").withColumn(
+        "adjusted_constraintvalue", F.col("constraintvalue") + F.coalesce(F.col("needed_mfg"), F.lit(0.0)))
+    others = new.where(F.coalesce(F.col("facilityname") != F.col("special_depot"), F.lit(True))) \
         .withColumn("adjusted_constraintvalue", F.lit(None).cast("double"))
-    return adj.unionByName(others)
+    return adj.select(*columns).unionByName(others.select(*columns))
 
 
 def unchanged_repairs(constraints: DataFrame) -> DataFrame:
-    """Repair rows at individual depots, value unchanged (df 10 of the model)."""
+    """Repair rows at individual depots, which keep their value for every account."""
     return (constraints.where(not_starts("facilityname", K.RETURN_PREFIX)
                               & not_equal_keep_null("facilityname", K.DEPOT_GROUP)
                               & not_equal_keep_null("productname", K.PRODUCT_NEW))

@@ -29,7 +29,7 @@ def register(name: str, sql: str | None = None):
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from servelens.plans import report_queries, constraint_queries, scenario_queries, operator_queries, storage_queries  # noqa: F401
+    from servelens.plans import report_queries, constraint_queries, scenario_queries, operator_queries, storage_queries, model_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from servelens import constants as K
@@ -9,7 +11,8 @@ from servelens.operators.core import materialize, unpivot_prefixed
 from servelens.plans import constraints as C
 from servelens.plans import reporting as R
 from servelens.plans.report_queries import CUSTOMER_SQL, DELTAS_SQL_CTES, KPI_SQL_CTES, KPI_VIEWS, kpis_from
-from servelens.registry import register
+from servelens.registry import ORACLE, register
+from servelens.sinks.wide import publish_blocks, unpivot_accounts
 from servelens.sinks.writers import to_wide
 from servelens.sources import bindings as B
 from servelens.sources import tables as T
@@ -337,6 +340,19 @@ def q_account_unpivot(spark, sf_dir):
     return unpivot_prefixed(wide, [*KEYS, "constraintvalue"], K.ACCOUNT_COLUMN_PREFIX)
 
 
+@register("account_blocks", ORACLE["account_unpivot"])
+def q_account_blocks(spark, sf_dir):
+    """The same table stored in blocks of account positions and read again, a row per constraint and account."""
+    from servelens.session import ensure_checkpoint_dir
+    m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)
+    selected = materialize(selected_from(m), "selected")
+    values = C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"], m["periods"],
+                                         m["transfers"], selected, special_depot=DEPOT, row_ids=True)
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/servelens-tables/wide-{uuid.uuid4().hex}"
+    publish_blocks(values, selected, root)
+    return unpivot_accounts(spark, root)
+
+
 def wide_inputs(spark, sf_dir):
     """Per-account values with row ids and the account codes, which name the columns (as many as the account list)."""
     m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)

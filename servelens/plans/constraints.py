@@ -15,6 +15,8 @@ returns to its location in that period, so rows x accounts is not formed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -348,7 +350,8 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
                               inventory_policies: DataFrame, periods: DataFrame, transfers: DataFrame,
                               selected: DataFrame, special_depot: str = K.SPECIAL_DEPOT,
                               loss_rate: float = K.LOSS_RATE, two_digit_labels: bool = False,
-                              floor_zero: bool = False, persist: bool = True, row_ids: bool = False) -> DataFrame:
+                              floor_zero: bool = False, persist: bool = True, row_ids: bool = False,
+                              extra: Sequence[str] = ()) -> DataFrame:
     """Constraints + selected accounts -> per-account values (C3-C10 composed).
 
     The adjusted rows are matched to the constraints on the 17 key columns with
@@ -364,7 +367,8 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
 
     ``row_ids`` also returns ``row_id`` (the constraint row) and ``match_id`` (the
     row whose adjusted value it took, NULL for shared values), by which the wide
-    table keeps every value of rows with equal keys.
+    table keeps every value of rows with equal keys.  ``extra`` names further
+    columns of the constraint table that each row keeps.
     """
     pc = normalise_constraints(constraints)
     pc = materialize(pc.withColumn("row_id", F.monotonically_increasing_id()), "constraints")
@@ -373,7 +377,7 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
     selected = materialize(selected.select("corp_code").distinct(), "accounts")
     proj = inventory_projection(pc, demand, inventory_policies, periods)
     mfg = manufacturing_uplift(pc, uplift_rows(proj, two_digit_labels, floor_zero), special_depot)
-    shared = unchanged_repairs(pc).unionByName(mfg).drop("row_id")
+    shared = unchanged_repairs(pc).unionByName(mfg).drop("row_id", *extra)
     slim = pc.select("row_id", "facilityname", "productname", "periodname", "constraintvalue")
     # which constraint rows each adjusted row matches (NULL = NULL on all 17 keys)
     target = pc.select(F.col("row_id").alias("o_id"), F.struct(*[F.col(k) for k in KEYS]).alias("__k"))
@@ -397,14 +401,14 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
                 .unionByName(depot.select("row_id", "corp_code", "adjusted_constraintvalue",
                                           F.lit(True).alias("null_product"))))
     own = own_slim.join(match, ["row_id", "null_product"], "inner")
-    base = pc.select(F.col("row_id").alias("o_id"), *KEYS, "constraintvalue")
+    base = pc.select(F.col("row_id").alias("o_id"), *KEYS, "constraintvalue", *extra)
     ids = [F.col("o_id").alias("row_id"), "match_id"] if row_ids else []
     own = own.withColumnRenamed("row_id", "match_id").join(base, "o_id", "inner")
     own = own.withColumn("account_value", F.coalesce("adjusted_constraintvalue", "constraintvalue"))
     own = own.where((F.col("n_match") > 1) | ~F.col("account_value").eqNullSafe(F.col("constraintvalue")))
-    own = own.select(*ids, *KEYS, "constraintvalue", "corp_code", "account_value")
+    own = own.select(*ids, *KEYS, "constraintvalue", *extra, "corp_code", "account_value")
     sh = null_safe_join(base, _final_side(shared), KEYS, "left").withColumn("match_id", F.lit(None).cast("bigint"))
-    sh = sh.select(*ids, *KEYS, "constraintvalue", F.lit(None).cast("string").alias("corp_code"),
+    sh = sh.select(*ids, *KEYS, "constraintvalue", *extra, F.lit(None).cast("string").alias("corp_code"),
                    F.coalesce("adjusted_constraintvalue", "constraintvalue").alias("account_value"))
     out = sh.unionByName(own)
     # the per-account values are the table the process persists for the

@@ -62,12 +62,15 @@ def update_constraints(spark: SparkSession, model_root: str, accounts: DataFrame
     demand = T.typed_demand(m["customerdemand"])
     customers = T.typed_customers(m["customers"])
     selected = materialize(C.select_accounts(accounts, demand, customers), "selected")
+    # account columns of an earlier run are replaced, all other columns stay
+    known = {*K.CONSTRAINT_KEYS, "constraintvalue"}
+    extra = [c for c in constraints.columns if c not in known and not c.startswith(K.ACCOUNT_COLUMN_PREFIX)]
     values = C.build_account_constraints(constraints, demand, customers,
                                          T.typed_inventory(m["inventorypolicies"]), m["periods"], transfers,
-                                         selected, special_depot=special_depot, row_ids=True, **kw)
+                                         selected, special_depot=special_depot, row_ids=True, extra=extra, **kw)
     # the account list is small: its codes name the new columns
     codes = sorted(r.corp_code for r in selected.select("corp_code").distinct().collect())
-    W.publish_wide_constraints(values, codes, out_path, as_text)
+    W.publish_wide_constraints(values, codes, out_path, as_text, extra)
     return snapshots.read(spark, out_path)
 
 

@@ -46,7 +46,7 @@ def write_snapshot(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
 
 
 def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACCOUNT_COLUMN_PREFIX,
-            keys: Sequence[str] = K.CONSTRAINT_KEYS, as_text: bool = False) -> DataFrame:
+            keys: Sequence[str] = K.CONSTRAINT_KEYS, as_text: bool = False, extra: Sequence[str] = ()) -> DataFrame:
     """Sparse long form -> one ``account_<code>`` column per account (K2, R2).
 
     ``codes`` is the list of account codes (the account list, small), so the
@@ -57,7 +57,9 @@ def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACC
     match is a row of its own (the fan-out of the modelled join).  ``row_id`` and
     ``match_id`` (``build_account_constraints(..., row_ids=True)``) tell these rows
     apart; without them rows are told apart by ``constraintvalue`` and the order of
-    the account's values, so that rows equal in both fan out once more.
+    the account's values, so that rows equal in both fan out once more.  ``extra``
+    names further columns of the constraint table to keep.  For thousands of
+    accounts see :mod:`servelens.sinks.wide`.
     """
     keys = list(keys)
     is_own = F.col("corp_code").isNotNull()
@@ -68,7 +70,7 @@ def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACC
         w = Window.partitionBy(*on, "corp_code").orderBy("account_value")
         own = account_values.where(is_own).withColumn("match_id", F.row_number().over(w))
     shared = account_values.where(~is_own).select(
-        *dict.fromkeys([*on, *keys, "constraintvalue"]), F.col("account_value").alias("__shared"))
+        *dict.fromkeys([*on, *keys, "constraintvalue", *extra]), F.col("account_value").alias("__shared"))
     # one value per (row, match, account): any aggregate gives it
     wide = own.groupBy(*on, "match_id").pivot("corp_code", list(codes)).agg(F.max("account_value"))
     wide = wide.select(*on, *[F.col(f"`{c}`").alias(f"__own_{c}") for c in codes])
@@ -76,7 +78,7 @@ def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACC
     cols = [F.coalesce(F.col(f"__own_{c}"), F.col("__shared")).alias(prefix + c) for c in codes]
     if as_text:
         cols = [c.cast("string") for c in cols]
-    return j.select(*keys, "constraintvalue", *cols)
+    return j.select(*keys, "constraintvalue", *extra, *cols)
 
 
 def write_wide_constraints(account_values: DataFrame, codes: Sequence[str], path: str, fmt: str = "parquet",
@@ -89,9 +91,10 @@ def write_wide_constraints(account_values: DataFrame, codes: Sequence[str], path
     write_snapshot(to_wide(account_values, codes, as_text=as_text), path, fmt)
 
 
-def publish_wide_constraints(account_values: DataFrame, codes: Sequence[str], root: str, as_text: bool = True) -> int:
+def publish_wide_constraints(account_values: DataFrame, codes: Sequence[str], root: str, as_text: bool = True,
+                             extra: Sequence[str] = ()) -> int:
     """The same as a new version of the table in ``root``; earlier versions keep their account columns (K2)."""
-    return publish(to_wide(account_values, codes, as_text=as_text), root)
+    return publish(to_wide(account_values, codes, as_text=as_text, extra=extra), root)
 
 
 def upsert_snapshot(existing: DataFrame, updates: DataFrame, keys: Sequence[str], path: str,

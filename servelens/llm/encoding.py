@@ -23,7 +23,9 @@ _BETWEEN = "\n\x00\n"
 _NO_SPACE = "\x01"
 #: letters whose normal form and pre-splitting no tokenizer version changes, and what may end such a word
 _LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyzÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞßàáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿ"
-_WORD = re.compile(f"( ?[{_LETTERS}]+)([,.]?)").fullmatch
+_WORD = re.compile(f"[{_LETTERS}]+").fullmatch
+#: signs that may end such a word; none is part of an added token
+_SIGNS = ",.!?;:#$%&*()-"
 _PRINTED = [*range(33, 127), *range(161, 173), *range(174, 256)]
 #: the printable stand-ins of byte-level vocabularies: a byte itself if it is printed, else the next free character
 _STAND_IN = str.maketrans({chr(b): chr(b if b in _PRINTED else 256 + sum(x not in _PRINTED for x in range(b))) for b in range(256)})
@@ -38,7 +40,7 @@ class ChunkEncoder:
 
     ``space_leads``: the vocabulary's ids depend on the space before a word (else all white space
     is dropped).  At most ``max_chunks`` chunks and ``max_chars`` characters are kept; beyond that
-    the cache starts anew (results never depend on it).
+    only the chunks met in several calls stay, at most half of them (results never depend on it).
     """
 
     def __init__(self, path: str, space_leads: bool, end_id: int, max_chunks: int = 150_000, max_chars: int = 1 << 23):
@@ -57,9 +59,10 @@ class ChunkEncoder:
         self.lower = letters == _LETTERS.lower()
         lead = " " * space_leads
         self.plain = (self.lower or letters == _LETTERS) and (
-            [x for x, _ in split.pre_tokenize_str(f"{lead}{letters}., .")] == [_in_bytes(x) for x in (lead + letters, ".,", lead + ".")])
+            [x for x, _ in split.pre_tokenize_str(f"{lead}{letters}{_SIGNS} .")] == [_in_bytes(x) for x in (lead + letters, _SIGNS, lead + ".")])
+        self.plain = self.plain and not any(set(t) & set(_SIGNS) for t in self.added) and len(self._whole("x")) == 1
         self.model = self.tokenizer.model
-        self.ends = {c: self._whole("x" + c)[1:] for c in ("", ",", ".")}
+        self.ends: dict[str, list[int]] = {}
         self.max_chunks, self.max_chars = max_chunks, max_chars
         self._reset()
 
@@ -71,8 +74,32 @@ class ChunkEncoder:
         self.index[None]  # chunk 0 stands for the end id
         self.flat = np.array([self.end_id], np.uint32)
         self.start, self.count = np.array([0], np.int32), np.array([1], np.int32)
+        self.uses = np.zeros(1, np.int32)
         self.chars = 0
 
+    def _shrink(self) -> None:
+        """Leaves the chunks that several calls met, the more the fewer fit."""
+        least = 2
+        while (stays := self.uses >= least).sum() > self.max_chunks // 2 and least < 1 << 20:
+            least *= 2
+        kept = np.flatnonzero(stays)
+        chunks = list(self.index)
+        chunks = [chunks[i] for i in kept.tolist()]
+        start, count, flat, uses = self.start[kept], self.count[kept], self.flat, self.uses[kept]
+        self._reset()
+        if (chars := sum(map(len, chunks))) > self.max_chars // 2:
+            return
+        for c in chunks:
+            self.index[c]
+        stop = np.cumsum(count, dtype=np.int32)
+        place = np.repeat(start - (stop - count), count) + np.arange(int(stop[-1]) if len(stop) else 0, dtype=np.int32)
+        self.start = np.concatenate([self.start, 1 + stop - count])
+        self.count = np.concatenate([self.count, count])
+        self.flat = np.concatenate([self.flat, flat[place]])
+        # a chunk must be met again to stay the next time
+        self.uses = np.concatenate([self.uses, uses // 2])
+        self.chars = chars
+
     def _learn(self) -> None:
         """Encodes the chunks that the index has and the arrays have not."""
         new = list(itertools.islice(self.index, len(self.start), None))
@@ -82,38 +109,53 @@ class ChunkEncoder:
             chunks = [c[1:] if c.startswith(_NO_SPACE) else c if c == "\n" else " " + c for c in new]
         else:
             chunks = new
-        found: list = []
-        rest = []
-        tokenize, ends, lower, match = self.model.tokenize, self.ends, self.lower, _WORD if self.plain else lambda c: None
+        flat: list[int] = []
+        count = np.zeros(len(chunks), np.int32)
+        rest, odd = [], {}
+        tokenize, ends, plain, lower, leads, before = self.model.tokenize, self.ends, self.plain, self.lower, self.space_leads, 0
         for i, c in enumerate(chunks):
-            if m := match(c):
-                word, end = m.groups()
+            # a word and the signs at its end, which the file splits apart
+            stem = c.rstrip(_SIGNS)
+            word = stem[1:] if leads and stem[:1] == " " else stem
+            end, is_ascii = c[len(stem):], word.isascii()
+            if plain and (is_ascii and word.isalpha() or not is_ascii and _WORD(word)):
                 if lower:
-                    word = word.lower()
-                if self.space_leads or not word.isascii():
-                    word = _in_bytes(word)
-                found.append([t.id for t in tokenize(word)] + ends[end])
+                    stem = stem.lower()
+                if leads or not is_ascii:
+                    stem = _in_bytes(stem)
+                flat += [t.id for t in tokenize(stem)]
+                if end:
+                    if end not in ends:
+                        if len(ends) > 4096:
+                            ends.clear()
+                        ends[end] = self._whole("x" + end)[1:]
+                    flat += ends[end]
             else:
                 rest.append(i)
-                found.append(())
+            count[i] = len(flat) - before
+            before = len(flat)
         # white space at a chunk's end, the mark itself or an added token would spoil a shared call
         alone = lambda i: not chunks[i] or chunks[i][-1].isspace() or self.odd(chunks[i]) is not None
         for is_alone, group in itertools.groupby(rest, alone):
             for part in itertools.batched(group, 1 if is_alone else 256):
                 ids = self._whole(_BETWEEN.join(chunks[i] for i in part))
                 if is_alone:
-                    found[part[0]] = ids
+                    odd[part[0]] = ids
                     continue
                 array, k = np.array(ids, np.uint32), len(self.between)
                 stops = [*(np.flatnonzero(array == self.between[k // 2]) - k // 2).tolist(), len(ids)]
                 assert len(stops) == len(part)
                 for i, stop, start in zip(part, stops, [0, *(x + k for x in stops)]):
-                    found[i] = ids[start:stop]
-        count = np.fromiter(map(len, found), np.int32, len(found))
-        flat = np.fromiter(itertools.chain.from_iterable(found), np.uint32, int(count.sum()))
-        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(count, dtype=np.int32) - count])
+                    odd[i] = ids[start:stop]
+        # the ids of plain words stand first, those of the other chunks behind them
+        start = len(self.flat) + np.cumsum(count, dtype=np.int32) - count
+        for i, ids in odd.items():
+            start[i], count[i] = len(self.flat) + len(flat), len(ids)
+            flat += ids
+        self.start = np.concatenate([self.start, start])
         self.count = np.concatenate([self.count, count])
-        self.flat = np.concatenate([self.flat, flat])
+        self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int32)])
+        self.flat = np.concatenate([self.flat, np.array(flat, np.uint32)])
         self.chars += sum(map(len, new))
 
     def _chunks(self, texts):
@@ -138,7 +180,7 @@ class ChunkEncoder:
         import pyarrow.compute as pc
 
         if len(self.start) > self.max_chunks or self.chars > self.max_chars:
-            self._reset()
+            self._shrink()
         texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
         if not len(texts):
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
@@ -146,6 +188,7 @@ class ChunkEncoder:
         coded = lists.flatten().dictionary_encode()
         known = np.fromiter(map(self.index.__getitem__, coded.dictionary.to_pylist()), np.int32, len(coded.dictionary))
         self._learn()
+        self.uses[known] += 1
         at = known[coded.indices.to_numpy(zero_copy_only=False)] if len(known) else np.zeros(0, np.int32)
         stops = lists.offsets.to_numpy()[1:] - lists.offsets[0].as_py()
         at = np.insert(at, stops, 0)  # the end id after each text

@@ -106,12 +106,21 @@ def fingerprints(docs: DataFrame, k: int = 5, s: int = 2, sketch: int = 64) -> D
 def with_followers(docs: DataFrame) -> DataFrame:
     """``doc_id, text`` dealt to ranges (``bucket``) of ``doc_id`` by quantiles.  Each range also gets the first
     row of the next range (``part`` 1), the last one the first row of all (``part`` 2), so the row that
-    follows a row by ascending ``doc_id`` (NULL last, ties by text) is found within a range."""
+    follows a row by ascending ``doc_id`` (NULL last, ties by text) is found within a range.
+
+    The quantiles are approximate and, for large ids, rounded; a range's bound is the least id that falls into it,
+    so every bound is an id of the table and no range is empty."""
     n = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = docs.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 100 * n).alias("b"), F.min("doc_id").alias("least")).first()
-    bounds = sorted(set(found["b"] or []))
-    edges = F.array(*map(F.lit, bounds)) if bounds else F.array().cast("array<bigint>")
-    bucket = lambda c: F.when(c.isNull(), F.lit(len(bounds))).otherwise(F.size(F.filter(edges, lambda b: b <= c)))
+    quantiles = sorted(set(found["b"] or []))
+
+    def below(values: list[int]):
+        edges = F.array(*[F.lit(v).cast("bigint") for v in values]) if values else F.array().cast("array<bigint>")
+        return lambda c: F.size(F.filter(edges, lambda b: b <= c))
+
+    least = docs.where("doc_id is not null").groupBy(below(quantiles)(F.col("doc_id")).alias("r")).agg(F.min("doc_id").alias("id"))
+    bounds = sorted(r.id for r in least.collect())[1:]
+    bucket = lambda c: F.when(c.isNull(), F.lit(len(bounds))).otherwise(below(bounds)(c))
     rows = docs.select("doc_id", "text")
     own = rows.withColumn("bucket", bucket(F.col("doc_id"))).withColumn("part", F.lit(0))
     follow = rows.filter(F.col("doc_id").isin(bounds)) if bounds else rows.filter("false")

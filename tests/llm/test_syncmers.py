@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import helpers
 from helpers import F
@@ -113,3 +114,14 @@ def test_a_passage_counts_in_long_texts_and_fingerprints_grow(spark):
     assert 0.0005 < got[0].near_next < 0.003  # about 28 of 20,000
     assert 0.98 < got[2].near_next < 1.0
     assert len(got[2].fingerprint) > 8 * 200 and len(got[4].fingerprint) == 8 * 64
+
+
+def test_large_and_sparse_ids_have_followers(spark):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(50)}" for _ in range(rng.randint(1, 40))) for _ in range(400)]
+    expected = [(r.edited_sha256, r.edited_fingerprint, r.near_next) for r in syncmers.edited_fingerprints(helpers.frame(spark, texts)).orderBy("doc_id").collect()]
+    assert all(x is not None for r in expected for x in r)
+    for ids in (list(range(2 ** 62, 2 ** 62 + 400)), [-(2 ** 63) + i * 2 ** 54 for i in range(400)], [i // 399 * 2 ** 60 + i for i in range(400)]):
+        got = syncmers.edited_fingerprints(helpers.frame(spark, texts, ids=ids)).orderBy("doc_id").collect()
+        assert [r.doc_id for r in got] == ids
+        assert [(r.edited_sha256, r.edited_fingerprint, r.near_next) for r in got] == expected

@@ -10,9 +10,11 @@ all blocks of such an ``article`` or ``main``; else the blocks that share the co
 headings from the title (the last ``h1`` before the text, or the last heading) to the end of the text, and
 what stands directly in the containers around the text between these.  Other blocks go, and those of
 elements that name themselves as something else (menus, headers, footers, sidebars, adverts, notices,
-forms, comments).  A name counts for nothing
+forms, comments).  A name, or the tag ``form``, counts for nothing
 on an element that holds the page's ``main`` or largest ``article``, or most of its text: such an element
-is a wrapper ('content has-sidebar').
+is a wrapper ('content has-sidebar').  Inside an article a name counts as a whole only ('related-work' names no
+list of related pages), an article's ``header`` that holds a heading is text, and so are buttons and labels amid a paragraph's
+words.  Articles that stand beside one that stands for the page, and have text above the threshold, belong to it.
 
 Character references are decoded, white space in a block becomes one space, blocks are joined by an
 empty line in page order.  Broken markup (open tags, a cut-off page) is read as far as it goes.  NULL
@@ -50,6 +52,9 @@ ASIDE_WORDS = frozenset(
     "popup modal newsletter subscribe subscription sidebar sidebars complementary menu menus nav navbar navigation breadcrumb breadcrumbs footer contentinfo masthead comment comments "
     "disqus reply replies respond related recommended share sharing social widget widgets login signup toolbar pagination pager search copyright".split())
 HEADER_WORDS = frozenset("header topbar".split())
+#: words that add nothing to a name, and names that a paragraph of an article may have
+PLAIN_WORDS = frozenset("area bar block box bottom button buttons container group icons inner item items left link links list outer panel posts right section top wrap wrapper".split())
+PARAGRAPH_NAMES = frozenset("notice notices notification alert".split())
 #: what a start tag closes if it is open: (tags closed, tags beyond which it does not look)
 _CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"}), "dt": ({"dd", "dt"}, {"dl"}),
            "td": ({"td", "th"}, {"table"}), "th": ({"td", "th"}, {"table"}), "tr": ({"tr"}, {"table"}), "option": ({"option"}, {"select"})}
@@ -75,6 +80,7 @@ class _Page:
         self.raw: list[tuple[int, list]] = []
         self.named: list[tuple[int, bool]] = [(0, False)]  # enclosing named aside, whether it has no other name
         self.heads: list[tuple[int, int]] = []  # article and main elements, with the named aside around them
+        self.headers, self.titled = set(), set()  # headers inside an article, and those of them with a heading
         self._read(html)
         self._settle()
 
@@ -114,7 +120,7 @@ class _Page:
         dropped = [False] * len(own)
         for k in range(1, len(own)):
             up, pure = self.named[k]
-            dropped[k] = dropped[up] or not (k in wrappers or own[k] > (most_pure if pure else most) * own[0])
+            dropped[k] = dropped[up] or not (k in wrappers or k in self.titled or own[k] > (most_pure if pure else most) * own[0])
         return dropped
 
     def _settle(self) -> None:
@@ -152,13 +158,31 @@ class _Page:
         if tag in VOID:
             return
         aside = self.stack[-1][2]
+        if tag in HEADINGS and aside in self.headers:
+            self.titled.add(aside)
         if aside >= 0:
-            if tag in ASIDE_TAGS:
+            in_article = self.open.get("article") or self.open.get("main")
+            spoken = tag in ("button", "label") and self.open.get("p") and any(t.strip() for t, _, _ in self.parts)
+            if tag == "form":
+                self.named.append((aside, True))
+                aside = len(self.named) - 1
+            elif tag == "header" and in_article:
+                self.named.append((aside, True))
+                aside = len(self.named) - 1
+                self.headers.add(aside)
+            elif tag in ASIDE_TAGS and not spoken:
                 aside = -1
             elif attributes and tag not in ("html", "body", "article", "main"):
-                words = {w for m in _ATTRIBUTE.finditer(attributes) for w in re.split(r"[^a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", m[2] or m[3] or m[4] or "").lower())}
-                if words & ASIDE_WORDS or words & HEADER_WORDS and not self.open.get("article"):
-                    self.named.append((aside, words - {""} <= ASIDE_WORDS | HEADER_WORDS))
+                names = [re.split(r"[^a-z0-9]+", re.sub("([a-z])([A-Z])", r"\1 \2", name).lower())
+                         for m in _ATTRIBUTE.finditer(attributes) for name in (m[2] or m[3] or m[4] or "").split()]
+                words = {w for name in names for w in name} - {""}
+                if in_article:
+                    listed = ASIDE_WORDS - PARAGRAPH_NAMES if tag == "p" else ASIDE_WORDS
+                    named = any(listed & set(name) and set(name) <= listed | PLAIN_WORDS | {""} for name in names)
+                else:
+                    named = bool(words & ASIDE_WORDS or words & HEADER_WORDS)
+                if named:
+                    self.named.append((aside, words <= ASIDE_WORDS | HEADER_WORDS))
                     aside = len(self.named) - 1
         node = self.stack[-1][0]
         if tag in BLOCK:
@@ -238,10 +262,13 @@ def main_blocks(page: _Page, radius: int = 1, cut: float = 0.25, share: float =
     plain = [scores[b.path][1] < 0.5 for b in blocks]
     at = next((n for n, tag in enumerate(page.tag) if tag in ("article", "main") and weight[n] and weight[n] >= share * weight[0]), None)
     if at is not None:
+        # the first of it and the articles beside it
+        at = next(n for n in range(at + 1) if page.tag[n] == page.tag[at] and page.parent[n] == page.parent[at] and weight[n])
         inside = [False] * len(page.parent)
-        inside[at] = True
-        for node in range(at + 1, len(page.parent)):
-            inside[node] = inside[page.parent[node]]
+        for node in range(at, len(page.parent)):
+            inside[node] = node == at or page.tag[node] == page.tag[at] and page.parent[node] == page.parent[at] and weight[node] > 0
+        for node in range(len(page.parent)):
+            inside[node] = inside[node] or node > at and inside[page.parent[node]]
         return [b for b, f, p in zip(blocks, fused, plain) if inside[b.node] and (f >= threshold or p)]
 
     # a table without a vote belongs to what is around it

@@ -91,3 +91,31 @@ def test_boilerplate_without_links_and_names_goes():
     assert main_text(page) == "\n\n".join(["Title"] + [SENTENCE] * 8)
     table = "<table><tr><td>1<td>2<tr><td>3<td>4</table>"
     assert main_text(f"<body><div>{LONG * 4}{table}{LONG * 2}</div><div>Tel. 12</div>") == "\n\n".join([SENTENCE] * 4 + list("1234") + [SENTENCE] * 2)
+
+
+def test_what_belongs_to_an_article_though_its_tag_or_name_says_otherwise():
+    rest = "\n\n".join([SENTENCE] * 4)
+    page = "<html><body><header><p>Our site, the best of all.</p></header><article>{}" + LONG * 4 + "</article></body></html>"
+    assert main_text(page.format("<header><h1>Title of it</h1><p>By A. Writer</p><nav><a href=x>Up</a></nav></header>")) == "Title of it\n\nBy A. Writer\n\n" + rest
+    for name in ("class='related-work'", "class='comments-policy'", "class='search-algorithm'", "id=adsorption-notice-board"):
+        for tag in ("div", "section", "p"):
+            inner = "Body text of it, with a comma."
+            assert main_text(page.format(f"<{tag} {name}>{inner}</{tag}>")) == inner + "\n\n" + rest, (name, tag)
+    assert main_text(page.format("<p class='notice'>Note this, it matters.</p>")) == "Note this, it matters.\n\n" + rest
+    for name in ("class='related-posts'", "class='share-links box'", "class='advert'", "id=comments", "class='newsletter-box'"):
+        assert main_text(page.format(f"<div {name}>Dull things, as ever.</div>")) == rest, name
+    assert main_text("<body><article><p>Press <button>OK</button> and <label>this</label> now, please.</p><button>Buy</button></article>") == "Press OK and this now, please."
+
+
+def test_a_form_around_the_page_is_a_wrapper():
+    rest = "\n\n".join([SENTENCE] * 4)
+    small = "<form><p>Your name, please.</p><input><button>Go</button></form>"
+    for shell in ("<article>{}</article>", "<div id=content>{}</div>", "<main>{}</main>"):
+        page = "<html><body><form id=aspnetForm><nav><a href=x>Home</a></nav>" + shell.format(LONG * 4) + small + "</form></body></html>"
+        assert main_text(page) == rest, shell
+        assert main_text("<body>" + shell.format(LONG * 4) + small + "</body>") == rest, shell
+
+
+def test_articles_beside_the_largest_one_stay():
+    two = f"<body><nav><a href=x>Home</a></nav><article><h2>One</h2>{LONG}</article><article><h2>Two</h2>{LONG * 5}</article><div>All rights kept</div></body>"
+    assert main_text(two) == "\n\n".join(["One", SENTENCE, "Two"] + [SENTENCE] * 5)

@@ -166,8 +166,9 @@ def features_of(text: bytes, stats: Stats, size: int) -> dict[int, float]:
     return found
 
 
-def fit_scorer(rows: list[dict[int, float]], labels, size: int, rounds: int = 150, rate: float = 1.0, decay: float = 1e-4):
-    """Weights (the last is the bias) of a logistic scorer with soft labels: accelerated gradient steps from zero."""
+def fit_scorer(rows: list[dict[int, float]], labels, size: int, rounds: int = 150, rate: float = 1.0, decay: float = 1e-4, counts=None):
+    """Weights (the last is the bias) of a logistic scorer with soft labels: accelerated gradient steps from zero.
+    ``counts``: how often each row stands in the sample (default: once)."""
     import numpy as np
 
     x = np.zeros((len(rows), size + 1), np.float32)
@@ -175,10 +176,12 @@ def fit_scorer(rows: list[dict[int, float]], labels, size: int, rounds: int = 15
     for i, row in enumerate(rows):
         x[i, list(row)] = list(row.values())
     y, w, last = np.asarray(labels, np.float32), np.zeros(size + 1, np.float32), np.zeros(size + 1, np.float32)
+    n = np.ones(len(rows), np.float32) if counts is None else np.asarray(counts, np.float32)
+    n = n / max(1.0, float(n.sum()))
     for k in range(rounds):
         ahead = w + k / (k + 3) * (w - last)
         p = 1 / (1 + np.exp(-np.clip(x @ ahead, -30, 30)))
-        last, w = w, ahead - rate * (x.T @ (p - y) / max(1, len(y)) + decay * ahead)
+        last, w = w, ahead - rate * (x.T @ (n * (p - y)) + decay * ahead)
     return w
 
 
@@ -212,7 +215,7 @@ def fit(docs: DataFrame, train_rows: int = 8000, size: int = 2048) -> QualityMod
         return None
     labels = fit_label_model(patterns)
 
-    # a draw of the hash below this share; the limit bounds what reaches the driver
+    # a draw of the hash below this share; texts become features where they stand, before anything is gathered
     share = train_rows / sum(n for _, n in patterns)
     drawn = rows.filter(F.shiftrightunsigned("draw", 11) < F.lit(int(min(1.0, share) * (1 << 53))))
 
@@ -220,16 +223,21 @@ def fit(docs: DataFrame, train_rows: int = 8000, size: int = 2048) -> QualityMod
         import pyarrow as pa
 
         for batch in batches:
-            for _, _, texts in text_slices(batch, "text"):
+            for a, b, texts in text_slices(batch, "text"):
                 stats = [stats_of(t) for t in texts]
                 found = [features_of(t, s, size) for t, s in zip(texts, stats)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([list(votes_of(s)) for s in stats], pa.list_(pa.int32())), pa.array([list(f) for f in found], pa.list_(pa.int32())),
-                     pa.array([list(f.values()) for f in found], pa.list_(pa.float32()))], ["votes", "slots", "values"])
-
-    sample = drawn.select("text").limit(2 * train_rows).mapInArrow(featurise, "votes array<int>, slots array<int>, values array<float>").collect()
+                    [batch.column(0).slice(a, b - a), pa.array([list(votes_of(s)) for s in stats], pa.list_(pa.int32())),
+                     pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.float32()))],
+                    ["draw", "votes", "slots", "values"])
+
+    # rows equal in id and text share a draw: they stand once, with their number; the limit bounds what reaches the driver
+    featured = drawn.mapInArrow(featurise, "draw long, votes array<int>, slots array<int>, values array<float>")
+    sample = featured.groupBy("draw").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("votes", "slots", "values")).alias("x")).select(
+        "draw", "n", "x.*").orderBy("draw").limit(2 * train_rows).collect()
     sample.sort(key=lambda r: (r.votes, r.slots, r["values"]))
-    weights = fit_scorer([dict(zip(r.slots, r["values"])) for r in sample], labels.posterior([r.votes for r in sample]) if sample else [], size)
+    weights = fit_scorer([dict(zip(r.slots, r["values"])) for r in sample], labels.posterior([r.votes for r in sample]) if sample else [], size,
+                         counts=[r.n for r in sample])
     return QualityModel(labels, tuple(weights.tolist()))
 
 

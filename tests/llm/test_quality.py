@@ -54,3 +54,59 @@ def test_scorer_sees_words_beside_shapes():
     w = quality.fit_scorer([a, b] * 20, [1.0, 0.0] * 20, 2048, rounds=400)
     model = quality.QualityModel(quality.LabelModel(0.5, (), ()), tuple(w.tolist()))
     assert model.score(texts[0]) > 0.5 > model.score(texts[1])
+
+
+def plain_label_model(votes, rounds=200):
+    """Expectation maximisation over unpooled rows, one number at a time."""
+    n = len(votes[0])
+    good = [0.95 * 0.2 ** sum(v < 0 for v in row) for row in votes]
+    model = None
+    clip = lambda x, a, b: min(max(x, a), b)
+    for _ in range(rounds):
+        share = clip((sum(good) + 1) / (len(votes) + 2), 0.01, 0.99)
+        g, b = [], []
+        for k in range(n):
+            yes = sum(p for p, row in zip(good, votes) if row[k] > 0)
+            some = sum(p for p, row in zip(good, votes) if row[k])
+            no = sum(1 - p for p, row in zip(good, votes) if row[k] < 0)
+            any_ = sum(1 - p for p, row in zip(good, votes) if row[k])
+            g.append(clip((yes + 1) / (some + 1.1), 0.5, 0.9999))
+            b.append(clip((no + 0.1) / (any_ + 1), 1.5 * (1 - g[k]), 0.99))
+        model, good = (share, g, b), []
+        for row in votes:
+            a, z = share, 1 - share
+            for k, v in enumerate(row):
+                a *= g[k] if v > 0 else 1 - g[k] if v < 0 else 1
+                z *= 1 - b[k] if v > 0 else b[k] if v < 0 else 1
+            good.append(a / (a + z))
+    return model, good
+
+
+def plain_scorer(rows, labels, size, rounds=150, rate=1.0, decay=1e-4):
+    import math
+
+    w, last = [0.0] * (size + 1), [0.0] * (size + 1)
+    for k in range(rounds):
+        ahead = [a + k / (k + 3) * (a - b) for a, b in zip(w, last)]
+        slope = [decay * a for a in ahead]
+        for row, y in zip(rows, labels):
+            z = ahead[size] + sum(v * ahead[s] for s, v in row.items())
+            error = (1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) - y) / len(rows)
+            slope[size] += error
+            for s, v in row.items():
+                slope[s] += error * v
+        last, w = w, [a - rate * d for a, d in zip(ahead, slope)]
+    return w
+
+
+def test_classifier_equals_brute_force_on_documents(spark):
+    docs = helpers.fixture_docs(spark).orderBy("doc_id").limit(150)
+    docs = docs.union(docs.where("doc_id % 40 = 0"))  # some rows twice
+    texts = [(r.text or "").encode() for r in docs.collect()]
+    stats = [quality.stats_of(t) for t in texts]
+    votes = [quality.votes_of(s) for s in stats]
+    model, _ = plain_label_model(votes)
+    got = quality.fit(docs, train_rows=1000, size=64)
+    assert np.allclose([got.labels.good, *got.labels.right_on_good, *got.labels.right_on_bad], [model[0], *model[1], *model[2]], atol=1e-6)
+    w = plain_scorer([quality.features_of(t, s, 64) for t, s in zip(texts, stats)], got.labels.posterior(votes), 64)
+    assert np.allclose(got.weights, w, atol=2e-3)

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -64,3 +65,62 @@ def test_no_labels_and_edges(spark):
     assert learned.rules == ()
     assert rules.judge(df, learned).filter("kept = base_failed").count() == 0
     assert rules.judge(helpers.empty(spark), rules.fit(helpers.empty(spark), labels)).count() == 0
+
+
+def plain_list(rows, names, max_rules=12, max_tests=4, precision=0.9, least_covered=3, steps=24):
+    """Sequential covering on dictionaries with the features' values, ``bad`` and ``prune``."""
+    def cuts(some, n):
+        values = sorted(r[n] for r in some if r[n] is not None)
+        return {values[max(0, math.ceil(i / steps * len(values)) - 1)] for i in range(1, steps)} if values else set()
+    edges = {n: sorted(cuts(rows, n) | cuts([r for r in rows if r["bad"]], n)) for n in names}
+    holds = lambda r, tests: all((r[n] > x) == above for n, above, x in tests)
+    left, found = rows, []
+    while len(found) < max_rules:
+        tests = []
+        while len(tests) < max_tests:
+            grow = [r for r in left if not r["prune"] and holds(r, tests)]
+            p0 = sum(r["bad"] for r in grow)
+            n0 = len(grow) - p0
+            if not p0 or not n0:
+                break
+            best = None
+            for name in names:
+                for x in edges[name]:
+                    for above in (False, True):
+                        inside = [r for r in grow if (r[name] > x) == above]
+                        q = sum(r["bad"] for r in inside)
+                        if q:
+                            gain = q * (math.log2(q / len(inside)) - math.log2(p0 / (p0 + n0)))
+                            if gain > 1e-9 and (best is None or gain > best[0] + 1e-9 or above and gain > best[0] - 1e-9 and best[1][0] == name):
+                                best = gain, (name, above, x)
+            if best is None:
+                break
+            tests.append(best[1])
+        if not tests:
+            break
+        prune = [r for r in left if r["prune"]]
+        worth = []
+        for k in range(1, len(tests) + 1):
+            inside = [r for r in prune if holds(r, tests[:k])]
+            p = sum(r["bad"] for r in inside)
+            worth.append((p, len(inside) - p))
+        k = max(range(len(tests)), key=lambda i: ((worth[i][0] - worth[i][1]) / max(1, sum(worth[i])), worth[i][0], -i))
+        p, n = worth[k]
+        if p < least_covered or p < precision * (p + n):
+            break
+        found.append(tuple(tests[:k + 1]))
+        left = [r for r in left if not holds(r, found[-1])]
+    return found
+
+
+def test_learner_equals_plain_sequential_covering(spark):
+    folder = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{folder}/documents.parquet"), spark.read.parquet(f"{folder}/labels.parquet")
+    marked = docs.join(labels.select("doc_id", (1 - F.col("quality")).cast("int").alias("bad")), "doc_id").withColumn("prune", F.col("doc_id") % 3 == 0)
+    stats = rules.with_statistics(marked, "bad", "prune").filter(~rules.base_failed())
+    columns = rules.features()
+    rows = [r.asDict() for r in stats.select("bad", "prune", *[c.cast("double").alias(n) for n, c in columns.items()]).collect()]
+    for parameters in ({}, {"least_covered": 1, "precision": 0.6, "steps": 8}):
+        got = rules.learn(stats, **parameters)
+        assert [tuple((t[0], t[1], t[2]) for t in r.tests) for r in got.rules] == plain_list(rows, list(columns), **parameters)
+    assert got.rules

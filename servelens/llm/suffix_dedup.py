@@ -330,7 +330,7 @@ def repeated_spans(rows: DataFrame, min_bytes: int, gram: int, shard_bytes: int)
     total = distinct.agg(F.sum(size)).first()[0] or 0
     n_shards = max(1, -(-total // shard_bytes))
     parts = F.ceil(F.sum(size) / F.lit(shard_bytes)).cast("int")
-    large = distinct.groupBy("h").agg(parts.alias("parts")).where("parts > 1")
+    large = written(distinct.groupBy("h").agg(parts.alias("parts")).where("parts > 1"), "suffix-large")
     dealt = distinct.join(large, "h", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
     dealt = dealt.withColumn("shard", F.pmod(F.xxhash64("h", F.pmod(F.col("f"), F.col("parts"))), F.lit(n_shards)))
     wanted = dealt.groupBy("doc_id", "td").agg(F.collect_list(F.struct("shard", "h", "f", "copies", "parts", "start", size.alias("size"))).alias("wanted"))

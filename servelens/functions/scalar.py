@@ -12,12 +12,12 @@ modelled pandas code explicitly:
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
     "col_", "starts", "not_starts", "has", "not_has", "not_equal_keep_null",
-    "safe_div", "period_no", "period_no_from_word", "period_label", "is_period_label",
+    "safe_div", "period_no", "within_horizon", "period_no_from_word", "period_label", "is_period_label",
     "rint", "round_half_even", "sum0", "cond_sum", "least_strict", "clean_text", "drop_last_char",
     "split_part", "right", "null_of",
 ]
@@ -72,6 +72,16 @@ def period_no(c) -> Column:
     return F.right(col_(c), F.lit(2)).cast("int")
 
 
+def within_horizon(df: DataFrame, label: str, horizon: int, stored: str = "period_no") -> Column:
+    """Rows of the first ``horizon`` periods (F8).
+
+    A table stored with its period number (``sources.tables.by_period``) is
+    compared on that column, which the scan can push down; else the number is
+    taken from the label of every row.
+    """
+    return (F.col(stored) if stored in df.columns else period_no(label)) <= horizon
+
+
 def period_no_from_word(c) -> Column:
     """Period number as the second blank-separated word."""
     return F.split(col_(c), " ").getItem(1).cast("int")

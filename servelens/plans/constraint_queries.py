@@ -38,6 +38,7 @@ def typed_model(spark, sf_dir, names):
     return m
 
 
+SELECTION_INPUTS = ("accounts", "demand", "customers")
 ACCOUNT_INPUTS = ("constraints", "demand", "customers", "inventory_policies", "periods", "transfers", "accounts")
 
 
@@ -45,16 +46,16 @@ def selected_from(m):
     return C.select_accounts(m["accounts"], m["demand"], m["customers"])
 
 
-def account_values_from(spark, sf_dir, stored: bool = True, persist: bool = True):
+def account_values_from(spark, sf_dir, stored: bool = True, persist: bool = True, row_ids: bool = False):
     """Per-account constraint values.  The process writes them once (for the
     solver) and the reports read the written table: when ``sf_dir`` holds it
-    (``account_values.parquet``) it is read, otherwise computed."""
+    (``account_values.parquet``, with row ids) it is read, otherwise computed."""
     if stored and B._exists(spark, f"{sf_dir}/account_values.parquet"):
         return spark.read.parquet(f"{sf_dir}/account_values.parquet")
     m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)
     return C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"],
                                        m["periods"], m["transfers"], selected_from(m), special_depot=DEPOT,
-                                       persist=persist)
+                                       persist=persist, row_ids=row_ids)
 
 
 def round6(df, *cols):
@@ -344,10 +345,8 @@ def q_account_unpivot(spark, sf_dir):
 def q_account_blocks(spark, sf_dir):
     """The same table stored in blocks of account positions and read again, a row per constraint and account."""
     from servelens.session import ensure_checkpoint_dir
-    m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)
-    selected = materialize(selected_from(m), "selected")
-    values = C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"], m["periods"],
-                                         m["transfers"], selected, special_depot=DEPOT, row_ids=True)
+    selected = materialize(selected_from(typed_model(spark, sf_dir, SELECTION_INPUTS)), "selected")
+    values = account_values_from(spark, sf_dir, row_ids=True)
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/servelens-tables/wide-{uuid.uuid4().hex}"
     publish_blocks(values, selected, root)
     return unpivot_accounts(spark, root)
@@ -355,10 +354,8 @@ def q_account_blocks(spark, sf_dir):
 
 def wide_inputs(spark, sf_dir):
     """Per-account values with row ids and the account codes, which name the columns (as many as the account list)."""
-    m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)
-    selected = materialize(selected_from(m), "selected")
-    values = C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"], m["periods"],
-                                         m["transfers"], selected, special_depot=DEPOT, row_ids=True)
+    selected = selected_from(typed_model(spark, sf_dir, SELECTION_INPUTS))
+    values = account_values_from(spark, sf_dir, row_ids=True)
     return values, sorted(r.corp_code for r in selected.select("corp_code").distinct().collect())
 
 
@@ -405,6 +402,21 @@ def q_removed_returns(spark, sf_dir):
     return round6(R.removed_returns(account_values_from(spark, sf_dir), codes), "returns")
 
 
+@register("removed_returns_dense", model_sql("""
+SELECT b.facilityname, k.corp_code, round(coalesce(sum(b.constraintvalue
+         - coalesce(o.adjusted_constraintvalue, s.adjusted_constraintvalue, b.constraintvalue)), 0), 6) AS returns
+FROM pc b CROSS JOIN (SELECT DISTINCT corp_code FROM sel WHERE corp_code IN (SELECT corp_code FROM codes)) k
+LEFT JOIN shared s ON """ + _JOIN_ON + """
+LEFT JOIN per_acct o ON o.corp_code = k.corp_code AND """ + _JOIN_ON.replace(" s.", " o.") + f"""
+WHERE b.notes = '{K.RETURNS_NOTE}' AND b.facilityname IS NOT NULL GROUP BY b.facilityname, k.corp_code""",
+                                             PROJ_CTES, UPLIFT_CTES, ACCOUNT_CTES, ACV_CTES, CUSTOMER_SQL, views=ALL_VIEWS))
+def q_removed_returns_dense(spark, sf_dir):
+    """C17: returns removed for every pair of return facility and account, from the wide table."""
+    codes = R.less_codes(B.view(spark, sf_dir, "flows"))
+    wide = to_wide(*wide_inputs(spark, sf_dir))
+    return round6(R.removed_returns_dense(wide, codes), "returns")
+
+
 def current_return_from(spark, sf_dir, flows, customers, codes):
     rem = R.removed_returns(account_values_from(spark, sf_dir), codes)
     return R.current_return_cost(rem, R.return_unit_cost(flows), customers, codes)

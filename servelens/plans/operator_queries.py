@@ -4,6 +4,8 @@ with SQL twins."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from servelens import constants as K
@@ -12,9 +14,11 @@ from servelens.operators import core as O
 from servelens.plans import scenarios as S
 from servelens.plans.constraint_queries import SEL_CTE, selected_from, typed_model
 from servelens.plans.scenario_queries import NEW_ASSIGN
-from servelens.registry import register
+from servelens.registry import ORACLE, register
+from servelens.session import ensure_checkpoint_dir
 from servelens.sources import bindings as B
 from servelens.sources.bindings import with_views
+from servelens.sources.tables import by_period
 
 H = K.HORIZON_PERIODS
 
@@ -60,6 +64,17 @@ def q_period_cutoff(spark, sf_dir):
             .withColumn("period_no", X.period_no("departingperiodname")))
 
 
+@register("period_cutoff_stored", ORACLE["period_cutoff"])
+def q_period_cutoff_stored(spark, sf_dir):
+    """The same over flows stored with their period number, which the scan filters on."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/servelens-tables/flows-{uuid.uuid4().hex}"
+    by_period(B.view(spark, sf_dir, "flows"), "departingperiodname").write.parquet(path)
+    f = spark.read.parquet(path)
+    return (f.where(X.within_horizon(f, "departingperiodname", H))
+            .groupBy("scenarioname", "departingperiodname", "period_no")
+            .agg(F.count(F.lit(1)).alias("n_flows"), X.sum0("flowquantity").alias("flowquantity")))
+
+
 @register("not_in_list", with_views(f"""
 SELECT scenarioname, count(*) AS n_flows, coalesce(sum(sourcingcost), 0) AS sourcingcost
 FROM flows f

@@ -22,7 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from servelens import constants as K
-from servelens.functions.scalar import has, not_has, period_no, safe_div, sum0
+from servelens.functions.scalar import has, not_has, safe_div, sum0, within_horizon
+from servelens.operators.core import unpivot_prefixed
 
 MEASURES = tuple(name for _, name in K.SCENARIO_MEASURES)
 BASE_MEASURES = ("issues", "returns", "tc_issues", "tc_returns", "tc_transfers", "depot_fixed",
@@ -57,7 +58,7 @@ def _flow_partials(flows: DataFrame, horizon: int) -> DataFrame:
     for name, (cond, val) in parts.items():
         aggs.append(F.count(F.when(cond, F.lit(1))).alias(f"n_{name}"))
         aggs.append(F.sum(F.when(cond, val)).alias(f"s_{name}"))
-    return (flows.where(F.col("scenarioname").isNotNull() & (period_no("departingperiodname") <= horizon))
+    return (flows.where(F.col("scenarioname").isNotNull() & within_horizon(flows, "departingperiodname", horizon))
             .groupBy("scenarioname", "originname").agg(*aggs))
 
 
@@ -108,11 +109,12 @@ def scenario_kpis(flows: DataFrame, facility_summary: DataFrame, warehousing_sum
     h = horizon
     parts = [
         flow_measures(flows, facilities, h, manufacturing_type),
-        _fact_rows(facility_summary, period_no("periodname") <= h, F.col("operatingcost"), "depot_fixed"),
-        _fact_rows(warehousing_summary, period_no("periodname") <= h,
+        _fact_rows(facility_summary, within_horizon(facility_summary, "periodname", h), F.col("operatingcost"), "depot_fixed"),
+        _fact_rows(warehousing_summary, within_horizon(warehousing_summary, "periodname", h),
                    F.col("inboundhandlingcost") + F.col("outboundhandlingcost"), "depot_handling"),
-        _fact_rows(inventory_summary, period_no("periodname") <= h, F.col("totalinventorycost"), "depot_inventory"),
-        _fact_rows(production_summary, (F.col("bomname") == repair_bom) & (period_no("startingperiodname") <= h),
+        _fact_rows(inventory_summary, within_horizon(inventory_summary, "periodname", h),
+                   F.col("totalinventorycost"), "depot_inventory"),
+        _fact_rows(production_summary, (F.col("bomname") == repair_bom) & within_horizon(production_summary, "startingperiodname", h),
                    F.col("productioncost"), "depot_repair"),
     ]
     u = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -184,7 +186,7 @@ def customer_labels(customers: DataFrame, codes: DataFrame) -> DataFrame:
 def current_issue_cost(flows: DataFrame, customers: DataFrame, codes: DataFrame,
                        optimal: str = K.OPTIMAL_SCENARIO, horizon: int = K.HORIZON_PERIODS) -> DataFrame:
     """Issue cost per corp in the optimal scenario, sourcing included."""
-    f = flows.where(has("destinationname", K.ISSUE_PREFIX) & (period_no("departingperiodname") <= horizon)
+    f = flows.where(has("destinationname", K.ISSUE_PREFIX) & within_horizon(flows, "departingperiodname", horizon)
                     & (F.col("scenarioname") == optimal))
     per_dest = f.groupBy("destinationname").agg(
         F.sum(F.col("shipmentcost") + F.col("sourcingcost") + F.col("transportationcost")).alias("cost"),
@@ -198,7 +200,7 @@ def return_unit_cost(flows: DataFrame, optimal: str = K.OPTIMAL_SCENARIO,
                      horizon: int = K.HORIZON_PERIODS) -> DataFrame:
     """Return cost per pallet per return origin, sourcing excluded."""
     f = flows.where((F.col("scenarioname") == optimal) & has("originname", K.RETURN_PREFIX)
-                    & (period_no("departingperiodname") <= horizon))
+                    & within_horizon(flows, "departingperiodname", horizon))
     g = f.groupBy("originname").agg(
         sum0("flowquantity").alias("flowquantity"),
         sum0(F.col("shipmentcost") + F.col("transportationcost")).alias("total_transportation_cost"))
@@ -230,6 +232,23 @@ def removed_returns(account_values: DataFrame, codes: DataFrame, returns_note: s
     return per_acct.unionByName(shared)
 
 
+def removed_returns_dense(wide: DataFrame, codes: DataFrame, returns_note: str = K.RETURNS_NOTE,
+                          prefix: str = K.ACCOUNT_COLUMN_PREFIX) -> DataFrame:
+    """Returns removed for every pair of return facility and account, from the wide constraint table (C17).
+
+    One aggregate holds a sum per account column, so a row per facility is
+    shuffled; only the sums are unpivoted.  Rows without a facility drop out, and
+    accounts outside ``codes`` or without a column give no row.
+    """
+    accounts = [c for c in wide.columns if c.startswith(prefix)]
+    rows = wide.where((F.col("notes") == returns_note) & F.col("facilityname").isNotNull())
+    value = F.col("constraintvalue").cast("double")
+    sums = rows.groupBy("facilityname").agg(F.count(F.lit(1)).alias("n_rows"), *[
+        sum0(value - F.col(f"`{c}`").cast("double")).alias(c) for c in accounts])
+    pairs = unpivot_prefixed(sums, ["facilityname"], prefix, value="returns")
+    return pairs.join(codes.select("corp_code").distinct(), "corp_code", "left_semi").select("facilityname", "corp_code", "returns")
+
+
 def current_return_cost(removed: DataFrame, unit_cost: DataFrame, customers: DataFrame, codes: DataFrame,
                         optimal: str = K.OPTIMAL_SCENARIO) -> DataFrame:
     """Removed returns x cost per pallet, summed per corp.

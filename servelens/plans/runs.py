@@ -62,9 +62,9 @@ def update_constraints(spark: SparkSession, model_root: str, accounts: DataFrame
     demand = T.typed_demand(m["customerdemand"])
     customers = T.typed_customers(m["customers"])
     selected = materialize(C.select_accounts(accounts, demand, customers), "selected")
-    # account columns of an earlier run are replaced, all other columns stay
+    # account columns of an earlier run (the marker anywhere in the name, F17) are replaced, all others stay
     known = {*K.CONSTRAINT_KEYS, "constraintvalue"}
-    extra = [c for c in constraints.columns if c not in known and not c.startswith(K.ACCOUNT_COLUMN_PREFIX)]
+    extra = [c for c in constraints.columns if c not in known and K.ACCOUNT_COLUMN_PREFIX not in c.lower()]
     values = C.build_account_constraints(constraints, demand, customers,
                                          T.typed_inventory(m["inventorypolicies"]), m["periods"], transfers,
                                          selected, special_depot=special_depot, row_ids=True, extra=extra, **kw)
@@ -108,6 +108,17 @@ def register_scenarios(spark: SparkSession, model_root: str, accounts: DataFrame
     return {name: snapshots.read(spark, f"{out_root}/{name}") for name in changes}
 
 
+def store_results(spark: SparkSession, model_root: str, out_root: str, fmt: str = "parquet",
+                  n_parts: int | None = None) -> dict[str, DataFrame]:
+    """Solver results as versioned tables under ``out_root`` for :func:`write_reports`: the fact
+    tables carry their period number and are laid out by it, the others are kept as they are."""
+    tables = T.load_tables(spark, model_root, REPORT_TABLE_MAP, fmt)
+    for name, df in tables.items():
+        label = T.PERIOD_LABELS.get(name)
+        snapshots.publish(T.by_period(df, label, n_parts) if label else df, f"{out_root}/{name}")
+    return {name: snapshots.read(spark, f"{out_root}/{name}") for name in tables}
+
+
 def write_reports(spark: SparkSession, model_root: str, out_dir: str, run_date: str | None = None,
                   fmt: str = "parquet", report_fmt: str = "csv", eps: float = K.EPS) -> dict[str, str]:
     """Step 4: scenario table (with deltas) and account table as dated reports.

@@ -47,6 +47,16 @@ def q_monthly_files_sum(spark, sf_dir):
     return transfer_matrix(T.read_monthly_files(spark, folder))
 
 
+@register("account_list_files", with_views("SELECT corp_code, corp_desc, evaluate FROM sel", "accounts", "demand", "customers", ctes=SEL_CTE))
+def q_account_list_files(spark, sf_dir):
+    """S3: the account list written as files under its own headers, read, and the selection made from it."""
+    folder = _scratch(spark, "account-list")
+    labels = {name: label for label, name in K.ACCOUNT_HEADERS.items()}
+    m = typed_model(spark, sf_dir, ("accounts", "demand", "customers"))
+    m["accounts"].select(*labels).withColumnsRenamed(labels).write.option("header", "true").csv(folder)
+    return selected_from(m | {"accounts": T.read_account_list(spark, folder)}).select("corp_code", "corp_desc", "evaluate")
+
+
 ASSIGNMENT_KEYS = ["scenarioname", "itemname"]
 
 

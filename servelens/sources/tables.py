@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servelens import constants as K
+from servelens.functions.scalar import period_no
 from servelens.sinks import snapshots
 
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -27,6 +28,14 @@ INPUT_TABLES = ("customers", "periods", "customerdemand", "inventorypolicies", "
 REPORT_TABLES = ("optimizationshipmentsummary", "optimizationfacilitysummary", "optimizationflowsummary",
                  "optimizationwarehousingsummary", "optimizationinventorysummary",
                  "optimizationproductionsummary", "facilities", "customers", "productionconstraints")
+#: fact tables of the reports and the column with their period label
+PERIOD_LABELS = {
+    "optimizationflowsummary": "departingperiodname",
+    "optimizationfacilitysummary": "periodname",
+    "optimizationwarehousingsummary": "periodname",
+    "optimizationinventorysummary": "periodname",
+    "optimizationproductionsummary": "startingperiodname",
+}
 BUNDLE_TABLES = ("customerdemand", "customers", "scenarios", "scenarioitemassignments", "scenarioitems")
 
 
@@ -179,6 +188,19 @@ def typed_inventory(df: DataFrame, strict: bool = True) -> DataFrame:
     return df.withColumn("initialinventory", to_double("initialinventory", strict))
 
 
+def by_period(df: DataFrame, label: str, n_parts: int | None = None, name: str = "period_no") -> DataFrame:
+    """``df`` with the number of its period label as a column, laid out for writing (F8).
+
+    Rows are dealt in ranges of the period number and sorted by it, so the
+    statistics of each file and row group span few periods and a pushed cutoff skips the
+    others unread.  A hash of the row breaks ties: a period with a third of all rows
+    spreads over as many ranges as its size asks for.
+    """
+    out = df.withColumn(name, period_no(label))
+    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return out.repartitionByRange(n, name, F.xxhash64(*df.columns)).sortWithinPartitions(name)
+
+
 def typed_customers(df: DataFrame) -> DataFrame:
     """Codes are text (Q3): a numeric code column is cast to STRING."""
     return df.withColumn("corpcode", F.col("corpcode").cast("string"))

@@ -206,6 +206,12 @@ def test_sparse_values_give_same_reports_as_dense_wide_table(spark):
     own = {(r.facilityname, r.corp_code): r.returns for r in sparse if r.corp_code is not None}
     for (fac, code), v in d.items():
         assert abs(v - own.get((fac, code), shared.get(fac, 0.0))) < 1e-9
+    pairs = {(r.facilityname, r.corp_code): r.returns for r in R.removed_returns_dense(wide, codes).collect()}
+    assert pairs.keys() == d.keys() and all(abs(pairs[k] - d[k]) < 1e-9 for k in d)
+    # accounts without a column, and no account at all
+    one = R.removed_returns_dense(wide, spark.createDataFrame([("81399",), ("00000",), (None,)], "corp_code string"))
+    assert {r.corp_code for r in one.collect()} == {"81399"}
+    assert R.removed_returns_dense(wide.drop("account_81384", "account_81399"), codes).count() == 0
     unit = spark.createDataFrame([("R_US_101", 1.0, 2.0, 2.0), ("R_US_102", 1.0, 3.0, 3.0)],
                                  "originname string, flowquantity double, total_transportation_cost double, "
                                  "return_cost_per_pallet double")

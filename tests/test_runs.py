@@ -83,6 +83,13 @@ def test_four_steps(spark, tmp_path):
     # optimal has 90 issues in the horizon, 'Less 81384' has 80: the account issues 10
     assert float(got["81384"]["Account Issues"]) == 10.0
     assert got["81384"]["Customer"] == "81384 - Alpha"
+    # the same reports from results stored by period number
+    stored = runs.store_results(spark, m2, f"{root}/stored", n_parts=4)
+    assert stored["optimizationproductionsummary"].schema["period_no"].dataType.simpleString() == "int"
+    again = runs.write_reports(spark, f"{root}/stored", f"{root}/reports2", run_date="2024-05-01")
+    for name, path in paths.items():
+        first, second = (spark.read.option("header", "true").csv(p) for p in (path, again[name]))
+        assert first.columns == second.columns and sorted(map(str, first.collect())) == sorted(map(str, second.collect()))
 
 
 def test_only_local_masters_get_a_scratch_checkpoint_folder():

@@ -8,8 +8,10 @@ confidences of order 2 and of order 1; what is left is shared between order 1 an
 interval step codes the outcome, a second one the place within the class.  All arithmetic is on integers.
 
 The blocks of a segment are coded side by side as lanes of numpy arrays.  A segment holds whole documents
-(about ``SEGMENT`` ids, more only if one document is longer) and is one row of the file: document ids and
-counts, and its blocks.  Files are Parquet written by Spark, in ascending ``doc_id``; a lost task writes its file again.
+(about ``SEGMENT`` ids) and is one row of the file: document ids and counts, and its blocks.  A longer document
+is cut into numbered parts of ``SEGMENT`` ids, each a row of its own, so the coder's memory has a bound; its id count and
+checksum are joined from those of its parts.  Files are Parquet written by Spark, in ascending ``doc_id``; a lost task
+writes its file again.
 """
 
 from __future__ import annotations
@@ -242,11 +244,14 @@ def decode_blocks(blocks: list[bytes], classes: int = _CLASSES) -> np.ndarray:
     return ids
 
 
-FILE_SCHEMA = ("partition int, segment int, n_ids long, classes int, doc_ids array<long>, counts array<long>, blocks array<binary>")
+FILE_SCHEMA = ("partition int, segment int, part int, n_ids long, classes int, doc_ids array<long>, counts array<long>, blocks array<binary>")
 
 
-def write_ids(docs: DataFrame, tokenizer_path: str, path: str, *, end_id: int = 0, space_leads: bool = True) -> None:
-    """Ids of every whole text (NULL as empty) and an end id, in ascending ``doc_id`` (NULL first, ties by text)."""
+def write_ids(docs: DataFrame, tokenizer_path: str, path: str, *, end_id: int = 0, space_leads: bool = True, size: int = SEGMENT) -> None:
+    """Ids of every whole text (NULL as empty) and an end id, in ascending ``doc_id`` (NULL first, ties by text).
+
+    ``part`` is NULL in rows of whole documents; a document of more than ``size`` ids has rows with parts 0, 1, ...
+    """
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text")).repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
 
@@ -258,57 +263,131 @@ def write_ids(docs: DataFrame, tokenizer_path: str, path: str, *, end_id: int =
         classes = max(2, int(encoder.vocab_size - 1).bit_length() - 2)
         part, segment = TaskContext.get().partitionId(), 0
         doc_ids, counts, ids, held = [], [], [], 0
-        schema = pa.schema([("partition", pa.int32()), ("segment", pa.int32()), ("n_ids", pa.int64()), ("classes", pa.int32()),
+        schema = pa.schema([("partition", pa.int32()), ("segment", pa.int32()), ("part", pa.int32()), ("n_ids", pa.int64()), ("classes", pa.int32()),
                             ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())), ("blocks", pa.list_(pa.binary()))])
 
-        def row():
-            blocks = encode_blocks(np.concatenate(ids), classes)
-            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((part, segment, held, classes, doc_ids, counts, blocks), schema)], schema=schema)
+        def row(doc_ids, counts, ids, cut=None):
+            nonlocal segment
+            values = (part, segment, cut, len(ids), classes, doc_ids, counts, encode_blocks(ids, classes))
+            segment += 1
+            return pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(values, schema)], schema=schema)
+
+        def runs(n_found):
+            """Document ranges of a slice: each document longer than a segment alone, what lies between together."""
+            first = 0
+            for at in np.flatnonzero(n_found > size).tolist():
+                if at > first:
+                    yield first, at
+                yield at, at + 1
+                first = at + 1
+            if first < len(n_found):
+                yield first, len(n_found)
 
         for batch in batches:
             keys = batch.column(0).to_pylist()
             for a, texts in column_slices(batch, "text"):
                 found, n_found = encoder.encode(texts)
-                doc_ids += keys[a:a + len(texts)]
-                counts += n_found.tolist()
-                ids.append(found)
-                held += len(found)
-                if held >= SEGMENT:
-                    yield row()
-                    segment += 1
-                    doc_ids, counts, ids, held = [], [], [], 0
+                ends = np.concatenate(([0], np.cumsum(n_found)))
+                for i, j in runs(n_found):
+                    own = found[ends[i]:ends[j]]
+                    long = j == i + 1 and len(own) > size
+                    if not long:
+                        doc_ids += keys[a + i:a + j]
+                        counts += n_found[i:j].tolist()
+                        ids.append(own)
+                        held += len(own)
+                    if held and (long or held >= size):
+                        yield row(doc_ids, counts, np.concatenate(ids))
+                        doc_ids, counts, ids, held = [], [], [], 0
+                    if long:
+                        for cut, at in enumerate(range(0, len(own), size)):
+                            piece = own[at:at + size]
+                            yield row([keys[a + i]], [len(piece)], piece, cut)
         if held:
-            yield row()
+            yield row(doc_ids, counts, np.concatenate(ids))
 
     ordered.mapInArrow(run, FILE_SCHEMA).write.parquet(path)
 
 
+_CRC = 0xEDB88320  # the polynomial of crc32, highest power in the lowest bit
+
+
+def _product(a: int, b: int) -> int:
+    """Product of two polynomials modulo that of crc32."""
+    out = 0
+    for power in range(31, -1, -1):
+        if a >> power & 1:
+            out ^= b
+        b = b >> 1 ^ (_CRC if b & 1 else 0)
+    return out
+
+
+def joined_crc(parts) -> int:
+    """crc32 of joined byte strings, from ``(length, crc32)`` of each."""
+    total = 0
+    for n, crc in parts:
+        shift, square = 1 << 31, 1 << 23  # 1, and the power of one byte
+        while n:
+            if n & 1:
+                shift = _product(shift, square)
+            square, n = _product(square, square), n >> 1
+        total = _product(shift, total) ^ crc
+    return total
+
+
+def _starts(files: DataFrame) -> DataFrame:
+    """Ids before each row of the files: before its partition (a row per partition is summed) and in it."""
+    before = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    parts = files.groupBy("partition").agg(F.sum("n_ids").alias("n_ids"))
+    parts = parts.select("partition", before(Window.orderBy("partition")).alias("base"))
+    inside = files.select("partition", "segment", before(Window.partitionBy("partition").orderBy("segment")).alias("inside"))
+    return inside.join(parts, "partition").select("partition", "segment", (F.col("base") + F.col("inside")).alias("start"))
+
+
 def read_documents(spark, path: str) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` of each document, from the files; a broken block raises."""
     files = spark.read.schema(FILE_SCHEMA).parquet(path)
-    order = Window.orderBy("partition", "segment").rowsBetween(Window.unboundedPreceding, -1)
-    starts = files.select("partition", "segment", "n_ids").withColumn("start", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
-    starts = written(starts.drop("n_ids"), "ids-starts")
+    starts = written(_starts(files.select("partition", "segment", "n_ids")), "ids-starts")
 
     def run(batches):
         import pyarrow as pa
 
-        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
+        schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()),
+                            ("partition", pa.int32()), ("first", pa.int32())])
         for batch in batches:
             for i in range(batch.num_rows):
-                start, classes, doc_ids, counts, blocks = (batch.column(c)[i].as_py() for c in range(5))
+                part, first, start, classes, doc_ids, counts, blocks = (batch.column(c)[i].as_py() for c in range(7))
                 raw = memoryview(decode_blocks(blocks, classes).astype("<u4").tobytes())
                 counts = np.array(counts, np.int64)
                 stops = np.cumsum(counts)
                 crcs = [zlib.crc32(raw[4 * (b - n):4 * b]) for b, n in zip(stops.tolist(), counts.tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(start + stops - counts), pa.array(counts), pa.array(crcs, pa.int64())], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()), pa.array(start + stops - counts), pa.array(counts), pa.array(crcs, pa.int64()),
+                                                  pa.array([part] * len(crcs), pa.int32()), pa.array([first] * len(crcs), pa.int32())], schema=schema)
+
+    def decoded(rows: DataFrame) -> DataFrame:
+        return rows.join(starts, ["partition", "segment"]).select(
+            "partition", (F.col("segment") - F.coalesce("part", F.lit(0))).alias("first"), "start", "classes", "doc_ids", "counts", "blocks").mapInArrow(
+            run, "doc_id long, start long, n_tokens long, ids_crc32 long, partition int, first int")
+
+    def join_parts(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            crcs = [joined_crc((4 * p["n_tokens"], p["ids_crc32"]) for p in parts) for parts in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in range(3)), pa.array(crcs, pa.int64())],
+                                             names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return files.join(starts, ["partition", "segment"]).select("start", "classes", "doc_ids", "counts", "blocks").mapInArrow(
-        run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    whole = decoded(files.where(F.col("part").isNull())).drop("partition", "first")
+    # a row per part; the filter skips the row groups of whole documents
+    parts = decoded(files.where(F.col("part").isNotNull())).groupBy("partition", "first").agg(
+        F.min("doc_id").alias("doc_id"), F.min("start").alias("start"), F.sum("n_tokens").alias("n_tokens"),
+        F.sort_array(F.collect_list(F.struct("start", "n_tokens", "ids_crc32"))).alias("parts"))
+    cut = parts.select("doc_id", "start", "n_tokens", "parts").mapInArrow(join_parts, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return whole.unionByName(cut)
 
 
-def write_and_read(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0) -> DataFrame:
+def write_and_read(docs: DataFrame, tokenizer_path: str, *, end_id: int = 0, size: int = SEGMENT) -> DataFrame:
     """Write the id files to the shared folder and return what is read back."""
     path = shared_path(docs.sparkSession, "id-files")
-    write_ids(docs, tokenizer_path, path, end_id=end_id)
+    write_ids(docs, tokenizer_path, path, end_id=end_id, size=size)
     return read_documents(docs.sparkSession, path)

@@ -57,7 +57,15 @@ def test_broken_block_raises():
         rc.decode_blocks([b"XXXX" + blocks[0][4:]], 14)
 
 
-def check(df):
+def test_joined_crc():
+    data = np.random.default_rng(3).bytes(5000)
+    for cuts in ([], [0], [1], [4999], [17, 17, 900], list(range(0, 5000, 611))):
+        parts = [data[a:b] for a, b in zip([0, *cuts], [*cuts, len(data)])]
+        assert rc.joined_crc((len(p), zlib.crc32(p)) for p in parts) == zlib.crc32(data)
+    assert rc.joined_crc([]) == 0
+
+
+def check(df, **options):
     plain = Tokenizer.from_file(PATH)
     rows = sorted(((r.doc_id, r.text or "") for r in df.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
     expect, start = [], 0
@@ -65,7 +73,7 @@ def check(df):
         ids = np.array(plain.encode(text, add_special_tokens=False).ids + [0], "<u4")
         expect.append((doc_id, start, len(ids), zlib.crc32(ids.tobytes())))
         start += len(ids)
-    got = sorted(map(tuple, rc.write_and_read(df, PATH).collect()), key=lambda r: r[1])
+    got = sorted(map(tuple, rc.write_and_read(df, PATH, **options).collect()), key=lambda r: r[1])
     assert got == expect
 
 
@@ -76,3 +84,13 @@ def test_files(spark):
 def test_edges(spark, monkeypatch):
     check(helpers.edge(spark).withColumn("partition", F.lit("clash")))
     assert rc.write_and_read(helpers.empty(spark), PATH).count() == 0
+
+
+def test_long_documents_lie_in_parts(spark, tmp_path):
+    texts = ["short one", "word and more " * 900, None, "x y z " * 700, "x y z " * 700, "end", "", "long last " * 2000]
+    df = helpers.frame(spark, texts, ids=[7, 3, 4, 5, 5, 6, 8, None])
+    check(df, size=500)
+    rc.write_ids(df, PATH, str(tmp_path / "ids"), size=500)
+    rows = spark.read.parquet(str(tmp_path / "ids")).collect()
+    assert max(r.n_ids for r in rows) < 2 * 500 and {len(r.doc_ids) for r in rows if r.part is not None} == {1}
+    assert sorted(r.part for r in rows if r.doc_ids == [3]) == list(range(len([r for r in rows if r.doc_ids == [3]]))) != [0]

@@ -49,9 +49,11 @@ def selected_from(m):
 def account_values_from(spark, sf_dir, stored: bool = True, persist: bool = True, row_ids: bool = False):
     """Per-account constraint values.  The process writes them once (for the
     solver) and the reports read the written table: when ``sf_dir`` holds it
-    (``account_values.parquet``, with row ids) it is read, otherwise computed."""
+    (``account_values.parquet``) it is read, otherwise computed; so are row ids that it lacks."""
     if stored and B._exists(spark, f"{sf_dir}/account_values.parquet"):
-        return spark.read.parquet(f"{sf_dir}/account_values.parquet")
+        values = spark.read.parquet(f"{sf_dir}/account_values.parquet")
+        if not row_ids or "match_id" in values.columns:
+            return values
     m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)
     return C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"],
                                        m["periods"], m["transfers"], selected_from(m), special_depot=DEPOT,

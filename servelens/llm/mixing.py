@@ -11,8 +11,8 @@ certain copies.  For the fraction ``p`` left the documents are ranked by Pareto
 is taken if its words fit what the source still needs, else left out, until none fits.  At last the one
 left out whose size comes nearest to the rest is taken, if that brings the source nearer to its target.
 
-Each source's ranking is cut by a histogram of the odds, then exactly within the one bin that holds the
-cut, so no task sorts a source.  After the document that does not fit, the same is done with those
+Each source's ranking is cut by a histogram of the odds; the one bin that holds the cut is binned again until it
+has at most ``exact`` units, and only those are sorted, so no task's rows grow with a source.  After the document that does not fit, the same is done with those
 further down that fit the rest, in rounds over all sources at once.  With each round's rest at least
 every document as large as the one left out drops away, so the rounds grow like a logarithm of
 the documents.  The decision on a row depends on its own draw, its size and its source's cuts.  Reruns
@@ -59,7 +59,7 @@ def _order(u: Column, p: Column) -> Column:
     return F.when(p > 0, u * (1 - p) / (u * (1 - p) + p * (1 - u))).otherwise(1.0)
 
 
-def sampling_plan(base: DataFrame, weights: tuple[float, ...], max_copies: int, bins: int) -> tuple[DataFrame, DataFrame]:
+def sampling_plan(base: DataFrame, weights: tuple[float, ...], max_copies: int, bins: int, exact: int) -> tuple[DataFrame, DataFrame]:
     """Per source: ``source_size, target, mean_weight``, the cuts of its ranking (``rounds``: orders between which all rows of at most a
     size are taken) and ``close``, the order of the closing unit.  Besides, ``source, order`` of the units that fit by the size
     of a row but not with all their rows.  ``base``: ``source, size, u, weight``."""
@@ -83,7 +83,7 @@ def sampling_plan(base: DataFrame, weights: tuple[float, ...], max_copies: int,
     rest = units.filter((F.col("order") < 1) & (F.col("size") > 0)).select("source", "order", "size", "row_size")
     rest, skipped = _still_fitting(rest, state)
     while not rest.isEmpty():
-        state = _cut(rest, state, bins)
+        state = _cut(rest, state, bins, exact)
         rest, more = _still_fitting(rest, state)
         skipped = skipped.unionByName(more)
 
@@ -103,29 +103,44 @@ def _still_fitting(rest: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFr
             on.filter("size > gap").select("source", "order"))
 
 
-def _cut(rest: DataFrame, state: DataFrame, bins: int) -> DataFrame:
-    """One round: units are taken by ascending order up to the first beyond the gap, after which the next round starts."""
-    by_source = Window.partitionBy("source")
-    gaps = state.select("source", "gap", "start")
-    # bins between the start and 1, so that each round has them all
-    own = F.least(F.floor((F.col("order") - F.greatest("start", F.lit(0.0))) / (1 - F.greatest("start", F.lit(0.0))) * bins), F.lit(bins - 1)).cast("int")
-    rows = with_plan(rest, gaps).withColumn("bin", own)
-    histogram = with_plan(rows.groupBy("source", "bin").agg(F.sum("size").alias("size")), gaps)
-    histogram = histogram.withColumn("upto", F.sum("size").over(by_source.orderBy("bin")))
-    cuts = written(histogram.groupBy("source").agg(
-        F.coalesce(F.max(F.when(F.col("upto") <= F.col("gap"), F.col("upto"))), F.lit(0)).alias("got_before"),
-        F.min(F.when(F.col("upto") > F.col("gap"), F.col("bin"))).alias("cross")), "mixing-histogram")
-    inside = with_plan(rows, cuts).filter(F.col("bin") == F.col("cross"))
-    inside = inside.withColumn("upto", F.col("got_before") + F.sum("size").over(by_source.orderBy("order")))
-    exact = inside.groupBy("source").agg(F.max(F.when(F.col("upto") <= F.col("gap"), F.col("upto"))).alias("got"),
-                                         F.min(F.when(F.col("upto") > F.col("gap"), F.col("order"))).alias("first_out"))
-    found = with_plan(with_plan(state, cuts), exact)
+def _crossing(histogram: DataFrame, at: DataFrame) -> DataFrame:
+    """``at`` with each source's running sum ``got`` carried on to the bin that goes beyond its gap, and the orders ``first`` to
+    ``last`` and the number ``n`` of that bin's units (NULL if all fit).  A source has at most as many rows as there are bins."""
+    sums = with_plan(histogram, at.select("source", "gap", "got"))
+    sums = sums.withColumn("upto", F.col("got") + F.sum("size").over(Window.partitionBy("source").orderBy("bin")))
+    found = sums.groupBy("source").agg(F.max(F.when(F.col("upto") <= F.col("gap"), F.col("upto"))).alias("before"),
+                                       F.min(F.when(F.col("upto") > F.col("gap"), F.struct("bin", "low", "high", "n"))).alias("cross"), F.lit(True).alias("any"))
+    return with_plan(at, found).select("source", "gap", F.coalesce("before", "got").alias("got"), (F.col("seen") | F.col("any").isNotNull()).alias("seen"),
+                                       F.col("cross.low").alias("first"), F.col("cross.high").alias("last"), F.col("cross.n").alias("n"))
+
+
+def _cut(rest: DataFrame, state: DataFrame, bins: int, exact: int) -> DataFrame:
+    """One round: units are taken by ascending order up to the first beyond the gap, after which the next round starts.
+    The bin that holds the cut is binned again until it has at most ``exact`` units in every source; only those are sorted."""
+    at = state.select("source", "gap", F.lit(0).cast("long").alias("got"), F.lit(False).alias("seen"),
+                      F.greatest("start", F.lit(0.0)).alias("first"), F.lit(1.0).alias("last"))
+    rows = rest
+    while True:
+        width = F.col("last") - F.col("first")
+        own = F.when(width > 0, F.least(F.floor((F.col("order") - F.col("first")) / width * bins), F.lit(bins - 1))).otherwise(0)
+        histogram = written(with_plan(rows, at.select("source", "first", "last")).groupBy("source", own.cast("int").alias("bin")).agg(
+            F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"), F.min("order").alias("low"), F.max("order").alias("high")), "mixing-histogram")
+        # written, so that its size is known and it is broadcast to the rows
+        at = written(_crossing(histogram, at), "mixing-crossing")
+        rows = with_plan(rows, at.select("source", "first", "last")).filter(F.col("order").between(F.col("first"), F.col("last"))).select(*rest.columns)
+        if (at.agg(F.max("n")).first()[0] or 0) <= exact:
+            break
+        rows = written(rows, "mixing-bin")  # the bin's least and greatest orders part at the next step, so it gets smaller
+    inside = with_plan(rows, at.select("source", "gap", "got"))
+    inside = inside.withColumn("upto", F.col("got") + F.sum("size").over(Window.partitionBy("source").orderBy("order")))
+    within = inside.groupBy("source").agg(F.max(F.when(F.col("upto") <= F.col("gap"), F.col("upto"))).alias("last_got"),
+                                          F.min(F.when(F.col("upto") > F.col("gap"), F.col("order"))).alias("first_out"))
+    found = with_plan(with_plan(state, at.select("source", "got", "seen")), within)
     end = F.coalesce("first_out", F.lit(1.0))
     return written(found.select(
-        "source", (F.col("gap") - F.coalesce("got", "got_before", F.lit(0))).alias("gap"),
-        F.when(F.col("got_before").isNull(), F.col("start")).otherwise(end).alias("start"),
-        F.when(F.col("got_before").isNull(), F.col("rounds")).otherwise(
-            F.array_append("rounds", F.struct(F.col("start").alias("after"), end.alias("before"), F.col("gap").alias("most")))).alias("rounds")), "mixing-cuts")
+        "source", (F.col("gap") - F.coalesce("last_got", "got")).alias("gap"), F.when(F.col("seen"), end).otherwise(F.col("start")).alias("start"),
+        F.when(F.col("seen"), F.array_append("rounds", F.struct(F.col("start").alias("after"), end.alias("before"), F.col("gap").alias("most"))))
+        .otherwise(F.col("rounds")).alias("rounds")), "mixing-cuts")
 
 
 def _in_rounds(order: Column, row_size: Column) -> Column:
@@ -173,19 +188,20 @@ def with_copies(rows: DataFrame, plan: DataFrame, skipped: DataFrame, max_copies
     return rows.withColumn("copies", F.when(F.col("size") > 0, F.floor("wanted") + sampled.cast("long")).otherwise(0))
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_copies: int = 3, weight: str | None = None, seed: int = 17, bins: int = 4096) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_copies: int = 3, weight: str | None = None, seed: int = 17, bins: int = 256,
+        exact: int = 4096) -> DataFrame:
     """``doc_id, source, size, source_size, target, copies, taken`` (words with repeats) of every row."""
     base = written(_base(docs, weight, seed), "mixing-base")
-    plan, skipped = sampling_plan(base, weights, max_copies, bins)
+    plan, skipped = sampling_plan(base, weights, max_copies, bins, exact)
     return with_copies(base, plan, skipped, max_copies).select(
         "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "source", "copies")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_copies: int = 3, weight: str | None = None, seed: int = 17,
-                    bins: int = 4096) -> DataFrame:
+                    bins: int = 256, exact: int = 4096) -> DataFrame:
     """The documents themselves, each as many times as the mix takes it, with all their columns.
     Documents without a word are in no mix."""
-    plan, skipped = sampling_plan(written(_base(docs, weight, seed).drop("doc_id"), "mixing-base"), weights, max_copies, bins)
+    plan, skipped = sampling_plan(written(_base(docs, weight, seed).drop("doc_id"), "mixing-base"), weights, max_copies, bins, exact)
     own = F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
     keyed = docs.select(own).select(
         "row", F.col("row.source").cast("string").alias("source"), _draw(F.col("row.doc_id"), F.col("row.text"), seed).alias("u"),

@@ -142,3 +142,9 @@ def test_rounds_equal_the_plain_rule_on_mixed_sizes_and_repeated_rows(spark):
         assert all(len(c) == 1 for c in copies.values())
         docs = mixing.mixed_documents(df, seed=seed).collect()
         assert sum(size_of(r.text) for r in docs) == sum(r.taken for r in got)
+
+
+def test_the_cut_is_the_same_however_often_its_bin_is_binned_again(spark):
+    df = helpers.frame(spark, [f"a b c d {i}" for i in range(400)], ["a" if i % 4 else "b" for i in range(400)])
+    key = lambda r: r.doc_id
+    assert sorted(mixing.mix(df).collect(), key=key) == sorted(mixing.mix(df, bins=4, exact=3).collect(), key=key)

@@ -8,8 +8,8 @@ stored as three versioned tables::
     <root>/rows       constraint rows with the value that accounts share
     <root>/blocks     row, block, values: the own values of ``block`` positions
 
-One aggregate fills an array per row and block; an account without a value of its
-own has NULL there and a block without any own value is not stored.  Columns are
+One aggregate fills a map (place in the block -> value) per row and block; an account without a
+value of its own has no entry there and a block without any own value is not stored.  Columns are
 made only when the table is read, for the accounts asked for.
 """
 
@@ -40,9 +40,9 @@ def publish_blocks(account_values: DataFrame, accounts: DataFrame, root: str, ke
     place = F.struct((F.col("position") % block).cast("int").alias("at"), F.col("account_value").alias("value"))
     # several values of one account for a match are equal: any will do
     filled = own.groupBy(*IDS, F.floor(F.col("position") / block).cast("int").alias("block")).agg(F.collect_set(place).alias("own"))
-    value_at = lambda at: F.element_at(F.filter("own", lambda x: x["at"] == at), 1)["value"]
-    values = F.transform(F.sequence(F.lit(0), F.lit(block - 1)), lambda at: F.when(F.exists("own", lambda x: x["at"] == at), value_at(at)))
-    snapshots.publish(filled.select(*IDS, "block", values.alias("values")).repartitionByRange("block", *IDS).sortWithinPartitions("block", *IDS),
+    ordered = filled.withColumn("own", F.array_sort("own"))
+    values = F.map_from_entries(F.filter("own", lambda x, i: (i == 0) | (x["at"] != F.get("own", i - 1)["at"])))
+    snapshots.publish(ordered.select(*IDS, "block", values.alias("values")).repartitionByRange("block", *IDS).sortWithinPartitions("block", *IDS),
                       f"{root}/blocks")
     matches = own.select(*IDS).distinct()
     rows = account_values.where(~is_own).select("row_id", *keys, "constraintvalue", *extra, F.col("account_value").alias("shared_value"))
@@ -71,7 +71,8 @@ def read_accounts(spark: SparkSession, root: str, codes: Sequence[str], prefix:
     joined = rows.join(held, _same_row(rows, held), "left")
     cols = []
     for c in codes:
-        value = F.coalesce(F.get(F.try_element_at("__held", F.lit(known[c] // block)), F.lit(known[c] % block)), F.col("shared_value"))
+        own = F.try_element_at(F.try_element_at("__held", F.lit(known[c] // block).cast("int")), F.lit(known[c] % block).cast("int"))
+        value = F.coalesce(own, F.col("shared_value"))
         cols.append((value.cast("string") if as_text else value).alias(prefix + c))
     return joined.select(*[c for c in rows.columns if c not in (*IDS, "shared_value")], *cols)
 
@@ -88,4 +89,4 @@ def unpivot_accounts(spark: SparkSession, root: str, block: int = BLOCK) -> Data
     joined = each.join(blocks, _same_row(each, blocks) & (each["block"] == blocks["__block"]), "left").join(places, "block")
     out = joined.select(*[c for c in rows.columns if c not in (*IDS, "shared_value")], "shared_value", "values", F.explode("held").alias("x"))
     return out.select(*[c for c in rows.columns if c not in (*IDS, "shared_value")], F.col("x.corp_code").alias("corp_code"),
-                      F.coalesce(F.get("values", F.col("x.at")), F.col("shared_value")).alias("account_value"))
+                      F.coalesce(F.try_element_at("values", F.col("x.at")), F.col("shared_value")).alias("account_value"))

@@ -27,8 +27,8 @@ KEY_LIST = ", ".join(KEYS)
 # Spark side: the typed model
 # ---------------------------------------------------------------------------
 
-def typed_model(spark, sf_dir, names):
-    m = B.model(spark, sf_dir, names)
+def typed_model(spark, sf_dir, names, lines=None):
+    m = B.model(spark, sf_dir, names, lines)
     if "constraints" in m:
         m["constraints"] = T.typed_constraints(m["constraints"])
     if "demand" in m:
@@ -46,7 +46,7 @@ def selected_from(m):
     return C.select_accounts(m["accounts"], m["demand"], m["customers"])
 
 
-def account_values_from(spark, sf_dir, stored: bool = True, persist: bool = True, row_ids: bool = False):
+def account_values_from(spark, sf_dir, stored: bool = True, persist: bool = True, row_ids: bool = False, lines=None):
     """Per-account constraint values.  The process writes them once (for the
     solver) and the reports read the written table: when ``sf_dir`` holds it
     (``account_values.parquet``) it is read, otherwise computed; so are row ids that it lacks."""
@@ -54,7 +54,7 @@ def account_values_from(spark, sf_dir, stored: bool = True, persist: bool = True
         values = spark.read.parquet(f"{sf_dir}/account_values.parquet")
         if not row_ids or "match_id" in values.columns:
             return values
-    m = typed_model(spark, sf_dir, ACCOUNT_INPUTS)
+    m = typed_model(spark, sf_dir, ACCOUNT_INPUTS, lines)
     return C.build_account_constraints(m["constraints"], m["demand"], m["customers"], m["inventory_policies"],
                                        m["periods"], m["transfers"], selected_from(m), special_depot=DEPOT,
                                        persist=persist, row_ids=row_ids)
@@ -363,6 +363,11 @@ def wide_inputs(spark, sf_dir):
 
 # --- reporting steps that need the per-account constraints ------------------
 
+def codes_from(flows):
+    """The analysed account codes, written once: the flows are not read again for each use."""
+    return materialize(R.less_codes(flows), "codes")
+
+
 REMOVED_CTES = f"""
 rs AS (SELECT * FROM acv WHERE notes = '{K.RETURNS_NOTE}'),
 rm_base AS (SELECT facilityname, coalesce(sum(constraintvalue - account_value), 0) AS base_returns FROM rs
@@ -400,7 +405,7 @@ ALL_VIEWS = MODEL_VIEWS + ("flows",)
                                        ACCOUNT_CTES, ACV_CTES, CUSTOMER_SQL, REMOVED_CTES, views=ALL_VIEWS))
 def q_removed_returns(spark, sf_dir):
     """C17: returns removed per return facility and account, all periods."""
-    codes = R.less_codes(B.view(spark, sf_dir, "flows"))
+    codes = codes_from(B.view(spark, sf_dir, "flows"))
     return round6(R.removed_returns(account_values_from(spark, sf_dir), codes), "returns")
 
 
@@ -414,13 +419,14 @@ WHERE b.notes = '{K.RETURNS_NOTE}' AND b.facilityname IS NOT NULL GROUP BY b.fac
                                              PROJ_CTES, UPLIFT_CTES, ACCOUNT_CTES, ACV_CTES, CUSTOMER_SQL, views=ALL_VIEWS))
 def q_removed_returns_dense(spark, sf_dir):
     """C17: returns removed for every pair of return facility and account, from the wide table."""
-    codes = R.less_codes(B.view(spark, sf_dir, "flows"))
+    codes = codes_from(B.view(spark, sf_dir, "flows"))
     wide = to_wide(*wide_inputs(spark, sf_dir))
     return round6(R.removed_returns_dense(wide, codes), "returns")
 
 
-def current_return_from(spark, sf_dir, flows, customers, codes):
-    rem = R.removed_returns(account_values_from(spark, sf_dir), codes)
+def current_return_from(spark, sf_dir, flows, customers, codes, lines=None):
+    # a row per return facility and account: read three times
+    rem = materialize(R.removed_returns(account_values_from(spark, sf_dir, lines=lines), codes), "removed")
     return R.current_return_cost(rem, R.return_unit_cost(flows), customers, codes)
 
 
@@ -431,7 +437,7 @@ def q_current_return_cost(spark, sf_dir):
     """Removed returns x cost per pallet, per account."""
     flows = B.view(spark, sf_dir, "flows")
     customers = B.view(spark, sf_dir, "customers")
-    return round6(current_return_from(spark, sf_dir, flows, customers, R.less_codes(flows)), "cur_tc_returns")
+    return round6(current_return_from(spark, sf_dir, flows, customers, codes_from(flows)), "cur_tc_returns")
 
 
 ISSUE_CTES = f"""
@@ -472,12 +478,13 @@ FROM rep r JOIN (SELECT DISTINCT corpcode, "Customer" FROM cust) l ON r.corpcode
                                       views=tuple(dict.fromkeys(MODEL_VIEWS + KPI_VIEWS))))
 def q_account_report(spark, sf_dir):
     """C20: per-account issues, returns, R:I, six costs, inefficiency and CPIs."""
-    flows = B.view(spark, sf_dir, "flows")
+    lines = B.shared_lines(spark, sf_dir)             # seven facts of a line and its order
+    flows = B.view(spark, sf_dir, "flows", lines)
     customers = B.view(spark, sf_dir, "customers")
-    kpis = materialize(kpis_from(spark, sf_dir))      # one row per scenario, read three times
+    kpis = materialize(kpis_from(spark, sf_dir, lines))   # one row per scenario, read three times
     codes = R.less_codes(kpis)
     issue = R.current_issue_cost(flows, customers, codes)
-    ret = current_return_from(spark, sf_dir, flows, customers, codes)
+    ret = current_return_from(spark, sf_dir, flows, customers, codes, lines)
     rep = R.account_report(kpis, issue, ret, customers, codes)
     return round6(rep, *[n for _, n in K.ACCOUNT_MEASURES])
 

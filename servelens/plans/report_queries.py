@@ -17,8 +17,8 @@ KPI_VIEWS = ("flows", "facilities", "facility_summary", "warehousing_summary", "
              "production_summary")
 
 
-def kpis_from(spark, sf_dir):
-    m = B.model(spark, sf_dir, KPI_VIEWS)
+def kpis_from(spark, sf_dir, lines=None):
+    m = B.model(spark, sf_dir, KPI_VIEWS, lines)
     return R.scenario_kpis(m["flows"], m["facility_summary"], m["warehousing_summary"],
                            m["inventory_summary"], m["production_summary"], m["facilities"])
 

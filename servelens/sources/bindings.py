@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from servelens import constants as K
+from servelens.operators.core import materialize
 
 # --- fixed values of the binding (test data only) ---------------------------
 N_CORPS = 23                      # corp code = custkey % 23
@@ -109,9 +110,21 @@ def _line_orders(spark, sf_dir):
     return li.join(o, li.l_orderkey == o.o_orderkey)
 
 
-def flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with what the views take from their orders, written once for a query that reads several of them."""
+    return materialize(_line_orders(spark, sf_dir).select(
+        "l_suppkey", "l_partkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_tax", "l_discount", "l_returnflag", "l_linestatus",
+        "o_custkey", "o_orderpriority"), "line_orders")
+
+
+def flows(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
     s = read_table(spark, sf_dir, "supplier")
-    lo = _line_orders(spark, sf_dir).join(s, F.col("l_suppkey") == s.s_suppkey)
+    if lines is None:
+        # suppliers first: what a report asks of the origin is decided before the lines are shuffled to their orders
+        li, o = read_table(spark, sf_dir, "lineitem"), read_table(spark, sf_dir, "orders")
+        lo = li.join(s, li.l_suppkey == s.s_suppkey).join(o, F.col("l_orderkey") == o.o_orderkey)
+    else:
+        lo = lines.join(s, F.col("l_suppkey") == s.s_suppkey)
     ret = F.col("l_returnflag") == "R"
     origin = F.when(ret, F.concat(F.lit("R_N"), _str(F.col("s_nationkey")), F.lit("_"), _str(F.col("l_suppkey")))) \
         .otherwise(F.concat(F.lit("D_"), _str(F.col("l_suppkey"))))
@@ -211,8 +224,8 @@ def constraints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transfers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo = _line_orders(spark, sf_dir).where(F.col("l_returnflag") == "R")
+def transfers(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lo = (_line_orders(spark, sf_dir) if lines is None else lines).where(F.col("l_returnflag") == "R")
     ck, sk = F.col("o_custkey"), F.col("l_suppkey")
     return lo.select(
         _corp_code(ck).alias("renter_corp_code"),
@@ -247,16 +260,16 @@ def facilities(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .otherwise(F.lit("Depot")).alias("depottype"))
 
 
-def facility_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo = _line_orders(spark, sf_dir)
+def facility_summary(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lo = _line_orders(spark, sf_dir) if lines is None else lines
     return lo.select(_scenario(F.col("o_orderpriority")).alias("scenarioname"),
                      _period(F.col("l_shipdate")).alias("periodname"),
                      F.concat(F.lit("D_"), _str(F.col("l_suppkey"))).alias("facilityname"),
                      _whole(F.col("l_extendedprice") / 100).alias("operatingcost"))
 
 
-def warehousing_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo = _line_orders(spark, sf_dir)
+def warehousing_summary(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lo = _line_orders(spark, sf_dir) if lines is None else lines
     return lo.select(_scenario(F.col("o_orderpriority")).alias("scenarioname"),
                      _period(F.col("l_shipdate")).alias("periodname"),
                      F.col("l_quantity").alias("inboundhandlingcost"),
@@ -270,8 +283,8 @@ def inventory_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _whole(F.col("o_totalprice") / 1000).alias("totalinventorycost"))
 
 
-def production_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lo = _line_orders(spark, sf_dir)
+def production_summary(spark: SparkSession, sf_dir: str, lines: DataFrame | None = None) -> DataFrame:
+    lo = _line_orders(spark, sf_dir) if lines is None else lines
     p = read_table(spark, sf_dir, "part")
     j = lo.join(p, F.col("l_partkey") == p.p_partkey)
     bom = F.when(F.col("p_type").isin("ECONOMY", "SMALL"), F.lit(K.REPAIR_BOM)) \
@@ -346,6 +359,10 @@ VIEWS = {
 }
 
 
+#: views with a row per order line, which can be derived from written lines
+LINE_VIEWS = ("flows", "transfers", "facility_summary", "warehousing_summary", "production_summary")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     try:
         jvm = spark.sparkContext._jvm
@@ -356,19 +373,24 @@ def _exists(spark: SparkSession, path: str) -> bool:
         return os.path.exists(path)
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame | None = None) -> DataFrame:
     """One model table: read it when ``sf_dir`` holds it materialised
-    (``{name}.parquet``), otherwise derive it from the raw tables."""
+    (``{name}.parquet``), otherwise derive it from the raw tables (line views from ``lines``, if given)."""
     path = f"{sf_dir}/{name}.parquet"
     if _exists(spark, path):
         return spark.read.parquet(path)
-    return VIEWS[name](spark, sf_dir)
+    return VIEWS[name](spark, sf_dir, lines) if name in LINE_VIEWS else VIEWS[name](spark, sf_dir)
 
 
-def model(spark: SparkSession, sf_dir: str, names=None) -> dict[str, DataFrame]:
+def model(spark: SparkSession, sf_dir: str, names=None, lines: DataFrame | None = None) -> dict[str, DataFrame]:
     """All (or the named) model tables as lazy DataFrames."""
     names = names or VIEWS.keys()
-    return {n: view(spark, sf_dir, n) for n in names}
+    return {n: view(spark, sf_dir, n, lines) for n in names}
+
+
+def shared_lines(spark: SparkSession, sf_dir: str, names=LINE_VIEWS) -> DataFrame | None:
+    """:func:`line_orders` unless ``sf_dir`` holds all the named line views."""
+    return None if all(_exists(spark, f"{sf_dir}/{n}.parquet") for n in names) else line_orders(spark, sf_dir)
 
 
 # dimension-sized views: written as they come (no spreading over files)

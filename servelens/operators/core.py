@@ -39,10 +39,13 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     if not packed:
         cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[k + suffix]) for k in keys])
         return left.join(r, cond, how).drop(*[k + suffix for k in keys])
-    lk = left.withColumn("__k", F.struct(*[F.col(k) for k in keys]))
+    # the keys travel in the struct only and are taken out of it after the join
+    lk = left.select(F.struct(*[F.col(k) for k in keys]).alias("__k"), *[F.col(f"`{c}`") for c in left.columns if c not in keys])
     rk = r.withColumn("__k" + suffix, F.struct(*[F.col(k + suffix).alias(k) for k in keys]))
     j = lk.join(rk, lk["__k"] == rk["__k" + suffix], how)
-    return j.drop("__k", "__k" + suffix, *[k + suffix for k in keys])
+    j = j.drop("__k" + suffix, *[k + suffix for k in keys])
+    return j.select(*[F.col(f"__k.`{c}`").alias(c) if c in keys else F.col(f"`{c}`") for c in left.columns],
+                    *[F.col(f"`{c}`") for c in j.columns if c != "__k" and c not in left.columns])
 
 
 def materialize(df: DataFrame, name: str = "t") -> DataFrame:

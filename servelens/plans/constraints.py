@@ -346,6 +346,32 @@ def _final_key(df: DataFrame, null_product: bool):
     return F.struct(*cols)
 
 
+def _matched_sources(pc: DataFrame, extra: Sequence[str] = ()) -> DataFrame:
+    """Return rows and depot-group rows, each with the constraint rows its adjusted value goes to.
+
+    Rows match on the 17 keys (NULL = NULL) with the original status; both sides meet in one
+    aggregate per key.  ``key`` holds the keys of the matched rows, ``targets`` their ids, values
+    and ``extra`` columns (empty: no match), ``n_match`` the number of rows with these matches.
+    ``fans_out`` marks rows that match others or share their match: they count for an account
+    even if their own value stays.
+    """
+    is_return = starts("facilityname", K.RETURN_PREFIX)
+    is_depot = F.coalesce(F.col("facilityname") == K.DEPOT_GROUP, F.lit(False)) & ~is_return
+    rows = pc.where(is_return | is_depot)
+    source = F.struct("row_id", "facilityname", "productname", "periodname", "constraintvalue")
+    target = F.struct(F.col("row_id").alias("o_id"), "constraintvalue", *extra)
+    # the keys hold the facility, so only these rows can be matched
+    sides = (rows.where(is_return).select(_final_key(pc, False).alias("key"), source.alias("source"))
+             .unionByName(rows.where(is_depot).select(_final_key(pc, True).alias("key"), source.alias("source")))
+             .unionByName(rows.select(F.struct(*[F.col(k) for k in KEYS]).alias("key"), target.alias("target")),
+                          allowMissingColumns=True))
+    met = sides.groupBy("key").agg(F.collect_list("source").alias("sources"), F.collect_list("target").alias("targets"))
+    each = met.select("key", "targets", F.size("sources").alias("n_match"), F.explode("sources").alias("s"))
+    return each.select("s.*", "key", "n_match", "targets",
+                       ((F.size("targets") > 0) & ((F.col("n_match") > 1) | F.exists("targets", lambda t: t["o_id"] != F.col("s.row_id"))))
+                       .alias("fans_out"))
+
+
 def build_account_constraints(constraints: DataFrame, demand: DataFrame, customers: DataFrame,
                               inventory_policies: DataFrame, periods: DataFrame, transfers: DataFrame,
                               selected: DataFrame, special_depot: str = K.SPECIAL_DEPOT,
@@ -360,10 +386,10 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
     NULL hold the value every account shares; an account has rows of its own where its
     value differs or where a constraint row has several matches.
 
-    Planned for size: every constraint row gets a stable ``row_id`` (written once), the
-    per-account rows carry five columns instead of twenty, and the 17-key match between
-    adjusted rows and constraint rows is resolved once at the size of the constraint
-    table.  The key columns join the per-account rows only at the end.
+    Planned for size: every constraint row gets a stable ``row_id`` (written once) and the
+    17-key match between adjusted rows and constraint rows is resolved once, at the size of
+    the constraint table (:func:`_matched_sources`).  A row takes its matches along when it
+    meets the accounts, so the per-account rows are written once and never shuffled again.
 
     ``row_ids`` also returns ``row_id`` (the constraint row) and ``match_id`` (the
     row whose adjusted value it took, NULL for shared values), by which the wide
@@ -378,34 +404,22 @@ def build_account_constraints(constraints: DataFrame, demand: DataFrame, custome
     proj = inventory_projection(pc, demand, inventory_policies, periods)
     mfg = manufacturing_uplift(pc, uplift_rows(proj, two_digit_labels, floor_zero), special_depot)
     shared = unchanged_repairs(pc).unionByName(mfg).drop("row_id", *extra)
-    slim = pc.select("row_id", "facilityname", "productname", "periodname", "constraintvalue")
-    # which constraint rows each adjusted row matches (NULL = NULL on all 17 keys)
-    target = pc.select(F.col("row_id").alias("o_id"), F.struct(*[F.col(k) for k in KEYS]).alias("__k"))
-    src_r = pc.where(starts("facilityname", K.RETURN_PREFIX)).select(
-        F.col("row_id"), F.lit(False).alias("null_product"), _final_key(pc, False).alias("__k"))
-    src_d = pc.where(not_starts("facilityname", K.RETURN_PREFIX) & (F.col("facilityname") == K.DEPOT_GROUP)).select(
-        F.col("row_id"), F.lit(True).alias("null_product"), _final_key(pc, True).alias("__k"))
-    match = src_r.unionByName(src_d).join(target, "__k", "inner").select("row_id", "null_product", "o_id")
-    match = match.join(match.groupBy("o_id").agg(F.count(F.lit(1)).alias("n_match")), "o_id")
-    match = materialize(match, "matches")
-    # a row that matches others, or shares its match, counts for an account even if its own value stays
-    fans = match.where((F.col("n_match") > 1) | (F.col("o_id") != F.col("row_id"))).select("row_id").distinct()
-    slim = slim.join(fans.withColumn("fans_out", F.lit(True)), "row_id", "left")
-    # the demand per account is read three times and the adjusted returns twice
+    # return and depot rows with the constraint rows they match; read as returns and as depot rows
+    sources = materialize(_matched_sources(pc, extra), "matches")
+    # the demand per account is read three times, the shares and the adjusted returns twice
     # (per-account rows and depot WIP): each written once
     ad = materialize(account_demand(demand, customers, selected), "account_demand")
-    adj = materialize(adjusted_returns(slim, ad, account_return_share(transfers, selected), loss_rate,
-                                       always="fans_out"), "adjusted")
-    depot = adjusted_depot_repairs(slim, adj, ad, always="fans_out")
-    own_slim = (adj.select("row_id", "corp_code", "adjusted_constraintvalue", F.lit(False).alias("null_product"))
-                .unionByName(depot.select("row_id", "corp_code", "adjusted_constraintvalue",
-                                          F.lit(True).alias("null_product"))))
-    own = own_slim.join(match, ["row_id", "null_product"], "inner")
+    shares = materialize(account_return_share(transfers, selected), "shares")
+    adj = materialize(adjusted_returns(sources, ad, shares, loss_rate, always="fans_out"), "adjusted")
+    depot = adjusted_depot_repairs(sources, adj, ad, always="fans_out")
+    carried = ["row_id", "corp_code", "adjusted_constraintvalue", "key", "n_match", "targets"]
+    own = adj.select(*carried).unionByName(depot.select(*carried)).select("*", F.explode("targets").alias("t"))
+    own = own.select(F.col("t.o_id").alias("o_id"), F.col("row_id").alias("match_id"), "key.*",
+                     *[F.col("t")[c].alias(c) for c in ("constraintvalue", *extra)], "corp_code", "n_match",
+                     F.coalesce("adjusted_constraintvalue", F.col("t.constraintvalue")).alias("account_value"))
+    own = own.where((F.col("n_match") > 1) | ~F.col("account_value").eqNullSafe(F.col("constraintvalue")))
     base = pc.select(F.col("row_id").alias("o_id"), *KEYS, "constraintvalue", *extra)
     ids = [F.col("o_id").alias("row_id"), "match_id"] if row_ids else []
-    own = own.withColumnRenamed("row_id", "match_id").join(base, "o_id", "inner")
-    own = own.withColumn("account_value", F.coalesce("adjusted_constraintvalue", "constraintvalue"))
-    own = own.where((F.col("n_match") > 1) | ~F.col("account_value").eqNullSafe(F.col("constraintvalue")))
     own = own.select(*ids, *KEYS, "constraintvalue", *extra, "corp_code", "account_value")
     sh = null_safe_join(base, _final_side(shared), KEYS, "left").withColumn("match_id", F.lit(None).cast("bigint"))
     sh = sh.select(*ids, *KEYS, "constraintvalue", *extra, F.lit(None).cast("string").alias("corp_code"),

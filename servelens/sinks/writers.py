@@ -49,8 +49,8 @@ def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACC
             keys: Sequence[str] = K.CONSTRAINT_KEYS, as_text: bool = False, extra: Sequence[str] = ()) -> DataFrame:
     """Sparse long form -> one ``account_<code>`` column per account (K2, R2).
 
-    ``codes`` is the list of account codes (the account list, small), so the
-    pivot needs no extra pass.  Accounts without their own value for a row
+    ``codes`` is the list of account codes (the account list, small), so one
+    aggregate with a column per code does the pivot: values are combined before the shuffle.  Accounts without their own value for a row
     get the shared value of that row.
 
     Constraint rows with equal keys match each other's adjusted values, and every
@@ -72,10 +72,11 @@ def to_wide(account_values: DataFrame, codes: Sequence[str], prefix: str = K.ACC
     shared = account_values.where(~is_own).select(
         *dict.fromkeys([*on, *keys, "constraintvalue", *extra]), F.col("account_value").alias("__shared"))
     # one value per (row, match, account): any aggregate gives it
-    wide = own.groupBy(*on, "match_id").pivot("corp_code", list(codes)).agg(F.max("account_value"))
-    wide = wide.select(*on, *[F.col(f"`{c}`").alias(f"__own_{c}") for c in codes])
+    values = [F.max(F.when(F.col("corp_code") == c, F.col("account_value"))).alias(f"__own_{i}") for i, c in enumerate(codes)]
+    # without accounts the matches still count
+    wide = own.groupBy(*on, "match_id").agg(*(values or [F.count(F.lit(1)).alias("__own")])).drop("match_id", "__own")
     j = null_safe_join(shared, wide, on, "left")
-    cols = [F.coalesce(F.col(f"__own_{c}"), F.col("__shared")).alias(prefix + c) for c in codes]
+    cols = [F.coalesce(F.col(f"__own_{i}"), F.col("__shared")).alias(prefix + c) for i, c in enumerate(codes)]
     if as_text:
         cols = [c.cast("string") for c in cols]
     return j.select(*keys, "constraintvalue", *extra, *cols)

@@ -169,14 +169,26 @@ def features_of(text: bytes, stats: Stats, size: int) -> dict[int, float]:
 def fit_scorer(rows: list[dict[int, float]], labels, size: int, rounds: int = 150, rate: float = 1.0, decay: float = 1e-4, counts=None):
     """Weights (the last is the bias) of a logistic scorer with soft labels: accelerated gradient steps from zero.
     ``counts``: how often each row stands in the sample (default: once)."""
+    return fit_weights(feature_matrix(((list(row), list(row.values())) for row in rows), len(rows), size), labels, rounds, rate, decay, counts)
+
+
+def feature_matrix(rows, n: int, size: int):
+    """One line of ``size`` values and a one for the bias from the ``(slots, values)`` of each of ``n`` rows."""
     import numpy as np
 
-    x = np.zeros((len(rows), size + 1), np.float32)
+    x = np.zeros((n, size + 1), np.float32)
     x[:, size] = 1
-    for i, row in enumerate(rows):
-        x[i, list(row)] = list(row.values())
-    y, w, last = np.asarray(labels, np.float32), np.zeros(size + 1, np.float32), np.zeros(size + 1, np.float32)
-    n = np.ones(len(rows), np.float32) if counts is None else np.asarray(counts, np.float32)
+    for i, (slots, values) in enumerate(rows):
+        x[i, slots] = values
+    return x
+
+
+def fit_weights(x, labels, rounds: int = 150, rate: float = 1.0, decay: float = 1e-4, counts=None):
+    """``fit_scorer`` on the lines of a matrix."""
+    import numpy as np
+
+    y, w, last = np.asarray(labels, np.float32), np.zeros(x.shape[1], np.float32), np.zeros(x.shape[1], np.float32)
+    n = np.ones(len(x), np.float32) if counts is None else np.asarray(counts, np.float32)
     n = n / max(1.0, float(n.sum()))
     for k in range(rounds):
         ahead = w + k / (k + 3) * (w - last)
@@ -198,8 +210,19 @@ class QualityModel:
         return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
 
+def _packed(numbers, kind: str) -> bytes:
+    """The (unsigned) numbers as bytes: they sort as the list of numbers does, and no number is an object of its own."""
+    import numpy as np
+
+    return np.fromiter(numbers, kind, len(numbers)).tobytes()
+
+
 def fit(docs: DataFrame, train_rows: int = 8000, size: int = 2048) -> QualityModel | None:
-    """Label model over all documents, scorer on a sample; None for an empty table."""
+    """Label model over all documents, scorer on a sample; None for an empty table.
+
+    The sample's features reach the driver packed, a few bytes each, as its memory is bounded by them."""
+    import numpy as np
+
     rows = docs.select(F.xxhash64("doc_id", "text").alias("draw"), F.col("text").cast("binary").alias("text"))
 
     def vote(batches):
@@ -226,18 +249,18 @@ def fit(docs: DataFrame, train_rows: int = 8000, size: int = 2048) -> QualityMod
             for a, b, texts in text_slices(batch, "text"):
                 stats = [stats_of(t) for t in texts]
                 found = [features_of(t, s, size) for t, s in zip(texts, stats)]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(a, b - a), pa.array([list(votes_of(s)) for s in stats], pa.list_(pa.int32())),
-                     pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.float32()))],
-                    ["draw", "votes", "slots", "values"])
+                columns = [bytes(v + 1 for v in votes_of(s)) for s in stats], [_packed(f, ">u4") for f in found], [_packed(f.values(), ">f4") for f in found]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), *(pa.array(c, pa.binary()) for c in columns)],
+                                                 ["draw", "votes", "slots", "values"])
 
     # rows equal in id and text share a draw: they stand once, with their number; the limit bounds what reaches the driver
-    featured = drawn.mapInArrow(featurise, "draw long, votes array<int>, slots array<int>, values array<float>")
+    featured = drawn.mapInArrow(featurise, "draw long, votes binary, slots binary, values binary")
     sample = featured.groupBy("draw").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("votes", "slots", "values")).alias("x")).select(
         "draw", "n", "x.*").orderBy("draw").limit(2 * train_rows).collect()
     sample.sort(key=lambda r: (r.votes, r.slots, r["values"]))
-    weights = fit_scorer([dict(zip(r.slots, r["values"])) for r in sample], labels.posterior([r.votes for r in sample]) if sample else [], size,
-                         counts=[r.n for r in sample])
+    votes = np.frombuffer(b"".join(r.votes for r in sample), np.uint8).reshape(len(sample), len(LABELLERS)).astype(np.int64) - 1
+    x = feature_matrix(((np.frombuffer(r.slots, ">u4").astype(np.int64), np.frombuffer(r["values"], ">f4")) for r in sample), len(sample), size)
+    weights = fit_weights(x, labels.posterior(votes), counts=[r.n for r in sample])
     return QualityModel(labels, tuple(weights.tolist()))
 
 

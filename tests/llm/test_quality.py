@@ -110,3 +110,29 @@ def test_classifier_equals_brute_force_on_documents(spark):
     assert np.allclose([got.labels.good, *got.labels.right_on_good, *got.labels.right_on_bad], [model[0], *model[1], *model[2]], atol=1e-6)
     w = plain_scorer([quality.features_of(t, s, 64) for t, s in zip(texts, stats)], got.labels.posterior(votes), 64)
     assert np.allclose(got.weights, w, atol=2e-3)
+
+
+def test_sample_reaches_the_driver_packed(spark):
+    """A number of the sample takes a few bytes of the driver, not an object or two."""
+    import tracemalloc
+
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 5000, 2500)) for _ in range(300)]
+    docs = helpers.frame(spark, texts)
+    numbers = sum(len(quality.features_of(t, quality.stats_of(t), 2048)) for t in map(str.encode, texts))
+    tracemalloc.start()
+    try:
+        model = quality.fit(docs, train_rows=1000)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert model is not None and numbers > 300_000
+    assert peak < 24 * numbers + 4 * 3 * 2049 * len(texts)
+
+
+def test_packed_numbers_sort_as_lists_do():
+    rng = np.random.default_rng(8)
+    slots = [rng.integers(0, 3000, rng.integers(0, 4)).tolist() for _ in range(300)]
+    values = [rng.random(rng.integers(0, 4)).astype(np.float32).tolist() for _ in range(300)]
+    for rows, kind in ((slots, ">u4"), (values, ">f4")):
+        assert [np.frombuffer(b, kind).tolist() for b in sorted(quality._packed(r, kind) for r in rows)] == sorted(rows)

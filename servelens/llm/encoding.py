@@ -111,7 +111,7 @@ class ChunkEncoder:
             chunks = new
         flat: list[int] = []
         count = np.zeros(len(chunks), np.int32)
-        rest, odd = [], {}
+        rest, odd, index, n_known = [], {}, self.index, len(self.start)
         tokenize, ends, plain, lower, leads, before = self.model.tokenize, self.ends, self.plain, self.lower, self.space_leads, 0
         for i, c in enumerate(chunks):
             # a word and the signs at its end, which the file splits apart
@@ -119,11 +119,15 @@ class ChunkEncoder:
             word = stem[1:] if leads and stem[:1] == " " else stem
             end, is_ascii = c[len(stem):], word.isascii()
             if plain and (is_ascii and word.isalpha() or not is_ascii and _WORD(word)):
-                if lower:
-                    stem = stem.lower()
-                if leads or not is_ascii:
-                    stem = _in_bytes(stem)
-                flat += [t.id for t in tokenize(stem)]
+                # the word without those signs may be a chunk that is known
+                if end and (k := index.get(new[i][:-len(end)], n_known)) < n_known:
+                    flat += self.flat[self.start[k]:self.start[k] + self.count[k]].tolist()
+                else:
+                    if lower:
+                        stem = stem.lower()
+                    if leads or not is_ascii:
+                        stem = _in_bytes(stem)
+                    flat += [t.id for t in tokenize(stem)]
                 if end:
                     if end not in ends:
                         if len(ends) > 4096:
@@ -207,6 +211,6 @@ class ChunkEncoder:
 
 
 @lru_cache(maxsize=2)
-def chunk_encoder(path: str, space_leads: bool, end_id: int) -> ChunkEncoder:
+def chunk_encoder(path: str, space_leads: bool, end_id: int, max_chunks: int = 150_000) -> ChunkEncoder:
     """One encoder per Python worker."""
-    return ChunkEncoder(path, space_leads, end_id)
+    return ChunkEncoder(path, space_leads, end_id, max_chunks)

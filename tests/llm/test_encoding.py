@@ -40,3 +40,24 @@ def test_plain_words_take_the_short_way(name, _pattern, end):
     texts = ["Straße, ÉTÉ. Niño ÿÀ naïve.", "ÞORN word,, x.y It's İstanbul ſ"]
     ids, _ = made.encode(texts)
     assert ids.tolist() == [i for t in texts for i in plain.encode(t, add_special_tokens=False).ids + [end]]
+
+
+@pytest.mark.parametrize("name,_pattern,end", CASES)
+def test_a_known_word_is_not_encoded_again_for_its_signs(name, _pattern, end):
+    plain, made = MADE[name]
+    made._reset()
+    texts = ["first Abend naïve", "then Abend, naïve!? first. Abend"]
+    calls, model = [], made.model
+
+    class Counted:
+        def tokenize(self, word):
+            calls.append(word)
+            return model.tokenize(word)
+    try:
+        made.model = Counted()
+        got = [made.encode([t])[0].tolist() for t in texts]
+    finally:
+        made.model = model
+    assert got == [plain.encode(t, add_special_tokens=False).ids + [end] for t in texts]
+    # "Abend" stands first in neither text, so it has a space before it in both
+    assert sum("bend" in w for w in calls) == 1

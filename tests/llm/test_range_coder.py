@@ -94,3 +94,35 @@ def test_long_documents_lie_in_parts(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "ids")).collect()
     assert max(r.n_ids for r in rows) < 2 * 500 and {len(r.doc_ids) for r in rows if r.part is not None} == {1}
     assert sorted(r.part for r in rows if r.doc_ids == [3]) == list(range(len([r for r in rows if r.doc_ids == [3]]))) != [0]
+
+
+def test_unpredicted_bits_lie_outside_the_coded_words():
+    """The place of an id in its class costs no step of the coder: it follows the words as plain bits."""
+    ids = np.random.default_rng(5).integers(1 << 15, 1 << 16, 3 * rc.BLOCK).astype(np.uint32)
+    blocks = rc.encode_blocks(ids, 14)
+    for i, block in enumerate(blocks):
+        words = 2 * rc._HEAD.unpack_from(block)[4]
+        assert words < 0.1 * rc.BLOCK
+        plain = int.from_bytes(block[rc._HEAD.size + words:], "little")
+        own = ids[i * rc.BLOCK:(i + 1) * rc.BLOCK].tolist()
+        # all but those that orders 1 and 2 hit, 15 bits each
+        assert [plain >> 15 * k & 0x7FFF for k in range(20)] == [x - (1 << 15) for x in own[:20]]
+    assert rc.decode_blocks(blocks, 14).tolist() == ids.tolist()
+
+
+def test_broken_words_never_leave_the_tables():
+    ids = np.minimum(np.random.default_rng(8).zipf(1.3, 2 * rc.BLOCK), 50_256).astype(np.uint32)
+    blocks = rc.encode_blocks(ids, 14)
+    for at in range(rc._HEAD.size, rc._HEAD.size + 200, 7):
+        bad = blocks[0][:at] + b"\xff" * 9 + blocks[0][at + 9:]
+        with pytest.raises(ValueError):
+            rc.decode_blocks([bad, blocks[1]], 14)
+    with pytest.raises(ValueError):
+        rc.decode_blocks([blocks[0][:100], blocks[1]], 14)
+
+
+def test_carries_run_through_full_words():
+    rng = np.random.default_rng(11)
+    for _ in range(30):  # skewed outcomes move the interval to its upper end again and again
+        ids = np.where(rng.random(rc.BLOCK + 500) < rng.random(), 60_000, rng.integers(0, 3, rc.BLOCK + 500)).astype(np.uint32)
+        assert rc.decode_blocks(rc.encode_blocks(ids, 14), 14).tolist() == ids.tolist()
